@@ -119,10 +119,12 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     staging = scratch_path(spark, "late-stages")
     out = scratch_path(spark, "stream-late")
-    src = (spark.readStream.schema(orders.schema).option("recursiveFileLookup", "true")
-           .parquet(staging))
-    img = month_image_stream(_orders_events(src))
+    img = None
     for i, pred in enumerate(_late_row_stages(), start=1):
         orders.where(pred).write.parquet(f"{staging}/arrival-{i}")
+        if img is None:
+            src = (spark.readStream.schema(orders.schema).option("recursiveFileLookup", "true")
+                   .parquet(staging))
+            img = month_image_stream(_orders_events(src))
         run_available_now(img, out + "-chk", out)
     return plain_timestamps(spark.read.parquet(out).select(*IMAGE_COLS))
