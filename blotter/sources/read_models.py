@@ -11,7 +11,7 @@ from blotter.schema import SERVING
 def read_serving(spark: SparkSession, path: str, where: Column | str | None = None) -> DataFrame:
     """The serving table, optionally filtered.  ``district`` is the
     partition column, so a district predicate prunes whole folders."""
-    df = spark.read.schema(SERVING).parquet(path)
+    df = spark.read.schema(SERVING).parquet(path).select(*SERVING.names)
     return df.where(where) if where is not None else df
 
 

@@ -9,7 +9,7 @@ can still change.  The event-time column is projected away before the
 operator: rows are judged late by their month end, not by their own time.
 
 Rows of one key within a micro-batch are taken in arrival order; each Arrow
-chunk is ordered by the arrival columns (``arrival_cols``).
+chunk is ordered by the arrival column (``arrival_col``, ties by id).
 """
 
 from __future__ import annotations
@@ -81,15 +81,15 @@ class MonthRunningCounter(StatefulProcessor):
 
 
 def month_image_per_row(enriched: DataFrame, ts_col: str = "ts",
-                        arrival_cols: tuple[str, ...] = ()) -> DataFrame:
+                        arrival_col: str | None = None) -> DataFrame:
     """Mode A stream: ``enriched`` must already carry a watermark on ``ts_col``.
-    ``arrival_cols`` (e.g. Kafka offset) order rows inside a batch; the event
-    time is used when none is given."""
+    ``arrival_col`` (a long, e.g. the Kafka offset) orders rows inside a
+    batch; the event time is used when none is given."""
     spark = enriched.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     ms = F.date_trunc("month", F.col(ts_col))
-    arrival = (F.xxhash64(*[F.col(c) for c in arrival_cols]) if arrival_cols
+    arrival = (F.col(arrival_col).cast("bigint") if arrival_col
                else F.unix_millis(F.col(ts_col)))
     prepared = enriched.select(
         "id", "primary_description", "district", "arrest", "domestic", "monitored_by_fbi",
