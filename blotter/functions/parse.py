@@ -73,6 +73,18 @@ def blank_district(fields: Column) -> Column:
     return field(fields, FIELD_DISTRICT).eqNullSafe(F.lit(BLANK_DISTRICT))
 
 
+def _typed_fields(fs: Column, key: Column) -> list[Column]:
+    return [
+        parse_id(key).alias("id"),
+        parse_date(field(fs, FIELD_DATE)).alias("date"),
+        field(fs, FIELD_CODE).alias("iucr_code"),
+        parse_flag(field(fs, FIELD_ARREST)).alias("arrest"),
+        parse_flag(field(fs, FIELD_DOMESTIC)).alias("domestic"),
+        parse_district(field(fs, FIELD_DISTRICT)).alias("district"),
+        (F.size(fs) >= MIN_FIELDS).alias("_wide"),
+    ]
+
+
 def parse_records(records: DataFrame, on_error: str = "reject",
                   keep_columns: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Keyed CSV records -> (incidents, rejects).
@@ -81,36 +93,30 @@ def parse_records(records: DataFrame, on_error: str = "reject",
     district field is ``""`` are dropped (F1) before anything is parsed.  Rows
     that cannot be parsed go to ``rejects`` (``on_error="reject"``) or fail the
     job (``on_error="fail"``, as the reference does).
+
+    Plan shape: the line is split once; the typed record is produced by a
+    generator over a 0/1-element array (F1 decides which), so the parse
+    expressions are evaluated once per row - a plain filter on parsed columns
+    would be pushed below the projection with every parse expression copied
+    into it.
     """
-    f = split_fields(F.col("value"))
-    staged = records.select(
-        *[F.col(c) for c in keep_columns],
-        F.col("key").cast("string").alias("_key"),
-        F.col("value").cast("string").alias("_value"),
-        f.alias("_f"),
-    ).where(~blank_district(F.col("_f")))
+    keep = [F.col(c) for c in keep_columns]
+    staged = records.select(*keep, F.col("key").cast("string").alias("_key"),
+                            F.col("value").cast("string").alias("_value"),
+                            split_fields(F.col("value")).alias("_f"))
     fs = F.col("_f")
-    typed = staged.select(
-        *[F.col(c) for c in keep_columns],
-        "_key", "_value",
-        parse_id(F.col("_key")).alias("id"),
-        parse_date(field(fs, FIELD_DATE)).alias("date"),
-        field(fs, FIELD_CODE).alias("iucr_code"),
-        parse_flag(field(fs, FIELD_ARREST)).alias("arrest"),
-        parse_flag(field(fs, FIELD_DOMESTIC)).alias("domestic"),
-        parse_district(field(fs, FIELD_DISTRICT)).alias("district"),
-        (F.size(fs) >= MIN_FIELDS).alias("_wide"),
-    )
+    record = F.struct(*_typed_fields(fs, F.col("_key")))
+    typed = staged.select(*[F.col(c) for c in keep_columns], "_key", "_value",
+                          F.inline(F.when(~blank_district(fs), F.array(record)).otherwise(F.array())))
     bad = (~F.col("_wide") | F.col("id").isNull() | F.col("date").isNull()
            | F.col("district").isNull())
     out_cols = [*keep_columns, "id", "date", "iucr_code", "arrest", "domestic", "district"]
     if on_error == "fail":
         checked = typed.select(
-            *[c for c in out_cols if c not in ("id",)],
+            *[c for c in out_cols if c != "id"],
             F.when(bad, F.raise_error(F.concat(F.lit("malformed incident record: "),
                                                F.coalesce(F.col("_value"), F.lit("<null>")))))
-            .otherwise(F.col("id")).cast("bigint").alias("id"),
-        )
+            .otherwise(F.col("id")).cast("bigint").alias("id"))
         none = typed.where(F.lit(False)).select(
             F.col("_key").alias("key"), F.col("_value").alias("value"),
             F.lit(None).cast("string").alias("reason"))
