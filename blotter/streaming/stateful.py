@@ -48,7 +48,8 @@ class MonthRunningCounter(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        state = list(self.counts.get()) if self.counts.exists() else [0, 0, 0, 0]
+        held = self.counts.get()
+        state = list(held) if held is not None else [0, 0, 0, 0]
         timer = None
         for pdf in rows:
             pdf = pdf[pdf["month_end_ms"] > watermark]
@@ -70,7 +71,8 @@ class MonthRunningCounter(StatefulProcessor):
             yield out
         if timer is not None:
             self.counts.update(tuple(state))
-            self.handle.registerTimer(timer)
+            if held is None:            # first rows of this month: clear it at month end
+                self.handle.registerTimer(timer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.counts.clear()
