@@ -55,7 +55,7 @@ WINDOWS = """windows AS (
          date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) + INTERVAL 30 DAY AS "end",
          district, count(*) AS count,
          count(*) FILTER (WHERE monitored_by_fbi) AS count_monitored_by_fbi
-  FROM enr CROSS JOIN range(0, 30) AS r(k)
+  FROM (SELECT ts, district, monitored_by_fbi, unnest(range(0, 30)) AS k FROM enr)
   GROUP BY 1, 2, district)"""
 
 RESULTS = """results AS (
@@ -122,7 +122,7 @@ EVENTS_SLIDING = """SELECT date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) A
        date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) + INTERVAL 7 DAY AS "end",
        event_type, count(*) AS count, CAST(sum(round(value * 100)) AS BIGINT) AS total_cents,
        max(value) AS max_value
-FROM events CROSS JOIN range(0, 7) AS r(k)
+FROM (SELECT ts, event_type, value, unnest(range(0, 7)) AS k FROM events)
 GROUP BY 1, 2, event_type
 HAVING date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) + INTERVAL 7 DAY
        <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"""

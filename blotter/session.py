@@ -28,6 +28,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     conf.update(extra or {})
     for k, v in conf.items():
