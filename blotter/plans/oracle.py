@@ -145,6 +145,9 @@ SELECT id, ts, iucr_code, arrest, domestic, district, primary_description, monit
         "month_image_closed": f"{BASE},\n{IMAGE},\n{CLOSED}\nSELECT * FROM closed",
         "month_image_running": ORDERS_RUNNING,
         "serving_upsert": f"{BASE},\n{IMAGE},\n{CLOSED},\n{SERVING}\nSELECT * FROM serving",
+        "serving_upsert_keep_year": f"""{BASE},\n{IMAGE},\n{CLOSED}
+SELECT district, CAST(year(month_start) AS INTEGER) AS year, month, primary_description,
+       count, count_arrest, count_domestic, count_monitored_by_fbi FROM closed""",
         "serving_filtered_read": f"""{BASE},\n{IMAGE},\n{CLOSED},\n{SERVING}
 SELECT * FROM serving WHERE district = 7 AND month >= 6""",
         "sliding_counts": f"{BASE},\n{WINDOWS}\nSELECT * FROM windows",
@@ -158,6 +161,13 @@ SELECT * FROM results WHERE percentage_monitored_by_fbi > 50.0""",
         "stream_month_image_a": ORDERS_RUNNING,
         "stream_anomaly_alerts": f"{BASE},\n{WINDOWS},\n{RESULTS},\n{ALERTS}\n{MESSAGES}",
         "stream_serving_image_c": f"{BASE},\n{IMAGE},\n{CLOSED},\n{SERVING}\nSELECT * FROM serving",
+        "stream_serving_image_a": f"""{BASE},\n{IMAGE}
+SELECT district, month, primary_description,
+       arg_max(count, month_start) AS count,
+       arg_max(count_arrest, month_start) AS count_arrest,
+       arg_max(count_domestic, month_start) AS count_domestic,
+       arg_max(count_monitored_by_fbi, month_start) AS count_monitored_by_fbi
+FROM image GROUP BY district, month, primary_description""",
         "stream_late_rows": ORDERS_IMAGE_CLOSED.replace(
             "FROM orders)",
             "FROM orders WHERE NOT (o_orderdate >= TIMESTAMP '1999-06-01' AND o_orderdate < TIMESTAMP '1999-07-01'))", 1),

@@ -122,6 +122,17 @@ def q_serving_upsert(spark, sf_dir):
     return read_serving(spark, _upserted_serving(spark, sf_dir))
 
 
+def q_serving_upsert_keep_year(spark, sf_dir):
+    """K1 with the year in the key: no year collision, one row per month window."""
+    image = batch.monthly_image(_enriched_lineitem(spark, sf_dir), CFG, closed_only=True)
+    image = image.withColumn("year", F.year("month_start"))
+    path = scratch_path(spark, "serving-year")
+    upsert_serving(image, path, "month_end", keep_year=True)
+    return spark.read.parquet(path).select("district", "year", "month", "primary_description",
+                                           "count", "count_arrest", "count_domestic",
+                                           "count_monitored_by_fbi")
+
+
 def q_serving_filtered_read(spark, sf_dir):
     path = _upserted_serving(spark, sf_dir)
     return read_serving(spark, path, (F.col("district") == 7) & (F.col("month") >= 6))

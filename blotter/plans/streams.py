@@ -97,6 +97,19 @@ def q_stream_serving_image_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_serving(spark, table_path)
 
 
+def q_stream_serving_image_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 end to end: one emission per incident upserted into the serving
+    table; the final table holds each key's newest month in full."""
+    ensure_utc(spark)
+    codes = part_codes(spark, sf_dir)
+    events = with_watermark(with_event_time(lineitem_as_incidents(table_stream(spark, sf_dir, "lineitem"))),
+                            "ts", CFG.watermark)
+    rows = month_image_per_row(enrich(events, codes)).withColumn("_order", F.struct("month_start", "count"))
+    table_path = scratch_path(spark, "serving")
+    run_available_now(rows, table_path + "-chk", foreach_batch=serving_batch_writer(table_path, "_order"))
+    return read_serving(spark, table_path)
+
+
 # three arrivals derived from orders: the June 1999 rows come after the
 # watermark passed their month (dropped); early-June 2001 rows come after
 # the watermark passed their own time but not their month end (counted).

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,28 +50,30 @@ class MonthRunningCounter(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         held = self.counts.get()
-        state = list(held) if held is not None else [0, 0, 0, 0]
+        state = np.array(held if held is not None else (0, 0, 0, 0), dtype=np.int64)
         timer = None
         for pdf in rows:
-            pdf = pdf[pdf["month_end_ms"] > watermark]
+            live = pdf["month_end_ms"].to_numpy() > watermark      # L1: month still open
+            if not live.all():
+                pdf = pdf[live]
             if pdf.empty:
                 continue
-            pdf = pdf.sort_values(["arrival_ms", "id"], kind="stable").reset_index(drop=True)
-            out = pd.DataFrame({
-                "id": pdf["id"].astype("int64"),
-                "primary_description": pdf["primary_description"],
-                "district": pdf["district"].astype("int32"),
-                "month_start_ms": pdf["month_start_ms"].astype("int64"),
-                "arrival_ms": pdf["arrival_ms"].astype("int64"),
-            })
-            out["count"] = state[0] + pd.Series(1, index=pdf.index, dtype="int64").cumsum()
-            for i, (name, flag) in enumerate(FLAGS.items(), start=1):
-                out[name] = state[i] + pdf[flag].fillna(False).astype("int64").cumsum()
-            state = [int(out[n].iloc[-1]) for n in STATE_SCHEMA.names]
-            timer = int(pdf["month_end_ms"].iloc[0])
-            yield out
+            order = np.lexsort((pdf["id"].to_numpy(), pdf["arrival_ms"].to_numpy()))
+            flags = np.column_stack([np.ones(len(order), dtype=np.int64)] + [
+                pdf[f].to_numpy(dtype=bool, na_value=False)[order].astype(np.int64) for f in FLAGS.values()])
+            run = np.cumsum(flags, axis=0) + state
+            state = run[-1]
+            timer = int(pdf["month_end_ms"].iat[0])
+            out = {"id": pdf["id"].to_numpy()[order],
+                   "primary_description": pdf["primary_description"].to_numpy()[order],
+                   "district": pdf["district"].to_numpy()[order],
+                   "month_start_ms": pdf["month_start_ms"].to_numpy()[order],
+                   "arrival_ms": pdf["arrival_ms"].to_numpy()[order]}
+            for i, name in enumerate(STATE_SCHEMA.names):
+                out[name] = run[:, i]
+            yield pd.DataFrame(out)
         if timer is not None:
-            self.counts.update(tuple(state))
+            self.counts.update(tuple(int(v) for v in state))
             if held is None:            # first rows of this month: clear it at month end
                 self.handle.registerTimer(timer)
 

@@ -35,7 +35,12 @@ def month_gap(ts_col: str = "ts"):
 
 
 def month_image_stream(enriched: DataFrame, ts_col: str = "ts") -> DataFrame:
-    """A1 over W1 with the on-complete trigger (T1); append output mode."""
+    """A1 over W1 with the on-complete trigger (T1); append output mode.
+
+    Sessions are merged inside each input partition before the shuffle, so a
+    hot key sends one partial session per partition, not all of its rows."""
+    enriched.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     agg = (enriched
            .groupBy("district", "primary_description", month_start_of(F.col(ts_col)).alias("month_start"),
                     F.session_window(F.col(ts_col), month_gap(ts_col)).alias("_session"))
