@@ -2,12 +2,8 @@
 T1), sliding windows (W2), late rows (L1), checkpoint resume (R1, R2), mode A
 (T2), alert text sink (K2) and serving upsert (K1); stream == batch."""
 
-import datetime as dt
 import os
 
-from pyspark.sql import functions as F
-
-from blotter.config import PipelineConfig
 from blotter.functions.parse import parse_records, with_event_time
 from blotter.operators.anomaly import alert_messages, alerts, anomaly_results
 from blotter.operators.enrich import enrich
