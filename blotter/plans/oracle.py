@@ -144,6 +144,14 @@ SELECT id, ts, iucr_code, arrest, domestic, district, primary_description, monit
         "month_image_all": f"{BASE},\n{IMAGE}\nSELECT * FROM image",
         "month_image_closed": f"{BASE},\n{IMAGE},\n{CLOSED}\nSELECT * FROM closed",
         "month_image_running": ORDERS_RUNNING,
+        "running_hot_keys": """SELECT l_orderkey, l_linenumber, l_returnflag, l_shipdate,
+       count(*) OVER w AS count,
+       CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS count_open
+FROM lineitem
+WINDOW w AS (PARTITION BY l_returnflag
+             ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+                      l_extendedprice, l_discount, l_tax, l_linestatus
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
         "serving_upsert": f"{BASE},\n{IMAGE},\n{CLOSED},\n{SERVING}\nSELECT * FROM serving",
         "serving_upsert_keep_year": f"""{BASE},\n{IMAGE},\n{CLOSED}
 SELECT district, CAST(year(month_start) AS INTEGER) AS year, month, primary_description,

@@ -14,9 +14,10 @@ from blotter.config import PipelineConfig
 from blotter.functions.parse import parse_records, with_event_time
 from blotter.operators.anomaly import anomaly_results, sliding_counts
 from blotter.operators.enrich import enrich
+from blotter.operators.running import running_counts
 from blotter.plans import batch
 from blotter.plans.standins import (lineitem_csv_records, lineitem_incidents, orders_incidents,
-                                    part_code_lines, part_codes)
+                                    part_code_lines, part_codes, table)
 from blotter.session import ensure_utc, scratch_path
 from blotter.sinks.alerts import write_alert_log
 from blotter.sinks.serving import upsert_serving
@@ -108,6 +109,18 @@ def q_month_image_running(spark, sf_dir):
                                        "count_monitored_by_fbi"))
 
 
+HOT_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+             "l_extendedprice", "l_discount", "l_tax", "l_linestatus"]
+
+
+def q_running_hot_keys(spark, sf_dir):
+    """A3 where every key holds about a third of all rows: running counts of
+    line items per return flag in ship order (ties broken by every column)."""
+    li = table(spark, sf_dir, "lineitem").withColumn("is_open", F.col("l_linestatus") == "O")
+    run = running_counts(li, ["l_returnflag"], HOT_ORDER, {"count": None, "count_open": "is_open"})
+    return run.select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "count", "count_open")
+
+
 def _upserted_serving(spark, sf_dir) -> str:
     """Closed month windows upserted in two rounds (emission order = window end)."""
     image = batch.monthly_image(_enriched_lineitem(spark, sf_dir), CFG, closed_only=True)

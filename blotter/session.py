@@ -39,6 +39,36 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def scale_settings(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+                   max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a given input volume.
+
+    Scan splits and shuffle partitions both target ``partition_bytes`` (so a
+    task's data fits executor memory with room for sort/aggregation buffers);
+    AQE then coalesces small shuffle partitions and splits skewed join
+    partitions at run time.  Example: 100 TB -> ~400k partitions is capped at
+    ``max_partitions`` (about 512 MB each), which AQE re-cuts as needed.
+    """
+    n = max(1, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    size = f"{partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, **kw) -> dict[str, str]:
+    conf = scale_settings(input_bytes, **kw)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def ensure_utc(spark: SparkSession) -> SparkSession:
     """Incident dates are local date-times read as UTC; pin the session zone."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

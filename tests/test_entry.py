@@ -30,3 +30,13 @@ def test_config_from_args_later_wins():
     assert cfg.emit_every_row and cfg.anomaly_threshold == 50.0 and cfg.lookup_path == "/x"
     assert not PipelineConfig(mode="c").emit_every_row       # anything but "A" means C
     assert interval_seconds("1 day") == 86400 and interval_seconds("30 days") == 30 * 86400
+
+
+def test_scale_settings():
+    from blotter.session import scale_settings
+    small = scale_settings(10 * 1024 * 1024)
+    assert small["spark.sql.shuffle.partitions"] == "1"
+    big = scale_settings(100 * 1024 ** 4)                      # 100 TB
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert scale_settings(1024 ** 4)["spark.sql.shuffle.partitions"] == "4096"
