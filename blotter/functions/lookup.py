@@ -36,8 +36,10 @@ def parse_code_lines(lines: DataFrame, mode: str = "positional") -> DataFrame:
         raw = [F.col("_r.code"), F.col("_r.primary_description"),
                F.col("_r.secondary_description"), F.col("_r.index_code")]
     elif mode == "positional":
-        cols = body.select(F.split("value", ",").alias("_s"))
-        cols = cols.withColumn("_fields", F.size("_s"))
+        cols = body.select(F.split("value", ",").alias("_s"),
+                           # fields counted without trailing empty ones (a line
+                           # ending in ',' has one field fewer)
+                           F.size(F.split(F.regexp_replace("value", ",+$", ""), ",")).alias("_fields"))
         raw = [F.get(F.col("_s"), i) for i in range(4)]
     else:
         raise ValueError(f"unknown lookup parse mode {mode!r}")

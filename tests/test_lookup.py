@@ -76,3 +76,8 @@ def test_broadcast_check_is_bounded(spark):
     assert broadcast_if_bounded(df, max_rows=1000)[1] is True
     assert broadcast_if_bounded(df, max_rows=10)[1] is False
     assert broadcast_if_bounded(df, max_rows=1000, max_bytes=100)[1] is False
+
+
+def test_trailing_empty_index_field_is_short(spark):
+    with pytest.raises(ValueError, match="short|duplicate"):
+        code_table_from_lines(_lines(spark, ["110,HOMICIDE,X,"]))
