@@ -25,6 +25,7 @@ def main(argv: list[str]) -> int:
     p.add_argument("--alert-path")
     p.add_argument("--rejects-path")
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--batch", action="store_true", help="process the files at rest in one batch job")
     a, _ = p.parse_known_args(argv)
     if a.input_dir:
         source = {"kind": "directory", "path": a.input_dir, "files_per_trigger": 1}
@@ -37,6 +38,12 @@ def main(argv: list[str]) -> int:
     cfg = cfg.with_(source=source)
     from pyspark.sql import SparkSession
     spark = SparkSession.builder.appName("blotter").getOrCreate()
+    if a.batch:
+        from blotter.plans.batch import run_batch_job
+        from blotter.session import ensure_utc
+        ensure_utc(spark)
+        run_batch_job(spark, cfg, a.input_dir, a.serving_path, a.alert_path, alert_kafka, a.rejects_path)
+        return 0
     qs = start_pipeline(spark, cfg, Outputs(a.serving_path, a.alert_path, alert_kafka, a.rejects_path),
                         {"availableNow": True} if a.available_now else None)
     run_to_end(qs)

@@ -21,18 +21,20 @@ from blotter.functions.format import alert_text, percentage
 DAY = 86400
 
 
-def sliding_counts(enriched: DataFrame, period_days: int = 30, slide_days: int = 1,
-                   ts_col: str = "ts", key: str = "district",
-                   flag_col: str = "monitored_by_fbi") -> DataFrame:
-    """(start, end, <key>, count, count_monitored_by_fbi) for every non-empty
-    sliding window."""
+def pane_seconds(period_days: int, slide_days: int) -> int:
+    return math.gcd(period_days * DAY, slide_days * DAY)
+
+
+def pane_start(ts: Column, period_days: int = 30, slide_days: int = 1) -> Column:
+    t = F.unix_seconds(ts)
+    return t - F.pmod(t, F.lit(pane_seconds(period_days, slide_days)))
+
+
+def windows_from_panes(panes: DataFrame, period_days: int = 30, slide_days: int = 1,
+                       key: str = "district") -> DataFrame:
+    """Pane rows (key, _pane, _n, _m) -> one row per non-empty window."""
     size, slide = period_days * DAY, slide_days * DAY
-    pane = math.gcd(size, slide)
     per_window = math.ceil(size / slide)
-    t = F.unix_seconds(F.col(ts_col))
-    panes = (enriched
-             .groupBy(F.col(key), (t - F.pmod(t, F.lit(pane))).alias("_pane"))
-             .agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(flag_col)).alias("_m")))
     last_start = F.col("_pane") - F.pmod(F.col("_pane"), F.lit(slide))
     expanded = (panes
                 .select(key, "_pane", "_n", "_m",
@@ -51,6 +53,17 @@ def sliding_counts(enriched: DataFrame, period_days: int = 30, slide_days: int =
     )
 
 
+def sliding_counts(enriched: DataFrame, period_days: int = 30, slide_days: int = 1,
+                   ts_col: str = "ts", key: str = "district",
+                   flag_col: str = "monitored_by_fbi") -> DataFrame:
+    """(start, end, <key>, count, count_monitored_by_fbi) for every non-empty
+    sliding window."""
+    panes = (enriched
+             .groupBy(F.col(key), pane_start(F.col(ts_col), period_days, slide_days).alias("_pane"))
+             .agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(flag_col)).alias("_m")))
+    return windows_from_panes(panes, period_days, slide_days, key)
+
+
 def anomaly_results(windows: DataFrame) -> DataFrame:
     """A4: window bounds + counters + percentage."""
     return windows.select(

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from blotter.config import PipelineConfig
 from blotter.functions.parse import parse_records, with_event_time
-from blotter.operators.anomaly import alert_messages, alerts, anomaly_results, sliding_counts
+from blotter.operators.anomaly import (alert_messages, alerts, anomaly_results, pane_start,
+                                      sliding_counts, windows_from_panes)
 from blotter.operators.enrich import enrich
-from blotter.operators.monthly import closed_months, month_image, month_start_of, watermark_of
+from blotter.operators.monthly import (closed_months, counter_aggs, month_image, month_start_of,
+                                      watermark_of)
+from blotter.schema import COUNTERS
+from blotter.session import checkpoint_root
 from blotter.operators.running import running_counts
 
 
@@ -52,3 +56,62 @@ def anomaly_alerts(enriched: DataFrame, cfg: PipelineConfig = PipelineConfig(),
 
 def anomaly_alert_messages(enriched: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     return alert_messages(anomaly_alerts(enriched, cfg))
+
+
+def image_and_alerts(enriched: DataFrame, cfg: PipelineConfig = PipelineConfig(),
+                     ts_col: str = "ts", closed_only: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Q1 + Q3 over one read of the input.
+
+    One aggregation with two grouping sets - (district, category, month) for
+    the image and (district, pane) for the sliding windows - plus max(ts) for
+    the final watermark: the incidents are scanned, parsed and joined once,
+    and combined map-side before a single shuffle.  The aggregate is bounded
+    by the key domain (districts x categories x months + districts x panes),
+    so it is checkpointed to the shared folder and both outputs read it.
+    Returns (month image - complete months only unless ``closed_only`` is
+    False -, alert rows)."""
+    ts = F.col(ts_col)
+    keyed = enriched.select(
+        "district", "primary_description", "arrest", "domestic", "monitored_by_fbi", ts.alias("_ts"),
+        month_start_of(ts).alias("month_start"),
+        pane_start(ts, cfg.anomaly_period_days, cfg.anomaly_slide_days).alias("_pane"))
+    agg = (keyed.groupingSets([["district", "primary_description", "month_start"], ["district", "_pane"]],
+                              "district", "primary_description", "month_start", "_pane")
+           .agg(*counter_aggs(), F.max("_ts").alias("_max_ts"), F.grouping_id().alias("_gid")))
+    checkpoint_root(enriched.sparkSession)
+    agg = agg.checkpoint(eager=True)
+    watermark = agg.select(F.max("_max_ts") - F.expr(f"INTERVAL {cfg.watermark_seconds} SECONDS")).scalar()
+    # grouping_id bit is 1 for a column absent from the set (order: district, pd, month_start, _pane)
+    image = (agg.where(F.col("_gid") == 1)
+             .select("district", F.month("month_start").alias("month"), "primary_description", *COUNTERS,
+                     "month_start", (F.col("month_start") + F.expr("INTERVAL 1 MONTH")).alias("month_end")))
+    panes = agg.where(F.col("_gid") == 6).select(
+        "district", "_pane", F.col("count").alias("_n"), F.col("count_monitored_by_fbi").alias("_m"))
+    res = anomaly_results(windows_from_panes(panes, cfg.anomaly_period_days, cfg.anomaly_slide_days))
+    if closed_only:
+        image = closed_months(image, watermark)
+    return image, alerts(res, cfg.anomaly_threshold, watermark)
+
+
+def run_batch_job(spark, cfg: PipelineConfig, input_path: str, serving_path: str,
+                  alert_path: str | None = None, alert_kafka: dict | None = None,
+                  rejects_path: str | None = None) -> None:
+    """The job over files at rest: serving table + alert log from one read.
+
+    Mode C upserts complete months.  Mode A emits a row per incident; after a
+    batch run only each key's last emission is visible in the table, which is
+    the month's full count, so the unfiltered image is upserted."""
+    from blotter.sinks.alerts import write_alert_log
+    from blotter.sinks.serving import upsert_serving
+    from blotter.sources.codes import read_code_table
+    from blotter.sources.records import directory_lines, keyed_lines
+
+    codes = read_code_table(spark, cfg.lookup_path, cfg.lookup_parse)
+    enriched, rejects = enriched_incidents(keyed_lines(directory_lines(spark, input_path)), codes, cfg)
+    image, alert_rows = image_and_alerts(enriched, cfg, closed_only=not cfg.emit_every_row)
+    if cfg.keep_year:
+        image = image.withColumn("year", F.year("month_start"))
+    upsert_serving(image, serving_path, "month_end", cfg.keep_year)
+    write_alert_log(alert_messages(alert_rows), alert_path, alert_kafka)
+    if rejects_path:
+        rejects.write.mode("append").parquet(rejects_path)

@@ -161,6 +161,8 @@ SELECT * FROM serving WHERE district = 7 AND month >= 6""",
         "sliding_counts": f"{BASE},\n{WINDOWS}\nSELECT * FROM windows",
         "anomaly_alerts": f"{BASE},\n{WINDOWS},\n{RESULTS},\n{ALERTS}\nSELECT * FROM alerts",
         "anomaly_messages": f"{BASE},\n{WINDOWS},\n{RESULTS},\n{ALERTS}\n{MESSAGES}",
+        "job_month_image": f"{BASE},\n{IMAGE},\n{CLOSED}\nSELECT * FROM closed",
+        "job_alert_messages": f"{BASE},\n{WINDOWS},\n{RESULTS},\n{ALERTS}\n{MESSAGES}",
         "alert_log_roundtrip": f"{BASE},\n{WINDOWS},\n{RESULTS},\n{ALERTS}\n{MESSAGES}",
         "anomaly_all_windows": f"""{BASE},\n{WINDOWS},\n{RESULTS}
 SELECT * FROM results WHERE percentage_monitored_by_fbi > 50.0""",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from blotter.config import PipelineConfig
 from blotter.functions.parse import parse_records, with_event_time
-from blotter.operators.anomaly import anomaly_results, sliding_counts
+from blotter.operators.anomaly import alert_messages, anomaly_results, sliding_counts
 from blotter.operators.enrich import enrich
 from blotter.operators.running import running_counts
 from blotter.plans import batch
@@ -164,6 +164,18 @@ def q_anomaly_messages(spark, sf_dir):
     return batch.anomaly_alert_messages(_enriched_lineitem(spark, sf_dir), CFG)
 
 
+def q_job_month_image(spark, sf_dir):
+    """Batch job, image output (one read of the input for image + alerts)."""
+    image, _ = batch.image_and_alerts(_enriched_lineitem(spark, sf_dir), CFG)
+    return plain_timestamps(image)
+
+
+def q_job_alert_messages(spark, sf_dir):
+    """Batch job, alert output (same single-pass aggregate)."""
+    _, alert_rows = batch.image_and_alerts(_enriched_lineitem(spark, sf_dir), CFG)
+    return alert_messages(alert_rows)
+
+
 def q_alert_log_roundtrip(spark, sf_dir):
     """K2 then S7: alert lines written to the log folder and read back."""
     path = scratch_path(spark, "alert-log")

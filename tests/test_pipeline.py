@@ -32,3 +32,22 @@ def test_kafka_option_builders():
     assert src["kafka.group.id"] == "g1" and src["maxOffsetsPerTrigger"] == "1000"
     assert kafka_sink_options("anomalies", "broker:9092") == {
         "topic": "anomalies", "kafka.bootstrap.servers": "broker:9092", "kafka.acks": "all"}
+
+
+@pytest.mark.parametrize("mode,months", [("C", {1, 2, 3}), ("A", {1, 2, 3, 4})])
+def test_batch_job_same_outputs(spark, incident_dir, code_file, tmp_dir, mode, months):
+    from blotter.plans.batch import run_batch_job
+    cfg = PipelineConfig(mode=mode, lookup_path=code_file)
+    run_batch_job(spark, cfg, incident_dir, f"{tmp_dir}/serving", f"{tmp_dir}/alerts")
+    image = {r.month: (r["count"], r.count_arrest, r.count_domestic, r.count_monitored_by_fbi)
+             for r in read_serving(spark, f"{tmp_dir}/serving").collect()}
+    assert image == {m: FX.MONTHLY[m] for m in months}
+    texts = [r.value for r in read_alert_log(spark, f"{tmp_dir}/alerts").collect()]
+    assert len(texts) == 28 and FX.FIRST_ALERT in texts
+
+
+def test_cli_batch(spark, incident_dir, code_file, tmp_dir):
+    from blotter.__main__ import main
+    assert main(["--iucr-input-file", code_file, "--input-dir", incident_dir, "--batch",
+                 "--serving-path", f"{tmp_dir}/serving", "--alert-path", f"{tmp_dir}/alerts"]) == 0
+    assert read_serving(spark, f"{tmp_dir}/serving").count() == 3
