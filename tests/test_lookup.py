@@ -81,3 +81,35 @@ def test_broadcast_check_is_bounded(spark):
 def test_trailing_empty_index_field_is_short(spark):
     with pytest.raises(ValueError, match="short|duplicate"):
         code_table_from_lines(_lines(spark, ["110,HOMICIDE,X,"]))
+
+
+def test_hot_code_split_by_aqe_on_shuffle_path(spark):
+    """A third of all incidents share one code; beyond the broadcast bound the
+    left join's hot partition is split at run time (AQE skew join)."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        inc = spark.range(60000).select(
+            "id", F.when(F.col("id") % 3 == 0, F.lit("0110"))
+            .otherwise((F.col("id") % 500).cast("string")).alias("iucr_code"))
+        codes = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("code"),
+                                         F.lit("X").alias("primary_description"),
+                                         (F.col("id") % 2 == 0).alias("monitored_by_fbi"))
+        out = enrich(inc, codes, broadcast=False)
+        rows = out.collect()
+        assert len(rows) == 60000
+        assert sum(r.primary_description == "X" for r in rows) == 20000   # only "0110" matches
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
