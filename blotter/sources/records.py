@@ -61,7 +61,14 @@ def kafka_source_options(topic: str, bootstrap_servers: str, group_id: str | Non
 def kafka_records(spark: SparkSession, options: dict, streaming: bool = True) -> DataFrame:
     """Kafka topic as (key, value, arrival=(partition, offset))."""
     reader = (spark.readStream if streaming else spark.read).format("kafka").options(**options)
-    return reader.load().select(
+    try:
+        df = reader.load()
+    except Exception as e:
+        if "kafka" in str(e).lower() and "data source" in str(e).lower():
+            raise RuntimeError("the Kafka connector (spark-sql-kafka-0-10) is not on the classpath; "
+                               "use the directory source or add the connector package") from e
+        raise
+    return df.select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
         F.struct("partition", "offset").alias("arrival"))
 

@@ -51,3 +51,12 @@ def test_cli_batch(spark, incident_dir, code_file, tmp_dir):
     assert main(["--iucr-input-file", code_file, "--input-dir", incident_dir, "--batch",
                  "--serving-path", f"{tmp_dir}/serving", "--alert-path", f"{tmp_dir}/alerts"]) == 0
     assert read_serving(spark, f"{tmp_dir}/serving").count() == 3
+
+
+def test_kafka_source_without_connector_is_explicit(spark):
+    from blotter.sources.records import kafka_records
+    try:
+        kafka_records(spark, kafka_source_options("t", "localhost:1"), streaming=True)
+    except RuntimeError as e:
+        assert "connector" in str(e)
+    # with the connector present the reader is lazy and nothing is raised here

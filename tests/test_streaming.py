@@ -26,9 +26,14 @@ def _events(spark, src_dir, code_file, files_per_trigger=1):
     return enrich(ev, read_code_table(spark, code_file))
 
 
-def test_directory_lines_keep_raw_text(spark, incident_dir):
+def test_directory_lines_keep_raw_text(spark, incident_dir, tmp_dir):
     vals = [r.value for r in directory_lines(spark, incident_dir).collect()]
     assert sorted(vals) == sorted(FX.FILE_1 + FX.FILE_2)
+    odd = ['20,2023-05-01T00:00:00.000Z,0110,True,False,"",1.0,1.0,1.0',
+           "21,2023-05-01T00:00:00.000Z,0110,True,False,,1.0,1.0,1.0",
+           '22,"a, b",x,,,, ,']
+    _write(f"{tmp_dir}/odd.csv", [FX.HEADER] + odd)
+    assert sorted(r.value for r in directory_lines(spark, f"{tmp_dir}/odd.csv").collect()) == sorted(odd)
 
 
 def test_month_stream_closed_months(spark, incident_dir, code_file, tmp_dir):
