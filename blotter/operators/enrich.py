@@ -27,15 +27,21 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = 1_000_000,
     return (F.broadcast(df) if ok else df), ok
 
 
-def enrich(incidents: DataFrame, codes: DataFrame, code_col: str = "iucr_code",
+def enrich(incidents: DataFrame, codes, code_col: str = "iucr_code",
            broadcast: bool | None = None, max_rows: int = 1_000_000,
            max_bytes: int = 64 * 1024 * 1024, salt_buckets: int = 0) -> DataFrame:
     """Add ``primary_description`` ('' when unmatched) and ``monitored_by_fbi``
     (false when unmatched) to every incident (P10).
 
+    ``codes`` is a DataFrame or a measured ``CodeTable`` (then its measured
+    size decides, without another job).
     ``broadcast``: None = decide by the bounded size check, True/False = force.
     ``salt_buckets`` > 1 salts the shuffle join (non-broadcast path only).
     """
+    if hasattr(codes, "broadcastable"):
+        if broadcast is None:
+            broadcast = codes.broadcastable(max_rows, max_bytes)
+        codes = codes.df
     right = codes.select(F.col("code").alias("_lk_code"), *LOOKUP_COLUMNS)
     if broadcast is None:
         right, broadcast = broadcast_if_bounded(right, max_rows, max_bytes)

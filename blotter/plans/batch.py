@@ -103,10 +103,10 @@ def run_batch_job(spark, cfg: PipelineConfig, input_path: str, serving_path: str
     the month's full count, so the unfiltered image is upserted."""
     from blotter.sinks.alerts import write_alert_log
     from blotter.sinks.serving import upsert_serving
-    from blotter.sources.codes import read_code_table
+    from blotter.sources.codes import load_code_table
     from blotter.sources.records import directory_lines, keyed_lines
 
-    codes = read_code_table(spark, cfg.lookup_path, cfg.lookup_parse)
+    codes = load_code_table(spark, cfg.lookup_path, cfg.lookup_parse)
     enriched, rejects = enriched_incidents(keyed_lines(directory_lines(spark, input_path)), codes, cfg)
     image, alert_rows = image_and_alerts(enriched, cfg, closed_only=not cfg.emit_every_row)
     if cfg.keep_year:

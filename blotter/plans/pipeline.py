@@ -22,7 +22,7 @@ from blotter.operators.enrich import enrich
 from blotter.session import checkpoint_root, ensure_utc
 from blotter.sinks.alerts import alert_stream_writer
 from blotter.sinks.serving import serving_batch_writer
-from blotter.sources.codes import read_code_table
+from blotter.sources.codes import load_code_table
 from blotter.sources.records import incident_records
 from blotter.streaming.stateful import month_image_per_row
 from blotter.streaming.windows import month_image_stream, sliding_counts_stream, with_watermark
@@ -39,7 +39,7 @@ class Outputs:
 def enriched_stream(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
     """Q4 on a stream: records -> typed -> watermark -> enriched (+ rejects)."""
     ensure_utc(spark)
-    codes = read_code_table(spark, cfg.lookup_path, cfg.lookup_parse)
+    codes = load_code_table(spark, cfg.lookup_path, cfg.lookup_parse)
     records = incident_records(spark, cfg.source, streaming=True)
     keep = ("arrival",) if "arrival" in records.columns else ()
     incidents, rejects = parse_records(records, cfg.on_error, keep_columns=keep)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.parse import DATE_PATTERN
-from blotter.sources.codes import code_table_from_lines
+from blotter.sources.codes import CodeTable, verified_code_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,8 +96,9 @@ def part_code_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header.unionByName(body)
 
 
-def part_codes(spark: SparkSession, sf_dir: str, check_unique: bool = True) -> DataFrame:
-    return code_table_from_lines(part_code_lines(spark, sf_dir), "positional", check_unique)
+def part_codes(spark: SparkSession, sf_dir: str) -> CodeTable:
+    """The verified, measured stand-in code table (one job)."""
+    return verified_code_table(part_code_lines(spark, sf_dir), "positional")
 
 
 def orders_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
