@@ -12,7 +12,7 @@ import argparse
 import sys
 
 from blotter.config import PipelineConfig
-from blotter.plans.pipeline import Outputs, run_to_end, start_pipeline
+from blotter.plans.job import Outputs, run_to_end, start_job
 from blotter.sinks.alerts import kafka_sink_options
 from blotter.sources.records import kafka_source_options
 
@@ -44,7 +44,7 @@ def main(argv: list[str]) -> int:
         ensure_utc(spark)
         run_batch_job(spark, cfg, a.input_dir, a.serving_path, a.alert_path, alert_kafka, a.rejects_path)
         return 0
-    qs = start_pipeline(spark, cfg, Outputs(a.serving_path, a.alert_path, alert_kafka, a.rejects_path),
+    qs = start_job(spark, cfg, Outputs(a.serving_path, a.alert_path, alert_kafka, a.rejects_path),
                         {"availableNow": True} if a.available_now else None)
     run_to_end(qs)
     return 0

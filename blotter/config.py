@@ -42,7 +42,9 @@ class PipelineConfig:
 
     @classmethod
     def from_args(cls, argv: list[str]) -> "PipelineConfig":
-        """Parse the reference-style ``--flag value`` options; later flags win."""
+        """Parse the job's ``--flag value`` options; later flags win."""
+        # The job's option names, kept as they are so existing
+        # invocations keep working.
         p = argparse.ArgumentParser(add_help=False)
         p.add_argument("--crimes-input-topic")
         p.add_argument("--iucr-input-file")

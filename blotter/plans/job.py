@@ -67,7 +67,7 @@ def alert_lines(enriched: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return alert_messages(alerts(res, cfg.anomaly_threshold))
 
 
-def start_pipeline(spark: SparkSession, cfg: PipelineConfig, out: Outputs,
+def start_job(spark: SparkSession, cfg: PipelineConfig, out: Outputs,
                    trigger: dict | None = None) -> list[StreamingQuery]:
     """Start the job; ``trigger`` e.g. {"processingTime": "30 seconds"} (the
     reference checkpoints every 30 s) or {"availableNow": True}."""

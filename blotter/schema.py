@@ -26,7 +26,7 @@ CODE = T.StructType([
     T.StructField("monitored_by_fbi", T.BooleanType()),
 ])
 
-# serving table crime_aggregate, key (district, month, primary_description)
+# serving table, key (district, month, primary_description)
 SERVING = T.StructType([
     T.StructField("district", T.IntegerType()),
     T.StructField("month", T.IntegerType()),

@@ -1,4 +1,4 @@
-"""K1 / K3 / K4: the serving table ``crime_aggregate``.
+"""K1 / K3 / K4: the serving table.
 
 Parquet, partitioned by ``district`` (the table's partition key), one row per
 (district, month, primary_description).  An upsert reduces the incoming rows

@@ -32,10 +32,10 @@ def _write(path, lines, mtime=None):
 @pytest.fixture()
 def incident_dir(tmp_dir):
     """The two sample files, file 1 older than file 2."""
-    d = os.path.join(tmp_dir, "crimes")
+    d = os.path.join(tmp_dir, "incidents")
     os.makedirs(d)
-    _write(os.path.join(d, "crimes-0001.csv"), [FX.HEADER] + FX.FILE_1, 1_700_000_000)
-    _write(os.path.join(d, "crimes-0002.csv"), [FX.HEADER] + FX.FILE_2, 1_700_000_100)
+    _write(os.path.join(d, "part-0001.csv"), [FX.HEADER] + FX.FILE_1, 1_700_000_000)
+    _write(os.path.join(d, "part-0002.csv"), [FX.HEADER] + FX.FILE_2, 1_700_000_100)
     return d
 
 

@@ -3,7 +3,7 @@
 import pytest
 
 from blotter.config import PipelineConfig
-from blotter.plans.pipeline import Outputs, run_to_end, start_pipeline
+from blotter.plans.job import Outputs, run_to_end, start_job
 from blotter.sinks.alerts import kafka_sink_options
 from blotter.sources.read_models import read_alert_log, read_serving
 from blotter.sources.records import kafka_source_options
@@ -17,7 +17,7 @@ def test_job_end_to_end(spark, incident_dir, code_file, tmp_dir, mode, months):
                          source={"kind": "directory", "path": incident_dir, "files_per_trigger": 1})
     out = Outputs(serving_path=f"{tmp_dir}/serving", alert_path=f"{tmp_dir}/alerts",
                   rejects_path=f"{tmp_dir}/rejects")
-    run_to_end(start_pipeline(spark, cfg, out, {"availableNow": True}))
+    run_to_end(start_job(spark, cfg, out, {"availableNow": True}))
     image = {r.month: (r["count"], r.count_arrest, r.count_domestic, r.count_monitored_by_fbi)
              for r in read_serving(spark, out.serving_path).collect()}
     assert image == {m: FX.MONTHLY[m] for m in months}      # mode A also shows the open April
@@ -27,8 +27,8 @@ def test_job_end_to_end(spark, incident_dir, code_file, tmp_dir, mode, months):
 
 
 def test_kafka_option_builders():
-    src = kafka_source_options("crimes-input", "broker:9092", "g1", max_offsets_per_trigger=1000)
-    assert src["subscribe"] == "crimes-input" and src["startingOffsets"] == "earliest"
+    src = kafka_source_options("incidents", "broker:9092", "g1", max_offsets_per_trigger=1000)
+    assert src["subscribe"] == "incidents" and src["startingOffsets"] == "earliest"
     assert src["kafka.group.id"] == "g1" and src["maxOffsetsPerTrigger"] == "1000"
     assert kafka_sink_options("anomalies", "broker:9092") == {
         "topic": "anomalies", "kafka.bootstrap.servers": "broker:9092", "kafka.acks": "all"}
