@@ -19,7 +19,7 @@ from blotter.config import PipelineConfig
 from blotter.functions.parse import parse_records, with_event_time
 from blotter.operators.anomaly import alert_messages, alerts, anomaly_results
 from blotter.operators.enrich import enrich
-from blotter.session import checkpoint_root, ensure_utc
+from blotter.session import checkpoint_root, configure_streaming_state, ensure_utc
 from blotter.sinks.alerts import alert_stream_writer
 from blotter.sinks.serving import serving_batch_writer
 from blotter.sources.codes import load_code_table
@@ -39,7 +39,10 @@ class Outputs:
 def enriched_stream(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
     """Q4 on a stream: records -> typed -> watermark -> enriched (+ rejects)."""
     ensure_utc(spark)
+    configure_streaming_state(spark)
     codes = load_code_table(spark, cfg.lookup_path, cfg.lookup_parse)
+    if codes.broadcastable(cfg.broadcast_max_rows, cfg.broadcast_max_bytes):
+        codes.df = codes.df.persist()   # loaded once, not re-read every micro-batch
     records = incident_records(spark, cfg.source, streaming=True)
     keep = ("arrival",) if "arrival" in records.columns else ()
     incidents, rejects = parse_records(records, cfg.on_error, keep_columns=keep)

@@ -69,6 +69,20 @@ def apply_scale_settings(spark: SparkSession, input_bytes: int, **kw) -> dict[st
     return conf
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def configure_streaming_state(spark: SparkSession) -> None:
+    """State of the job's stateful operators in RocksDB (off-heap, sized by
+    open windows, not by executor heap) with changelog checkpointing
+    (incremental uploads), unless the session already chose a provider.
+    Applies to queries started afterwards; a checkpoint keeps its provider."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, "").endswith("HDFSBackedStateStoreProvider") or not spark.conf.get(key, ""):
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def ensure_utc(spark: SparkSession) -> SparkSession:
     """Incident dates are local date-times read as UTC; pin the session zone."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from blotter.session import configure_streaming_state
+
 STATE_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in
                              ("count", "count_arrest", "count_domestic", "count_monitored_by_fbi")])
 OUTPUT_SCHEMA = T.StructType([
@@ -90,9 +92,7 @@ def month_image_per_row(enriched: DataFrame, ts_col: str = "ts",
     """Mode A stream: ``enriched`` must already carry a watermark on ``ts_col``.
     ``arrival_col`` (a long, e.g. the Kafka offset) orders rows inside a
     batch; the event time is used when none is given."""
-    spark = enriched.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    configure_streaming_state(enriched.sparkSession)   # this operator needs RocksDB state
     ms = F.date_trunc("month", F.col(ts_col))
     arrival = (F.col(arrival_col).cast("bigint") if arrival_col
                else F.unix_millis(F.col(ts_col)))
