@@ -92,14 +92,24 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session does not name one (local tests) a private temporary
-    folder is created and registered, never overriding a cluster setting.
+    When the session names none, a private temporary folder is used only for
+    a local master (tests, local runs); on a cluster that would be a
+    machine-local path, so it is an error instead.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: the server owns checkpoints
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(streaming checkpoints and lineage cuts are written there)")
         d = tempfile.mkdtemp(prefix="blotter-chk-")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
