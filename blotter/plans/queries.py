@@ -123,7 +123,8 @@ def q_running_hot_keys(spark, sf_dir):
 
 def _upserted_serving(spark, sf_dir) -> str:
     """Closed month windows upserted in two rounds (emission order = window end)."""
-    image = batch.monthly_image(_enriched_lineitem(spark, sf_dir), CFG, closed_only=True)
+    # the image is bounded by the key domain: materialise it once for both rounds
+    image = batch.monthly_image(_enriched_lineitem(spark, sf_dir), CFG, closed_only=True).checkpoint()
     path = scratch_path(spark, "serving")
     cut = F.lit("1998-07-01 00:00:00").cast("timestamp")
     upsert_serving(image.where(F.col("month_start") < cut), path, "month_end")
