@@ -96,3 +96,12 @@ def write_line_files(lines: DataFrame, path: str, mode: str = "append") -> None:
      .option("header", "true").option("sep", "\x01").option("quote", "")
      .option("escapeQuotes", "false").option("quoteAll", "false")
      .csv(path))
+
+
+def publish_lines(lines: DataFrame, kafka_options: dict | None = None, path: str | None = None) -> None:
+    """S3: publish text lines keyed by their first field - to a Kafka topic
+    (``kafka_sink_options``) or, as the file twin, to a line folder."""
+    if kafka_options is not None:
+        keyed_lines(lines).write.format("kafka").options(**kafka_options).save()
+    else:
+        write_line_files(lines, path)

@@ -108,3 +108,13 @@ def test_order_independence_within_watermark(spark, code_file, tmp_dir):
     run_available_now(anomaly_results(sliding_counts_stream(_events(spark, src, code_file), 30, 1)),
                       f"{tmp_dir}/chk", out)
     assert spark.read.parquet(out).count() == 96
+
+
+def test_publish_lines_file_twin_round_trip(spark, tmp_dir):
+    from blotter.sources.records import publish_lines
+    lines = spark.createDataFrame([(v,) for v in FX.FILE_1], "value string")
+    publish_lines(lines, path=f"{tmp_dir}/topic")
+    back = sorted(r.value for r in directory_lines(spark, f"{tmp_dir}/topic").collect())
+    assert back == sorted(FX.FILE_1)
+    keys = sorted(int(r.key) for r in keyed_lines(directory_lines(spark, f"{tmp_dir}/topic")).collect())
+    assert keys == list(range(1, 8))
