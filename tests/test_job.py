@@ -83,3 +83,13 @@ def test_job_resumes_from_its_checkpoints(spark, code_file, tmp_dir):
     assert image == {m: FX.MONTHLY[m] for m in (1, 2, 3)}
     texts = [r.value for r in read_alert_log(spark, out.alert_path).collect()]
     assert len(texts) == 28 and len(set(texts)) == 28 and FX.FIRST_ALERT in texts
+
+
+def test_cli_stream_available_now(spark, incident_dir, code_file, tmp_dir):
+    from blotter.__main__ import main
+    assert main(["--iucr-input-file", code_file, "--input-dir", incident_dir, "--available-now",
+                 "--flink-delay", "A", "--flink-anomaly-threshold", "110",
+                 "--flink-checkpoint-dir", f"{tmp_dir}/chk",
+                 "--serving-path", f"{tmp_dir}/serving", "--alert-path", f"{tmp_dir}/alerts"]) == 0
+    assert {r.month for r in read_serving(spark, f"{tmp_dir}/serving").collect()} == {1, 2, 3, 4}
+    assert read_alert_log(spark, f"{tmp_dir}/alerts").count() == 0       # threshold 110: none
