@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 def run_available_now(df: DataFrame, checkpoint: str, path: str | None = None,
                       fmt: str = "parquet", output_mode: str = "append",
-                      foreach_batch: Callable | None = None, timeout_s: float | None = None) -> None:
+                      foreach_batch: Callable | None = None, timeout_s: float | None = None):
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
@@ -21,3 +21,4 @@ def run_available_now(df: DataFrame, checkpoint: str, path: str | None = None,
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
+    return q

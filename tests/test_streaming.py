@@ -74,9 +74,11 @@ def test_late_rows_and_resume(spark, code_file, tmp_dir):
     _write(f"{src}/b.csv", [FX.HEADER, row.format(i=3, d="2023-01-30T00:00:00.000Z"),
                             row.format(i=4, d="2023-02-02T00:00:00.000Z"),
                             row.format(i=5, d="2023-03-05T00:00:00.000Z")], 1_700_000_100)
-    run_available_now(img, chk, out)                       # same checkpoint: resumes
+    q = run_available_now(img, chk, out)                   # same checkpoint: resumes
     got = sorted((r.month, r["count"]) for r in spark.read.parquet(out).collect())
     assert got == [(1, 1), (2, 2)]
+    from blotter.streaming.metrics import late_rows_dropped
+    assert late_rows_dropped(q) == 1                       # the January row
 
 
 def test_mode_a_stream_one_row_per_incident(spark, incident_dir, code_file, tmp_dir):
