@@ -112,11 +112,11 @@ def parse_records(records: DataFrame, on_error: str = "reject",
            | F.col("district").isNull())
     out_cols = [*keep_columns, "id", "date", "iucr_code", "arrest", "domestic", "district"]
     if on_error == "fail":
-        checked = typed.select(
-            *[c for c in out_cols if c != "id"],
-            F.when(bad, F.raise_error(F.concat(F.lit("malformed incident record: "),
-                                               F.coalesce(F.col("_value"), F.lit("<null>")))))
-            .otherwise(F.col("id")).cast("bigint").alias("id"))
+        # a filter predicate is always evaluated (a checked output column could
+        # be pruned away when a consumer does not read it)
+        fail = F.raise_error(F.concat(F.lit("malformed incident record: "),
+                                      F.coalesce(F.col("_value"), F.lit("<null>"))))
+        checked = typed.where(F.when(bad, fail).otherwise(F.lit(True)))
         none = typed.where(F.lit(False)).select(
             F.col("_key").alias("key"), F.col("_value").alias("value"),
             F.lit(None).cast("string").alias("reason"))

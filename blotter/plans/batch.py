@@ -112,6 +112,7 @@ def run_batch_job(spark, cfg: PipelineConfig, input_path: str, serving_path: str
     if cfg.keep_year:
         image = image.withColumn("year", F.year("month_start"))
     upsert_serving(image, serving_path, "month_end", cfg.keep_year)
-    write_alert_log(alert_messages(alert_rows), alert_path, alert_kafka)
+    if alert_path or alert_kafka:
+        write_alert_log(alert_messages(alert_rows), alert_path, alert_kafka)
     if rejects_path:
         rejects.write.mode("append").parquet(rejects_path)

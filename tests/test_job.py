@@ -93,3 +93,17 @@ def test_cli_stream_available_now(spark, incident_dir, code_file, tmp_dir):
                  "--serving-path", f"{tmp_dir}/serving", "--alert-path", f"{tmp_dir}/alerts"]) == 0
     assert {r.month for r in read_serving(spark, f"{tmp_dir}/serving").collect()} == {1, 2, 3, 4}
     assert read_alert_log(spark, f"{tmp_dir}/alerts").count() == 0       # threshold 110: none
+
+
+def test_batch_job_csv_lookup_and_fail_mode(spark, incident_dir, code_file, tmp_dir):
+    from blotter.plans.batch import run_batch_job
+    from tests.conftest import _write
+    cfg = PipelineConfig(mode="C", lookup_path=code_file, lookup_parse="csv")
+    run_batch_job(spark, cfg, incident_dir, f"{tmp_dir}/serving", f"{tmp_dir}/alerts")
+    assert read_serving(spark, f"{tmp_dir}/serving").count() == 3
+    _write(f"{incident_dir}/part-0003.csv", [FX.HEADER, "99,not-a-date,0110,True,False,1.0,1,1,1"],
+           1_700_000_200)
+    with pytest.raises(Exception, match="malformed incident record"):
+        run_batch_job(spark, cfg.with_(on_error="fail"), incident_dir, f"{tmp_dir}/serving2")
+    run_batch_job(spark, cfg, incident_dir, f"{tmp_dir}/serving3", rejects_path=f"{tmp_dir}/rej")
+    assert [r.key for r in spark.read.parquet(f"{tmp_dir}/rej").collect()] == ["99"]

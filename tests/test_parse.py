@@ -73,3 +73,9 @@ def test_millis_kept_in_date_dropped_in_event_time(spark):
     r = with_event_time(good).first()
     assert r.date == dt.datetime(2023, 1, 31, 23, 59, 59, 999000)
     assert r.ts == dt.datetime(2023, 1, 31, 23, 59, 59)
+
+
+def test_on_error_fail_raises_even_when_id_is_not_read(spark):
+    good, _ = parse_records(records_df(spark, ["21,2023-05-01T00:00:00.000Z,0110,true,false,,1,1,1"]), "fail")
+    with pytest.raises(Exception, match="malformed incident record"):
+        good.groupBy("district").count().collect()
