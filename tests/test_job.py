@@ -107,3 +107,12 @@ def test_batch_job_csv_lookup_and_fail_mode(spark, incident_dir, code_file, tmp_
         run_batch_job(spark, cfg.with_(on_error="fail"), incident_dir, f"{tmp_dir}/serving2")
     run_batch_job(spark, cfg, incident_dir, f"{tmp_dir}/serving3", rejects_path=f"{tmp_dir}/rej")
     assert [r.key for r in spark.read.parquet(f"{tmp_dir}/rej").collect()] == ["99"]
+
+
+def test_job_keep_year(spark, incident_dir, code_file, tmp_dir):
+    cfg = PipelineConfig(mode="C", keep_year=True, lookup_path=code_file, checkpoint_dir=f"{tmp_dir}/chk",
+                         source={"kind": "directory", "path": incident_dir, "files_per_trigger": 1})
+    out = Outputs(serving_path=f"{tmp_dir}/serving", alert_path=f"{tmp_dir}/alerts")
+    run_to_end(start_job(spark, cfg, out, {"availableNow": True}))
+    got = sorted((r.year, r.month, r["count"]) for r in spark.read.parquet(out.serving_path).collect())
+    assert got == [(2023, 1, 4), (2023, 2, 1), (2023, 3, 2)]
