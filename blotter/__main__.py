@@ -29,10 +29,14 @@ def main(argv: list[str]) -> int:
     a, _ = p.parse_known_args(argv)
     if a.input_dir:
         source = {"kind": "directory", "path": a.input_dir, "files_per_trigger": 1}
+    elif not (cfg.source.get("topic") and cfg.source.get("bootstrap_servers")):
+        p.error("give --input-dir, or --crimes-input-topic with --bootstrap-servers")
     else:
         source = {"kind": "kafka", **kafka_source_options(cfg.source["topic"], cfg.source["bootstrap_servers"],
                                                           cfg.source.get("group_id"))}
     alert_kafka = None
+    if not cfg.lookup_path:
+        p.error("--iucr-input-file is required")
     if not a.alert_path and cfg.sinks.get("alert_topic"):
         alert_kafka = kafka_sink_options(cfg.sinks["alert_topic"], cfg.sinks["bootstrap_servers"])
     cfg = cfg.with_(source=source)

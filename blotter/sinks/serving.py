@@ -13,6 +13,7 @@ year's row, as in the reference; ``keep_year=True`` adds ``year`` to the key.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,11 +33,15 @@ def serving_key(keep_year: bool = False) -> list[str]:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """True when the table folder exists.  Only a missing path counts as
+    absent: any other error propagates (never recreate a table over data)."""
     try:
-        spark.read.schema(SERVING).parquet(path).limit(0).collect()
+        spark.read.schema(SERVING).parquet(path)
         return True
-    except Exception:  # PATH_NOT_FOUND
-        return False
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return False
+        raise
 
 
 def create_serving_table(spark: SparkSession, path: str, keep_year: bool = False) -> str:
