@@ -22,7 +22,7 @@ from blotter.sinks.alerts import alert_stream_writer
 from blotter.sinks.serving import serving_batch_writer
 from blotter.sources.read_models import read_alert_log, read_serving
 from blotter.sources.records import directory_lines, keyed_lines, write_line_files
-from blotter.streaming.runner import run_available_now
+from blotter.streaming.runner import run_available_now, state_partitions
 from blotter.streaming.stateful import month_image_per_row
 from blotter.streaming.windows import month_image_stream, sliding_counts_stream, with_watermark
 
@@ -38,7 +38,8 @@ def q_stream_month_image_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     img = month_image_stream(_orders_events(table_stream(spark, sf_dir, "orders")))
     out = scratch_path(spark, "stream-month-c")
-    run_available_now(img, out + "-chk", out)
+    with state_partitions(spark):
+        run_available_now(img, out + "-chk", out)
     return plain_timestamps(spark.read.parquet(out).select(*IMAGE_COLS))
 
 
@@ -51,7 +52,8 @@ def q_stream_sliding_events(spark: SparkSession, sf_dir: str) -> DataFrame:
               F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("total_cents"),
               F.max("value").alias("max_value")])
     out = scratch_path(spark, "stream-sliding-events")
-    run_available_now(win, out + "-chk", out)
+    with state_partitions(spark):
+        run_available_now(win, out + "-chk", out)
     return plain_timestamps(spark.read.parquet(out))
 
 
@@ -59,7 +61,8 @@ def q_stream_month_image_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     rows = month_image_per_row(_orders_events(table_stream(spark, sf_dir, "orders")))
     out = scratch_path(spark, "stream-month-a")
-    run_available_now(rows, out + "-chk", out)
+    with state_partitions(spark):
+        run_available_now(rows, out + "-chk", out)
     return plain_timestamps(spark.read.parquet(out).select(
         "id", "district", "month", "primary_description", "month_start", *COUNTERS))
 
@@ -78,8 +81,9 @@ def q_stream_anomaly_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 CFG.anomaly_slide_days))
     msgs = alert_messages(alerts(res, CFG.anomaly_threshold))
     log = scratch_path(spark, "alert-log")
-    q = alert_stream_writer(msgs, log + "-chk", path=log).trigger(availableNow=True).start()
-    q.awaitTermination()
+    with state_partitions(spark):
+        q = alert_stream_writer(msgs, log + "-chk", path=log).trigger(availableNow=True).start()
+        q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return read_alert_log(spark, log)
@@ -93,7 +97,8 @@ def q_stream_serving_image_c(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "ts", CFG.watermark)
     img = month_image_stream(enrich(events, codes))
     table_path = scratch_path(spark, "serving")
-    run_available_now(img, table_path + "-chk", foreach_batch=serving_batch_writer(table_path, "month_end"))
+    with state_partitions(spark):
+        run_available_now(img, table_path + "-chk", foreach_batch=serving_batch_writer(table_path, "month_end"))
     return read_serving(spark, table_path)
 
 
@@ -106,7 +111,8 @@ def q_stream_serving_image_a(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "ts", CFG.watermark)
     rows = month_image_per_row(enrich(events, codes)).withColumn("_order", F.struct("month_start", "count"))
     table_path = scratch_path(spark, "serving")
-    run_available_now(rows, table_path + "-chk", foreach_batch=serving_batch_writer(table_path, "_order"))
+    with state_partitions(spark):
+        run_available_now(rows, table_path + "-chk", foreach_batch=serving_batch_writer(table_path, "_order"))
     return read_serving(spark, table_path)
 
 
@@ -139,5 +145,6 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             src = (spark.readStream.schema(orders.schema).option("recursiveFileLookup", "true")
                    .parquet(staging))
             img = month_image_stream(_orders_events(src))
-        run_available_now(img, out + "-chk", out)
+        with state_partitions(spark):
+            run_available_now(img, out + "-chk", out)
     return plain_timestamps(spark.read.parquet(out).select(*IMAGE_COLS))

@@ -5,8 +5,25 @@ resumes where the last run stopped (R2)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, per_core: int = 2):
+    """Size the state partitions of queries started inside the block to at
+    most ``per_core`` x the cluster's cores.  A stateful query keeps its
+    partition count for the life of its checkpoint, and every micro-batch
+    opens one state store per partition, so more state partitions than
+    cores only add per-batch overhead.  The session setting is restored."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(old), per_core * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
 def run_available_now(df: DataFrame, checkpoint: str, path: str | None = None,

@@ -120,3 +120,16 @@ def test_publish_lines_file_twin_round_trip(spark, tmp_dir):
     assert back == sorted(FX.FILE_1)
     keys = sorted(int(r.key) for r in keyed_lines(directory_lines(spark, f"{tmp_dir}/topic")).collect())
     assert keys == list(range(1, 8))
+
+
+def test_state_partitions_bounded_and_restored(spark):
+    from blotter.streaming.runner import state_partitions
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "500")
+    try:
+        with state_partitions(spark):
+            assert int(spark.conf.get(key)) == 2 * spark.sparkContext.defaultParallelism
+        assert spark.conf.get(key) == "500"
+    finally:
+        spark.conf.set(key, old)
