@@ -1,9 +1,10 @@
-"""Command line: ``python -m blotter [reference options] --input-dir DIR
---serving-path PATH [--alert-path PATH] [--available-now]``.
+"""Command line: ``python -m blotter --code-table FILE (--input-dir DIR |
+--input-topic T --bootstrap-servers S) --serving-path PATH [--alert-path PATH |
+--alert-topic T] [--mode A|C] [--anomaly-period DAYS] [--anomaly-threshold PCT]
+[--checkpoint-dir DIR] [--available-now | --batch]``.
 
-Reference options: --crimes-input-topic --iucr-input-file --anomaly-output-topic
---bootstrap-servers --kafka-group-id --flink-delay --flink-anomaly-period
---flink-anomaly-threshold --flink-checkpoint-dir (later flags win).
+The original job's option names are accepted as aliases (see
+``PipelineConfig.from_args``); later flags win.
 """
 
 from __future__ import annotations
@@ -30,13 +31,13 @@ def main(argv: list[str]) -> int:
     if a.input_dir:
         source = {"kind": "directory", "path": a.input_dir, "files_per_trigger": 1}
     elif not (cfg.source.get("topic") and cfg.source.get("bootstrap_servers")):
-        p.error("give --input-dir, or --crimes-input-topic with --bootstrap-servers")
+        p.error("give --input-dir, or --input-topic with --bootstrap-servers")
     else:
         source = {"kind": "kafka", **kafka_source_options(cfg.source["topic"], cfg.source["bootstrap_servers"],
                                                           cfg.source.get("group_id"))}
     alert_kafka = None
     if not cfg.lookup_path:
-        p.error("--iucr-input-file is required")
+        p.error("--code-table is required")
     if not a.alert_path and cfg.sinks.get("alert_topic"):
         alert_kafka = kafka_sink_options(cfg.sinks["alert_topic"], cfg.sinks["bootstrap_servers"])
     cfg = cfg.with_(source=source)

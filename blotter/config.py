@@ -42,29 +42,29 @@ class PipelineConfig:
 
     @classmethod
     def from_args(cls, argv: list[str]) -> "PipelineConfig":
-        """Parse the job's ``--flag value`` options; later flags win."""
-        # The job's option names, kept as they are so existing
-        # invocations keep working.
+        """Parse ``--flag value`` options; later flags win.  Each option has a
+        neutral name and the original job's name as an alias."""
         p = argparse.ArgumentParser(add_help=False)
-        p.add_argument("--crimes-input-topic")
-        p.add_argument("--iucr-input-file")
-        p.add_argument("--anomaly-output-topic")
-        p.add_argument("--bootstrap-servers")
-        p.add_argument("--kafka-group-id")
-        p.add_argument("--cassandra-host")
-        p.add_argument("--cassandra-port", type=int, default=9042)
-        p.add_argument("--flink-delay", default="C")
-        p.add_argument("--flink-anomaly-period", type=int, default=30)
-        p.add_argument("--flink-anomaly-threshold", type=float, default=60.0)
-        p.add_argument("--flink-checkpoint-dir")
+        # The original job's option names (second name of each
+        # option), accepted so existing invocations keep working.
+        p.add_argument("--input-topic", "--crimes-input-topic", dest="input_topic")
+        p.add_argument("--code-table", "--iucr-input-file", dest="code_table")
+        p.add_argument("--alert-topic", "--anomaly-output-topic", dest="alert_topic")
+        p.add_argument("--bootstrap-servers", dest="bootstrap_servers")
+        p.add_argument("--group-id", "--kafka-group-id", dest="group_id")
+        p.add_argument("--serving-host", "--cassandra-host", dest="serving_host")
+        p.add_argument("--serving-port", "--cassandra-port", dest="serving_port", type=int, default=9042)
+        p.add_argument("--mode", "--flink-delay", dest="mode", default="C")
+        p.add_argument("--anomaly-period", "--flink-anomaly-period", dest="period", type=int, default=30)
+        p.add_argument("--anomaly-threshold", "--flink-anomaly-threshold", dest="threshold",
+                       type=float, default=60.0)
+        p.add_argument("--checkpoint-dir", "--flink-checkpoint-dir", dest="checkpoint_dir")
         a, _ = p.parse_known_args(argv)
-        source = {"topic": a.crimes_input_topic, "bootstrap_servers": a.bootstrap_servers,
-                  "group_id": a.kafka_group_id}
-        sinks = {"alert_topic": a.anomaly_output_topic, "bootstrap_servers": a.bootstrap_servers,
-                 "serving_host": a.cassandra_host, "serving_port": a.cassandra_port}
-        return cls(mode=a.flink_delay, anomaly_period_days=a.flink_anomaly_period,
-                   anomaly_threshold=a.flink_anomaly_threshold, lookup_path=a.iucr_input_file,
-                   checkpoint_dir=a.flink_checkpoint_dir, source=source, sinks=sinks)
+        source = {"topic": a.input_topic, "bootstrap_servers": a.bootstrap_servers, "group_id": a.group_id}
+        sinks = {"alert_topic": a.alert_topic, "bootstrap_servers": a.bootstrap_servers,
+                 "serving_host": a.serving_host, "serving_port": a.serving_port}
+        return cls(mode=a.mode, anomaly_period_days=a.period, anomaly_threshold=a.threshold,
+                   lookup_path=a.code_table, checkpoint_dir=a.checkpoint_dir, source=source, sinks=sinks)
 
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}

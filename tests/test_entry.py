@@ -24,6 +24,13 @@ def test_queries_match_oracle_at_smoke_scale(spark, name):
     assert r["ok"], r
 
 
+def test_config_neutral_names():
+    cfg = PipelineConfig.from_args(["--mode", "A", "--anomaly-period", "7", "--code-table", "/c",
+                                    "--checkpoint-dir", "/k", "--input-topic", "t"])
+    assert (cfg.mode, cfg.anomaly_period_days, cfg.lookup_path, cfg.checkpoint_dir,
+            cfg.source["topic"]) == ("A", 7, "/c", "/k", "t")
+
+
 def test_config_from_args_later_wins():
     cfg = PipelineConfig.from_args(["--flink-delay", "C", "--flink-anomaly-threshold", "50",
                                     "--iucr-input-file", "/x", "--flink-delay", "A"])
