@@ -40,7 +40,7 @@ def q_stream_month_image_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream-month-c")
     with state_partitions(spark):
         run_available_now(img, out + "-chk", out)
-    return plain_timestamps(spark.read.parquet(out).select(*IMAGE_COLS))
+    return plain_timestamps(spark.read.schema(img.schema).parquet(out).select(*IMAGE_COLS))
 
 
 def q_stream_sliding_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def q_stream_sliding_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream-sliding-events")
     with state_partitions(spark):
         run_available_now(win, out + "-chk", out)
-    return plain_timestamps(spark.read.parquet(out))
+    return plain_timestamps(spark.read.schema(win.schema).parquet(out))
 
 
 def q_stream_month_image_a(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +63,7 @@ def q_stream_month_image_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream-month-a")
     with state_partitions(spark):
         run_available_now(rows, out + "-chk", out)
-    return plain_timestamps(spark.read.parquet(out).select(
+    return plain_timestamps(spark.read.schema(rows.schema).parquet(out).select(
         "id", "district", "month", "primary_description", "month_start", *COUNTERS))
 
 
@@ -147,4 +147,4 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             img = month_image_stream(_orders_events(src))
         with state_partitions(spark):
             run_available_now(img, out + "-chk", out)
-    return plain_timestamps(spark.read.parquet(out).select(*IMAGE_COLS))
+    return plain_timestamps(spark.read.schema(img.schema).parquet(out).select(*IMAGE_COLS))
