@@ -19,7 +19,12 @@ def state_partitions(spark: SparkSession, per_core: int = 2):
     cores only add per-batch overhead.  The session setting is restored."""
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(old), per_core * spark.sparkContext.defaultParallelism)))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # remote (Connect) session: leave the setting alone
+        cores = None
+    if cores:
+        spark.conf.set(key, str(min(int(old), per_core * cores)))
     try:
         yield
     finally:
