@@ -87,12 +87,82 @@ class MonthRunningCounter(StatefulProcessor):
         pass
 
 
+KEY_SCHEMA = "primary_description string, district int, month_start_ms long"
+BUCKET_STATE_SCHEMA = T.StructType(STATE_SCHEMA.fields + [T.StructField("month_end_ms", T.LongType())])
+KEY_COLS = ["primary_description", "district", "month_start_ms"]
+
+
+class BucketRunningCounter(StatefulProcessor):
+    """Running counters of many (category, district, month) keys that share a
+    hash bucket: one invocation per bucket and micro-batch instead of one per
+    key, the counters of each key in map state, and one timer per distinct
+    month end clearing that month's keys."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getMapState("counts", KEY_SCHEMA, BUCKET_STATE_SCHEMA)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        timers = set()
+        for pdf in rows:
+            live = pdf["month_end_ms"].to_numpy() > watermark      # L1: month still open
+            if not live.all():
+                pdf = pdf[live]
+            if pdf.empty:
+                continue
+            pdf = pdf.sort_values(KEY_COLS + ["arrival_ms", "id"], kind="stable").reset_index(drop=True)
+            flags = np.column_stack([np.ones(len(pdf), dtype=np.int64)] + [
+                pdf[f].to_numpy(dtype=bool, na_value=False).astype(np.int64) for f in FLAGS.values()])
+            keys = pdf[KEY_COLS]
+            new_key = ~(keys == keys.shift(1)).all(axis=1).to_numpy()
+            new_key[0] = True
+            starts = np.flatnonzero(new_key)
+            stops = np.append(starts[1:], len(pdf))
+            run = np.empty_like(flags)
+            pds, dists = pdf["primary_description"].to_numpy(), pdf["district"].to_numpy()
+            months, ends = pdf["month_start_ms"].to_numpy(), pdf["month_end_ms"].to_numpy()
+            for a, b in zip(starts, stops):
+                k = (str(pds[a]), int(dists[a]), int(months[a]))
+                held = self.counts.getValue(k)
+                base = np.array(held[:4] if held is not None else (0, 0, 0, 0), dtype=np.int64)
+                seg = np.cumsum(flags[a:b], axis=0) + base
+                run[a:b] = seg
+                end = int(ends[a])
+                self.counts.updateValue(k, tuple(int(v) for v in seg[-1]) + (end,))
+                if held is None and end not in timers:
+                    self.handle.registerTimer(end)
+                    timers.add(end)
+            out = {"id": pdf["id"].to_numpy(), "primary_description": pds, "district": dists,
+                   "month_start_ms": months, "arrival_ms": pdf["arrival_ms"].to_numpy()}
+            for i, name in enumerate(STATE_SCHEMA.names):
+                out[name] = run[:, i]
+            yield pd.DataFrame(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # every month that ended at or before the watermark is closed: clear
+        # them all now, so the bucket's other timers of this batch find little
+        end = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        done = [k for k, v in self.counts.iterator() if v[4] <= end]
+        for k in done:
+            self.counts.removeKey(k)
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
 def month_image_per_row(enriched: DataFrame, ts_col: str = "ts",
-                        arrival_col: str | None = None) -> DataFrame:
+                        arrival_col: str | None = None, buckets: int | None = None) -> DataFrame:
     """Mode A stream: ``enriched`` must already carry a watermark on ``ts_col``.
     ``arrival_col`` (a long, e.g. the Kafka offset) orders rows inside a
-    batch; the event time is used when none is given."""
-    configure_streaming_state(enriched.sparkSession)   # this operator needs RocksDB state
+    batch; the event time is used when none is given.
+
+    ``buckets``: 0 = one state group per (category, district, month); N > 0 =
+    the keys share N hash buckets (fewer, larger invocations; same results,
+    same per-key skew profile); None = 4 x the shuffle partitions."""
+    spark = enriched.sparkSession
+    configure_streaming_state(spark)   # this operator needs RocksDB state
     ms = F.date_trunc("month", F.col(ts_col))
     arrival = (F.col(arrival_col).cast("bigint") if arrival_col
                else F.unix_millis(F.col(ts_col)))
@@ -101,8 +171,15 @@ def month_image_per_row(enriched: DataFrame, ts_col: str = "ts",
         F.unix_millis(ms).alias("month_start_ms"),
         F.unix_millis(ms + F.expr("INTERVAL 1 MONTH")).alias("month_end_ms"),
         arrival.alias("arrival_ms"))
-    out = (prepared.groupBy("primary_description", "district", "month_start_ms")
-           .transformWithStateInPandas(MonthRunningCounter(), OUTPUT_SCHEMA, "Append", "EventTime"))
+    if buckets is None:
+        buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets:
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in KEY_COLS]), F.lit(buckets))
+        out = (prepared.withColumn("_bucket", bucket).groupBy("_bucket")
+               .transformWithStateInPandas(BucketRunningCounter(), OUTPUT_SCHEMA, "Append", "EventTime"))
+    else:
+        out = (prepared.groupBy(*KEY_COLS)
+               .transformWithStateInPandas(MonthRunningCounter(), OUTPUT_SCHEMA, "Append", "EventTime"))
     return out.select(
         "id", "district",
         F.month(F.timestamp_millis(F.col("month_start_ms"))).alias("month"),

@@ -133,3 +133,27 @@ def test_state_partitions_bounded_and_restored(spark):
         assert spark.conf.get(key) == "500"
     finally:
         spark.conf.set(key, old)
+
+
+def test_mode_a_bucketed_equals_per_key_with_late_rows(spark, code_file, tmp_dir):
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    row = "{i},{d},{c},True,False,1.0,1.0,1.0,1.0"
+    _write(f"{src}/a.csv", [FX.HEADER] + FX.FILE_1, 1_700_000_000)
+    results = {}
+    for buckets in (0, 3):
+        out, chk = f"{tmp_dir}/out{buckets}", f"{tmp_dir}/chk{buckets}"
+        rows = month_image_per_row(_events(spark, src, code_file), arrival_col="id", buckets=buckets)
+        run_available_now(rows, chk, out)
+        if buckets == 0:   # second arrival: a closed-month row (dropped) and open-month rows
+            _write(f"{src}/b.csv", [FX.HEADER, row.format(i=30, d="2023-01-20T00:00:00.000Z", c="0110"),
+                                    row.format(i=31, d="2023-02-27T00:00:00.000Z", c="0141"),
+                                    row.format(i=32, d="2023-03-02T00:00:00.000Z", c="0110")],
+                   1_700_000_100)
+        run_available_now(rows, chk, out)
+        results[buckets] = sorted(tuple(r) for r in spark.read.parquet(out).select(
+            "id", "count", "count_arrest", "count_monitored_by_fbi").collect())
+    assert results[0] == results[3]
+    ids = [r[0] for r in results[3]]
+    assert 30 not in ids and 31 in ids and 32 in ids and len(ids) == 9
+    assert [r for r in results[3] if r[0] == 31][0][1] == 2       # second February row
