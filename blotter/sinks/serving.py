@@ -3,9 +3,10 @@
 Parquet, partitioned by ``district`` (the table's partition key), one row per
 (district, month, primary_description).  An upsert reduces the incoming rows
 to the last emitted row per key, keeps the old rows of the touched districts
-whose key is not re-emitted, and rewrites only those district partitions
-(dynamic partition overwrite).  Values are absolute counters, so replaying a
-micro-batch after a failure writes the same table (idempotent).
+whose key is not re-emitted, stages the result durably, and rewrites only
+those district partitions from the staged copy (dynamic partition
+overwrite).  Values are absolute counters and a replayed micro-batch reuses
+its staged copy, so replays write the same table (idempotent).
 
 Because ``month`` carries no year, a later year's month replaces the earlier
 year's row, as in the reference; ``keep_year=True`` adds ``year`` to the key.
@@ -13,12 +14,16 @@ year's row, as in the reference; ``keep_year=True`` adds ``year`` to the key.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.schema import COUNTERS, SERVING, SERVING_KEY
+from blotter.session import checkpoint_root
 
 
 def serving_schema(keep_year: bool = False) -> T.StructType:
@@ -58,26 +63,55 @@ def truncate_serving_table(spark: SparkSession, path: str, keep_year: bool = Fal
     return path
 
 
-def upsert_serving(rows: DataFrame, path: str, order_col: str, keep_year: bool = False) -> None:
+def _complete(spark: SparkSession, path: str) -> bool:
+    """A written copy is complete once its commit marker exists."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
+
+
+def staging_path(spark: SparkSession, table_path: str, epoch_id: int | None) -> str:
+    """Durable staged copy of one upsert, below the shared checkpoint folder,
+    keyed by table and micro-batch (a fresh one for batch upserts)."""
+    tag = hashlib.sha1(table_path.encode()).hexdigest()[:12]
+    leaf = f"epoch={epoch_id}" if epoch_id is not None else f"run={uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark)}/blotter-serving-staging/{tag}/{leaf}"
+
+
+def upsert_serving(rows: DataFrame, path: str, order_col: str, keep_year: bool = False,
+                   epoch_id: int | None = None) -> None:
     """K1: upsert ``rows`` (serving columns + ``order_col`` = emission order)
-    into the table at ``path``; last emission per key wins."""
+    into the table at ``path``; last emission per key wins.
+
+    Two steps: (1) the merged rows of the touched districts are written as a
+    durable staged copy; (2) the table's district partitions are replaced
+    from that copy (dynamic partition overwrite).  A replay of the same
+    micro-batch (``epoch_id``) after a crash reuses a complete staged copy, so
+    step 2 never re-reads a half-replaced table."""
     spark = rows.sparkSession
     key = serving_key(keep_year)
+    schema = serving_schema(keep_year)
     create_serving_table(spark, path, keep_year)
-    new = (rows.groupBy(*key)
-           .agg(F.max_by(F.struct(*COUNTERS), F.col(order_col)).alias("_v"))
-           .select(*key, *[F.col("_v." + c).alias(c) for c in COUNTERS]))
-    old = spark.read.schema(serving_schema(keep_year)).parquet(path)
-    touched = new.select("district").distinct()
-    kept = (old.join(touched, "district", "left_semi")
-            .join(new.select(*key), [old[k].eqNullSafe(new[k]) for k in key], "left_anti"))
-    merged = kept.unionByName(new).select(*[f.name for f in serving_schema(keep_year).fields])
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    staged = staging_path(spark, path, epoch_id)
+    if not (epoch_id is not None and _complete(spark, staged)):
+        new = (rows.groupBy(*key)
+               .agg(F.max_by(F.struct(*COUNTERS), F.col(order_col)).alias("_v"))
+               .select(*key, *[F.col("_v." + c).alias(c) for c in COUNTERS]))
+        old = spark.read.schema(schema).parquet(path)
+        touched = new.select("district").distinct()
+        kept = (old.join(touched, "district", "left_semi")
+                .join(new.select(*key), [old[k].eqNullSafe(new[k]) for k in key], "left_anti"))
+        merged = kept.unionByName(new).select(*[f.name for f in schema.fields])
+        merged.write.mode("overwrite").parquet(staged)
+    (spark.read.schema(schema).parquet(staged)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("district").parquet(path))
 
 
 def serving_batch_writer(path: str, order_col: str, keep_year: bool = False):
     """``foreachBatch`` function for streaming upserts."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        upsert_serving(batch, path, order_col, keep_year)
+        upsert_serving(batch, path, order_col, keep_year, epoch_id)
     return write
