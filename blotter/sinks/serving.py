@@ -73,13 +73,24 @@ def _complete(spark: SparkSession, path: str) -> bool:
 
 
 def staging_path(spark: SparkSession, table_path: str, epoch_id: int | None) -> str:
-    """Durable staged copy of one upsert, below the shared checkpoint folder,
-    keyed by table and micro-batch (a fresh one for batch upserts)."""
+    """Durable staged copy of one upsert, below the shared checkpoint folder.
+
+    Streaming upserts alternate between two slots per table (epoch parity):
+    only the last micro-batch can be replayed, and the one before it is
+    committed, so storage stays at two copies however long the stream runs.
+    Batch upserts get a fresh folder."""
     tag = hashlib.sha1(table_path.encode()).hexdigest()[:12]
-    leaf = f"epoch={epoch_id}" if epoch_id is not None else f"run={uuid.uuid4().hex[:12]}"
+    leaf = f"slot={epoch_id % 2}" if epoch_id is not None else f"run={uuid.uuid4().hex[:12]}"
     return f"{checkpoint_root(spark)}/blotter-serving-staging/{tag}/{leaf}"
 
 
+def _staged_epoch(spark: SparkSession, staged: str) -> int | None:
+    if not _complete(spark, staged):
+        return None
+    row = spark.read.parquet(staged).select("_epoch").first()
+    return None if row is None else row["_epoch"]
+
+
 def upsert_serving(rows: DataFrame, path: str, order_col: str, keep_year: bool = False,
                    epoch_id: int | None = None) -> None:
     """K1: upsert ``rows`` (serving columns + ``order_col`` = emission order)
@@ -95,7 +106,9 @@ def upsert_serving(rows: DataFrame, path: str, order_col: str, keep_year: bool =
     schema = serving_schema(keep_year)
     create_serving_table(spark, path, keep_year)
     staged = staging_path(spark, path, epoch_id)
-    if not (epoch_id is not None and _complete(spark, staged)):
+    if epoch_id is not None and rows.isEmpty():
+        return                                   # no-data micro-batch: nothing to upsert
+    if not (epoch_id is not None and _staged_epoch(spark, staged) == epoch_id):
         new = (rows.groupBy(*key)
                .agg(F.max_by(F.struct(*COUNTERS), F.col(order_col)).alias("_v"))
                .select(*key, *[F.col("_v." + c).alias(c) for c in COUNTERS]))
@@ -104,7 +117,7 @@ def upsert_serving(rows: DataFrame, path: str, order_col: str, keep_year: bool =
         kept = (old.join(touched, "district", "left_semi")
                 .join(new.select(*key), [old[k].eqNullSafe(new[k]) for k in key], "left_anti"))
         merged = kept.unionByName(new).select(*[f.name for f in schema.fields])
-        merged.write.mode("overwrite").parquet(staged)
+        merged.withColumn("_epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite").parquet(staged)
     (spark.read.schema(schema).parquet(staged)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("district").parquet(path))

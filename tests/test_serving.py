@@ -75,3 +75,12 @@ def test_replayed_epoch_reuses_its_staged_copy(spark, tmp_dir):
     upsert_serving(batch, path, "month_end", epoch_id=7)            # replay of epoch 7
     got = sorted(tuple(r) for r in read_serving(spark, path).collect())
     assert got == [(1, 1, "A", 2, 0, 0, 0), (1, 2, "A", 5, 0, 0, 0)]
+
+
+def test_slot_reuse_only_for_the_same_epoch(spark, tmp_dir):
+    path = f"{tmp_dir}/serving"
+    upsert_serving(_rows(spark, [(1, 1, "A", 1, 0, 0, 0, dt.datetime(2023, 2, 1))]), path, "month_end", epoch_id=7)
+    upsert_serving(_rows(spark, [(1, 1, "A", 3, 0, 0, 0, dt.datetime(2023, 2, 1))]), path, "month_end", epoch_id=9)
+    assert [r["count"] for r in read_serving(spark, path).collect()] == [3]     # 9 shares 7's slot
+    upsert_serving(_rows(spark, [], ), path, "month_end", epoch_id=10)          # empty batch: no-op
+    assert [r["count"] for r in read_serving(spark, path).collect()] == [3]
