@@ -178,6 +178,7 @@ SELECT district, month, primary_description,
        arg_max(count_domestic, month_start) AS count_domestic,
        arg_max(count_monitored_by_fbi, month_start) AS count_monitored_by_fbi
 FROM image GROUP BY district, month, primary_description""",
+        "job_stream_serving": f"{BASE},\n{IMAGE},\n{CLOSED},\n{SERVING}\nSELECT * FROM serving",
         "stream_late_rows": ORDERS_IMAGE_CLOSED.replace(
             "FROM orders)",
             "FROM orders WHERE NOT (o_orderdate >= TIMESTAMP '1999-06-01' AND o_orderdate < TIMESTAMP '1999-07-01'))", 1),

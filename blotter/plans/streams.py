@@ -15,7 +15,7 @@ from blotter.operators.anomaly import alert_messages, alerts, anomaly_results
 from blotter.operators.enrich import enrich
 from blotter.plans.queries import plain_timestamps
 from blotter.plans.standins import (lineitem_as_incidents, lineitem_csv_records, orders_as_incidents,
-                                    part_codes, table, table_stream)
+                                    part_code_lines, part_codes, table, table_stream)
 from blotter.schema import COUNTERS
 from blotter.session import ensure_utc, scratch_path
 from blotter.sinks.alerts import alert_stream_writer
@@ -116,6 +116,23 @@ def q_stream_serving_image_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_serving(spark, table_path)
 
 
+def q_job_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming job itself (``start_job``): published incident lines and
+    a code-table file derived from the tables, both outputs running; returns
+    the serving table."""
+    from blotter.plans.job import Outputs, run_to_end, start_job
+    ensure_utc(spark)
+    lines_dir, codes_dir = scratch_path(spark, "job-lines"), scratch_path(spark, "job-codes")
+    write_line_files(lineitem_csv_records(spark, sf_dir, varied=False), lines_dir)
+    part_code_lines(spark, sf_dir).write.text(codes_dir)
+    cfg = CFG.with_(lookup_path=codes_dir, checkpoint_dir=scratch_path(spark, "job-chk"),
+                    source={"kind": "directory", "path": lines_dir, "files_per_trigger": None})
+    out = Outputs(serving_path=scratch_path(spark, "job-serving"), alert_path=scratch_path(spark, "job-alerts"))
+    with state_partitions(spark):
+        run_to_end(start_job(spark, cfg, out, {"availableNow": True}))
+    return read_serving(spark, out.serving_path)
+
+
 # three arrivals derived from orders: the June 1999 rows come after the
 # watermark passed their month (dropped); early-June 2001 rows come after
 # the watermark passed their own time but not their month end (counted).
