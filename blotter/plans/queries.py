@@ -42,14 +42,15 @@ def _enriched_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- queries
 
-def q_parse_csv_records(spark, sf_dir):
+def q_parse_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published lines (varied text forms) parsed back to incidents."""
     ensure_utc(spark)
     records = keyed_lines(lineitem_csv_records(spark, sf_dir))
     good, _ = parse_records(records)
     return plain_timestamps(good.select("id", "date", "iucr_code", "arrest", "domestic", "district"))
 
 
-def q_parse_rejects(spark, sf_dir):
+def q_parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that cannot be typed go to the side output with a reason."""
     ensure_utc(spark)
     lines = lineitem_csv_records(spark, sf_dir)
@@ -64,7 +65,8 @@ def q_parse_rejects(spark, sf_dir):
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def q_keyed_line_ingest(spark, sf_dir):
+def q_keyed_line_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8: 'key:line' console records parsed like topic records."""
     ensure_utc(spark)
     lines = lineitem_csv_records(spark, sf_dir)
     console = lines.select(F.concat(F.substring_index("value", ",", 1), F.lit(":"), F.col("value"))
@@ -73,17 +75,19 @@ def q_keyed_line_ingest(spark, sf_dir):
     return plain_timestamps(good.select("id", "date", "iucr_code", "arrest", "domestic", "district"))
 
 
-def q_lookup_scan_pad(spark, sf_dir):
+def q_lookup_scan_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code-table lines parsed, padded and verified."""
     return code_table_from_lines(part_code_lines(spark, sf_dir))
 
 
-def q_enrich_left_broadcast(spark, sf_dir):
+def q_enrich_left_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents left-joined to the measured, broadcast code table."""
     df = _enriched_lineitem(spark, sf_dir)
     return plain_timestamps(df.select("id", "ts", "iucr_code", "arrest", "domestic", "district",
                                       "primary_description", "monitored_by_fbi"))
 
 
-def q_enrich_shuffle_salted(spark, sf_dir):
+def q_enrich_shuffle_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same join forced onto the shuffle path with salting (large code tables)."""
     ensure_utc(spark)
     inc = with_event_time(lineitem_incidents(spark, sf_dir))
@@ -92,15 +96,18 @@ def q_enrich_shuffle_salted(spark, sf_dir):
                                       "primary_description", "monitored_by_fbi"))
 
 
-def q_month_image_all(spark, sf_dir):
+def q_month_image_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every month window of the image."""
     return plain_timestamps(batch.monthly_image(_enriched_lineitem(spark, sf_dir), CFG, closed_only=False))
 
 
-def q_month_image_closed(spark, sf_dir):
+def q_month_image_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + T1: the month windows the final watermark has closed (mode C)."""
     return plain_timestamps(batch.monthly_image(_enriched_lineitem(spark, sf_dir), CFG, closed_only=True))
 
 
-def q_month_image_running(spark, sf_dir):
+def q_month_image_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: per-row running counters of the month (mode A), arrival = (time, id)."""
     ensure_utc(spark)
     inc = with_event_time(orders_incidents(spark, sf_dir))
     run = batch.monthly_running(inc, ["ts", "id"])
@@ -113,7 +120,7 @@ HOT_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey
              "l_extendedprice", "l_discount", "l_tax", "l_linestatus"]
 
 
-def q_running_hot_keys(spark, sf_dir):
+def q_running_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 where every key holds about a third of all rows: running counts of
     line items per return flag in ship order (ties broken by every column)."""
     li = table(spark, sf_dir, "lineitem").withColumn("is_open", F.col("l_linestatus") == "O")
@@ -132,11 +139,12 @@ def _upserted_serving(spark, sf_dir) -> str:
     return path
 
 
-def q_serving_upsert(spark, sf_dir):
+def q_serving_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + S6: closed months upserted in two rounds; newest year per key."""
     return read_serving(spark, _upserted_serving(spark, sf_dir))
 
 
-def q_serving_upsert_keep_year(spark, sf_dir):
+def q_serving_upsert_keep_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 with the year in the key: no year collision, one row per month window."""
     image = batch.monthly_image(_enriched_lineitem(spark, sf_dir), CFG, closed_only=True)
     image = image.withColumn("year", F.year("month_start"))
@@ -147,44 +155,48 @@ def q_serving_upsert_keep_year(spark, sf_dir):
                                            "count_monitored_by_fbi")
 
 
-def q_serving_filtered_read(spark, sf_dir):
+def q_serving_filtered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Serving table read with a predicate (district partitions pruned)."""
     path = _upserted_serving(spark, sf_dir)
     return read_serving(spark, path, (F.col("district") == 7) & (F.col("month") >= 6))
 
 
-def q_sliding_counts(spark, sf_dir):
+def q_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every non-empty 30-day window per district."""
     w = sliding_counts(_enriched_lineitem(spark, sf_dir), CFG.anomaly_period_days, CFG.anomaly_slide_days)
     return plain_timestamps(w)
 
 
-def q_anomaly_alerts(spark, sf_dir):
+def q_anomaly_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4, P13, F2 + T1: closed windows above the 60% threshold."""
     return plain_timestamps(batch.anomaly_alerts(_enriched_lineitem(spark, sf_dir), CFG))
 
 
-def q_anomaly_messages(spark, sf_dir):
+def q_anomaly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert text lines of the closed alerts."""
     return batch.anomaly_alert_messages(_enriched_lineitem(spark, sf_dir), CFG)
 
 
-def q_job_month_image(spark, sf_dir):
+def q_job_month_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch job, image output (one read of the input for image + alerts)."""
     image, _ = batch.image_and_alerts(_enriched_lineitem(spark, sf_dir), CFG)
     return plain_timestamps(image)
 
 
-def q_job_alert_messages(spark, sf_dir):
+def q_job_alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch job, alert output (same single-pass aggregate)."""
     _, alert_rows = batch.image_and_alerts(_enriched_lineitem(spark, sf_dir), CFG)
     return alert_messages(alert_rows)
 
 
-def q_alert_log_roundtrip(spark, sf_dir):
+def q_alert_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 then S7: alert lines written to the log folder and read back."""
     path = scratch_path(spark, "alert-log")
     write_alert_log(batch.anomaly_alert_messages(_enriched_lineitem(spark, sf_dir), CFG), path)
     return read_alert_log(spark, path)
 
 
-def q_anomaly_all_windows(spark, sf_dir):
+def q_anomaly_all_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window's share (open windows included), threshold 50."""
     res = anomaly_results(sliding_counts(_enriched_lineitem(spark, sf_dir), 30, 1))
     return plain_timestamps(res.where(F.col("percentage_monitored_by_fbi") > 50.0))
