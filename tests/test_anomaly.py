@@ -43,6 +43,7 @@ def test_alert_thresholds(spark, code_file):
     assert opened.count() == 30
     assert opened.where(F.col("percentage_monitored_by_fbi") == 60.0).count() == 1
     at_60 = batch.anomaly_alerts(enr, PipelineConfig(anomaly_threshold=60), closed_only=False)
+    assert at_60.count() == 29
     assert at_60.where(F.col("percentage_monitored_by_fbi") == 60.0).count() == 0
 
 
