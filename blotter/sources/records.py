@@ -38,10 +38,14 @@ def keyed_lines(lines: DataFrame) -> DataFrame:
 
 
 def keyed_text(lines: DataFrame, sep: str = ":") -> DataFrame:
-    """S8: 'key<sep>value' console lines (split at the first separator)."""
-    pat = f"^([^{sep}]*){sep}(.*)$"
-    return lines.select(F.regexp_extract("value", pat, 1).alias("key"),
-                        F.regexp_extract("value", pat, 2).alias("value"))
+    """S8: 'key<sep>value' console lines, split at the first separator (taken
+    literally).  A line without it keeps its text with a NULL key, so it ends
+    in the rejects (the console producer refuses such a line)."""
+    v = F.col("value")
+    pos = F.instr(v, sep)
+    return lines.select(F.when(pos > 0, F.substring_index(v, sep, 1)).alias("key"),
+                        F.when(pos > 0, v.substr(pos + F.lit(len(sep)), F.length(v))).otherwise(v)
+                        .alias("value"))
 
 
 def kafka_source_options(topic: str, bootstrap_servers: str, group_id: str | None = None,

@@ -79,3 +79,10 @@ def test_on_error_fail_raises_even_when_id_is_not_read(spark):
     good, _ = parse_records(records_df(spark, ["21,2023-05-01T00:00:00.000Z,0110,true,false,,1,1,1"]), "fail")
     with pytest.raises(Exception, match="malformed incident record"):
         good.groupBy("district").count().collect()
+
+
+def test_keyed_text_literal_separator(spark):
+    from blotter.sources.records import keyed_text
+    df = spark.createDataFrame([("7|a|b",), ("no-separator",), ("|x",)], "value string")
+    got = [tuple(r) for r in keyed_text(df, "|").collect()]
+    assert got == [("7", "a|b"), (None, "no-separator"), ("", "x")]
