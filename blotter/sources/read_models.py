@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from blotter.schema import SERVING
 
 
-def read_serving(spark: SparkSession, path: str, where: Column | str | None = None) -> DataFrame:
+def read_serving(spark: SparkSession, path: str, where: Column | str | None = None,
+                 keep_year: bool = False) -> DataFrame:
     """The serving table, optionally filtered.  ``district`` is the
     partition column, so a district predicate prunes whole folders."""
-    df = spark.read.schema(SERVING).parquet(path).select(*SERVING.names)
+    from blotter.sinks.serving import serving_schema
+    schema = serving_schema(keep_year) if keep_year else SERVING
+    df = spark.read.schema(schema).parquet(path).select(*schema.names)
     return df.where(where) if where is not None else df
 
 
@@ -19,7 +22,10 @@ def read_alert_log(spark: SparkSession, path: str | None = None,
                    kafka_options: dict | None = None) -> DataFrame:
     """All alert lines from the beginning, as ``value STRING``."""
     if kafka_options is not None:
-        opts = dict(kafka_options)
+        # accepts the sink's options too: topic -> subscribe, producer settings dropped
+        opts = {k: v for k, v in kafka_options.items() if k not in ("topic", "kafka.acks")}
+        if "topic" in kafka_options:
+            opts.setdefault("subscribe", kafka_options["topic"])
         opts.setdefault("startingOffsets", "earliest")
         return (spark.read.format("kafka").options(**opts).load()
                 .select(F.col("value").cast("string").alias("value")))

@@ -84,3 +84,13 @@ def test_slot_reuse_only_for_the_same_epoch(spark, tmp_dir):
     assert [r["count"] for r in read_serving(spark, path).collect()] == [3]     # 9 shares 7's slot
     upsert_serving(_rows(spark, [], ), path, "month_end", epoch_id=10)          # empty batch: no-op
     assert [r["count"] for r in read_serving(spark, path).collect()] == [3]
+
+
+def test_read_serving_with_year(spark, tmp_dir):
+    path = f"{tmp_dir}/serving"
+    rows = _rows(spark, [(1, 1, "A", 4, 0, 0, 0, dt.datetime(2022, 2, 1)),
+                         (1, 1, "A", 9, 0, 0, 0, dt.datetime(2023, 2, 1))])
+    upsert_serving(rows.withColumn("year", F.year(F.col("month_end") - F.expr("INTERVAL 1 DAY"))),
+                   path, "month_end", keep_year=True)
+    got = sorted((r.year, r["count"]) for r in read_serving(spark, path, keep_year=True).collect())
+    assert got == [(2022, 4), (2023, 9)]
