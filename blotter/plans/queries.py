@@ -150,9 +150,7 @@ def q_serving_upsert_keep_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     image = image.withColumn("year", F.year("month_start"))
     path = scratch_path(spark, "serving-year")
     upsert_serving(image, path, "month_end", keep_year=True)
-    return spark.read.parquet(path).select("district", "year", "month", "primary_description",
-                                           "count", "count_arrest", "count_domestic",
-                                           "count_monitored_by_fbi")
+    return read_serving(spark, path, keep_year=True)
 
 
 def q_serving_filtered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
