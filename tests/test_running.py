@@ -52,3 +52,23 @@ def test_offset_table_is_bounded_by_partitions(spark):
     out = running_counts(df, ["k"], ["id"], {"n": None, "nf": "f"}, num_partitions=5)
     r = out.agg(F.max("n").alias("n"), F.max("nf").alias("nf")).first()
     assert (r.n, r.nf) == (5000, 2500)
+
+
+def test_null_keys_and_order_values(spark):
+    rnd = random.Random(11)
+    rows = [(i, rnd.choice(["a", "b", None]), rnd.choice([None, rnd.randint(0, 50)]), rnd.random() < 0.5)
+            for i in range(800)]
+    df = spark.createDataFrame(rows, "id long, k string, t int, f boolean")
+    got = {r.id: (r.n, r.nf) for r in
+           running_counts(df, ["k"], ["t", "id"], {"n": None, "nf": "f"}, num_partitions=5).collect()}
+    # brute force: nulls first in the order, NULL is its own key
+    exp = {}
+    for key in ("a", "b", None):
+        grp = sorted([r for r in rows if r[1] == key],
+                     key=lambda r: (r[2] is not None, r[2] if r[2] is not None else 0, r[0]))
+        n = nf = 0
+        for r in grp:
+            n += 1
+            nf += int(r[3])
+            exp[r[0]] = (n, nf)
+    assert got == exp

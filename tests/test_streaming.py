@@ -157,3 +157,14 @@ def test_mode_a_bucketed_equals_per_key_with_late_rows(spark, code_file, tmp_dir
     ids = [r[0] for r in results[3]]
     assert 30 not in ids and 31 in ids and 32 in ids and len(ids) == 9
     assert [r for r in results[3] if r[0] == 31][0][1] == 2       # second February row
+
+
+def test_fail_mode_stops_the_stream(spark, code_file, tmp_dir):
+    import pytest
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    _write(f"{src}/a.csv", [FX.HEADER] + FX.FILE_1 + ["99,bad-date,0110,True,False,1.0,1,1,1"])
+    lines = directory_lines(spark, src, streaming=True)
+    inc, _ = parse_records(keyed_lines(lines), on_error="fail")
+    with pytest.raises(Exception, match="malformed incident record"):
+        run_available_now(inc, f"{tmp_dir}/chk", f"{tmp_dir}/out")
