@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, per_core: int = 2):
+def state_partitions(spark: SparkSession, per_core: int = 1):
     """Size the state partitions of queries started inside the block to at
     most ``per_core`` x the cluster's cores.  A stateful query keeps its
     partition count for the life of its checkpoint, and every micro-batch

@@ -129,7 +129,7 @@ def test_state_partitions_bounded_and_restored(spark):
     spark.conf.set(key, "500")
     try:
         with state_partitions(spark):
-            assert int(spark.conf.get(key)) == 2 * spark.sparkContext.defaultParallelism
+            assert int(spark.conf.get(key)) == spark.sparkContext.defaultParallelism
         assert spark.conf.get(key) == "500"
     finally:
         spark.conf.set(key, old)
