@@ -17,10 +17,6 @@ def month_start_of(ts: Column) -> Column:
     return F.date_trunc("month", ts)
 
 
-def month_end_of(ts: Column) -> Column:
-    return F.date_trunc("month", ts) + F.expr("INTERVAL 1 MONTH")
-
-
 def counter_aggs() -> list[Column]:
     """count, count_arrest, count_domestic, count_monitored_by_fbi."""
     return [

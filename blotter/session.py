@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -118,7 +117,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/blotter/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else os.fspath(path)
