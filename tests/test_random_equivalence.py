@@ -58,3 +58,31 @@ def test_stream_months_equal_batch_under_bounded_disorder(spark, tmp_dir):
     exp = closed_months(month_image(df), watermark_of(df)).drop("month_end")
     exp = sorted(tuple(r) for r in exp.collect())
     assert len(exp) > 10 and got == exp
+
+
+def test_sliding_late_row_kept_in_still_open_windows(spark, tmp_dir):
+    """A row late for some of its 30 windows is dropped from the closed ones
+    only (3 here) and counted in the 27 that are still open."""
+    schema = "ts timestamp, district int, monitored_by_fbi boolean"
+
+    def put(name, rows, mtime):
+        p = f"{tmp_dir}/src/{name}"
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(p)
+        for f in os.listdir(p):
+            os.utime(f"{p}/{f}", (mtime, mtime))
+
+    put("a", [(dt.datetime(2023, 4, 18), 1, True)], 1_700_000_000)
+    src = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+           .option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/src"))
+    from blotter.streaming.windows import sliding_counts_stream
+    q = sliding_counts_stream(with_watermark(src, "ts", "1 day"), 30, 1)
+    for name, rows, mtime in [(None, None, None),
+                              ("b", [(dt.datetime(2023, 4, 14), 1, False)], 1_700_000_100),
+                              ("c", [(dt.datetime(2023, 6, 30), 1, False)], 1_700_000_200)]:
+        if name:
+            put(name, rows, mtime)
+        run_available_now(q, f"{tmp_dir}/chk", f"{tmp_dir}/out")
+    out = spark.read.parquet(f"{tmp_dir}/out").where(F.col("end") < F.lit("2023-06-01").cast("timestamp"))
+    late = out.where(F.col("count_monitored_by_fbi") == 0)
+    assert late.count() == 1                             # window starting 03-19: late row alone
+    assert out.where(F.col("count") == 2).count() == 26  # windows 03-20 .. 04-14: both rows
