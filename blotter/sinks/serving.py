@@ -64,7 +64,9 @@ def truncate_serving_table(spark: SparkSession, path: str, keep_year: bool = Fal
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
-    """A written copy is complete once its commit marker exists."""
+    """A written copy is complete once its commit marker exists.  (Where a
+    cluster disables ``_SUCCESS`` markers this is always False: a replay then
+    recomputes the merge instead of reusing the copy - never a partial one.)"""
     try:
         spark.read.text(f"{path}/_SUCCESS")
         return True
