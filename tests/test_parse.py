@@ -49,9 +49,11 @@ def test_boolean_forms(spark):
 
 
 def test_half_districts_round_half_up(spark):
-    ds = ["0.5", "1.5", "2.5", "-1.5", "-0.5", "3.49", " 7.0 ", "NaN"]
+    ds = ["0.5", "1.5", "2.5", "-1.5", "-0.5", "3.49", " 7.0 ", "NaN",
+          "1.5d", "1.0f", "0x1p3", "1e40", "-1e40"]
     good, _ = _parse(spark, [GOOD.format(id=40 + i, d=d) for i, d in enumerate(ds)])
-    assert [g["district"] for g in good] == [1, 2, 3, -1, 0, 3, 7, 0]
+    assert [g["district"] for g in good] == [1, 2, 3, -1, 0, 3, 7, 0,
+                                            2, 1, 8, 2 ** 31 - 1, -(2 ** 31)]
 
 
 def test_key_is_record_key_not_csv_field(spark):
