@@ -8,15 +8,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import mixing, sharding, warc
+from blotter.llm import ctw, langid, mixing, packing, sharding, warc
 from blotter.llm.common import table
 from blotter.session import scratch_path
 
 
+def tokenizer() -> tuple[str, str]:
+    """Rank file and pre-tokenizer pattern of the public byte-level vocabulary."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op1_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(spark, table(spark, sf_dir, "documents"))
+
+
+def op4_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer())
+
+
 def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=16)
 
 
+def op8_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = langid.held_out(F.col("doc_id"))
+    model = langid.train(docs.where(~held_out))
+    return langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
 def op9_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_bundles(spark, table(spark, sf_dir, "pages"), path)
@@ -28,4 +49,5 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_jump_shards, op9_seekable_warc, op10_fair_mix)}
+    return {f.__name__: f for f in (
+        op1_context_tree_scores, op4_tier_packing, op5_jump_shards, op8_kneser_ney_language, op9_seekable_warc, op10_fair_mix)}
