@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import ctw, langid, mixing, packing, sharding, warc
+from blotter.llm import ctw, fingerprint, langid, mixing, packing, sharding, warc
 from blotter.llm.common import table
 from blotter.session import scratch_path
 
@@ -31,6 +31,10 @@ def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=16)
 
 
+def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_and_fingerprint(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = langid.held_out(F.col("doc_id"))
@@ -50,4 +54,5 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_context_tree_scores, op4_tier_packing, op5_jump_shards, op8_kneser_ney_language, op9_seekable_warc, op10_fair_mix)}
+        op1_context_tree_scores, op4_tier_packing, op5_jump_shards,
+        op7_weighted_sampling, op8_kneser_ney_language, op9_seekable_warc, op10_fair_mix)}
