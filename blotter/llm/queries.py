@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import ctw, fingerprint, langid, mixing, packing, sharding, warc
+from blotter.llm import ctw, fingerprint, langid, linededup, mixing, orderminhash, packing, sharding, warc
 from blotter.llm.common import table
 from blotter.session import scratch_path
 
@@ -23,6 +23,15 @@ def op1_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = linededup.rebuilt(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"))
+    return rows.withColumnsRenamed({"__removed": "lines_removed", "__left": "has_lines_left"})
+
+
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderminhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *tokenizer())
 
@@ -54,5 +63,5 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_context_tree_scores, op4_tier_packing, op5_jump_shards,
+        op1_context_tree_scores, op2_fuzzy_lines, op3_order_minhash, op4_tier_packing, op5_jump_shards,
         op7_weighted_sampling, op8_kneser_ney_language, op9_seekable_warc, op10_fair_mix)}
