@@ -3,6 +3,8 @@ holds a whole bucket or component."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,18 @@ SMALL_BUCKET = 16
 LEADERS = 8
 
 
+def max_edits(share: float, a: Column, b: Column) -> Column:
+    """Edits allowed between texts of ``a`` and ``b`` words (the small term undoes
+    the rounding of ``share``)."""
+    return F.floor(F.lit(share) * F.greatest(a, b) + F.lit(1e-6))
+
+
+def least_words(share: float) -> int:
+    """Shorter texts than this can be linked to no other: their longest possible
+    partner would allow no edit."""
+    return max(1, math.ceil(1 / share - 1e-6) - 1)
+
+
 def connected(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of ``edges``
     (a, b).  Large-star and small-star steps by turns (Kiveris et al.): each
@@ -39,10 +53,6 @@ def connected(spark: SparkSession, edges: DataFrame) -> DataFrame:
         now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
-def similar(distance: Column, a: Column, b: Column, share: float) -> Column:
-    return (distance >= 0) & (distance <= F.floor(share * F.greatest(F.char_length(a), F.char_length(b))))
-
-
 def _measured(pairs: DataFrame, texts: DataFrame, limit: Column) -> DataFrame:
     """Distinct ``pairs`` (x, y) with both texts and their edit distance ``d``, -1
     where it is over ``limit`` (an expression of ``sx`` and ``sy``).  The alignment
@@ -61,15 +71,15 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
     whose edit distance is at most ``share`` of the longer text.
 
     members: (bucket, id, prior), texts: (id, seq).  Small buckets give all
-    their pairs.  A large bucket is compared with a few leaders, its members of
-    least ``prior`` first: what is near a leader is linked to it and done.  The
-    rest goes on to the next round; against what is done it is compared only
+    their pairs.  A large bucket is compared with a leader, its member of least
+    ``prior``: what is near the leader is linked to it and done.  The rest goes
+    on to the next round, which has eight times the leaders; against what is done it is compared only
     where the triangle inequality leaves room for a link (distances to the
     leader less than ``share`` apart), so no link between components is lost
     and no pairs of a whole group are made."""
     ratio = 1 / (1 - share)  # near texts differ in length by at most this factor
     reach = share * ratio * (1 + ratio)  # of a leader's length: beyond, nothing near the leader can be near
-    within = F.floor(F.lit(share) * F.greatest(F.char_length("sx"), F.char_length("sy")))
+    within = max_edits(share, F.char_length("sx"), F.char_length("sy"))
     left, number, found = members, 0, []
     while True:
         sizes = left.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("prior", "id")).alias("first")).where("n > 1")
@@ -84,7 +94,7 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
             break
         hot = sized.where(F.col("n") > SMALL_BUCKET)
         draw = F.pmod(F.xxhash64("id", F.lit(number)), F.col("n"))
-        is_leader = (F.col("id") == F.col("first.id")) | (F.lit(number > 0) & (draw < LEADERS))
+        is_leader = (F.col("id") == F.col("first.id")) | (F.lit(number > 0) & (draw < LEADERS ** number))
         leaders = hot.where(is_leader).select("bucket", F.col("id").alias("y"))
         near = hot.select("bucket", F.col("id").alias("x")).join(leaders, "bucket").where("x <> y")
         far = F.ceil(F.lit(reach) * F.char_length("sy"))
@@ -94,7 +104,7 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
         told = near.join(measured, ["x", "y"])
         done = told.where("near").select("bucket", "y", F.col("x").alias("a"), F.col("d").alias("da"), F.col("lx").alias("la"))
         open_ = told.where("not near").select("bucket", "y", F.col("x").alias("r"), F.col("d").alias("dr"), F.col("lx").alias("lr"))
-        room = F.col("dr") - F.col("da") <= F.floor(share * F.greatest("lr", "la"))
+        room = F.col("dr") - F.col("da") <= max_edits(share, F.col("lr"), F.col("la"))
         cross = open_.join(done, ["bucket", "y"]).where(room & (F.col("r") != F.col("a"))).select(F.least("r", "a").alias("x"), F.greatest("r", "a").alias("y")).distinct()
         found.append(stage(spark, _measured(cross, texts, within).where("d >= 0").select(F.col("x").alias("a"), F.col("y").alias("b")), "links"))
         settled = done.select("bucket", F.col("a").alias("id")).unionByName(leaders.select("bucket", F.col("y").alias("id"))).distinct()

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.common import stage, text_slices
+from blotter.llm.components import least_words
 from blotter.llm.orderminhash import link_units
 from blotter.llm.wordunits import Units, mixed
 
@@ -68,9 +69,10 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h1, h2 = units.names()
             doc = pa.array(units.text[at] + lo)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(doc), b.column(1).take(doc), pa.array(units.line[at], pa.int32()), pa.array(h1[at]), pa.array(h2[at]),
+                [b.column(0).take(doc), b.column(1).take(doc), pa.array(units.line[at], pa.int32()),
+                 pa.array(np.diff(units.offsets)[at], pa.int32()), pa.array(h1[at]), pa.array(h2[at]),
                  pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * BLOCKS, blocks.ravel())],
-                ["doc_id", "th", "line", "h1", "h2", "keys"])
+                ["doc_id", "th", "line", "n_words", "h1", "h2", "keys"])
 
 
 def line_groups(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -78,11 +80,11 @@ def line_groups(spark: SparkSession, docs: DataFrame, similarity: float = SIMILA
     (an id), kept."""
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = stage(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
-                  .mapInArrow(_lines, "doc_id long, th long, line int, h1 long, h2 long, keys array<long>"), "lines")
+                  .mapInArrow(_lines, "doc_id long, th long, line int, n_words int, h1 long, h2 long, keys array<long>"), "lines")
     units = stage(spark, lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
+        F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.max("n_words").alias("n_words"))
         .withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
-    buckets = units.select(F.explode("keys").alias("bucket"), "id", (-F.col("copies")).alias("prior"))
+    buckets = units.where(F.col("n_words") >= least_words(1 - similarity)).select(F.explode("keys").alias("bucket"), "id", (-F.col("copies")).alias("prior"))
     groups = link_units(spark, docs, units, buckets, by_line=True, share=1 - similarity)
     linked = units.join(groups, units["id"] == groups["node"]).select("id", "component", "first")
     firsts = linked.groupBy("component").agg(F.min("first").alias("first_of"))
