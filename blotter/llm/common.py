@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +20,27 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 2_000_000
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (once an application), so that their Python
+    workers need no copy of it on a path of their own."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="blotter-"), "blotter.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("blotter", os.path.relpath(full, top)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

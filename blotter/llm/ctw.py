@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import ragged_sums, stage, text_slices
+from blotter.llm.common import ragged_sums, ship_package, stage, text_slices
 
 DEPTH = 4
 END = b"\xff"
@@ -256,6 +256,7 @@ def held_out(doc_id: Column, modulus: int = 7, remainder: int = 2) -> Column:
 def score(spark: SparkSession, docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Scores of all ``docs`` (doc_id, text) under the model learned from those not
     held out.  One row per document."""
+    ship_package(spark)
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     counted = thin.mapInArrow(_count, "word binary, gram long, n long")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from blotter.llm.common import ragged_sums, text_slices, with_columns_replaced
+from blotter.llm.common import ragged_sums, ship_package, stage, text_slices, with_columns_replaced
 
 ORDER = 5
 SAMPLE_ROWS = 400
@@ -230,11 +230,14 @@ def calibrate(model: Model, entropies: np.ndarray, labels: np.ndarray) -> Model:
 def sample_labelled(docs: DataFrame, sample_rows: int) -> DataFrame:
     """At most ``sample_rows`` labelled rows (lang, text, held) a language, those of
     the smallest hashes.  A hash limit first cuts each language to about twice
-    that number, so the ranking that follows sees a bounded group."""
+    that number where the rows are read, so only a bounded number of texts is
+    moved and ranked.  The counts by language come to the driver, as the model
+    with its one entry a language does."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
         F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")).alias("h"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("rows")).collect()
+    counts = F.broadcast(docs.sparkSession.createDataFrame([(r["lang"], r["rows"]) for r in counts], "lang string, rows long"))
     unit = (F.col("h") / F.lit(2.0 ** 64)) + 0.5
     near = rows.join(counts, "lang").where(unit < 2.0 * sample_rows / F.col("rows") + 0.0)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
@@ -245,8 +248,8 @@ def sample_labelled(docs: DataFrame, sample_rows: int) -> DataFrame:
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit and calibrate on a bounded sample of ``docs`` (doc_id, text, lang); four
     of five sampled texts are learned from, the fifth calibrates."""
-    from blotter.llm.common import stage
     spark = docs.sparkSession
+    ship_package(spark)
     sample = stage(spark, sample_labelled(docs, sample_rows), "langid-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,6 +285,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` plus lang_pred, score (calibrated probability of the prediction),
     entropy (nats per character under it) and rejected."""
     spark = docs.sparkSession
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
     schema = with_columns_replaced(docs.schema, RESULT)
     kept = schema.names[:-len(RESULT)]

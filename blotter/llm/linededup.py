@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import stage, text_slices
+from blotter.llm.common import ship_package, stage, text_slices
 from blotter.llm.components import least_words
 from blotter.llm.orderminhash import link_units
 from blotter.llm.wordunits import Units, mixed
@@ -78,6 +78,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def line_groups(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per line with a word: doc_id, th (hash of the text), line, group
     (an id), kept."""
+    ship_package(spark)
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = stage(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
                   .mapInArrow(_lines, "doc_id long, th long, line int, n_words int, h1 long, h2 long, keys array<long>"), "lines")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.llm.common import text_slices, to_batch
+from blotter.llm.common import ship_package, text_slices, to_batch
 from blotter.llm.tokens import encoder
 
 TIERS = (128, 256, 512, 1024)
@@ -139,6 +139,7 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, tiers: tuple[int, ...]
     """One row per piece of ``docs`` (doc_id, text): where it lies in its document
     and in its sequence, the sequence's tokens, tier and step; ``with_ids`` adds
     the ids themselves."""
+    ship_package(docs.sparkSession)
     schema = T.StructType(PIECES.fields + [T.StructField("ids", T.BinaryType())]) if with_ids else PIECES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

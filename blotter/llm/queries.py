@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import ctw, fingerprint, langid, linededup, mixing, orderminhash, packing, sharding, warc
+from blotter.llm import ctw, fingerprint, langid, linededup, mixing, nndescent, orderminhash, packing, sharding, warc
 from blotter.llm.common import table
 from blotter.session import scratch_path
 
@@ -40,6 +40,10 @@ def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=16)
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_and_fingerprint(spark, table(spark, sf_dir, "documents"))
 
@@ -64,4 +68,4 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_context_tree_scores, op2_fuzzy_lines, op3_order_minhash, op4_tier_packing, op5_jump_shards,
-        op7_weighted_sampling, op8_kneser_ney_language, op9_seekable_warc, op10_fair_mix)}
+        op6_nn_descent, op7_weighted_sampling, op8_kneser_ney_language, op9_seekable_warc, op10_fair_mix)}

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import running_total
+from blotter.llm.common import running_total, ship_package
 
 LAW = "key"
 
@@ -53,6 +53,7 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 16, key:
     """One row per document: key, size, checksum, shard, slot in the shard, and
     the shard after one more shard is appended.  Only these thin columns are
     shuffled, never the texts."""
+    ship_package(spark)
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     thin = docs.select(
         F.col(key).alias("doc_id"),
@@ -69,5 +70,6 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 16, key:
 
 def write_shards(docs: DataFrame, path: str, shards: int, key: str = "doc_id") -> None:
     """The rows themselves as one Parquet folder per shard."""
+    ship_package(docs.sparkSession)
     (docs.withColumn("__shard", shard_of(F.col(key), shards))
      .withColumnRenamed("__shard", "shard_id").write.partitionBy("shard_id").parquet(path))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.llm.common import to_batch
+from blotter.llm.common import ship_package, to_batch
 
 # Fixed values of the Zstandard skippable frame and seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -196,6 +196,8 @@ def write_bundles(spark: SparkSession, pages: DataFrame, path: str, frame_bytes:
     """Write ``pages`` (page_id, url, html) as bundles below ``path``, one file
     per bundle; a task holds one open bundle."""
 
+    ship_package(spark)
+
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, made, builder = TaskContext.get().partitionId(), 0, BundleBuilder(frame_bytes)
@@ -218,6 +220,7 @@ def write_bundles(spark: SparkSession, pages: DataFrame, path: str, frame_bytes:
 def read_bundles(spark: SparkSession, path: str, ids: list[int] | None = None, payloads: bool = True) -> DataFrame:
     """The records of all bundles below ``path``, or those of ``ids`` (a stated
     list): only the frames that hold them are decompressed."""
+    ship_package(spark)
     wanted = None if ids is None else {str(i) for i in ids}
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
