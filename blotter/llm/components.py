@@ -4,19 +4,27 @@ holds a whole bucket or component."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.llm.alignment import banded_distance, lacking
 from blotter.llm.common import stage
 
 SMALL_BUCKET = 16
 LEADERS = 8
 
 
-def max_edits(share: float, a: Column, b: Column) -> Column:
+def allowed_edits(share: float, a: int, b: int) -> int:
     """Edits allowed between texts of ``a`` and ``b`` words (the small term undoes
     the rounding of ``share``)."""
+    return math.floor(share * max(a, b) + 1e-6)
+
+
+def max_edits(share: float, a: Column, b: Column) -> Column:
+    """Column form of :func:`allowed_edits`."""
     return F.floor(F.lit(share) * F.greatest(a, b) + F.lit(1e-6))
 
 
@@ -53,17 +61,31 @@ def connected(spark: SparkSession, edges: DataFrame) -> DataFrame:
         now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
-def _measured(pairs: DataFrame, texts: DataFrame, limit: Column) -> DataFrame:
-    """Distinct ``pairs`` (x, y) with both texts and their edit distance ``d``, -1
-    where it is over ``limit`` (an expression of ``sx`` and ``sy``).  The alignment
-    is banded: a narrow band first, the full one where that is not enough."""
-    both = (pairs.join(texts.select(F.col("id").alias("x"), F.col("seq").alias("sx")), "x")
-            .join(texts.select(F.col("id").alias("y"), F.col("seq").alias("sy")), "y"))
-    # no band is wide enough for lengths that differ by more than it
-    gap = F.abs(F.char_length("sx") - F.char_length("sy"))
-    return (both.withColumn("limit", limit.cast("int")).withColumn("narrow", (F.col("limit") / 5).cast("int"))
-            .withColumn("d", F.when(gap > F.col("limit"), -1).otherwise(F.expr("levenshtein(sx, sy, narrow)")))
-            .withColumn("d", F.when((F.col("d") < 0) & (gap <= F.col("limit")), F.expr("levenshtein(sx, sy, `limit`)")).otherwise(F.col("d"))))
+def _measured(pairs: DataFrame, texts: DataFrame, share: float) -> DataFrame:
+    """Distinct ``pairs`` (x, y) with ``least``, the edit distance ``d`` (-1 where it is
+    more than ``share`` of the longer text) and the lengths lx and ly.
+
+    ``least`` bounds the distance from below; only where it leaves room are the
+    texts aligned.  The rows are dealt to a fixed number of tasks, since it is
+    alignments and not bytes that cost."""
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = (pairs.join(texts.select(F.col("id").alias("x"), F.col("seq").alias("sx")), "x").repartition(tasks, "y")
+            .join(texts.select(F.col("id").alias("y"), F.col("seq").alias("sy")).hint("merge"), "y"))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least, d, lx, ly = [], [], [], []
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                a, b = a.as_py(), b.as_py()
+                limit = allowed_edits(share, len(a), len(b))
+                least.append(lacking(a, b))
+                d.append(banded_distance(a, b, limit) if least[-1] <= limit else -1)
+                lx.append(len(a))
+                ly.append(len(b))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int32()) for c in (least, d, lx, ly))],
+                                             ["x", "y", "least", "d", "lx", "ly"])
+
+    return both.select("x", "y", "sx", "sy").mapInArrow(measure, "x long, y long, least int, d int, lx int, ly int")
 
 
 def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, share: float) -> DataFrame:
@@ -73,14 +95,19 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
     members: (bucket, id, prior), texts: (id, seq).  Small buckets give all
     their pairs.  A large bucket is compared with a leader, its member of least
     ``prior``: what is near the leader is linked to it and done.  The rest goes
-    on to the next round, which has eight times the leaders; against what is done it is compared only
-    where the triangle inequality leaves room for a link (distances to the
-    leader less than ``share`` apart), so no link between components is lost
-    and no pairs of a whole group are made."""
+    on to the next round, which has eight times the leaders; against what is
+    done it is compared only where the triangle inequality leaves room for a
+    link.  ``least`` of :func:`_measured` obeys it and is never more than the
+    edit distance, so a text whose ``least`` to the leader is larger by more than
+    the allowed edits than that of a done text cannot be near that text.  No
+    link between components is lost, and no pairs of a whole group are made."""
     ratio = 1 / (1 - share)  # near texts differ in length by at most this factor
     reach = share * ratio * (1 + ratio)  # of a leader's length: beyond, nothing near the leader can be near
-    within = max_edits(share, F.char_length("sx"), F.char_length("sy"))
     left, number, found = members, 0, []
+
+    def near_edges(pairs: DataFrame) -> DataFrame:
+        return stage(spark, _measured(pairs, texts, share).where("d >= 0").select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
+
     while True:
         sizes = left.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("prior", "id")).alias("first")).where("n > 1")
         sized = stage(spark, left.join(sizes, "bucket"), "buckets")
@@ -89,24 +116,24 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
             few = sized.where(F.col("n") <= SMALL_BUCKET).select("bucket", "id")
             pairs = (few.select("bucket", F.col("id").alias("x")).join(few.select("bucket", F.col("id").alias("y")), "bucket")
                      .where("x < y").select("x", "y").distinct())
-            found.append(stage(spark, _measured(pairs, texts, within).where("d >= 0").select(F.col("x").alias("a"), F.col("y").alias("b")), "links"))
+            found.append(near_edges(pairs))
         if not counts["hot"]:
             break
         hot = sized.where(F.col("n") > SMALL_BUCKET)
         draw = F.pmod(F.xxhash64("id", F.lit(number)), F.col("n"))
         is_leader = (F.col("id") == F.col("first.id")) | (F.lit(number > 0) & (draw < LEADERS ** number))
         leaders = hot.where(is_leader).select("bucket", F.col("id").alias("y"))
-        near = hot.select("bucket", F.col("id").alias("x")).join(leaders, "bucket").where("x <> y")
-        far = F.ceil(F.lit(reach) * F.char_length("sy"))
-        measured = stage(spark, _measured(near.select("x", "y").distinct(), texts, F.greatest(far, within)).where("d >= 0")
-                         .select("x", "y", "d", (F.col("d") <= within).alias("near"), F.char_length("sx").alias("lx")), "leaders")
+        pairs = hot.select("bucket", F.col("id").alias("x")).join(leaders, "bucket").where("x <> y")
+        measured = stage(spark, _measured(pairs.select("x", "y").distinct(), texts, share)
+                         .where(F.col("least") <= F.lit(reach) * F.col("ly") + 1)
+                         .select("x", "y", "least", (F.col("d") >= 0).alias("near"), F.col("lx").alias("length")), "leaders")
         found.append(measured.where("near").select(F.col("x").alias("a"), F.col("y").alias("b")))
-        told = near.join(measured, ["x", "y"])
-        done = told.where("near").select("bucket", "y", F.col("x").alias("a"), F.col("d").alias("da"), F.col("lx").alias("la"))
-        open_ = told.where("not near").select("bucket", "y", F.col("x").alias("r"), F.col("d").alias("dr"), F.col("lx").alias("lr"))
+        told = pairs.join(measured, ["x", "y"])
+        done = told.where("near").select("bucket", "y", F.col("x").alias("a"), F.col("least").alias("da"), F.col("length").alias("la"))
+        rest = told.where("not near").select("bucket", "y", F.col("x").alias("r"), F.col("least").alias("dr"), F.col("length").alias("lr"))
         room = F.col("dr") - F.col("da") <= max_edits(share, F.col("lr"), F.col("la"))
-        cross = open_.join(done, ["bucket", "y"]).where(room & (F.col("r") != F.col("a"))).select(F.least("r", "a").alias("x"), F.greatest("r", "a").alias("y")).distinct()
-        found.append(stage(spark, _measured(cross, texts, within).where("d >= 0").select(F.col("x").alias("a"), F.col("y").alias("b")), "links"))
+        cross = rest.join(done, ["bucket", "y"]).where(room).select(F.least("r", "a").alias("x"), F.greatest("r", "a").alias("y")).distinct()
+        found.append(near_edges(cross))
         settled = done.select("bucket", F.col("a").alias("id")).unionByName(leaders.select("bucket", F.col("y").alias("id"))).distinct()
         left = stage(spark, hot.select("bucket", "id", "prior").join(settled, ["bucket", "id"], "left_anti"), "left")
         number += 1
@@ -116,6 +143,14 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
     return edges
 
 
+def length_classes(words: Column, share: float) -> Column:
+    """The two length classes of a text: texts of which the longer has at most
+    1 / (1 - share) times the words of the other have one in common, so a
+    bucket may be split by class without losing a link."""
+    own = F.floor(F.log(words.cast("double")) / math.log(1 / (1 - share)) + 1e-9).cast("long")
+    return F.array(own, own + 1)
+
+
 #: Bits of the filter that says which units may be wanted; its size never grows.
 FILTER_BITS = 1 << 27
 
