@@ -58,7 +58,8 @@ def op8_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_bundles(spark, table(spark, sf_dir, "pages"), path)
-    return warc.read_bundles(spark, path, payloads=False).drop("payload")
+    return warc.read_bundles(spark, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
