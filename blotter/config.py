@@ -28,6 +28,7 @@ class PipelineConfig:
     sinks: dict = field(default_factory=dict)
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 64 * 1024 * 1024
+    salt_buckets: int = 0  # > 1 salts the lookup join beyond the broadcast bound (a hot code in a stream)
 
     @property
     def emit_every_row(self) -> bool:
@@ -42,9 +43,14 @@ class PipelineConfig:
 
     @classmethod
     def from_args(cls, argv: list[str]) -> "PipelineConfig":
-        """Parse ``--flag value`` options; later flags win.  Each option has a
-        neutral name and the original job's name as an alias."""
-        p = argparse.ArgumentParser(add_help=False)
+        """Parse ``--flag value`` options; later flags win, an unknown flag is an
+        error.  Each option of the original job has a neutral name and the
+        original name as an alias."""
+        return cls.from_namespace(cls.parser().parse_args(argv))
+
+    @classmethod
+    def parser(cls) -> argparse.ArgumentParser:
+        p = argparse.ArgumentParser(prog="blotter", allow_abbrev=False)
         # The original job's option names (second name of each
         # option), accepted so existing invocations keep working.
         p.add_argument("--input-topic", "--crimes-input-topic", dest="input_topic")
@@ -52,18 +58,31 @@ class PipelineConfig:
         p.add_argument("--alert-topic", "--anomaly-output-topic", dest="alert_topic")
         p.add_argument("--bootstrap-servers", dest="bootstrap_servers")
         p.add_argument("--group-id", "--kafka-group-id", dest="group_id")
-        p.add_argument("--serving-host", "--cassandra-host", dest="serving_host")
-        p.add_argument("--serving-port", "--cassandra-port", dest="serving_port", type=int, default=9042)
+        p.add_argument("--serving-host", "--cassandra-host", dest="serving_host",
+                       help="accepted for old invocations; the serving table is a folder (--serving-path)")
+        p.add_argument("--serving-port", "--cassandra-port", dest="serving_port", type=int, default=9042, help="as --serving-host")
         p.add_argument("--mode", "--flink-delay", dest="mode", default="C")
         p.add_argument("--anomaly-period", "--flink-anomaly-period", dest="period", type=int, default=30)
         p.add_argument("--anomaly-threshold", "--flink-anomaly-threshold", dest="threshold",
                        type=float, default=60.0)
         p.add_argument("--checkpoint-dir", "--flink-checkpoint-dir", dest="checkpoint_dir")
-        a, _ = p.parse_known_args(argv)
+        d = cls()
+        p.add_argument("--anomaly-slide", dest="slide", type=int, default=d.anomaly_slide_days, help="days")
+        p.add_argument("--watermark", default=d.watermark, help="event-time delay, such as '1 day'")
+        p.add_argument("--lookup-parse", choices=["positional", "csv"], default=d.lookup_parse)
+        p.add_argument("--on-error", choices=["reject", "fail"], default=d.on_error)
+        p.add_argument("--keep-year", action="store_true", help="the serving key gains the year")
+        p.add_argument("--salt-buckets", type=int, default=d.salt_buckets)
+        return p
+
+    @classmethod
+    def from_namespace(cls, a: argparse.Namespace) -> "PipelineConfig":
         source = {"topic": a.input_topic, "bootstrap_servers": a.bootstrap_servers, "group_id": a.group_id}
         sinks = {"alert_topic": a.alert_topic, "bootstrap_servers": a.bootstrap_servers,
                  "serving_host": a.serving_host, "serving_port": a.serving_port}
         return cls(mode=a.mode, anomaly_period_days=a.period, anomaly_threshold=a.threshold,
+                   anomaly_slide_days=a.slide, watermark=a.watermark, lookup_parse=a.lookup_parse,
+                   on_error=a.on_error, keep_year=a.keep_year, salt_buckets=a.salt_buckets,
                    lookup_path=a.code_table, checkpoint_dir=a.checkpoint_dir, source=source, sinks=sinks)
 
 

@@ -43,10 +43,19 @@ def parse_id(key: Column) -> Column:
 def parse_date(text: Column) -> Column:
     """Local date-time with literal 'Z' and exactly 3 fraction digits (P3), as UTC.
 
+    Resolved as the JVM's default resolver does: a day up to 31 that the month
+    does not have becomes its last day, and 24:00:00.000 the next midnight.
     Parsed with an offset letter so the result does not depend on the session
     zone; the 'Z' suffix test keeps other offsets out, as in the reference."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}Z$"),
-                  F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX")))
+    well_formed = text.rlike(r"^(?!0000)\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])T"
+                             r"(([01]\d|2[0-3]):[0-5]\d:[0-5]\d\.\d{3}|24:00:00\.000)Z$")
+    first = F.try_to_timestamp(F.concat(F.substring(text, 1, 8), F.lit("01")), F.lit("yyyy-MM-dd")).cast("date")
+    day = F.least(F.substring(text, 9, 2).try_cast("int"), F.dayofmonth(F.last_day(first)))
+    late = F.substring(text, 12, 2) == "24"
+    time = F.when(late, F.lit("T00:00:00.000Z")).otherwise(F.substring(text, 11, 14))
+    moment = F.try_to_timestamp(F.concat(F.substring(text, 1, 8), F.lpad(day.cast("string"), 2, "0"), time),
+                                F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX"))
+    return F.when(well_formed, F.when(late, moment + F.expr("INTERVAL 1 DAY")).otherwise(moment))
 
 
 def parse_flag(text: Column) -> Column:

@@ -1,10 +1,10 @@
 """Lookup enrichment = left outer equi-join with a unique code table.
 
-The code table is broadcast only after a bounded check proves it small
-(at most ``max_rows`` rows and ``max_bytes`` bytes, counted over at most
-``max_rows + 1`` rows, so the check costs the same whatever the table size).
-Beyond the bound the join is a shuffle join; a hot code on the incident side
-is then split by AQE's skew-join handling, or explicitly salted.
+The code table is broadcast only when its measured size is within
+``max_rows`` rows and ``max_bytes`` bytes.  Beyond that the join is a
+sort-merge join (by hint, so no threshold of the session turns it back into a
+broadcast); a hot code on the incident side is then split by AQE's skew-join
+handling in batch plans, or explicitly salted, which also holds for streams.
 """
 
 from __future__ import annotations
@@ -17,12 +17,10 @@ LOOKUP_COLUMNS = ["primary_description", "monitored_by_fbi"]
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = 1_000_000,
                          max_bytes: int = 64 * 1024 * 1024) -> tuple[DataFrame, bool]:
-    """Return (df or broadcast(df), broadcast?) after a size check bounded by
-    ``max_rows`` rows of work."""
+    """Return (df or broadcast(df), broadcast?) after measuring ``df`` with one
+    partial/final aggregate (a row per task is shuffled)."""
     width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns)
-    probe = (df.limit(max_rows + 1)
-             .agg(F.count("*").alias("n"), F.coalesce(F.sum(width + F.lit(16)), F.lit(0)).alias("b"))
-             .first())
+    probe = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width + F.lit(16)), F.lit(0)).alias("b")).first()
     ok = probe["n"] <= max_rows and probe["b"] <= max_bytes
     return (F.broadcast(df) if ok else df), ok
 
@@ -35,25 +33,31 @@ def enrich(incidents: DataFrame, codes, code_col: str = "iucr_code",
 
     ``codes`` is a DataFrame or a measured ``CodeTable`` (then its measured
     size decides, without another job).
-    ``broadcast``: None = decide by the bounded size check, True/False = force.
+    ``broadcast``: None = decide by the measured size; False = shuffle; True =
+    broadcast if the size allows it (otherwise an error).
     ``salt_buckets`` > 1 salts the shuffle join (non-broadcast path only).
     """
+    fits = None
     if hasattr(codes, "broadcastable"):
-        if broadcast is None:
-            broadcast = codes.broadcastable(max_rows, max_bytes)
+        fits = codes.broadcastable(max_rows, max_bytes)
         codes = codes.df
     right = codes.select(F.col("code").alias("_lk_code"), *LOOKUP_COLUMNS)
-    if broadcast is None:
-        right, broadcast = broadcast_if_bounded(right, max_rows, max_bytes)
-    elif broadcast:
+    if broadcast is not False:
+        if fits is None:
+            _, fits = broadcast_if_bounded(right, max_rows, max_bytes)
+        if broadcast and not fits:
+            raise ValueError(f"the code table is over {max_rows} rows or {max_bytes} bytes: too large to broadcast")
+        broadcast = fits
+    if broadcast:
         right = F.broadcast(right)
     if not broadcast and salt_buckets > 1:
         left = incidents.withColumn(
             "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in incidents.columns]), F.lit(salt_buckets)))
-        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))).hint("merge")
         cond = (left[code_col] == right["_lk_code"]) & (left["_salt"] == right["_salt"])
         joined = left.join(right, cond, "left").drop(left["_salt"]).drop(right["_salt"])
     else:
+        right = right if broadcast else right.hint("merge")
         joined = incidents.join(right, incidents[code_col] == right["_lk_code"], "left")
     return joined.select(
         *[incidents[c] for c in incidents.columns],

@@ -5,11 +5,12 @@ third of all rows - into one task.  Instead this is a distributed prefix sum:
 
 1. ``repartitionByRange(P, key.., order..)``: rows are globally ordered, and a
    hot key is cut into several consecutive partitions ("chunks").  The
-   partition number is stored as a column and the result is checkpointed to
-   the shared checkpoint folder, so chunk ids are data: every later branch
-   (and any recomputation after a lost executor) sees the same chunks.
-2. Per partition, the rows are sorted and scanned once (``mapInPandas``,
-   Arrow batches) to get running counters *within the chunk*.
+   partition number is stored as a column and the result is written as
+   Parquet below the shared checkpoint folder, so chunk ids are data: every
+   later branch (and any recomputation after a lost executor) sees the same
+   chunks, and the branch of the totals reads keys and flags only.
+2. A window per (chunk, key) gives running counters *within the chunk*; it
+   holds at most one chunk.
 3. Per (chunk, key) totals come from a JVM partial/final aggregate.  A window
    over those totals (at most P rows per key) gives each chunk the sum of all
    earlier chunks of its key.  Only the first key of a partition can continue
@@ -22,73 +23,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from blotter.session import checkpoint_root
-
-
-def _same_key(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-    eq = pd.Series(True, index=a.index)
-    for c in a.columns:
-        x, y = a[c], b[c]
-        eq &= (x == y) | (x.isna() & y.isna())
-    return eq
-
-
-def _local_scan(keys: list[str], counters: dict[str, str | None]):
-    names = list(counters)
-
-    def scan(batches):
-        carry_key, carry = None, None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            kf = pdf[keys].reset_index(drop=True)
-            pdf = pdf.reset_index(drop=True)
-            prev = kf.shift(1)
-            new_group = ~_same_key(kf, prev)
-            new_group.iloc[0] = True
-            gid = new_group.cumsum()
-            vals = pd.DataFrame({
-                n: (pd.Series(1, index=pdf.index, dtype="int64") if src is None
-                    else pdf[src].fillna(False).astype("int64"))
-                for n, src in counters.items()})
-            cum = vals.groupby(gid).cumsum()
-            if carry_key is not None:
-                first = kf.iloc[[0]].reset_index(drop=True)
-                if bool(_same_key(first, carry_key).iloc[0]):
-                    m = gid == 1
-                    for n in names:
-                        cum.loc[m, n] += carry[n]
-            carry_key = kf.iloc[[-1]].reset_index(drop=True)
-            carry = {n: int(cum[n].iloc[-1]) for n in names}
-            for n in names:
-                pdf["_loc_" + n] = cum[n].astype("int64")
-            yield pdf
-
-    return scan
+from blotter.session import partitions_for, plan_bytes, scratch_path
 
 
 def running_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    counters: dict[str, str | None], num_partitions: int | None = None) -> DataFrame:
     """Add one running counter per entry of ``counters`` ({name: boolean
     column, or None for a plain row count}), restarting per ``keys`` and
-    accumulating in ``order`` (make it unique for a deterministic result)."""
+    accumulating in ``order`` (make it unique for a deterministic result).
+    P is ``num_partitions``, or else the larger of the session's shuffle
+    partitions and what the size of ``df`` asks for."""
     spark = df.sparkSession
     keys, order = list(keys), list(order)
-    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_root(spark)
+    p = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(plan_bytes(df) or 0))
+    path = scratch_path(spark, "running")
     ranged = (df.repartitionByRange(p, *[F.col(c).asc_nulls_first() for c in keys + order])
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+              .withColumn("_pid", F.spark_partition_id()))
+    ranged.write.parquet(path)
+    chunks = spark.read.schema(ranged.schema).parquet(path)
+    ones = {n: F.lit(1) if src is None else F.coalesce(F.col(src), F.lit(False)).cast("bigint") for n, src in counters.items()}
 
     # chunk totals per (partition, key): JVM partial/final aggregate
-    aggs = [(F.count(F.lit(1)) if src is None else F.count_if(F.col(src))).alias(n)
-            for n, src in counters.items()]
-    totals = ranged.groupBy("_pid", *keys).agg(*aggs)
+    aggs = [F.sum(one).alias(n) for n, one in ones.items()]
+    totals = chunks.groupBy("_pid", *keys).agg(*aggs)
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     first_counter = next(iter(counters))
     offsets = (totals.select(F.col("_pid").alias("_o_pid"),
@@ -96,11 +56,10 @@ def running_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                              *[F.sum(n).over(w).alias("_off_" + n) for n in counters])
                .where(F.col("_off_" + first_counter).isNotNull()))   # <= P - 1 rows
 
-    # chunk-local running values: one ordered scan per partition
-    local_schema = T.StructType(ranged.schema.fields + [
-        T.StructField("_loc_" + n, T.LongType(), False) for n in counters])
-    local = (ranged.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in ["_pid"] + keys + order])
-             .mapInPandas(_local_scan(["_pid"] + keys, counters), local_schema))
+    # chunk-local running values: a window holds one key's rows of one chunk
+    inside = (Window.partitionBy("_pid", *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = chunks.select("*", *[F.sum(one).over(inside).alias("_loc_" + n) for n, one in ones.items()])
 
     cond = [F.col("_pid") == F.col("_o_pid")] + [
         F.col(k).eqNullSafe(F.col(f"_o_k{i}")) for i, k in enumerate(keys)]

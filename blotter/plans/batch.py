@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def enriched_incidents(records: DataFrame, codes: DataFrame,
     """Q4: keyed records -> typed, event-timed, enriched incidents (+ rejects)."""
     incidents, rejects = parse_records(records, cfg.on_error)
     enriched = enrich(with_event_time(incidents), codes, max_rows=cfg.broadcast_max_rows,
-                      max_bytes=cfg.broadcast_max_bytes)
+                      max_bytes=cfg.broadcast_max_bytes, salt_buckets=cfg.salt_buckets)
     return enriched, rejects
 
 
@@ -100,7 +102,8 @@ def run_batch_job(spark, cfg: PipelineConfig, input_path: str, serving_path: str
 
     Mode C upserts complete months.  Mode A emits a row per incident; after a
     batch run only each key's last emission is visible in the table, which is
-    the month's full count, so the unfiltered image is upserted."""
+    the month's full count, so the unfiltered image is upserted.  Alerts and
+    rejects go to a folder named after the input, which a rerun replaces."""
     from blotter.sinks.alerts import write_alert_log
     from blotter.sinks.serving import upsert_serving
     from blotter.sources.codes import load_code_table
@@ -112,7 +115,10 @@ def run_batch_job(spark, cfg: PipelineConfig, input_path: str, serving_path: str
     if cfg.keep_year:
         image = image.withColumn("year", F.year("month_start"))
     upsert_serving(image, serving_path, "month_end", cfg.keep_year)
-    if alert_path or alert_kafka:
-        write_alert_log(alert_messages(alert_rows), alert_path, alert_kafka)
+    run = f"input={hashlib.sha1(input_path.rstrip('/').encode()).hexdigest()[:16]}"
+    if alert_path:
+        write_alert_log(alert_messages(alert_rows), f"{alert_path}/{run}", mode="overwrite")
+    elif alert_kafka:
+        write_alert_log(alert_messages(alert_rows), kafka_options=alert_kafka)
     if rejects_path:
-        rejects.write.mode("append").parquet(rejects_path)
+        rejects.write.mode("overwrite").parquet(f"{rejects_path}/{run}")

@@ -3,17 +3,21 @@
 One source, two outputs: the monthly image upserted into the serving table
 and the alert lines.  They run as two streaming queries with their own
 checkpoints below ``<checkpoint>/serving`` and ``<checkpoint>/alerts``
-(simple, independent recovery; the source is read once per query).
-Rejected records go to an optional third query (side output folder).
+(independent recovery; each query reads and enriches the source itself).
+Rejected records go to an optional third query (side output folder).  The
+code table is snapshotted once per start, so every micro-batch joins the same
+rows however large it is; a failing query stops the others.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from blotter.config import PipelineConfig
 from blotter.functions.parse import parse_records, with_event_time
@@ -24,7 +28,8 @@ from blotter.sinks.alerts import alert_stream_writer
 from blotter.sinks.serving import serving_batch_writer
 from blotter.sources.codes import load_code_table
 from blotter.sources.records import incident_records
-from blotter.streaming.stateful import month_image_per_row
+from blotter.streaming.runner import state_partitions
+from blotter.streaming.stateful import PerRowImage
 from blotter.streaming.windows import month_image_stream, sliding_counts_stream, with_watermark
 
 
@@ -36,33 +41,42 @@ class Outputs:
     rejects_path: str | None = None
 
 
-def enriched_stream(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
+def enriched_stream(spark: SparkSession, cfg: PipelineConfig, checkpoint: str) -> tuple[DataFrame, DataFrame]:
     """Q4 on a stream: records -> typed -> watermark -> enriched (+ rejects)."""
     ensure_utc(spark)
     configure_streaming_state(spark)
     codes = load_code_table(spark, cfg.lookup_path, cfg.lookup_parse)
-    if codes.broadcastable(cfg.broadcast_max_rows, cfg.broadcast_max_bytes):
-        codes.df = codes.df.persist()   # loaded once, not re-read every micro-batch
-    records = incident_records(spark, cfg.source, streaming=True)
+    snapshot = f"{checkpoint}/code-table/{uuid.uuid4().hex[:12]}"
+    codes.df.write.parquet(snapshot)     # loaded once, at every size
+    codes.df = spark.read.schema(codes.df.schema).parquet(snapshot)
+    source = dict(cfg.source)
+    if source.get("kind", "directory") == "directory":
+        source.setdefault("staged", f"{checkpoint}/replay")
+    records = incident_records(spark, source, streaming=True)
     keep = ("arrival",) if "arrival" in records.columns else ()
     incidents, rejects = parse_records(records, cfg.on_error, keep_columns=keep)
     if keep:
         incidents = incidents.withColumn("arrival", F.col("arrival.offset"))
     events = with_watermark(with_event_time(incidents), "ts", cfg.watermark)
-    return enrich(events, codes, max_rows=cfg.broadcast_max_rows, max_bytes=cfg.broadcast_max_bytes), rejects
+    return enrich(events, codes, max_rows=cfg.broadcast_max_rows, max_bytes=cfg.broadcast_max_bytes,
+                  salt_buckets=cfg.salt_buckets), rejects
 
 
-def monthly_rows(enriched: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Rows for the serving table, with ``_order`` = emission order per key."""
+def serving_query(enriched: DataFrame, cfg: PipelineConfig, serving_path: str, checkpoint: str) -> DataStreamWriter:
+    """Writer of the serving table; ``_order`` is the emission order per key."""
+    upsert = serving_batch_writer(serving_path, "_order", cfg.keep_year, staging=f"{checkpoint}/upsert")
+
+    def with_order(rows: DataFrame, order: Column) -> DataFrame:
+        rows = rows.withColumn("_order", order)
+        return rows.withColumn("year", F.year("month_start")) if cfg.keep_year else rows
+
     if cfg.emit_every_row:     # mode A: one row per incident
-        arrival = "arrival" if "arrival" in enriched.columns else None
-        rows = month_image_per_row(enriched, arrival_col=arrival)
-        rows = rows.withColumn("_order", F.struct("month_start", "count"))
-    else:                      # mode C: one row per complete month
-        rows = month_image_stream(enriched).withColumn("_order", F.col("month_end"))
-    if cfg.keep_year:
-        rows = rows.withColumn("year", F.year("month_start"))
-    return rows
+        each = PerRowImage(f"{checkpoint}/per-row",
+                           lambda rows, epoch: upsert(with_order(rows, F.struct("month_start", "count")), epoch),
+                           cfg.watermark_seconds, arrival_col="arrival" if "arrival" in enriched.columns else None)
+        return enriched.writeStream.foreachBatch(each)
+    rows = with_order(month_image_stream(enriched), F.col("month_end"))   # mode C: one row per complete month
+    return rows.writeStream.outputMode("append").foreachBatch(upsert)
 
 
 def alert_lines(enriched: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -76,24 +90,44 @@ def start_job(spark: SparkSession, cfg: PipelineConfig, out: Outputs,
     reference checkpoints every 30 s) or {"availableNow": True}."""
     trigger = trigger or {"processingTime": "30 seconds"}
     chk = (cfg.checkpoint_dir or f"{checkpoint_root(spark)}/blotter-job").rstrip("/")
-    enriched, rejects = enriched_stream(spark, cfg)
-    queries = []
-    serving = (monthly_rows(enriched, cfg).writeStream.outputMode("append")
-               .option("checkpointLocation", f"{chk}/serving")
-               .foreachBatch(serving_batch_writer(out.serving_path, "_order", cfg.keep_year)))
-    queries.append(serving.trigger(**trigger).start())
-    alert_w = alert_stream_writer(alert_lines(enriched, cfg), f"{chk}/alerts",
-                                  path=out.alert_path, kafka_options=out.alert_kafka)
-    queries.append(alert_w.trigger(**trigger).start())
+    enriched, rejects = enriched_stream(spark, cfg, chk)
+    writers = [serving_query(enriched, cfg, out.serving_path, f"{chk}/serving")
+               .option("checkpointLocation", f"{chk}/serving")]
+    if out.alert_path or out.alert_kafka:
+        writers.append(alert_stream_writer(alert_lines(enriched, cfg), f"{chk}/alerts",
+                                           path=out.alert_path, kafka_options=out.alert_kafka))
     if out.rejects_path:
-        rq = (rejects.writeStream.format("parquet").option("path", out.rejects_path)
-              .option("checkpointLocation", f"{chk}/rejects").trigger(**trigger).start())
-        queries.append(rq)
+        writers.append(rejects.writeStream.format("parquet").option("path", out.rejects_path)
+                       .option("checkpointLocation", f"{chk}/rejects"))
+    queries: list[StreamingQuery] = []
+    try:
+        with state_partitions(spark):   # a query keeps the setting it was started with
+            for w in writers:
+                queries.append(w.trigger(**trigger).start())
+    except Exception:
+        stop_all(queries)
+        raise
     return queries
 
 
-def run_to_end(queries: list[StreamingQuery]) -> None:
+def stop_all(queries: list[StreamingQuery]) -> None:
     for q in queries:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+        q.stop()
+
+
+def run_to_end(queries: list[StreamingQuery], poll_seconds: float = 0.5) -> None:
+    """Wait for all queries; the first failure stops the others and is raised,
+    so the job fails as a whole."""
+    while True:
+        for q in queries:
+            if q.exception() is not None:
+                error = q.exception()
+                stop_all(queries)
+                raise error
+        running = [q for q in queries if q.isActive]
+        if not running:
+            failed = [q.exception() for q in queries if q.exception() is not None]
+            if failed:
+                raise failed[0]
+            return
+        running[0].awaitTermination(poll_seconds) if len(running) == 1 else time.sleep(poll_seconds)

@@ -77,7 +77,8 @@ MESSAGES = """SELECT 'CrimeAnomalyResult(start=' || strftime(start, '%Y-%m-%dT%H
 FROM alerts"""
 
 PARSED = """SELECT l_orderkey * 10 + l_linenumber AS id,
-       l_shipdate AS date,
+       CASE WHEN l_linenumber = 2 THEN CAST(last_day(l_shipdate) AS TIMESTAMP)
+            WHEN l_linenumber = 4 THEN l_shipdate + INTERVAL 1 DAY ELSE l_shipdate END AS date,
        CAST(l_partkey AS VARCHAR) AS iucr_code,
        l_returnflag = 'R' AS arrest,
        l_linestatus = 'O' AS domestic,
@@ -131,10 +132,37 @@ HAVING date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) + INTERVAL 7 DAY
 def oracle_sql() -> dict[str, str]:
     return {
         "parse_csv_records": PARSED,
-        "parse_rejects": """SELECT reason, count(*) AS rows FROM (
-  SELECT CASE WHEN l_linenumber IN (3, 5) THEN 'bad district'
-              WHEN l_linestatus = 'O' AND l_linenumber <> 7 THEN 'bad date' END AS reason
-  FROM lineitem) WHERE reason IS NOT NULL GROUP BY reason""",
+        "parse_rejects": """WITH damaged AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id, l_linenumber IN (3, 5) AS no_district, *
+  FROM lineitem WHERE l_linenumber IN (3, 5) OR (l_linestatus = 'O' AND l_linenumber <> 7))
+SELECT CAST(id AS VARCHAR) AS key,
+       concat_ws(',', CAST(id AS VARCHAR),
+         CASE l_linenumber WHEN 2 THEN strftime(l_shipdate, '%Y-%m-31T%H:%M:%S')
+                           WHEN 4 THEN strftime(l_shipdate, '%Y-%m-%dT24:00:00')
+                           ELSE strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') END || CASE WHEN no_district THEN '.000Z' ELSE 'Z' END,
+         CAST(l_partkey AS VARCHAR),
+         CASE WHEN l_returnflag = 'R' THEN CASE WHEN l_linenumber % 2 = 0 THEN 'TRUE' ELSE 'True' END
+              WHEN l_returnflag = 'A' THEN 'yes' ELSE 'False' END,
+         CASE WHEN l_linestatus = 'O' THEN 'true' ELSE 'F' END,
+         CASE WHEN no_district THEN '' ELSE CAST(l_suppkey % 25 AS VARCHAR) || '.0' END,
+         '1.0', '41.8', '-87.6') AS value,
+       CASE WHEN no_district THEN 'bad district' ELSE 'bad date' END AS reason
+FROM damaged""",
+        "lookup_missing_fails": "SELECT count(*) AS codes, true AS failed FROM part",
+        "stream_running_resume": ORDERS_RUNNING,
+        "replay_path_order": f"""{BASE},\n{IMAGE},\n{CLOSED}
+SELECT district, month, primary_description, count, count_arrest, count_domestic, count_monitored_by_fbi,
+       month_start FROM closed""",
+        "serving_rerun_fresh_checkpoint": (f"{BASE},\n{IMAGE},\n{CLOSED},\n{SERVING}\nSELECT * FROM serving"
+                                           .replace("FROM lineitem)", "FROM lineitem WHERE l_orderkey % 2 = 0)", 1)),
+        "job_stream_alerts": f"{BASE},\n{WINDOWS},\n{RESULTS},\n{ALERTS}\n{MESSAGES}",
+        "job_mode_a_serving": f"""{BASE},\n{IMAGE}
+SELECT district, month, primary_description,
+       arg_max(count, month_start) AS count,
+       arg_max(count_arrest, month_start) AS count_arrest,
+       arg_max(count_domestic, month_start) AS count_domestic,
+       arg_max(count_monitored_by_fbi, month_start) AS count_monitored_by_fbi
+FROM image GROUP BY district, month, primary_description""",
         "keyed_line_ingest": PARSED,
         "lookup_scan_pad": f"WITH {CODES} SELECT * FROM codes",
         "enrich_left_broadcast": f"""{BASE}

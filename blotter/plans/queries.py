@@ -18,10 +18,10 @@ from blotter.operators.running import running_counts
 from blotter.plans import batch
 from blotter.plans.standins import (lineitem_csv_records, lineitem_incidents, orders_incidents,
                                     part_code_lines, part_codes, table)
-from blotter.session import ensure_utc, scratch_path
+from blotter.session import checkpoint_root, ensure_utc, scratch_path
 from blotter.sinks.alerts import write_alert_log
 from blotter.sinks.serving import upsert_serving
-from blotter.sources.codes import code_table_from_lines
+from blotter.sources.codes import code_table_from_lines, load_code_table
 from blotter.sources.read_models import read_alert_log, read_serving
 from blotter.sources.records import keyed_lines, keyed_text
 
@@ -62,7 +62,7 @@ def q_parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(v.rlike(r",true,[0-9.]+,1\.0,41\.8,-87\.6$"), F.regexp_replace(v, r"\.000Z,", "Z,"))
         .otherwise(v).alias("value"))
     _, rejects = parse_records(keyed_lines(broken))
-    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    return rejects.select("key", "value", "reason")
 
 
 def q_keyed_line_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,19 @@ def q_lookup_scan_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_table_from_lines(part_code_lines(spark, sf_dir))
 
 
+def q_lookup_missing_fails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A code table that is not there fails before any query starts; once
+    written (the given parts as code lines) the same path is read."""
+    path = scratch_path(spark, "codes")
+    try:
+        load_code_table(spark, path)
+        failed = False
+    except ValueError:
+        failed = True
+    part_code_lines(spark, sf_dir).write.text(path)
+    return load_code_table(spark, path).df.agg(F.count("*").alias("codes")).withColumn("failed", F.lit(failed))
+
+
 def q_enrich_left_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incidents left-joined to the measured, broadcast code table."""
     df = _enriched_lineitem(spark, sf_dir)
@@ -131,6 +144,7 @@ def q_running_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _upserted_serving(spark, sf_dir) -> str:
     """Closed month windows upserted in two rounds (emission order = window end)."""
     # the image is bounded by the key domain: materialise it once for both rounds
+    checkpoint_root(spark)
     image = batch.monthly_image(_enriched_lineitem(spark, sf_dir), CFG, closed_only=True).checkpoint()
     path = scratch_path(spark, "serving")
     cut = F.lit("1998-07-01 00:00:00").cast("timestamp")

@@ -56,7 +56,7 @@ def lineitem_as_incidents(li: DataFrame) -> DataFrame:
 def lineitem_csv_records(spark: SparkSession, sf_dir: str, varied: bool = True) -> DataFrame:
     """The incidents as published CSV lines (value).  ``varied`` uses several
     text forms: mixed-case booleans, '.5' districts, a blank ("") district on
-    line 7; otherwise the lines parse back to exactly ``lineitem_incidents``."""
+    line 7, day 31 of the month on line 2, hour 24 on line 4; otherwise the lines parse back to exactly ``lineitem_incidents``."""
     li = table(spark, sf_dir, "lineitem")
     d = F.pmod(F.col("l_suppkey"), F.lit(25)).cast("string")
     if not varied:
@@ -77,10 +77,13 @@ def lineitem_csv_records(spark: SparkSession, sf_dir: str, varied: bool = True)
               .when(F.col("l_returnflag") == "A", F.lit("yes"))
               .otherwise(F.lit("False")))
     domestic = F.when(F.col("l_linestatus") == "O", F.lit("true")).otherwise(F.lit("F"))
+    # ship dates are midnights: day 31 of any month, and the end of the day before
+    date = (F.when(F.col("l_linenumber") == 2, F.date_format("l_shipdate", "yyyy-MM-'31T'HH:mm:ss.SSS'Z'"))
+            .when(F.col("l_linenumber") == 4, F.date_format("l_shipdate", "yyyy-MM-dd'T24:00:00.000Z'"))
+            .otherwise(F.date_format("l_shipdate", DATE_PATTERN)))
     line = F.concat_ws(",",
                        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"),
-                       F.date_format(F.col("l_shipdate"), DATE_PATTERN),
-                       F.col("l_partkey").cast("string"), arrest, domestic, district,
+                       date, F.col("l_partkey").cast("string"), arrest, domestic, district,
                        F.lit("1.0"), F.lit("41.8"), F.lit("-87.6"))
     return li.select(line.alias("value"))
 

@@ -19,11 +19,11 @@ from blotter.plans.standins import (lineitem_as_incidents, lineitem_csv_records,
 from blotter.schema import COUNTERS
 from blotter.session import ensure_utc, scratch_path
 from blotter.sinks.alerts import alert_stream_writer
-from blotter.sinks.serving import serving_batch_writer
+from blotter.sinks.serving import serving_batch_writer, truncate_serving_table
 from blotter.sources.read_models import read_alert_log, read_serving
-from blotter.sources.records import directory_lines, keyed_lines, write_line_files
+from blotter.sources.records import directory_lines, keyed_lines, replay_in_path_order, write_line_files
 from blotter.streaming.runner import run_available_now, state_partitions
-from blotter.streaming.stateful import month_image_per_row
+from blotter.streaming.stateful import PerRowImage, parquet_sink
 from blotter.streaming.windows import month_image_stream, sliding_counts_stream, with_watermark
 
 CFG = PipelineConfig()
@@ -59,11 +59,33 @@ def q_stream_sliding_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_month_image_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    rows = month_image_per_row(_orders_events(table_stream(spark, sf_dir, "orders")))
+    events = with_event_time(orders_as_incidents(table_stream(spark, sf_dir, "orders")))
     out = scratch_path(spark, "stream-month-a")
-    with state_partitions(spark):
-        run_available_now(rows, out + "-chk", out)
-    return plain_timestamps(spark.read.schema(rows.schema).parquet(out).select(
+    run_available_now(events, out + "-chk", foreach_batch=PerRowImage(
+        out + "-chk/per-row", parquet_sink(out), CFG.watermark_seconds))
+    return plain_timestamps(spark.read.parquet(out).select(
+        "id", "district", "month", "primary_description", "month_start", *COUNTERS))
+
+
+def q_stream_running_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + R2: mode A stopped halfway and resumed on its checkpoint with another
+    number of shuffle partitions; the counters go on where they stopped."""
+    ensure_utc(spark)
+    orders = table(spark, sf_dir, "orders")
+    staging, out = scratch_path(spark, "resume-input"), scratch_path(spark, "stream-resume")
+    key = "spark.sql.shuffle.partitions"
+    old = int(spark.conf.get(key))
+    cut = F.lit("1998-07-01").cast("timestamp_ntz")
+    try:
+        for step, rows in enumerate((orders.where(F.col("o_orderdate") < cut), orders.where(F.col("o_orderdate") >= cut))):
+            rows.write.parquet(f"{staging}/arrival-{step}")
+            spark.conf.set(key, str(old + 3 * step))
+            source = spark.readStream.schema(orders.schema).option("recursiveFileLookup", "true").parquet(staging)
+            run_available_now(with_event_time(orders_as_incidents(source)), out + "-chk", foreach_batch=PerRowImage(
+                out + "-chk/per-row", parquet_sink(out), CFG.watermark_seconds))
+    finally:
+        spark.conf.set(key, str(old))
+    return plain_timestamps(spark.read.parquet(out).select(
         "id", "district", "month", "primary_description", "month_start", *COUNTERS))
 
 
@@ -98,7 +120,8 @@ def q_stream_serving_image_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     img = month_image_stream(enrich(events, codes))
     table_path = scratch_path(spark, "serving")
     with state_partitions(spark):
-        run_available_now(img, table_path + "-chk", foreach_batch=serving_batch_writer(table_path, "month_end"))
+        run_available_now(img, table_path + "-chk", foreach_batch=serving_batch_writer(
+            table_path, "month_end", staging=table_path + "-chk/upsert"))
     return read_serving(spark, table_path)
 
 
@@ -107,30 +130,83 @@ def q_stream_serving_image_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     table; the final table holds each key's newest month in full."""
     ensure_utc(spark)
     codes = part_codes(spark, sf_dir)
-    events = with_watermark(with_event_time(lineitem_as_incidents(table_stream(spark, sf_dir, "lineitem"))),
-                            "ts", CFG.watermark)
-    rows = month_image_per_row(enrich(events, codes)).withColumn("_order", F.struct("month_start", "count"))
+    events = enrich(with_event_time(lineitem_as_incidents(table_stream(spark, sf_dir, "lineitem"))), codes)
     table_path = scratch_path(spark, "serving")
-    with state_partitions(spark):
-        run_available_now(rows, table_path + "-chk", foreach_batch=serving_batch_writer(table_path, "_order"))
+    chk = table_path + "-chk"
+    upsert = serving_batch_writer(table_path, "_order", staging=f"{chk}/upsert")
+    run_available_now(events, chk, foreach_batch=PerRowImage(
+        f"{chk}/per-row", lambda rows, epoch: upsert(rows.withColumn("_order", F.struct("month_start", "count")), epoch),
+        CFG.watermark_seconds))
     return read_serving(spark, table_path)
 
 
-def q_job_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The streaming job itself (``start_job``): published incident lines and
-    a code-table file derived from the tables, both outputs running; returns
-    the serving table."""
+def q_serving_rerun_fresh_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + K4: a job fills the table, the table is truncated, and another job
+    with a fresh checkpoint and other input (the even orders) fills it anew:
+    nothing of the first run may come back."""
+    ensure_utc(spark)
+    codes = part_codes(spark, sf_dir)
+    li = table(spark, sf_dir, "lineitem")
+    staging, table_path = scratch_path(spark, "rerun-input"), scratch_path(spark, "rerun-serving")
+    for run, rows in enumerate((li.where(F.col("l_orderkey") % 2 == 1), li.where(F.col("l_orderkey") % 2 == 0))):
+        rows.write.parquet(f"{staging}/{run}")
+        stream = spark.readStream.schema(li.schema).parquet(f"{staging}/{run}")
+        img = month_image_stream(enrich(with_watermark(with_event_time(lineitem_as_incidents(stream)), "ts", CFG.watermark), codes))
+        chk = f"{table_path}-chk{run}"
+        with state_partitions(spark):
+            run_available_now(img, chk, foreach_batch=serving_batch_writer(table_path, "month_end", staging=f"{chk}/upsert"))
+        if run == 0:
+            truncate_serving_table(spark, table_path)
+    return read_serving(spark, table_path)
+
+
+def _run_job(spark: SparkSession, sf_dir: str, mode: str = "C"):
+    """The streaming job itself (``start_job``) over published incident lines and
+    a code-table file derived from the tables, all outputs running."""
     from blotter.plans.job import Outputs, run_to_end, start_job
     ensure_utc(spark)
     lines_dir, codes_dir = scratch_path(spark, "job-lines"), scratch_path(spark, "job-codes")
     write_line_files(lineitem_csv_records(spark, sf_dir, varied=False), lines_dir)
     part_code_lines(spark, sf_dir).write.text(codes_dir)
-    cfg = CFG.with_(lookup_path=codes_dir, checkpoint_dir=scratch_path(spark, "job-chk"),
+    cfg = CFG.with_(mode=mode, lookup_path=codes_dir, checkpoint_dir=scratch_path(spark, "job-chk"),
                     source={"kind": "directory", "path": lines_dir, "files_per_trigger": None})
     out = Outputs(serving_path=scratch_path(spark, "job-serving"), alert_path=scratch_path(spark, "job-alerts"))
     with state_partitions(spark):
         run_to_end(start_job(spark, cfg, out, {"availableNow": True}))
-    return read_serving(spark, out.serving_path)
+    return out
+
+
+def q_job_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's serving table, mode C."""
+    return read_serving(spark, _run_job(spark, sf_dir).serving_path)
+
+
+def q_job_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's alert log."""
+    return read_alert_log(spark, _run_job(spark, sf_dir).alert_path)
+
+
+def q_job_mode_a_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's serving table when the mode option says A."""
+    return read_serving(spark, _run_job(spark, sf_dir, "A").serving_path)
+
+
+def q_replay_path_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order files written newest first are replayed in path order, one per
+    micro-batch, so the month windows of all years close in turn."""
+    ensure_utc(spark)
+    lines = lineitem_csv_records(spark, sf_dir, varied=False)
+    year = F.substring(F.split("value", ",")[1], 1, 4)
+    source = scratch_path(spark, "replay-source")
+    for y in sorted((r["y"] for r in lines.select(year.alias("y")).distinct().collect()), reverse=True):
+        write_line_files(lines.where(year == y).coalesce(1), f"{source}/{y}")
+    staged = replay_in_path_order(spark, source, scratch_path(spark, "replay-staged"))
+    incidents, _ = parse_records(keyed_lines(directory_lines(spark, staged, streaming=True, files_per_trigger=1)))
+    img = month_image_stream(enrich(with_watermark(with_event_time(incidents), "ts", CFG.watermark), part_codes(spark, sf_dir)))
+    out = scratch_path(spark, "replay-image")
+    with state_partitions(spark):
+        run_available_now(img, out + "-chk", out)
+    return plain_timestamps(spark.read.schema(img.schema).parquet(out).select(*IMAGE_COLS))
 
 
 # three arrivals derived from orders: the June 1999 rows come after the

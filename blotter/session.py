@@ -38,17 +38,29 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
-def scale_settings(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
-                   max_partitions: int = 200_000) -> dict[str, str]:
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def partitions_for(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Partitions of about ``partition_bytes`` each; no upper limit."""
+    return max(1, -(-int(input_bytes) // partition_bytes))
+
+
+def plan_bytes(df) -> int | None:
+    """Catalyst's estimate of a plan's output size, or None where it knows none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 58 else None
+
+
+def scale_settings(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
     """Shuffle and scan sizing for a given input volume.
 
     Scan splits and shuffle partitions both target ``partition_bytes`` (so a
     task's data fits executor memory with room for sort/aggregation buffers);
     AQE then coalesces small shuffle partitions and splits skewed join
-    partitions at run time.  Example: 100 TB -> ~400k partitions is capped at
-    ``max_partitions`` (about 512 MB each), which AQE re-cuts as needed.
+    partitions at run time.  Example: 100 TB -> 409,600 partitions.
     """
-    n = max(1, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    n = partitions_for(input_bytes, partition_bytes)
     size = f"{partition_bytes // (1024 * 1024)}m"
     return {
         "spark.sql.shuffle.partitions": str(n),

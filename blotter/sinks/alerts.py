@@ -11,13 +11,13 @@ def kafka_sink_options(topic: str, bootstrap_servers: str) -> dict:
 
 
 def write_alert_log(messages: DataFrame, path: str | None = None,
-                    kafka_options: dict | None = None) -> None:
-    """Batch write of ``value`` lines (append)."""
+                    kafka_options: dict | None = None, mode: str = "append") -> None:
+    """Batch write of ``value`` lines."""
     out = messages.select("value")
     if kafka_options is not None:
         out.write.format("kafka").options(**kafka_options).save()
     else:
-        out.write.mode("append").text(path)
+        out.write.mode(mode).text(path)
 
 
 def alert_stream_writer(messages: DataFrame, checkpoint: str, path: str | None = None,

@@ -1,12 +1,17 @@
 """K1 / K3 / K4: the serving table.
 
 Parquet, partitioned by ``district`` (the table's partition key), one row per
-(district, month, primary_description).  An upsert reduces the incoming rows
-to the last emitted row per key, keeps the old rows of the touched districts
-whose key is not re-emitted, stages the result durably, and rewrites only
-those district partitions from the staged copy (dynamic partition
-overwrite).  Values are absolute counters and a replayed micro-batch reuses
-its staged copy, so replays write the same table (idempotent).
+(district, month, primary_description).  An upsert first writes the incoming
+rows, reduced to the last emitted row per key, to a durable folder (the
+micro-batch is executed once, whatever follows), merges them with the old
+rows of the touched districts into a durable staged copy, and replaces those
+district partitions from that copy (dynamic partition overwrite).
+
+A replayed micro-batch reuses its staged copy, so replays write the same
+table.  The copy lies below the streaming query's own checkpoint and is
+tagged with the micro-batch and with the table's generation, which changes
+when the table is created or truncated: a new query, or the same query after
+a truncation, can never meet another run's copy.
 
 Because ``month`` carries no year, a later year's month replaces the earlier
 year's row, as in the reference; ``keep_year=True`` adds ``year`` to the key.
@@ -14,7 +19,6 @@ year's row, as in the reference; ``keep_year=True`` adds ``year`` to the key.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.schema import COUNTERS, SERVING, SERVING_KEY
-from blotter.session import checkpoint_root
+from blotter.session import scratch_path
 
 
 def serving_schema(keep_year: bool = False) -> T.StructType:
@@ -57,12 +61,30 @@ def create_serving_table(spark: SparkSession, path: str, keep_year: bool = False
 
 
 def truncate_serving_table(spark: SparkSession, path: str, keep_year: bool = False) -> str:
-    """K4: replace the table by an empty one."""
+    """K4: replace the table by an empty one of a new generation (staged copies
+    of earlier generations are never reused)."""
     (spark.createDataFrame([], serving_schema(keep_year)).write.mode("overwrite")
-     .partitionBy("district").parquet(path))
+     .option("partitionOverwriteMode", "static").partitionBy("district").parquet(path))
+    _new_generation(spark, path)
     return path
 
 
+def _new_generation(spark: SparkSession, path: str) -> None:
+    # below an underscore folder, which table reads skip and partition overwrites keep
+    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_generation")
+
+
+def table_generation(spark: SparkSession, path: str) -> str:
+    """The table's generation id (given now to a table that has none)."""
+    try:
+        return spark.read.text(f"{path}/_generation").first()["value"]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    _new_generation(spark, path)
+    return table_generation(spark, path)
+
+
 def _complete(spark: SparkSession, path: str) -> bool:
     """A written copy is complete once its commit marker exists.  (Where a
     cluster disables ``_SUCCESS`` markers this is always False: a replay then
@@ -74,59 +96,60 @@ def _complete(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def staging_path(spark: SparkSession, table_path: str, epoch_id: int | None) -> str:
-    """Durable staged copy of one upsert, below the shared checkpoint folder.
-
-    Streaming upserts alternate between two slots per table (epoch parity):
-    only the last micro-batch can be replayed, and the one before it is
-    committed, so storage stays at two copies however long the stream runs.
-    Batch upserts get a fresh folder."""
-    tag = hashlib.sha1(table_path.encode()).hexdigest()[:12]
-    leaf = f"slot={epoch_id % 2}" if epoch_id is not None else f"run={uuid.uuid4().hex[:12]}"
-    return f"{checkpoint_root(spark)}/blotter-serving-staging/{tag}/{leaf}"
-
-
-def _staged_epoch(spark: SparkSession, staged: str) -> int | None:
+def _staged_tag(spark: SparkSession, staged: str) -> tuple | None:
     if not _complete(spark, staged):
         return None
-    row = spark.read.parquet(staged).select("_epoch").first()
-    return None if row is None else row["_epoch"]
+    row = spark.read.parquet(staged).select("_epoch", "_generation").first()
+    return None if row is None else (row["_epoch"], row["_generation"])
 
 
 def upsert_serving(rows: DataFrame, path: str, order_col: str, keep_year: bool = False,
-                   epoch_id: int | None = None) -> None:
+                   epoch_id: int | None = None, staging: str | None = None) -> None:
     """K1: upsert ``rows`` (serving columns + ``order_col`` = emission order)
     into the table at ``path``; last emission per key wins.
 
-    Two steps: (1) the merged rows of the touched districts are written as a
-    durable staged copy; (2) the table's district partitions are replaced
-    from that copy (dynamic partition overwrite).  A replay of the same
-    micro-batch (``epoch_id``) after a crash reuses a complete staged copy, so
-    step 2 never re-reads a half-replaced table."""
+    Three steps: (1) the reduced rows are written durably, the only execution
+    of ``rows``; (2) the merged rows of the touched districts are written as
+    a durable staged copy; (3) the table's district partitions are replaced
+    from that copy.  A replay of the same micro-batch (``epoch_id``) after a
+    crash reuses a complete staged copy of the same table generation, so step
+    3 never re-reads a half-replaced table.
+
+    ``staging``: folder of the copies, below the checkpoint of the query that
+    writes; two slots by epoch parity, as only the last micro-batch can be
+    replayed.  Without one (batch upserts) a fresh scratch folder is used."""
     spark = rows.sparkSession
     key = serving_key(keep_year)
     schema = serving_schema(keep_year)
     create_serving_table(spark, path, keep_year)
-    staged = staging_path(spark, path, epoch_id)
-    if epoch_id is not None and rows.isEmpty():
-        return                                   # no-data micro-batch: nothing to upsert
-    if not (epoch_id is not None and _staged_epoch(spark, staged) == epoch_id):
-        new = (rows.groupBy(*key)
-               .agg(F.max_by(F.struct(*COUNTERS), F.col(order_col)).alias("_v"))
-               .select(*key, *[F.col("_v." + c).alias(c) for c in COUNTERS]))
+    generation = table_generation(spark, path)
+    if epoch_id is None or staging is None:
+        staging, slot = scratch_path(spark, "serving-staging"), "run"
+    else:
+        slot = f"slot={epoch_id % 2}"
+    reduced, staged = f"{staging}/{slot}-rows", f"{staging}/{slot}-merged"
+    if epoch_id is None or _staged_tag(spark, staged) != (epoch_id, generation):
+        (rows.groupBy(*key).agg(F.max_by(F.struct(*COUNTERS), F.col(order_col)).alias("_v"))
+         .select(*key, *[F.col("_v." + c).alias(c) for c in COUNTERS]).write.mode("overwrite").parquet(reduced))
+        new = spark.read.schema(schema).parquet(reduced)
+        if new.isEmpty():
+            return
         old = spark.read.schema(schema).parquet(path)
         touched = new.select("district").distinct()
         kept = (old.join(touched, "district", "left_semi")
                 .join(new.select(*key), [old[k].eqNullSafe(new[k]) for k in key], "left_anti"))
         merged = kept.unionByName(new).select(*[f.name for f in schema.fields])
-        merged.withColumn("_epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite").parquet(staged)
+        (merged.withColumn("_epoch", F.lit(epoch_id).cast("long")).withColumn("_generation", F.lit(generation))
+         .write.mode("overwrite").parquet(staged))
     (spark.read.schema(schema).parquet(staged)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("district").parquet(path))
 
 
-def serving_batch_writer(path: str, order_col: str, keep_year: bool = False):
-    """``foreachBatch`` function for streaming upserts."""
+def serving_batch_writer(path: str, order_col: str, keep_year: bool = False, staging: str | None = None):
+    """``foreachBatch`` function for streaming upserts.  ``staging`` belongs below
+    the query's ``checkpointLocation``; without it a replay recomputes the
+    merge (right unless the crash left a district half replaced)."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        upsert_serving(batch, path, order_col, keep_year, epoch_id)
+        upsert_serving(batch, path, order_col, keep_year, epoch_id, staging)
     return write

@@ -29,4 +29,4 @@ def read_alert_log(spark: SparkSession, path: str | None = None,
         opts.setdefault("startingOffsets", "earliest")
         return (spark.read.format("kafka").options(**opts).load()
                 .select(F.col("value").cast("string").alias("value")))
-    return spark.read.text(path)
+    return spark.read.option("recursiveFileLookup", "true").text(path).select("value")

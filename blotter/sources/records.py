@@ -6,6 +6,9 @@ Every source yields the same shape: ``key STRING, value STRING`` (plus an
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,33 @@ def directory_lines(spark: SparkSession, path: str, streaming: bool = False,
     return reader.csv(path).select(F.coalesce(F.col("value"), F.lit("")).alias("value"))
 
 
+def replay_in_path_order(spark: SparkSession, path: str, staged: str) -> str:
+    """The files below ``path``, in path order, staged one after the other
+    below ``staged`` (one line file each), so that a file stream over
+    ``staged``, which goes by modification time, meets them in path order.
+    Files staged by an earlier call are not staged again.  The list of files
+    is on the driver, as Spark's own is; their lines are copied by tasks."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+               .select("path").collect())
+    done = _staged_files(spark, staged)
+    for file in sorted(r["path"] for r in listing):
+        if file not in done:
+            lines = directory_lines(spark, file.replace("{", "\\{").replace("*", "\\*").replace("[", "\\["))
+            name = hashlib.sha1(file.encode()).hexdigest()[:16]
+            write_line_files(lines.coalesce(1), f"{staged}/files/{name}", mode="overwrite")
+            spark.createDataFrame([(file,)], "value string").coalesce(1).write.mode("append").text(f"{staged}/done")
+    return f"{staged}/files/*"
+
+
+def _staged_files(spark: SparkSession, staged: str) -> set[str]:
+    try:
+        return {r["value"] for r in spark.read.text(f"{staged}/done").collect()}
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return set()
+
+
 def keyed_lines(lines: DataFrame) -> DataFrame:
     """S3: key = text before the first comma, value = whole line.  Lines with
     no comma get a NULL key (the reference throws on them)."""
@@ -52,11 +82,13 @@ def kafka_source_options(topic: str, bootstrap_servers: str, group_id: str | Non
                          starting_offsets: str = "earliest",
                          max_offsets_per_trigger: int | None = None) -> dict:
     """Options of the Kafka source.  The resume position comes from the
-    query's checkpoint; the group id is only used for broker-side accounting."""
+    query's checkpoint.  ``group_id`` becomes the prefix of a group id of its
+    own for every query: queries that share one group would each read only
+    part of the topic."""
     o = {"subscribe": topic, "kafka.bootstrap.servers": bootstrap_servers,
          "startingOffsets": starting_offsets, "failOnDataLoss": "true"}
     if group_id:
-        o["kafka.group.id"] = group_id
+        o["groupIdPrefix"] = group_id
     if max_offsets_per_trigger:
         o["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return o
@@ -81,14 +113,19 @@ def incident_records(spark: SparkSession, source: dict, streaming: bool = True)
     """Incident records from the configured source.
 
     ``{"kind": "kafka", ...kafka_source_options}`` or
-    ``{"kind": "directory", "path": ..., "files_per_trigger": 1}``.
+    ``{"kind": "directory", "path": ..., "files_per_trigger": 1}``; with
+    ``"staged": folder`` a streaming directory source replays the files that
+    are there now in path order (:func:`replay_in_path_order`).
     """
     kind = source.get("kind", "directory")
     if kind == "kafka":
         opts = {k: v for k, v in source.items() if k != "kind"}
         return kafka_records(spark, opts, streaming)
     if kind == "directory":
-        lines = directory_lines(spark, source["path"], streaming, source.get("files_per_trigger", 1))
+        path = source["path"]
+        if streaming and source.get("staged"):
+            path = replay_in_path_order(spark, path, source["staged"])
+        lines = directory_lines(spark, path, streaming, source.get("files_per_trigger", 1))
         return keyed_lines(lines)
     raise ValueError(f"unknown source kind {kind!r}")
 

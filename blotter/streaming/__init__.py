@@ -2,9 +2,9 @@
 
 from blotter.streaming.windows import (month_image_stream, sliding_counts_stream,
                                        with_watermark)
-from blotter.streaming.stateful import month_image_per_row
+from blotter.streaming.stateful import PerRowImage
 from blotter.streaming.runner import run_available_now
 from blotter.streaming.metrics import late_rows_dropped
 
 __all__ = ["month_image_stream", "sliding_counts_stream", "with_watermark",
-           "month_image_per_row", "run_available_now", "late_rows_dropped"]
+           "PerRowImage", "run_available_now", "late_rows_dropped"]

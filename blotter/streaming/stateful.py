@@ -1,188 +1,116 @@
 """T2 / A3 on streams (mode A): one output row per incoming incident.
 
-A stateful processor keyed by (primary_description, district, month_start)
-keeps the four running counters of the open month.  Each incoming row whose
-month is still open (month end after the watermark) bumps the counters and
-emits the new values; rows of a closed month are dropped (L1).  An event-time
-timer at the month end clears the state, so state lives only while a month
-can still change.  The event-time column is projected away before the
-operator: rows are judged late by their month end, not by their own time.
-
-Rows of one key within a micro-batch are taken in arrival order; each Arrow
-chunk is ordered by the arrival column (``arrival_col``, ties by id).
+Runs in ``foreachBatch``.  Each micro-batch is written once to the state
+folder; its open-month rows get running counters with the distributed prefix
+sum of :func:`~blotter.operators.running.running_counts` (arrival order over
+the whole micro-batch, a hot key spans many tasks), to which the counters that
+its keys had before are added by a join.
+
+State is data, not partitions: a table of open (category, district, month)
+keys with their four counters, written per micro-batch below the query's
+checkpoint together with the watermark (largest event time of all earlier
+micro-batches minus the delay).  A replayed micro-batch starts from the state
+of the one before it, so replays give the same rows, and nothing depends on
+partition counts, so a restart may use any cluster size.
+
+Rows of a closed month (month end at or before the watermark) are dropped
+(L1); keys of closed months leave the state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-
-from blotter.session import configure_streaming_state
-
-STATE_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in
-                             ("count", "count_arrest", "count_domestic", "count_monitored_by_fbi")])
-OUTPUT_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("primary_description", T.StringType()),
-    T.StructField("district", T.IntegerType()),
-    T.StructField("month_start_ms", T.LongType()),
-    T.StructField("arrival_ms", T.LongType()),
-    T.StructField("count", T.LongType()),
-    T.StructField("count_arrest", T.LongType()),
-    T.StructField("count_domestic", T.LongType()),
-    T.StructField("count_monitored_by_fbi", T.LongType()),
-])
-FLAGS = {"count_arrest": "arrest", "count_domestic": "domestic",
-         "count_monitored_by_fbi": "monitored_by_fbi"}
 
+from blotter.operators.running import running_counts
+from blotter.schema import COUNTERS
 
-class MonthRunningCounter(StatefulProcessor):
-    """Per-key running counters of one calendar month."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.counts = handle.getValueState("counts", STATE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        held = self.counts.get()
-        state = np.array(held if held is not None else (0, 0, 0, 0), dtype=np.int64)
-        timer = None
-        for pdf in rows:
-            live = pdf["month_end_ms"].to_numpy() > watermark      # L1: month still open
-            if not live.all():
-                pdf = pdf[live]
-            if pdf.empty:
-                continue
-            order = np.lexsort((pdf["id"].to_numpy(), pdf["arrival_ms"].to_numpy()))
-            flags = np.column_stack([np.ones(len(order), dtype=np.int64)] + [
-                pdf[f].to_numpy(dtype=bool, na_value=False)[order].astype(np.int64) for f in FLAGS.values()])
-            run = np.cumsum(flags, axis=0) + state
-            state = run[-1]
-            timer = int(pdf["month_end_ms"].iat[0])
-            out = {"id": pdf["id"].to_numpy()[order],
-                   "primary_description": pdf["primary_description"].to_numpy()[order],
-                   "district": pdf["district"].to_numpy()[order],
-                   "month_start_ms": pdf["month_start_ms"].to_numpy()[order],
-                   "arrival_ms": pdf["arrival_ms"].to_numpy()[order]}
-            for i, name in enumerate(STATE_SCHEMA.names):
-                out[name] = run[:, i]
-            yield pd.DataFrame(out)
-        if timer is not None:
-            self.counts.update(tuple(int(v) for v in state))
-            if held is None:            # first rows of this month: clear it at month end
-                self.handle.registerTimer(timer)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.counts.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-KEY_SCHEMA = "primary_description string, district int, month_start_ms long"
-BUCKET_STATE_SCHEMA = T.StructType(STATE_SCHEMA.fields + [T.StructField("month_end_ms", T.LongType())])
 KEY_COLS = ["primary_description", "district", "month_start_ms"]
-
-
-class BucketRunningCounter(StatefulProcessor):
-    """Running counters of many (category, district, month) keys that share a
-    hash bucket: one invocation per bucket and micro-batch instead of one per
-    key, the counters of each key in map state, and one timer per distinct
-    month end clearing that month's keys."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.counts = handle.getMapState("counts", KEY_SCHEMA, BUCKET_STATE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        timers = set()
-        for pdf in rows:
-            live = pdf["month_end_ms"].to_numpy() > watermark      # L1: month still open
-            if not live.all():
-                pdf = pdf[live]
-            if pdf.empty:
-                continue
-            pdf = pdf.sort_values(KEY_COLS + ["arrival_ms", "id"], kind="stable").reset_index(drop=True)
-            flags = np.column_stack([np.ones(len(pdf), dtype=np.int64)] + [
-                pdf[f].to_numpy(dtype=bool, na_value=False).astype(np.int64) for f in FLAGS.values()])
-            keys = pdf[KEY_COLS]
-            new_key = ~(keys == keys.shift(1)).all(axis=1).to_numpy()
-            new_key[0] = True
-            starts = np.flatnonzero(new_key)
-            stops = np.append(starts[1:], len(pdf))
-            run = np.empty_like(flags)
-            pds, dists = pdf["primary_description"].to_numpy(), pdf["district"].to_numpy()
-            months, ends = pdf["month_start_ms"].to_numpy(), pdf["month_end_ms"].to_numpy()
-            for a, b in zip(starts, stops):
-                k = (str(pds[a]), int(dists[a]), int(months[a]))
-                held = self.counts.getValue(k)
-                base = np.array(held[:4] if held is not None else (0, 0, 0, 0), dtype=np.int64)
-                seg = np.cumsum(flags[a:b], axis=0) + base
-                run[a:b] = seg
-                end = int(ends[a])
-                self.counts.updateValue(k, tuple(int(v) for v in seg[-1]) + (end,))
-                if held is None and end not in timers:
-                    self.handle.registerTimer(end)
-                    timers.add(end)
-            out = {"id": pdf["id"].to_numpy(), "primary_description": pds, "district": dists,
-                   "month_start_ms": months, "arrival_ms": pdf["arrival_ms"].to_numpy()}
-            for i, name in enumerate(STATE_SCHEMA.names):
-                out[name] = run[:, i]
-            yield pd.DataFrame(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # every month that ended at or before the watermark is closed: clear
-        # them all now, so the bucket's other timers of this batch find little
-        end = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        done = [k for k, v in self.counts.iterator() if v[4] <= end]
-        for k in done:
-            self.counts.removeKey(k)
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-def month_image_per_row(enriched: DataFrame, ts_col: str = "ts",
-                        arrival_col: str | None = None, buckets: int | None = None) -> DataFrame:
-    """Mode A stream: ``enriched`` must already carry a watermark on ``ts_col``.
-    ``arrival_col`` (a long, e.g. the Kafka offset) orders rows inside a
-    batch; the event time is used when none is given.
-
-    ``buckets``: 0 = one state group per (category, district, month); N > 0 =
-    the keys share N hash buckets (fewer, larger invocations; same results,
-    same per-key skew profile); None = 4 x the shuffle partitions."""
-    spark = enriched.sparkSession
-    configure_streaming_state(spark)   # this operator needs RocksDB state
-    ms = F.date_trunc("month", F.col(ts_col))
-    arrival = (F.col(arrival_col).cast("bigint") if arrival_col
-               else F.unix_millis(F.col(ts_col)))
-    prepared = enriched.select(
+FLAGS = {"count": None, "count_arrest": "arrest", "count_domestic": "domestic",
+         "count_monitored_by_fbi": "monitored_by_fbi"}
+STATE = T.StructType([T.StructField("primary_description", T.StringType()), T.StructField("district", T.IntegerType()),
+                      T.StructField("month_start_ms", T.LongType()), T.StructField("month_end_ms", T.LongType())]
+                     + [T.StructField(c, T.LongType()) for c in COUNTERS])
+#: Epochs kept: the one being written, the last committed one and the one before it.
+SLOTS = 3
+
+
+def _prepared(batch: DataFrame, ts_col: str, arrival_col: str | None) -> DataFrame:
+    month = F.date_trunc("month", F.col(ts_col))
+    event = F.unix_millis(F.col(ts_col))
+    arrival = F.col(arrival_col).cast("bigint") if arrival_col else event
+    return batch.select(
         "id", "primary_description", "district", "arrest", "domestic", "monitored_by_fbi",
-        F.unix_millis(ms).alias("month_start_ms"),
-        F.unix_millis(ms + F.expr("INTERVAL 1 MONTH")).alias("month_end_ms"),
-        arrival.alias("arrival_ms"))
-    if buckets is None:
-        buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if buckets:
-        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in KEY_COLS]), F.lit(buckets))
-        out = (prepared.withColumn("_bucket", bucket).groupBy("_bucket")
-               .transformWithStateInPandas(BucketRunningCounter(), OUTPUT_SCHEMA, "Append", "EventTime"))
-    else:
-        out = (prepared.groupBy(*KEY_COLS)
-               .transformWithStateInPandas(MonthRunningCounter(), OUTPUT_SCHEMA, "Append", "EventTime"))
-    return out.select(
-        "id", "district",
-        F.month(F.timestamp_millis(F.col("month_start_ms"))).alias("month"),
-        "primary_description",
-        F.timestamp_millis(F.col("month_start_ms")).alias("month_start"),
-        "arrival_ms", "count", "count_arrest", "count_domestic", "count_monitored_by_fbi")
+        F.unix_millis(month).alias("month_start_ms"),
+        F.unix_millis(month + F.expr("INTERVAL 1 MONTH")).alias("month_end_ms"),
+        event.alias("event_ms"), arrival.alias("arrival_ms"))
+
+
+class PerRowImage:
+    """``foreachBatch`` function of mode A.
+
+    ``state``: folder below the query's ``checkpointLocation``; ``sink``:
+    called with (rows, epoch) for every micro-batch, must be idempotent per
+    epoch; ``delay_seconds``: the watermark delay."""
+
+    def __init__(self, state: str, sink: Callable[[DataFrame, int], None], delay_seconds: int,
+                 ts_col: str = "ts", arrival_col: str | None = None):
+        self.state, self.sink, self.delay_ms = state, sink, delay_seconds * 1000
+        self.ts_col, self.arrival_col = ts_col, arrival_col
+
+    def _slot(self, epoch: int) -> str:
+        return f"{self.state}/slot={epoch % SLOTS}"
+
+    def _before(self, spark: SparkSession, epoch: int) -> tuple[DataFrame, int | None]:
+        """Keys and watermark that the micro-batch before ``epoch`` left."""
+        if epoch == 0:
+            return spark.createDataFrame([], STATE), None
+        try:
+            mark = spark.read.parquet(f"{self._slot(epoch - 1)}/mark").first()
+        except AnalysisException as e:
+            raise RuntimeError(f"no state of micro-batch {epoch - 1} below {self.state}") from e
+        if mark["epoch"] != epoch - 1:
+            raise RuntimeError(f"state of micro-batch {epoch - 1} below {self.state} is gone")
+        return spark.read.schema(STATE).parquet(f"{self._slot(epoch - 1)}/keys"), mark["watermark_ms"]
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        held, watermark = self._before(spark, epoch)
+        slot = self._slot(epoch)
+        prepared = _prepared(batch, self.ts_col, self.arrival_col)
+        prepared.write.mode("overwrite").parquet(f"{slot}/input")
+        rows = spark.read.schema(prepared.schema).parquet(f"{slot}/input")
+        live = rows if watermark is None else rows.where(F.col("month_end_ms") > watermark)
+        run = running_counts(live, KEY_COLS, ["arrival_ms", "id"], FLAGS)
+        base = held.select(*[F.col(c).alias("_" + c) for c in STATE.names])
+        same = [F.col(c).eqNullSafe(F.col("_" + c)) for c in KEY_COLS]
+        out = run.join(base, same, "left").select(
+            "id", "district", F.month(F.timestamp_millis("month_start_ms")).alias("month"), "primary_description",
+            F.timestamp_millis("month_start_ms").alias("month_start"), "arrival_ms",
+            *[(F.col(c) + F.coalesce(F.col("_" + c), F.lit(0))).alias(c) for c in COUNTERS])
+        self.sink(out, epoch)
+        self._advance(spark, rows, live, held, watermark, epoch)
+
+    def _advance(self, spark, rows, live, held, watermark, epoch) -> None:
+        seen = rows.agg(F.max("event_ms").alias("m")).first()["m"]
+        marks = [m for m in (watermark, None if seen is None else seen - self.delay_ms) if m is not None]
+        mark = max(marks) if marks else None
+        delta = live.select(*KEY_COLS, "month_end_ms", *[
+            (F.lit(1) if src is None else F.coalesce(F.col(src), F.lit(False))).cast("bigint").alias(c) for c, src in FLAGS.items()])
+        keys = held.unionByName(delta).groupBy(*KEY_COLS, "month_end_ms").agg(*[F.sum(c).alias(c) for c in COUNTERS])
+        if mark is not None:
+            keys = keys.where(F.col("month_end_ms") > mark)
+        slot = self._slot(epoch)
+        keys.select(*STATE.names).write.mode("overwrite").parquet(f"{slot}/keys")
+        spark.createDataFrame([(epoch, mark)], "epoch long, watermark_ms long").coalesce(1).write.mode("overwrite").parquet(f"{slot}/mark")
+
+
+def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Rows of every micro-batch in a folder of its own, replaced on replay."""
+    def write(rows: DataFrame, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+    return write

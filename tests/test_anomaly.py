@@ -23,33 +23,33 @@ def _enriched(spark, code_file):
 def test_all_windows_golden(spark, code_file):
     enr = _enriched(spark, code_file)
     res = anomaly_results(sliding_counts(enr, 30, 1)).collect()
-    assert len(res) == 127
+    assert len(res) == FX.WINDOWS
     got = Counter((r["count"], r.count_monitored_by_fbi, r.percentage_monitored_by_fbi) for r in res)
     want = Counter()
     for n, m, p, k, _, _ in FX.SLIDING:
         want[(n, m, p)] += k
     assert got == want
     first = min(res, key=lambda r: r.start)
-    assert first.start == dt.datetime(2022, 12, 3) and first.end == dt.datetime(2023, 1, 2)
-    closed = [r for r in res if r.end <= dt.datetime(2023, 4, 17)]
-    assert len(closed) == 96
+    assert first.start == dt.datetime(2020, 12, 6) and first.end == dt.datetime(2021, 1, 5)
+    closed = [r for r in res if r.end <= dt.datetime(2021, 4, 22)]
+    assert len(closed) == FX.CLOSED_WINDOWS
 
 
 def test_alert_thresholds(spark, code_file):
     enr = _enriched(spark, code_file)
-    for th, n in [(60, 28), (50, 28), (110, 0)]:
+    for th, n in [(60, FX.ALERTS), (50, FX.ALERTS), (110, 0)]:
         assert batch.anomaly_alerts(enr, PipelineConfig(anomaly_threshold=th)).count() == n
     opened = batch.anomaly_alerts(enr, PipelineConfig(anomaly_threshold=50), closed_only=False)
-    assert opened.count() == 30
-    assert opened.where(F.col("percentage_monitored_by_fbi") == 60.0).count() == 1
+    assert opened.count() == FX.OPEN_ABOVE_50
+    assert opened.where(F.col("percentage_monitored_by_fbi") == 60.0).count() == FX.EXACTLY_60
     at_60 = batch.anomaly_alerts(enr, PipelineConfig(anomaly_threshold=60), closed_only=False)
-    assert at_60.count() == 29
+    assert at_60.count() == FX.OPEN_ABOVE_60
     assert at_60.where(F.col("percentage_monitored_by_fbi") == 60.0).count() == 0
 
 
 def test_alert_text(spark, code_file):
     msgs = [r.value for r in batch.anomaly_alert_messages(_enriched(spark, code_file)).collect()]
-    assert FX.FIRST_ALERT in msgs and len(msgs) == 28
+    assert FX.FIRST_ALERT in msgs and len(msgs) == FX.ALERTS
 
 
 def test_pane_sharing_matches_direct_windows(spark, code_file):
@@ -76,4 +76,4 @@ def test_local_datetime_text(spark):
 
 def test_watermark_scalar(spark, code_file):
     enr = _enriched(spark, code_file)
-    assert enr.select(watermark_of(enr).alias("w")).first().w == dt.datetime(2023, 4, 17)
+    assert enr.select(watermark_of(enr).alias("w")).first().w == dt.datetime(2021, 4, 22, 0, 30)

@@ -44,6 +44,6 @@ def test_scale_settings():
     small = scale_settings(10 * 1024 * 1024)
     assert small["spark.sql.shuffle.partitions"] == "1"
     big = scale_settings(100 * 1024 ** 4)                      # 100 TB
-    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.shuffle.partitions"] == "409600"     # no cap: 256 MB each
     assert big["spark.sql.files.maxPartitionBytes"] == "256m"
     assert scale_settings(1024 ** 4)["spark.sql.shuffle.partitions"] == "4096"

@@ -22,14 +22,14 @@ def test_job_end_to_end(spark, incident_dir, code_file, tmp_dir, mode, months):
              for r in read_serving(spark, out.serving_path).collect()}
     assert image == {m: FX.MONTHLY[m] for m in months}      # mode A also shows the open April
     texts = [r.value for r in read_alert_log(spark, out.alert_path).collect()]
-    assert len(texts) == 28 and FX.FIRST_ALERT in texts
+    assert len(texts) == FX.ALERTS and FX.FIRST_ALERT in texts
     assert spark.read.parquet(out.rejects_path).count() == 0
 
 
 def test_kafka_option_builders():
     src = kafka_source_options("incidents", "broker:9092", "g1", max_offsets_per_trigger=1000)
     assert src["subscribe"] == "incidents" and src["startingOffsets"] == "earliest"
-    assert src["kafka.group.id"] == "g1" and src["maxOffsetsPerTrigger"] == "1000"
+    assert src["groupIdPrefix"] == "g1" and "kafka.group.id" not in src and src["maxOffsetsPerTrigger"] == "1000"
     assert kafka_sink_options("anomalies", "broker:9092") == {
         "topic": "anomalies", "kafka.bootstrap.servers": "broker:9092", "kafka.acks": "all"}
 
@@ -43,7 +43,7 @@ def test_batch_job_same_outputs(spark, incident_dir, code_file, tmp_dir, mode, m
              for r in read_serving(spark, f"{tmp_dir}/serving").collect()}
     assert image == {m: FX.MONTHLY[m] for m in months}
     texts = [r.value for r in read_alert_log(spark, f"{tmp_dir}/alerts").collect()]
-    assert len(texts) == 28 and FX.FIRST_ALERT in texts
+    assert len(texts) == FX.ALERTS and FX.FIRST_ALERT in texts
 
 
 def test_cli_batch(spark, incident_dir, code_file, tmp_dir):
@@ -75,14 +75,14 @@ def test_job_resumes_from_its_checkpoints(spark, code_file, tmp_dir):
     out = Outputs(serving_path=f"{tmp_dir}/serving", alert_path=f"{tmp_dir}/alerts")
     run_to_end(start_job(spark, cfg, out, {"availableNow": True}))
     first = {r.month for r in read_serving(spark, out.serving_path).collect()}
-    assert first == {1}                         # watermark 02-28 00:08: February still open
+    assert first == {1}                         # watermark 02-26 03:10: February still open
     _write(f"{src}/part-0002.csv", [FX.HEADER] + FX.FILE_2, 1_700_000_100)
     run_to_end(start_job(spark, cfg, out, {"availableNow": True}))
     image = {r.month: (r["count"], r.count_arrest, r.count_domestic, r.count_monitored_by_fbi)
              for r in read_serving(spark, out.serving_path).collect()}
     assert image == {m: FX.MONTHLY[m] for m in (1, 2, 3)}
     texts = [r.value for r in read_alert_log(spark, out.alert_path).collect()]
-    assert len(texts) == 28 and len(set(texts)) == 28 and FX.FIRST_ALERT in texts
+    assert len(texts) == FX.ALERTS and len(set(texts)) == FX.ALERTS and FX.FIRST_ALERT in texts
 
 
 def test_cli_stream_available_now(spark, incident_dir, code_file, tmp_dir):
@@ -101,12 +101,16 @@ def test_batch_job_csv_lookup_and_fail_mode(spark, incident_dir, code_file, tmp_
     cfg = PipelineConfig(mode="C", lookup_path=code_file, lookup_parse="csv")
     run_batch_job(spark, cfg, incident_dir, f"{tmp_dir}/serving", f"{tmp_dir}/alerts")
     assert read_serving(spark, f"{tmp_dir}/serving").count() == 3
-    _write(f"{incident_dir}/part-0003.csv", [FX.HEADER, "99,not-a-date,0110,True,False,1.0,1,1,1"],
+    _write(f"{incident_dir}/part-0003.csv", [FX.HEADER, "99,not-a-date,0310,True,False,1.0,1,1,1"],
            1_700_000_200)
     with pytest.raises(Exception, match="malformed incident record"):
         run_batch_job(spark, cfg.with_(on_error="fail"), incident_dir, f"{tmp_dir}/serving2")
     run_batch_job(spark, cfg, incident_dir, f"{tmp_dir}/serving3", rejects_path=f"{tmp_dir}/rej")
-    assert [r.key for r in spark.read.parquet(f"{tmp_dir}/rej").collect()] == ["99"]
+    run_batch_job(spark, cfg, incident_dir, f"{tmp_dir}/serving3", f"{tmp_dir}/alerts3", rejects_path=f"{tmp_dir}/rej")
+    assert [r.key for r in spark.read.parquet(f"{tmp_dir}/rej").collect()] == ["99"]      # a rerun replaces
+    before = read_alert_log(spark, f"{tmp_dir}/alerts3").count()
+    run_batch_job(spark, cfg, incident_dir, f"{tmp_dir}/serving3", f"{tmp_dir}/alerts3")
+    assert read_alert_log(spark, f"{tmp_dir}/alerts3").count() == before
 
 
 def test_job_keep_year(spark, incident_dir, code_file, tmp_dir):
@@ -115,4 +119,54 @@ def test_job_keep_year(spark, incident_dir, code_file, tmp_dir):
     out = Outputs(serving_path=f"{tmp_dir}/serving", alert_path=f"{tmp_dir}/alerts")
     run_to_end(start_job(spark, cfg, out, {"availableNow": True}))
     got = sorted((r.year, r.month, r["count"]) for r in spark.read.parquet(out.serving_path).collect())
-    assert got == [(2023, 1, 4), (2023, 2, 1), (2023, 3, 2)]
+    assert got == [(2021, m, FX.MONTHLY[m][0]) for m in (1, 2, 3)]
+
+
+def test_failing_query_stops_the_job(spark, code_file, tmp_dir):
+    """One output fails: the job raises and the other queries are stopped."""
+    import os
+    from tests.conftest import _write
+    src = f"{tmp_dir}/incidents"
+    os.makedirs(src)
+    _write(f"{src}/part-0001.csv", [FX.HEADER] + FX.FILE_1)
+    cfg = PipelineConfig(mode="C", lookup_path=code_file, checkpoint_dir=f"{tmp_dir}/chk",
+                         source={"kind": "directory", "path": src, "files_per_trigger": 1})
+    blocked = f"{tmp_dir}/blocked"
+    _write(blocked, ["a file where the alert folder should be"])
+    queries = []
+    with pytest.raises(Exception):
+        queries = start_job(spark, cfg, Outputs(f"{tmp_dir}/serving", alert_path=blocked), {"processingTime": "1 second"})
+        run_to_end(queries)
+    assert not any(q.isActive for q in spark.streams.active)
+
+
+def test_unknown_and_incomplete_flags_are_errors(tmp_dir):
+    from blotter.__main__ import main
+    with pytest.raises(SystemExit):
+        PipelineConfig.from_args(["--anomaly-treshold", "50"])
+    with pytest.raises(SystemExit):
+        main(["--serving-path", "/s", "--code-table", "/c", "--batch", "--input-topic", "t", "--bootstrap-servers", "b"])
+    cfg = PipelineConfig.from_args(["--watermark", "2 days", "--on-error", "fail", "--keep-year", "--salt-buckets", "8"])
+    assert (cfg.watermark_seconds, cfg.on_error, cfg.keep_year, cfg.salt_buckets) == (172800, "fail", True, 8)
+
+
+def test_replay_goes_by_path_not_by_time(spark, tmp_dir):
+    import os
+    from blotter.__main__ import main
+    from blotter.sources.records import directory_lines, replay_in_path_order
+    from blotter.streaming.runner import run_available_now
+    from tests.conftest import _write
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    for i, name in enumerate(["c.csv", "b.csv", "a.csv"]):          # the newest file comes first by path
+        _write(f"{src}/{name}", ["header", f"{name},1"], 1_700_000_000 + 100 * i)
+    seen = []
+    stream = directory_lines(spark, replay_in_path_order(spark, src, f"{tmp_dir}/staged"), streaming=True)
+    run_available_now(stream, f"{tmp_dir}/chk", foreach_batch=lambda df, e: seen.extend(r.value for r in df.collect()))
+    assert seen == ["a.csv,1", "b.csv,1", "c.csv,1"]
+    _write(f"{src}/d.csv", ["header", "d.csv,1"], 1_600_000_000)
+    replay_in_path_order(spark, src, f"{tmp_dir}/staged")               # only the new file is staged
+    run_available_now(stream, f"{tmp_dir}/chk", foreach_batch=lambda df, e: seen.extend(r.value for r in df.collect()))
+    assert seen == ["a.csv,1", "b.csv,1", "c.csv,1", "d.csv,1"]
+    assert main(["publish", "--input-dir", src, "--output-path", f"{tmp_dir}/published"]) == 0
+    assert directory_lines(spark, f"{tmp_dir}/published/files/*").count() == 4

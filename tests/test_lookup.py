@@ -17,8 +17,8 @@ def _lines(spark, lines):
 def test_small_table_padded(spark, code_file):
     codes = {r.code: (r.primary_description, r.monitored_by_fbi)
              for r in read_code_table(spark, code_file).collect()}
-    assert codes == {"0110": ("HOMICIDE", True), "0130": ("HOMICIDE", True),
-                     "0141": ("HOMICIDE", False), "0142": ("HOMICIDE", False)}
+    assert codes == {"0310": ("PIRACY", True), "0311": ("PIRACY", False),
+                     "0320": ("SMUGGLING", True), "0321": ("SMUGGLING", False)}
 
 
 def test_pad_only_three_characters(spark):
@@ -51,13 +51,13 @@ def test_trailing_space_kept(spark):
 
 def test_enrich_defaults_and_unpadded_incident_code(spark, code_file):
     from blotter.functions.parse import parse_records
-    lines = ["1,2023-05-01T00:00:00.000Z,0110,true,false,1.0,1,1,1",
+    lines = ["1,2023-05-01T00:00:00.000Z,0310,true,false,1.0,1,1,1",
              "2,2023-05-01T00:00:00.000Z,9999,true,false,1.0,1,1,1",
-             "3,2023-05-01T00:00:00.000Z,110,true,false,1.0,1,1,1"]
+             "3,2023-05-01T00:00:00.000Z,310,true,false,1.0,1,1,1"]
     inc, _ = parse_records(records_df(spark, lines))
     out = {r.id: (r.primary_description, r.monitored_by_fbi)
            for r in enrich(inc, read_code_table(spark, code_file)).collect()}
-    assert out == {1: ("HOMICIDE", True), 2: ("", False), 3: ("", False)}
+    assert out == {1: ("PIRACY", True), 2: ("", False), 3: ("", False)}
 
 
 @pytest.mark.parametrize("kw", [{"broadcast": False}, {"broadcast": False, "salt_buckets": 3},
@@ -80,7 +80,7 @@ def test_broadcast_check_is_bounded(spark):
 
 def test_trailing_empty_index_field_is_short(spark):
     with pytest.raises(ValueError, match="short|duplicate"):
-        code_table_from_lines(_lines(spark, ["110,HOMICIDE,X,"]))
+        code_table_from_lines(_lines(spark, ["110,PIRACY,X,"]))
 
 
 def test_hot_code_split_by_aqe_on_shuffle_path(spark):
@@ -113,3 +113,16 @@ def test_hot_code_split_by_aqe_on_shuffle_path(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_shuffle_path_never_broadcasts_at_default_thresholds(spark, code_file):
+    from blotter.functions.parse import parse_records
+    inc, _ = parse_records(records_df(spark, FX.FILE_1 + FX.FILE_2))
+    codes = read_code_table(spark, code_file)
+    for salt in (0, 4):
+        df = enrich(inc, codes, broadcast=False, salt_buckets=salt)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    with pytest.raises(ValueError, match="too large to broadcast"):
+        enrich(inc, codes, broadcast=True, max_rows=2)

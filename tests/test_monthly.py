@@ -21,7 +21,7 @@ def test_monthly_image_all_and_closed(spark, code_file):
            for r in batch.monthly_image(enr, closed_only=False).collect()}
     assert img == FX.MONTHLY
     closed = {r.month for r in batch.monthly_image(enr, closed_only=True).collect()}
-    assert closed == {1, 2, 3}          # April still open at watermark 2023-04-17
+    assert closed == {1, 2, 3}          # April still open at watermark 2021-04-22
 
 
 def test_month_edge_not_merged(spark, code_file):
@@ -41,6 +41,6 @@ def test_unknown_code_still_counted(spark, code_file):
 
 def test_watermark_config(spark, code_file):
     enr = _enriched(spark, code_file, FX.FILE_1 + FX.FILE_2)
-    cfg = PipelineConfig(watermark="20 days")    # 04-18 - 20 days = 03-29: March still open
+    cfg = PipelineConfig(watermark="30 days")    # 04-23 - 30 days = 03-24: March still open
     closed = {r.month for r in batch.monthly_image(enr, cfg, closed_only=True).collect()}
     assert closed == {1, 2}

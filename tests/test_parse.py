@@ -18,11 +18,11 @@ def _parse(spark, lines, on_error="reject"):
 
 def test_sample_rows_typed(spark):
     good, rej = _parse(spark, FX.FILE_1 + FX.FILE_2)
-    assert rej == [] and len(good) == 15
+    assert rej == [] and len(good) == 14
     r = good[0]
-    assert r == {"id": 1, "date": dt.datetime(2023, 1, 1, 0, 8), "iucr_code": "0110",
-                 "arrest": True, "domestic": False, "district": 1}
-    assert [g["id"] for g in good] == list(range(1, 16))
+    assert r == {"id": 101, "date": dt.datetime(2021, 1, 4, 9, 30), "iucr_code": "0310",
+                 "arrest": True, "domestic": False, "district": 4}
+    assert [g["id"] for g in good] == list(range(101, 115))
 
 
 def test_blank_district_dropped_empty_rejected(spark):
@@ -88,3 +88,15 @@ def test_keyed_text_literal_separator(spark):
     df = spark.createDataFrame([("7|a|b",), ("no-separator",), ("|x",)], "value string")
     got = [tuple(r) for r in keyed_text(df, "|").collect()]
     assert got == [("7", "a|b"), (None, "no-separator"), ("", "x")]
+
+
+def test_dates_resolve_as_on_the_jvm(spark):
+    """A day up to 31 the month lacks is its last; 24:00:00.000 the next midnight."""
+    texts = {1: "2023-02-30T10:00:00.000Z", 2: "2024-02-30T10:00:00.000Z", 3: "2023-04-31T23:59:59.999Z",
+             4: "2023-12-31T24:00:00.000Z", 5: "2023-02-31T24:00:00.000Z", 6: "2023-02-32T10:00:00.000Z",
+             7: "2023-13-01T10:00:00.000Z", 8: "2023-01-01T24:00:01.000Z", 9: "0000-01-01T10:00:00.000Z", 10: "2023-02-00T10:00:00.000Z"}
+    good, rej = _parse(spark, [f"{i},{t},0310,True,False,1.0,1,1,1" for i, t in texts.items()])
+    assert {r["id"]: r["date"] for r in good} == {
+        1: dt.datetime(2023, 2, 28, 10), 2: dt.datetime(2024, 2, 29, 10), 3: dt.datetime(2023, 4, 30, 23, 59, 59, 999000),
+        4: dt.datetime(2024, 1, 1), 5: dt.datetime(2023, 3, 1)}
+    assert sorted(int(r["key"]) for r in rej) == [6, 7, 8, 9, 10]

@@ -1,6 +1,7 @@
 """Randomised check of record parsing against a small pure-Python model of the
 record semantics (one Spark job over ~2000 generated records)."""
 
+import calendar
 import datetime as dt
 import math
 import random
@@ -19,9 +20,10 @@ def model_date(s):
     if s is None or not DATE_RE.match(s):
         return None
     try:
-        return dt.datetime.strptime(s[:-1], "%Y-%m-%dT%H:%M:%S.%f")
-    except ValueError:
-        return None                      # impossible calendar dates are rejected
+        day = min(int(s[8:10]), calendar.monthrange(int(s[:4]), int(s[5:7]))[1]) if 1 <= int(s[8:10]) <= 31 else 0
+        return dt.datetime.strptime(f"{s[:8]}{day:02d}{s[10:-1]}", "%Y-%m-%dT%H:%M:%S.%f")
+    except (ValueError, IndexError):        # calendar errors are ValueErrors
+        return None                         # no such month, or a day over 31
 
 
 def model_district(s):

@@ -17,12 +17,12 @@ from tests.conftest import records_df
 def test_sample_rows_running_counts(spark, code_file, parts):
     enr, _ = batch.enriched_incidents(records_df(spark, FX.FILE_1 + FX.FILE_2),
                                       read_code_table(spark, code_file))
-    # arrival order = id (the sample ids follow the files); row 13 before row 14
+    # arrival order = id (the sample ids follow the files); row 108 before row 109
     run = batch.monthly_running(enr, ["id"], num_partitions=parts)
     rows = sorted(run.collect(), key=lambda r: r.id)
-    assert [r["count"] for r in rows] == [1, 2, 3, 4, 1, 1, 2, 1, 2, 3, 4, 5, 6, 7, 8]
+    assert [r["count"] for r in rows] == FX.RUNNING
     last = {r.month: (r["count"], r.count_arrest, r.count_domestic, r.count_monitored_by_fbi)
-            for r in rows if r.id in (4, 5, 7, 15)}
+            for r in rows if r.id in FX.LAST_OF_MONTH}
     assert last == FX.MONTHLY
 
 
@@ -72,3 +72,24 @@ def test_null_keys_and_order_values(spark):
             nf += int(r[3])
             exp[r[0]] = (n, nf)
     assert got == exp
+
+
+def test_partitions_follow_the_size_of_the_input(spark):
+    """The range exchange of a large input has its size's partitions, not the session's."""
+    from blotter import session
+    df = spark.range(10_000_000).select((F.col("id") % 3).alias("k"), "id")         # an estimate of 160 MB
+    assert session.partitions_for(100 * 1024 ** 4) == 409_600
+    size = session.plan_bytes(df)
+    assert size is not None and size >= 80_000_000
+    old = session.PARTITION_BYTES
+    small = spark.range(2000).select((F.col("id") % 3).alias("k"), "id")
+    import blotter.operators.running as R
+    try:
+        R.partitions_for = lambda n: session.partitions_for(n, 1000)               # as if 1000 bytes were 256 MB
+        out = R.running_counts(small, ["k"], ["id"], {"n": None})
+        assert out.count() == 2000
+        written = [r[0] for r in spark.read.parquet(out.inputFiles()[0].rsplit("/", 1)[0]).select(F.countDistinct("_pid")).collect()]
+        assert written[0] > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        R.partitions_for = session.partitions_for
+        assert session.PARTITION_BYTES == old

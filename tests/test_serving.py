@@ -64,7 +64,7 @@ def test_replayed_epoch_reuses_its_staged_copy(spark, tmp_dir):
     upsert_serving(_rows(spark, [(1, 1, "A", 1, 0, 0, 0, dt.datetime(2023, 2, 1)),
                                  (1, 2, "A", 5, 0, 0, 0, dt.datetime(2023, 3, 1))]), path, "month_end")
     batch = _rows(spark, [(1, 1, "A", 2, 0, 0, 0, dt.datetime(2023, 2, 1))])
-    upsert_serving(batch, path, "month_end", epoch_id=7)
+    upsert_serving(batch, path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=7)
     # simulate the state a crash mid-swap could leave: district 1's old rows gone,
     # replaced by a stray row
     stray = _rows(spark, [(1, 3, "B", 9, 9, 9, 9, dt.datetime(2023, 4, 1))]).drop("month_end")
@@ -72,17 +72,17 @@ def test_replayed_epoch_reuses_its_staged_copy(spark, tmp_dir):
                  "count_monitored_by_fbi", "district").write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy("district").parquet(path)
     assert sorted(r.month for r in read_serving(spark, path).collect()) == [3]
-    upsert_serving(batch, path, "month_end", epoch_id=7)            # replay of epoch 7
+    upsert_serving(batch, path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=7)            # replay of epoch 7
     got = sorted(tuple(r) for r in read_serving(spark, path).collect())
     assert got == [(1, 1, "A", 2, 0, 0, 0), (1, 2, "A", 5, 0, 0, 0)]
 
 
 def test_slot_reuse_only_for_the_same_epoch(spark, tmp_dir):
     path = f"{tmp_dir}/serving"
-    upsert_serving(_rows(spark, [(1, 1, "A", 1, 0, 0, 0, dt.datetime(2023, 2, 1))]), path, "month_end", epoch_id=7)
-    upsert_serving(_rows(spark, [(1, 1, "A", 3, 0, 0, 0, dt.datetime(2023, 2, 1))]), path, "month_end", epoch_id=9)
+    upsert_serving(_rows(spark, [(1, 1, "A", 1, 0, 0, 0, dt.datetime(2023, 2, 1))]), path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=7)
+    upsert_serving(_rows(spark, [(1, 1, "A", 3, 0, 0, 0, dt.datetime(2023, 2, 1))]), path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=9)
     assert [r["count"] for r in read_serving(spark, path).collect()] == [3]     # 9 shares 7's slot
-    upsert_serving(_rows(spark, [], ), path, "month_end", epoch_id=10)          # empty batch: no-op
+    upsert_serving(_rows(spark, [], ), path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=10)          # empty batch: no-op
     assert [r["count"] for r in read_serving(spark, path).collect()] == [3]
 
 
@@ -94,3 +94,30 @@ def test_read_serving_with_year(spark, tmp_dir):
                    path, "month_end", keep_year=True)
     got = sorted((r.year, r["count"]) for r in read_serving(spark, path, keep_year=True).collect())
     assert got == [(2022, 4), (2023, 9)]
+
+
+def test_staged_copies_of_another_run_are_never_reused(spark, tmp_dir):
+    """Another checkpoint, or the same one after a truncation, meets no old copy."""
+    path = f"{tmp_dir}/serving"
+    old = _rows(spark, [(1, 1, "A", 1, 0, 0, 0, dt.datetime(2023, 2, 1)), (1, 2, "B", 1, 0, 0, 0, dt.datetime(2023, 3, 1))])
+    new = _rows(spark, [(1, 1, "A", 7, 0, 0, 0, dt.datetime(2023, 2, 1))])
+    upsert_serving(old, path, "month_end", epoch_id=1, staging=f"{tmp_dir}/run1")
+    truncate_serving_table(spark, path)
+    upsert_serving(new, path, "month_end", epoch_id=1, staging=f"{tmp_dir}/run2")
+    assert [tuple(r) for r in read_serving(spark, path).collect()] == [(1, 1, "A", 7, 0, 0, 0)]
+    truncate_serving_table(spark, path)
+    upsert_serving(new, path, "month_end", epoch_id=1, staging=f"{tmp_dir}/run1")     # run 1's folder, new generation
+    assert [tuple(r) for r in read_serving(spark, path).collect()] == [(1, 1, "A", 7, 0, 0, 0)]
+
+
+def test_upsert_runs_its_input_once(spark, tmp_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = _rows(spark, [(d, 1, "X", 1, 0, 0, 0, dt.datetime(2023, 2, 1)) for d in range(40)])
+    upsert_serving(rows.mapInArrow(count, rows.schema), f"{tmp_dir}/serving", "month_end", epoch_id=0, staging=f"{tmp_dir}/staging")
+    assert seen.value == 40

@@ -13,7 +13,7 @@ from blotter.sources.codes import read_code_table
 from blotter.sources.read_models import read_alert_log, read_serving
 from blotter.sources.records import directory_lines, keyed_lines
 from blotter.streaming.runner import run_available_now
-from blotter.streaming.stateful import month_image_per_row
+from blotter.streaming.stateful import PerRowImage, parquet_sink
 from blotter.streaming.windows import month_image_stream, sliding_counts_stream, with_watermark
 from tests import fixtures as FX
 from tests.conftest import _write
@@ -48,14 +48,14 @@ def test_sliding_stream_alerts_and_text(spark, incident_dir, code_file, tmp_dir)
     res = anomaly_results(sliding_counts_stream(_events(spark, incident_dir, code_file), 30, 1))
     out = f"{tmp_dir}/windows"
     run_available_now(res, f"{tmp_dir}/chk", out)
-    assert spark.read.parquet(out).count() == 96          # closed windows only
+    assert spark.read.parquet(out).count() == FX.CLOSED_WINDOWS          # closed windows only
     log = f"{tmp_dir}/log"
     msgs = alert_messages(alerts(anomaly_results(sliding_counts_stream(
         _events(spark, incident_dir, code_file), 30, 1)), 60.0))
     q = alert_stream_writer(msgs, f"{tmp_dir}/chk2", path=log).trigger(availableNow=True).start()
     q.awaitTermination()
     texts = [r.value for r in read_alert_log(spark, log).collect()]
-    assert len(texts) == 28 and FX.FIRST_ALERT in texts
+    assert len(texts) == FX.ALERTS and FX.FIRST_ALERT in texts
 
 
 def test_late_rows_and_resume(spark, code_file, tmp_dir):
@@ -64,7 +64,7 @@ def test_late_rows_and_resume(spark, code_file, tmp_dir):
     March row that closes February."""
     src = f"{tmp_dir}/src"
     os.makedirs(src)
-    row = "{i},{d},0110,True,False,1.0,1.0,1.0,1.0"
+    row = "{i},{d},0310,True,False,4.0,1.0,1.0,1.0"
     _write(f"{src}/a.csv", [FX.HEADER, row.format(i=1, d="2023-01-10T00:00:00.000Z"),
                             row.format(i=2, d="2023-02-20T00:00:00.000Z")], 1_700_000_000)
     out, chk = f"{tmp_dir}/out", f"{tmp_dir}/chk"
@@ -81,13 +81,20 @@ def test_late_rows_and_resume(spark, code_file, tmp_dir):
     assert late_rows_dropped(q) == 1                       # the January row
 
 
+def _mode_a(spark, src, code_file, tmp_dir, name="a"):
+    """One run of mode A over what is there; returns all rows emitted so far."""
+    lines = directory_lines(spark, src, streaming=True)
+    inc, _ = parse_records(keyed_lines(lines))
+    events = enrich(with_event_time(inc), read_code_table(spark, code_file))
+    out, chk = f"{tmp_dir}/out-{name}", f"{tmp_dir}/chk-{name}"
+    run_available_now(events, chk, foreach_batch=PerRowImage(f"{chk}/per-row", parquet_sink(out), 86400, arrival_col="id"))
+    return sorted(spark.read.parquet(out).collect(), key=lambda r: r.id)
+
+
 def test_mode_a_stream_one_row_per_incident(spark, incident_dir, code_file, tmp_dir):
-    rows = month_image_per_row(_events(spark, incident_dir, code_file), arrival_col="id")
-    out = f"{tmp_dir}/out"
-    run_available_now(rows, f"{tmp_dir}/chk", out)
-    got = sorted(spark.read.parquet(out).collect(), key=lambda r: r.id)
-    assert [r["count"] for r in got] == [1, 2, 3, 4, 1, 1, 2, 1, 2, 3, 4, 5, 6, 7, 8]
-    assert [r.count_monitored_by_fbi for r in got if r.month == 4] == [0, 0, 0, 1, 2, 2, 2, 3]
+    got = _mode_a(spark, incident_dir, code_file, tmp_dir)
+    assert [r["count"] for r in got] == FX.RUNNING
+    assert [r.count_monitored_by_fbi for r in got if r.month == 4] == FX.RUNNING_MONITORED_APRIL
 
 
 def test_stream_serving_upsert_equals_batch(spark, incident_dir, code_file, tmp_dir):
@@ -104,12 +111,12 @@ def test_order_independence_within_watermark(spark, code_file, tmp_dir):
     src = f"{tmp_dir}/src"
     os.makedirs(src)
     lines = FX.FILE_1 + FX.FILE_2
-    _write(f"{src}/a.csv", [FX.HEADER] + lines[:7], 1_700_000_000)
-    _write(f"{src}/b.csv", [FX.HEADER] + list(reversed(lines[7:])), 1_700_000_100)
+    _write(f"{src}/a.csv", [FX.HEADER] + lines[:6], 1_700_000_000)
+    _write(f"{src}/b.csv", [FX.HEADER] + list(reversed(lines[6:])), 1_700_000_100)
     out = f"{tmp_dir}/out"
     run_available_now(anomaly_results(sliding_counts_stream(_events(spark, src, code_file), 30, 1)),
                       f"{tmp_dir}/chk", out)
-    assert spark.read.parquet(out).count() == 96
+    assert spark.read.parquet(out).count() == FX.CLOSED_WINDOWS
 
 
 def test_publish_lines_file_twin_round_trip(spark, tmp_dir):
@@ -119,7 +126,7 @@ def test_publish_lines_file_twin_round_trip(spark, tmp_dir):
     back = sorted(r.value for r in directory_lines(spark, f"{tmp_dir}/topic").collect())
     assert back == sorted(FX.FILE_1)
     keys = sorted(int(r.key) for r in keyed_lines(directory_lines(spark, f"{tmp_dir}/topic")).collect())
-    assert keys == list(range(1, 8))
+    assert keys == list(range(101, 107))
 
 
 def test_state_partitions_bounded_and_restored(spark):
@@ -135,28 +142,37 @@ def test_state_partitions_bounded_and_restored(spark):
         spark.conf.set(key, old)
 
 
-def test_mode_a_bucketed_equals_per_key_with_late_rows(spark, code_file, tmp_dir):
+def test_mode_a_resumes_with_other_partitions_and_drops_late_rows(spark, code_file, tmp_dir):
+    """Second arrival, on the same checkpoint and with another number of shuffle
+    partitions: a closed-month row is dropped, open months count on."""
     src = f"{tmp_dir}/src"
     os.makedirs(src)
-    row = "{i},{d},{c},True,False,1.0,1.0,1.0,1.0"
-    _write(f"{src}/a.csv", [FX.HEADER] + FX.FILE_1, 1_700_000_000)
-    results = {}
-    for buckets in (0, 3):
-        out, chk = f"{tmp_dir}/out{buckets}", f"{tmp_dir}/chk{buckets}"
-        rows = month_image_per_row(_events(spark, src, code_file), arrival_col="id", buckets=buckets)
-        run_available_now(rows, chk, out)
-        if buckets == 0:   # second arrival: a closed-month row (dropped) and open-month rows
-            _write(f"{src}/b.csv", [FX.HEADER, row.format(i=30, d="2023-01-20T00:00:00.000Z", c="0110"),
-                                    row.format(i=31, d="2023-02-27T00:00:00.000Z", c="0141"),
-                                    row.format(i=32, d="2023-03-02T00:00:00.000Z", c="0110")],
-                   1_700_000_100)
-        run_available_now(rows, chk, out)
-        results[buckets] = sorted(tuple(r) for r in spark.read.parquet(out).select(
-            "id", "count", "count_arrest", "count_monitored_by_fbi").collect())
-    assert results[0] == results[3]
-    ids = [r[0] for r in results[3]]
-    assert 30 not in ids and 31 in ids and 32 in ids and len(ids) == 9
-    assert [r for r in results[3] if r[0] == 31][0][1] == 2       # second February row
+    row = "{i},{d},0310,True,False,4.0,1.0,1.0,1.0"
+    _write(f"{src}/a.csv", [FX.HEADER, row.format(i=1, d="2021-01-10T00:00:00.000Z"),
+                            row.format(i=2, d="2021-02-20T00:00:00.000Z")], 1_700_000_000)
+    _mode_a(spark, src, code_file, tmp_dir)
+    _write(f"{src}/b.csv", [FX.HEADER, row.format(i=30, d="2021-01-30T00:00:00.000Z"),
+                            row.format(i=31, d="2021-02-02T00:00:00.000Z"),
+                            row.format(i=32, d="2021-03-05T00:00:00.000Z")], 1_700_000_100)
+    key, old = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set(key, "5")
+        got = {r.id: r["count"] for r in _mode_a(spark, src, code_file, tmp_dir)}
+    finally:
+        spark.conf.set(key, old)
+    assert got == {1: 1, 2: 1, 31: 2, 32: 1}
+
+
+def test_mode_a_replayed_batch_gives_the_same_rows(spark, incident_dir, code_file, tmp_dir):
+    inc, _ = parse_records(keyed_lines(directory_lines(spark, incident_dir)))
+    events = enrich(with_event_time(inc), read_code_table(spark, code_file))
+    first, second = events.where("id <= 106"), events.where("id > 106")
+    each = PerRowImage(f"{tmp_dir}/state", parquet_sink(f"{tmp_dir}/out"), 86400, arrival_col="id")
+    each(first, 0)
+    each(second, 1)
+    once = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/out").collect()))
+    each(second, 1)                                             # a crash after the sink: epoch 1 again
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/out").collect())) == once
 
 
 def test_fail_mode_stops_the_stream(spark, code_file, tmp_dir):
