@@ -3,6 +3,7 @@ holds a whole bucket or component."""
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -15,6 +16,7 @@ from blotter.llm.common import stage
 
 SMALL_BUCKET = 16
 LEADERS = 8
+WITNESSES = 4
 
 
 def allowed_edits(share: float, a: int, b: int) -> int:
@@ -92,38 +94,37 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
     """Edges (a, b) whose components are those of all pairs that share a bucket and
     whose edit distance is at most ``share`` of the longer text.
 
-    members: (bucket, id, prior), texts: (id, seq).  Small buckets give all
+    members: (bucket, id, prior, size in words), texts: (id, seq).  Small buckets give all
     their pairs.  A large bucket is compared with a leader, its member of least
     ``prior``: what is near the leader is linked to it and done.  The rest goes
-    on to the next round, which has eight times the leaders; against what is
-    done it is compared only where the triangle inequality leaves room for a
-    link.  ``least`` of :func:`_measured` obeys it and is never more than the
+    on to the next round, which has eight times the leaders; it is compared with
+    a few of the done texts, and what is near one of them is done too; what then
+    remains is compared with all that is done, but only where the triangle
+    inequality leaves room for a link.  ``least`` of :func:`_measured` obeys it and is never more than the
     edit distance, so a text whose ``least`` to the leader is larger by more than
     the allowed edits than that of a done text cannot be near that text.  No
     link between components is lost, and no pairs of a whole group are made."""
     ratio = 1 / (1 - share)  # near texts differ in length by at most this factor
     reach = share * ratio * (1 + ratio)  # of a leader's length: beyond, nothing near the leader can be near
-    left, number, found = members, 0, []
-
-    def near_edges(pairs: DataFrame) -> DataFrame:
-        return stage(spark, _measured(pairs, texts, share).where("d >= 0").select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
-
+    left, number, found, pairs_to_do = members, 0, [], []  # pairs that decide nothing in a round are aligned at the end
     while True:
         sizes = left.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("prior", "id")).alias("first")).where("n > 1")
         sized = stage(spark, left.join(sizes, "bucket"), "buckets")
         counts = sized.agg(F.count("*").alias("all"), F.count_if(F.col("n") > SMALL_BUCKET).alias("hot")).first()
         if counts["all"]:
-            few = sized.where(F.col("n") <= SMALL_BUCKET).select("bucket", "id")
-            pairs = (few.select("bucket", F.col("id").alias("x")).join(few.select("bucket", F.col("id").alias("y")), "bucket")
-                     .where("x < y").select("x", "y").distinct())
-            found.append(near_edges(pairs))
+            few = sized.where(F.col("n") <= SMALL_BUCKET)
+            pairs_to_do.append(few.select("bucket", F.col("id").alias("x"), F.col("size").alias("nx"))
+                               .join(few.select("bucket", F.col("id").alias("y"), F.col("size").alias("ny")), "bucket")
+                               .where((F.col("x") < F.col("y")) & (F.abs(F.col("nx") - F.col("ny")) <= max_edits(share, F.col("nx"), F.col("ny"))))
+                               .select("x", "y"))
         if not counts["hot"]:
             break
         hot = sized.where(F.col("n") > SMALL_BUCKET)
         draw = F.pmod(F.xxhash64("id", F.lit(number)), F.col("n"))
         is_leader = (F.col("id") == F.col("first.id")) | (F.lit(number > 0) & (draw < LEADERS ** number))
-        leaders = hot.where(is_leader).select("bucket", F.col("id").alias("y"))
-        pairs = hot.select("bucket", F.col("id").alias("x")).join(leaders, "bucket").where("x <> y")
+        leaders = hot.where(is_leader).select("bucket", F.col("id").alias("y"), F.col("size").alias("ny"))
+        pairs = (hot.select("bucket", F.col("id").alias("x"), F.col("size").alias("nx")).join(leaders, "bucket")
+                 .where((F.col("x") != F.col("y")) & (F.abs(F.col("nx") - F.col("ny")) <= F.lit(reach) * F.col("ny") + 1)).select("bucket", "x", "y"))
         measured = stage(spark, _measured(pairs.select("x", "y").distinct(), texts, share)
                          .where(F.col("least") <= F.lit(reach) * F.col("ly") + 1)
                          .select("x", "y", "least", (F.col("d") >= 0).alias("near"), F.col("lx").alias("length")), "leaders")
@@ -131,16 +132,26 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
         told = pairs.join(measured, ["x", "y"])
         done = told.where("near").select("bucket", "y", F.col("x").alias("a"), F.col("least").alias("da"), F.col("length").alias("la"))
         rest = told.where("not near").select("bucket", "y", F.col("x").alias("r"), F.col("least").alias("dr"), F.col("length").alias("lr"))
-        room = F.col("dr") - F.col("da") <= max_edits(share, F.col("lr"), F.col("la"))
-        cross = rest.join(done, ["bucket", "y"]).where(room).select(F.least("r", "a").alias("x"), F.greatest("r", "a").alias("y")).distinct()
-        found.append(near_edges(cross))
+        edits = max_edits(share, F.col("lr"), F.col("la"))
+        room = (F.col("dr") - F.col("da") <= edits) & (F.abs(F.col("lr") - F.col("la")) <= edits)
+        # most of the rest is near one of the done texts that are nearest to the leader: those first
+        witness = (done.groupBy("bucket", "y", F.pmod(F.xxhash64("a"), F.lit(WITNESSES))).agg(F.min(F.struct("da", "a", "la")).alias("w"))
+                   .select("bucket", "y", "w.*"))
+        tries = rest.join(witness, ["bucket", "y"]).where(room)
+        tried = stage(spark, _measured(tries.select(F.col("r").alias("x"), F.col("a").alias("y")).distinct(), texts, share)
+                      .where("d >= 0").select("x", F.col("y").alias("w")), "witnesses")
+        found.append(tried.select(F.col("x").alias("a"), F.col("w").alias("b")))
+        linked = tries.join(tried, (F.col("r") == F.col("x")) & (F.col("a") == F.col("w"))).select("bucket", "y", "r", "dr", "lr").distinct()
+        done = stage(spark, done.unionByName(linked.select("bucket", "y", F.col("r").alias("a"), F.col("dr").alias("da"), F.col("lr").alias("la"))), "done")
+        rest = rest.join(done.select("bucket", "y", F.col("a").alias("r")), ["bucket", "y", "r"], "left_anti")
+        pairs_to_do.append(rest.join(done, ["bucket", "y"]).where(room).select(F.least("r", "a").alias("x"), F.greatest("r", "a").alias("y")))
         settled = done.select("bucket", F.col("a").alias("id")).unionByName(leaders.select("bucket", F.col("y").alias("id"))).distinct()
-        left = stage(spark, hot.select("bucket", "id", "prior").join(settled, ["bucket", "id"], "left_anti"), "left")
+        left = stage(spark, hot.select("bucket", "id", "prior", "size").join(settled, ["bucket", "id"], "left_anti"), "left")
         number += 1
-    edges = found[0] if found else members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    for more in found[1:]:
-        edges = edges.unionByName(more)
-    return edges
+    none = members.select(F.col("id").alias("x"), F.col("id").alias("y")).limit(0)
+    pairs = functools.reduce(DataFrame.unionByName, pairs_to_do, none).distinct()
+    found.append(stage(spark, _measured(pairs, texts, share).where("d >= 0").select(F.col("x").alias("a"), F.col("y").alias("b")), "links"))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def length_classes(words: Column, share: float) -> Column:

@@ -127,7 +127,7 @@ def test_hot_bucket_loses_no_component(spark, spread):
             t[rnd.randrange(len(t))] = chr(0x800 + rnd.randrange(300))
         texts.append("".join(t))
     texts = list(dict.fromkeys(texts))
-    members = spark.createDataFrame([(1, i, -1) for i in range(len(texts))], "bucket long, id long, prior long")
+    members = spark.createDataFrame([(1, i, -1, len(t)) for i, t in enumerate(texts)], "bucket long, id long, prior long, size int")
     table = spark.createDataFrame(list(enumerate(texts)), "id long, seq string")
     groups = components.connected(spark, components.bucket_links(spark, members, table, 0.2))
     got = {r.node: r.component for r in groups.collect()}
