@@ -238,5 +238,6 @@ def read_bundles(spark: SparkSession, path: str, ids: list[int] | None = None, p
                 if rows:
                     yield to_batch(dict(zip(RECORDS.names, zip(*rows, strict=True), strict=True)), RECORDS)
 
-    files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, bundle string").load(path)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select(F.regexp_extract("path", "/bundle=([^/]+)/", 1).alias("bundle"), "content"))
     return files.select("bundle", "content").mapInArrow(records, RECORDS)
