@@ -47,9 +47,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: cuts
-    lineage durably and makes non-repeatable columns (partition ids) data."""
+    lineage durably and makes non-repeatable columns (partition ids) data.
+
+    The exchanges of the finished job are garbage then; Spark deletes their files
+    when the driver's JVM collects it, which is asked for here, so that a chain
+    of staged steps does not keep the shuffle files of all of them."""
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -84,8 +84,8 @@ def line_groups(spark: SparkSession, docs: DataFrame, similarity: float = SIMILA
                   .mapInArrow(_lines, "doc_id long, th long, line int, n_words int, h1 long, h2 long, keys array<long>"), "lines")
     units = stage(spark, lines.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.max("n_words").alias("n_words"))
-        .withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
-    buckets = units.where(F.col("n_words") >= least_words(1 - similarity)).select(F.explode("keys").alias("bucket"), "id", (-F.col("copies")).alias("prior"), F.col("n_words").alias("size"))
+        .withColumn("id", F.monotonically_increasing_id()).withColumn("prior", -F.col("copies")).withColumn("size", F.col("n_words")), "distinct-lines")
+    buckets = units.where(F.col("n_words") >= least_words(1 - similarity)).select(F.explode("keys").alias("bucket"), "id")
     groups = link_units(spark, docs, units, buckets, by_line=True, share=1 - similarity)
     linked = units.join(groups, units["id"] == groups["node"]).select("id", "component", "first")
     firsts = linked.groupBy("component").agg(F.min("first").alias("first_of"))
