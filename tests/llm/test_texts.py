@@ -245,6 +245,17 @@ def test_near_duplicates_edge_rows(spark):
     assert orderminhash.near_duplicates(spark, edge_docs(spark).limit(0)).count() == 0
 
 
+def test_one_row_of_each_class_stays(spark):
+    """Null and repeated doc_ids: rows are told apart by row and not by doc_id."""
+    a, b, c, d = (" ".join(f"{t}{i}" for i in range(30)) for t in "abcd")
+    rows = [(1, a, None, None), (None, a, None, None), (None, b, None, None), (None, c, None, None), (None, c, None, None),
+            (7, a, None, None), (7, d, None, None), (8, d, None, None), (7, d, "x", None)]
+    assert sorted(r.text[0] for r in orderminhash.deduplicated(spark, edge_docs(spark, rows)).collect()) == ["a", "b", "c", "d"]
+    got = orderminhash.near_duplicates(spark, edge_docs(spark, rows)).collect()
+    assert len(got) == len(rows) and sum(r.kept for r in got) == 4
+    assert sorted((r.class_size, r.class_id) for r in got if r.kept and r.class_id is not None) == [(3, 1), (3, 7)]
+
+
 # ----------------------------------------------------------------- 4 packing
 
 def test_packing_round_trip_and_padding(spark, docs):
