@@ -98,9 +98,10 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
     their pairs.  A large bucket is compared with a leader, its member of least
     ``prior``: what is near the leader is linked to it and done.  The rest goes
     on to the next round, which has eight times the leaders; it is compared with
-    a few of the done texts, and what is near one of them is done too; what then
-    remains is compared with all that is done, but only where the triangle
-    inequality leaves room for a link.  ``least`` of :func:`_measured` obeys it and is never more than the
+    a few of the done texts, and what is near one of them is linked, which spares
+    it the others, but not done: only what is near the leader has all its
+    partners within ``reach`` of it.  What is not linked is compared with all that
+    is done, but only where the triangle inequality leaves room for a link.  ``least`` of :func:`_measured` obeys it and is never more than the
     edit distance, so a text whose ``least`` to the leader is larger by more than
     the allowed edits than that of a done text cannot be near that text.  No
     link between components is lost, and no pairs of a whole group are made."""
@@ -141,9 +142,8 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
         tried = stage(spark, _measured(tries.select(F.col("r").alias("x"), F.col("a").alias("y")).distinct(), texts, share)
                       .where("d >= 0").select("x", F.col("y").alias("w")), "witnesses")
         found.append(tried.select(F.col("x").alias("a"), F.col("w").alias("b")))
-        linked = tries.join(tried, (F.col("r") == F.col("x")) & (F.col("a") == F.col("w"))).select("bucket", "y", "r", "dr", "lr").distinct()
-        done = stage(spark, done.unionByName(linked.select("bucket", "y", F.col("r").alias("a"), F.col("dr").alias("da"), F.col("lr").alias("la"))), "done")
-        rest = rest.join(done.select("bucket", "y", F.col("a").alias("r")), ["bucket", "y", "r"], "left_anti")
+        linked = tries.join(tried, (F.col("r") == F.col("x")) & (F.col("a") == F.col("w"))).select("bucket", "y", "r").distinct()
+        rest = rest.join(linked, ["bucket", "y", "r"], "left_anti")
         pairs_to_do.append(rest.join(done, ["bucket", "y"]).where(room).select(F.least("r", "a").alias("x"), F.greatest("r", "a").alias("y")))
         settled = done.select("bucket", F.col("a").alias("id")).unionByName(leaders.select("bucket", F.col("y").alias("id"))).distinct()
         left = stage(spark, hot.select("bucket", "id", "prior", "size").join(settled, ["bucket", "id"], "left_anti"), "left")

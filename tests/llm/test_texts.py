@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from blotter.llm import ctw, fingerprint, langid, linededup, mixing, orderminhash, packing, sharding
 from blotter.llm.alignment import banded_distance, lacking
+from blotter.llm.components import bucket_links, connected
 from blotter.llm.queries import tokenizer
 from blotter.llm.wordunits import Units
 
@@ -256,6 +257,26 @@ def test_one_row_of_each_class_stays(spark):
     assert sorted((r.class_size, r.class_id) for r in got if r.kept and r.class_id is not None) == [(3, 1), (3, 7)]
 
 
+def test_growing_chain_in_a_hot_bucket(spark):
+    """Leader, witness, a text near the witness, and one near only that text, whose
+    length the leader's reach leaves out."""
+    chain = [[chr(0x800 + i) for i in range(87)]]
+    for n, (edits, grown) in enumerate([(18, 7), (20, 7), (21, 7)]):
+        new = [chr(0x1000 + 0x100 * n + i) for i in range(edits)]
+        last = chain[-1]
+        chain.append([*last[:len(last) - n * 21 - edits + grown], *new, *last[len(last) - n * 21:]])
+    sizes = [len(c) for c in chain]
+    assert sizes == [87, 94, 101, 108]
+    seqs = ["".join(c) for c in chain]
+    near = [[banded_distance(a, b, int(.2 * max(len(a), len(b)) + 1e-6)) >= 0 for b in seqs] for a in seqs]
+    assert [[j for j in range(4) if near[i][j] and i != j] for i in range(4)] == [[1], [0, 2], [1, 3], [2]]
+    seqs += ["".join(chr(0x3000 + 100 * g + i) for i in range(87)) for g in range(20)]
+    texts = spark.createDataFrame(list(enumerate(seqs)), "id long, seq string")
+    members = spark.createDataFrame([(1, i, -9 if i == 0 else -1, len(t)) for i, t in enumerate(seqs)], "bucket long, id long, prior long, size int")
+    got = {r.node: r.component for r in connected(spark, bucket_links(spark, members, texts, 1 - orderminhash.SIMILARITY)).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0}
+
+
 # ----------------------------------------------------------------- 4 packing
 
 def test_packing_round_trip_and_padding(spark, docs):
