@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from blotter.llm.common import ragged_sums, ship_package, stage, text_slices
 
-DEPTH = 4
+DEPTH = 6  # a gram of DEPTH + 1 bytes has to fit in a positive long
 END = b"\xff"
 TOP = 2  # shallowest depth computed in groups
 BLOCK_BYTES = 16_000_000

@@ -114,6 +114,16 @@ def test_ctw_equals_its_definition(spark):
                                                   sum(math.log10((tokens[w] + 1) / (n + 1 * (v + 1))) for w in mine), abs=1e-9)
 
 
+def test_ctw_learns_from_six_bytes_back():
+    """The byte after five equal ones is told by the sixth."""
+    train, _ = ctw.grams_of([b"xabcde1 yabcde2 " * 50])
+    asked, _ = ctw.grams_of([b"xabcde1", b"xabcde2"])
+    keys, at = np.unique(np.concatenate([train, asked]), return_inverse=True)
+    counts = np.bincount(at[:len(train)], minlength=len(keys))
+    log_p = ctw.gram_log10(keys, counts, *ctw.upper_mix(ctw.top_rows(keys, counts)))[at[len(train):]]
+    assert log_p[6] > math.log10(0.8) and log_p[14] < math.log10(0.2)
+
+
 def test_ctw_edge_rows_and_empty_table(spark):
     got = ctw.score(spark, edge_docs(spark)).collect()
     assert len(got) == len(EDGE) and all(r.score < 0 for r in got)
