@@ -3,7 +3,7 @@ tokenizers, sketches, checksums) are tested against brute force in tests/llm."""
 
 from __future__ import annotations
 
-from blotter.llm import mixing, nndescent, warc
+from blotter.llm import bond, mixing, nndescent, warc
 
 VECTORS = f"""WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
@@ -62,5 +62,27 @@ SELECT o.doc_id, o.source, o.size, source_size, target, CAST(coalesce(taken, 0)
 FROM o LEFT JOIN g ON o.source IS NOT DISTINCT FROM g.source AND o.before = g.before AND o.size = g.size"""
 
 
+NEGATIVES = f"""WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor({bond.SCALE} * x)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.e) = len(b.e)),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, id NULLS LAST) AS k FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.ar, p.br ORDER BY s.score DESC, s.id NULLS LAST) AS rank
+  FROM p JOIN s ON p.ar = s.ar AND NOT s.same AND p.k <= {bond.POSITIVES}
+   AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= {bond.NEGATIVES}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_nn_descent": VECTORS, "op9_seekable_warc": PAGES, "op10_fair_mix": MIX}
+    return {"op6_nn_descent": VECTORS, "op9_seekable_warc": PAGES, "op10_fair_mix": MIX,
+            "op12_bond_negatives": NEGATIVES}

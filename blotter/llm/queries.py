@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import ctw, fingerprint, langid, linededup, mixing, nndescent, orderminhash, packing, sharding, warc
+from blotter.llm import (bond, convrepair, ctw, fingerprint, histpack, langid, linededup, mixing, nndescent, orderminhash, packing,
+                         sharding, warc)
 from blotter.llm.common import table
 from blotter.session import scratch_path
 
@@ -66,7 +67,22 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return histpack.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return bond.hard_negatives(spark, table(spark, sf_dir, "embeddings"), moved, F.col("vec_id") % 100 == 0)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convrepair.repair_conversations(spark, convrepair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_context_tree_scores, op2_fuzzy_lines, op3_order_minhash, op4_tier_packing, op5_jump_shards,
-        op6_nn_descent, op7_weighted_sampling, op8_kneser_ney_language, op9_seekable_warc, op10_fair_mix)}
+        op6_nn_descent, op7_weighted_sampling, op8_kneser_ney_language, op9_seekable_warc, op10_fair_mix,
+        op11_histogram_packing, op12_bond_negatives, op13_conversation_repair)}

@@ -1,0 +1,352 @@
+"""Histogram packing, hard negatives and conversation repair against brute force."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from blotter.llm import bond, convrepair, histpack
+
+DOCS = "/root/testdata/sf0.001/documents.parquet"
+LONG = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
+
+
+# ------------------------------------------------- 11 packing by length histogram
+
+def word_tokenizer():
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def naive_best_fit(lengths, window):
+    used = []
+    for n in sorted(lengths, reverse=True):
+        fits = [i for i, u in enumerate(used) if window - u >= n]
+        if fits:
+            used[max(fits, key=lambda i: used[i])] += n
+        else:
+            used.append(n)
+    return len(used)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_plan_equals_best_fit_over_single_pieces(seed):
+    rnd = random.Random(seed)
+    window = rnd.choice([7, 16, 50, 97])
+    lengths = [rnd.randint(1, window) for _ in range(rnd.randint(0, 200))]
+    counts, windows, ranked = Counter(lengths), defaultdict(list), Counter()
+    plan = histpack.best_fit_plan(counts.items(), window)
+    for length, lo, hi, each, first, offset in sorted(plan):
+        assert lo == ranked[length]
+        ranked[length] = hi
+        for rank in range(hi - lo):
+            windows[first + rank // each].append((offset + rank % each * length, length))
+    assert ranked == counts
+    for places in windows.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= window
+    assert len(windows) == naive_best_fit(lengths, window)
+
+
+def test_plan_does_not_grow_with_the_counts():
+    few = histpack.best_fit_plan([(n, 3 + n % 5) for n in range(1, 4097)], 4096)
+    many = histpack.best_fit_plan([(n, (3 + n % 5) * 10**9 + n) for n in range(1, 4097)], 4096)
+    assert len(many) <= 4 * 4096 * 12 and len(few) <= 4 * 4096 * 12
+    assert sum(r[2] - r[1] for r in many) == sum((3 + n % 5) * 10**9 + n for n in range(1, 4097))
+
+
+def check_packing(rows, texts, window):
+    """Texts: list of (doc_id, text), repeats and nulls in doc_id included."""
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(word_tokenizer())
+    want = Counter()
+    lengths = []
+    for doc_id, text in texts:
+        ids = np.array([*whole.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        for piece, at in enumerate(range(0, len(ids), window)):
+            some = ids[at:at + window]
+            want[doc_id, piece, at, len(some), zlib.crc32(some.tobytes())] += 1
+            lengths.append(len(some))
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= window
+    assert len(sequences) == naive_best_fit(lengths, window)
+
+
+@pytest.mark.parametrize("window", [64, 4096])
+def test_histogram_packing_of_documents(spark, window):
+    odd = [(9001, "  two  spaces\n\n x \t it 's don't"), (9002, None), (9003, ""), (9004, "a<|endoftext|>b <|startoftext|> c"), (9005, LONG),
+           (9005, LONG), (None, "no id"), (None, "no id"), (9006, "ab" * 400 + " İ ΑΣ ́x \x85\x1cy　z 가"), (9007, " \n "),
+           (9008, "same words here"), (9009, "same words here")]
+    docs = spark.read.parquet(DOCS).select("doc_id", "text")
+    extra = spark.createDataFrame(odd, "doc_id long, text string")
+    both = docs.unionByName(extra).withColumn("length", F.lit("clash")).withColumn("bucket", F.lit(1.5)).repartition(5)
+    texts = [(r.doc_id, r.text) for r in docs.collect()] + odd
+    check_packing(histpack.pack(spark, both, word_tokenizer(), window).collect(), texts, window)
+
+
+def test_histogram_packing_gives_the_ids_and_takes_an_empty_table(spark):
+    docs = spark.createDataFrame([(1, "alpha beta " * 50), (2, None)], "doc_id long, text string")
+    rows = histpack.pack(spark, docs, word_tokenizer(), 64, with_ids=True).collect()
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+    assert histpack.pack(spark, docs.limit(0), word_tokenizer()).count() == 0
+
+
+# ------------------------------------------------------------- 12 hard negatives
+
+def brute_negatives(rows, k_pos=5, k_neg=5):
+    good = [(i, vec_id, label, [int(np.floor(256 * float(x))) for x in v]) for i, (vec_id, v, label) in enumerate(rows)
+            if label is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    good = [(i, vec_id, (label + 1) % 10 if vec_id is not None and vec_id % 7 == 0 else label, v) for i, vec_id, label, v in good]
+    out = Counter()
+    last = float("inf")
+    for i, anchor, label, a in good:
+        if anchor is None or anchor % 100:
+            continue
+        scored = sorted(((-sum(x * y for x, y in zip(a, v)), last if vec_id is None else vec_id, vec_id, l) for j, vec_id, l, v in good
+                         if j != i and len(v) == len(a)), key=lambda s: s[:2])
+        for p in [s for s in scored if s[3] == label][:k_pos]:
+            inside = [s for s in scored if s[3] != label and 80 * -p[0] <= 100 * -s[0] <= 100 * -p[0]]
+            for rank, s in enumerate(inside[:k_neg], 1):
+                out[anchor, p[2], rank, s[2], -p[0], -s[0]] += 1
+    return out
+
+
+def mined(spark, rows, **kw):
+    table = spark.createDataFrame([(i, v, l, 7, "clash", 1.5) for i, v, l in rows],
+                                  "vec_id long, embedding array<double>, label int, row int, bundle string, section double").repartition(3)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return Counter(tuple(r) for r in bond.hard_negatives(spark, table, moved, F.col("vec_id") % 100 == 0, **kw).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect())
+
+
+def vector_rows(seed, n=1500, dims=24):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((6, dims)) / 4
+    rows = [(i, (centres[rng.integers(6)] + .1 * rng.standard_normal(dims)).tolist(), int(rng.integers(10))) for i in range(n)]
+    same = rows[100][1]
+    rows += [(5000 + 50 * i, same, i % 4) for i in range(120)]                         # a hot vector, ties everywhere
+    rows += [(100, same, 3), (100, same, 3), (None, same, 3), (None, same, 4), (9000, None, 1), (9100, same, None),
+             (9200, [float("nan")] * dims, 1), (9300, [None, *same[1:]], 1), (9400, [float("inf")] * dims, 2), (9500, [], 1), (9501, [], 2),
+             (9600, same[:5], 2), (9601, same[:5], 2), (9602, same[:5], 3), (9700, [0.0] * dims, 8), (9800, [-x for x in same], 3)]
+    return rows
+
+
+@pytest.mark.parametrize("section_rows, bundle_rows", [(4096, 512), (100, 7)])
+def test_negatives_against_brute_force(spark, section_rows, bundle_rows):
+    rows = vector_rows(section_rows)
+    assert mined(spark, rows, section_rows=section_rows, bundle_rows=bundle_rows) == brute_negatives(rows)
+
+
+def test_negatives_of_empty_and_anchorless_tables(spark):
+    assert not mined(spark, [])
+    assert not mined(spark, [(1, [1.0, 2.0], 3), (2, [1.0, 2.0], 4)])
+
+
+def test_scan_prunes_rows_before_the_last_dimension():
+    rng = np.random.default_rng(4)
+    m = np.floor(256 * rng.standard_normal((64, 4000)) * np.linspace(1, .01, 64)[:, None]).astype("<i4")
+    s = bond.VerticalSection({"dims": 64, "rows": range(4000), "labels": [0] * 4000, "ids": list(range(4000)),
+                              "columns": [c.tobytes() for c in m], "least": m.min(axis=1).tolist(), "greatest": m.max(axis=1).tolist()})
+    left = []
+
+    def keep(low, high):
+        stays = high >= bond.kth_best(low, 5)
+        left.append(int(stays.sum()))
+        return stays
+    at, score = s.scan(m[:, 0], np.ones(4000, dtype=bool), keep)
+    exact = (m[:, :1].astype(np.int64) * m).sum(axis=0)
+    order = bond.best(at, score, 5)
+    assert list(at[order]) == list(bond.best(np.arange(4000), exact, 5)) and list(score[order]) == sorted(exact, reverse=True)[:5]
+    assert left[4] < 400 and left == sorted(left, reverse=True)
+
+
+# ------------------------------------------------------ 13 conversation repair
+
+PATTERN = re.compile(r"(s?(ua)+)?")
+
+
+def brute_damage(rows):
+    out = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        one = lambda x: " " if x is None else str(x)
+        kind = zlib.crc32(f"{one(conv_id)}:{one(turn)}".encode()) % 20
+        role, text = one(role), one(text)
+        out[conv_id]
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub(r"[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        out[conv_id] += [(turn, role, text)] * (2 if kind == 3 else 1)
+    return {c: sorted(t, key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2].encode())) for c, t in out.items()}
+
+
+def brute_faults(turns):
+    seen, kinds = set(), []
+    for _, role, text in turns:
+        body = re.sub(r"[\x20\x09-\x0D]+\Z", "", text)
+        kinds.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return kinds
+
+
+def brute_repair(turns, kinds):
+    """All edits of short conversations, by exhaustion: at most two inserts before each
+    turn and at the end."""
+    best = None
+    for inserts in itertools.product(("", "I", "II"), repeat=len(turns) + 1):
+        for edits in itertools.product("DKR", repeat=len(turns)):
+            cost, audit, lines, initials = 0, "", [], ""
+
+            def follow():
+                return "assistant" if initials.endswith("u") else "user"
+            good = True
+            for i, (gap, (_, role, text)) in enumerate(zip(inserts, [*turns, (None, "", "")], strict=True)):
+                for _ in gap:
+                    new = follow()
+                    lines.append(f"{new}:")
+                    initials += new[0]
+                    cost += 3
+                audit += gap
+                if i == len(turns):
+                    break
+                audit += edits[i]
+                if edits[i] == "D":
+                    cost += 4
+                    continue
+                good = good and kinds[i] not in ("blank", "duplicate")
+                cost += 3 * (kinds[i] == "truncated") + 3 * (edits[i] == "R")
+                new = role if edits[i] == "K" else follow()
+                lines.append(f"{new}:{text}")
+                initials += new[0]
+            if good and PATTERN.fullmatch(initials) and (best is None or (cost, audit) < best[:2]):
+                best = cost, audit, "\n".join(lines)
+    return best
+
+
+def reference_repair(codes):
+    """Forward search over (cost, audit) pairs, without checkpoints."""
+    front = {convrepair.START: (0, "")}
+
+    def inserted(front):
+        for _ in range(3):
+            for q, (cost, audit) in list(front.items()):
+                to, new = convrepair.NEXT[q], (cost + 3, audit + "I")
+                if to not in front or new < front[to]:
+                    front[to] = new
+        return front
+    for code in codes:
+        kind, initial = divmod(code, 4)
+        new = {}
+
+        def offer(q, cost, audit):
+            if q not in new or (cost, audit) < new[q]:
+                new[q] = cost, audit
+        for q, (cost, audit) in inserted(front).items():
+            offer(q, cost + 4, audit + "D")
+            if kind != convrepair.GOES:
+                extra = 3 if kind == convrepair.CUT else 0
+                kept = convrepair.keeps(q, initial)
+                if kept is not None:
+                    offer(kept, cost + extra, audit + "K")
+                offer(convrepair.NEXT[q], cost + extra + 3, audit + "R")
+        front = new
+    front = inserted(front)
+    return min(front[q] for q in (convrepair.START, convrepair.A) if q in front)
+
+
+def random_turns(rnd, n, turn=0):
+    texts = ["Fine.", "Why?", "Go!", "cut off", "cut  ", "", " \t", "Fine. ", "a.\n", "b\x0b", "x\u0085", "é!"]
+    rows = []
+    for _ in range(n):
+        turn += rnd.choice([0, 1, 1, 1, 3])
+        rows.append((turn if rnd.random() > .05 else None, rnd.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None]), rnd.choice(texts)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_repair_equals_exhaustion(seed):
+    rnd = random.Random(seed)
+    turns = [(t, r if r else "x", x) for t, r, x in random_turns(rnd, rnd.randint(0, 4))]
+    kinds = brute_faults(turns)
+    want = brute_repair(turns, kinds)
+    got = convrepair.whole_conversation(turns)
+    assert (got["cost"], got["audit"], got["repaired_sha256"]) == (*want[:2], hashlib.sha256(want[2].encode()).hexdigest())
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_checkpointed_walk_equals_forward_search_and_segments(seed):
+    rnd = random.Random(seed)
+    codes = bytes(rnd.choice([4 * k + i for k in range(3) for i in range(4)]) for _ in range(rnd.choice([0, 1, 5, 40, 333])))
+    cost, audit = reference_repair(codes)
+    assert convrepair.repair(codes)[:2] == (cost, audit)
+    cuts = [0, *sorted(rnd.randint(0, len(codes)) for _ in range(4)), len(codes)]
+    parts = [codes[a:b] for a, b in itertools.pairwise(cuts) if a < b]
+    vector, ends = convrepair.END, []
+    for part in reversed(parts):
+        ends.insert(0, vector)
+        m, after = convrepair.matrix(part), convrepair.with_inserts(vector)
+        vector = tuple(min(m[4 * q + g] + after[g] for g in range(4)) for q in range(4))
+    state, joined = convrepair.START, ""
+    for i, (part, end) in enumerate(zip(parts, ends, strict=True)):
+        _, edits, state = convrepair.repair(part, end, state, i == len(parts) - 1)
+        joined += edits
+    assert joined == audit and (not parts or vector[convrepair.START] == cost)
+
+
+def conversation_rows():
+    rnd = random.Random(7)
+    rows = []
+    for conv in [*range(60), None]:
+        rows += [(conv, *t) for t in random_turns(rnd, rnd.randint(1, 12))]
+    rows += [(500, *t) for t in random_turns(rnd, 900)]                       # a conversation over many chunks
+    rows += [(501, i, "user" if i % 2 else "assistant", f"turn {i}.") for i in range(700)]
+    rows += [(600, 5, "user", "Same."), (600, 5, "user", "Same."), (600, 5, "assistant", "Same."), (600, None, None, None)]
+    rows += [(700, i, "user", "long " * 40_000 + ".") for i in range(3)]
+    gone = next(c for c in range(1000, 9000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    return rows + [(gone, 0, "user", "Dropped.")]
+
+
+def expected_repairs(rows):
+    out = {}
+    for conv, turns in brute_damage(rows).items():
+        kinds, initials = brute_faults(turns), [t[1][:1] for t in turns]
+        numbers = [t[0] for t in turns if t[0] is not None]
+        got = convrepair.whole_conversation(turns)
+        code = [4 * {"": 2, "truncated": 1}.get(k, 0) + {"s": 0, "u": 1, "a": 2}.get(i, 3) for k, i in zip(kinds, initials, strict=True)]
+        cost, audit = reference_repair(bytes(code))
+        assert (cost, audit) == (got["cost"], got["audit"])
+        out[conv] = (max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0, kinds.count("blank"), kinds.count("duplicate"),
+                     kinds.count("truncated"), sum(a + b not in ("su", "ua", "au") for a, b in itertools.pairwise(initials)),
+                     cost, audit, got["repaired_sha256"])
+    return out
+
+
+@pytest.mark.parametrize("chunk_rows, chunk_bytes", [(4096, 8_000_000), (64, 8_000_000), (9, 300)])
+def test_conversations_against_brute_force(spark, chunk_rows, chunk_bytes):
+    rows = conversation_rows()
+    table = spark.createDataFrame([(*r, "clash", 3) for r in rows],
+                                  "conv_id long, turn long, role string, text string, audit string, chunk int").repartition(4)
+    got = convrepair.repair_conversations(spark, convrepair.damaged(table), chunk_rows, chunk_bytes).collect()
+    assert {r.conv_id: tuple(r)[1:] for r in got} == expected_repairs(rows) and len(got) == len({r[0] for r in rows})
+
+
+def test_repair_of_an_empty_table(spark):
+    table = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert convrepair.repair_conversations(spark, convrepair.damaged(table)).count() == 0
