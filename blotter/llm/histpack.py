@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import bisect
 import functools
-import os
+import re
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterable, Iterator
@@ -41,8 +41,13 @@ from blotter.llm.common import SLICE_BYTES, ship_package, stage, to_batch
 
 WINDOW = 4096
 END_ID = (1).to_bytes(4, "little")
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 CACHED_LENGTH = 64
+#: Letters that are letters to every tokenizer and whose lower case is one plain character, then
+#: ASCII punctuation without the apostrophe, which may begin a pre-token of its own.
+WORD_AND_MARKS = re.compile(r"([a-zß-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+#: Texts with these are not lowered: special tokens, and characters of which case rules may differ.
+NOT_LOWERED = re.compile("<\\||[^\x00-\u012f\u0131-\u017f]")
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -51,34 +56,74 @@ PIECES = T.StructType([
 RANGES = "length long, bucket long, lo long, hi long, per_window long, first_window long, first_offset long"
 
 
+class Words(dict):
+    """Ids of words; an absent one is taken from the encoder's older generation, or made."""
+
+    def __init__(self, encoder: WordEncoder):
+        self.encoder = encoder
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encoder.old.get(word)
+        if ids is None:
+            ids = self.encoder.learn(word)
+        if len(word) <= CACHED_LENGTH:
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
-    """Ids of whole texts by a tokenizer that drops white space: a text is the
-    concatenation of its words, each encoded once per cache.  Only the four
-    plainest white-space characters split; the others are left to the tokenizer."""
+    """Ids of whole texts by a tokenizer that drops white space and case: a text is the
+    concatenation of its words.  Only the four plainest white-space characters split;
+    the others are left to the tokenizer.
+
+    Words are kept with their ids in two generations: a full young one becomes
+    the old one, and words still in use are taken over, so that frequent words stay.
+    A new word of Latin letters and then punctuation is two pre-tokens, whose ids
+    the tokenizer's model gives; any other goes through the whole tokenizer.  Texts of
+    plain Latin characters are lowered first, where that changes no id, so that
+    words of different case are one."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache_words, self.words = cache_words, {"": b""}
-
-    def _ids(self, words: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(words), 20_000):
-            for found in self.tokenizer.encode_batch(words[at:at + 20_000], add_special_tokens=False):
-                yield np.array(found.ids, dtype="<u4").tobytes()
+        self.model = self.tokenizer.model
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
+        self.cache_words = cache_words
+        self.young = Words(self)
+        self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def _model(self, letters: str) -> bytes:
+        if not letters.isascii():
+            letters = letters.translate(self.bytes)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
+
+    def learn(self, word: str) -> bytes:
+        m = WORD_AND_MARKS.fullmatch(word)
+        if m is None:
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        letters, marks = m.groups()
+        if marks not in self.marks:
+            if len(self.marks) >= 10_000:
+                self.marks = {"": b""}
+            self.marks[marks] = self._model(marks)
+        if not letters:
+            return self.marks[marks]
+        ids = self.young.get(letters) if marks else None
+        return (self._model(letters) if ids is None else ids) + self.marks[marks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        seen = {w for words in split for w in words}
-        new = [w for w in seen if w not in self.words]
-        if len(self.words) + len(new) > self.cache_words:
-            self.words, new = {"": b""}, [w for w in seen if w]
-        long = {w for w in new if len(w) > CACHED_LENGTH}
-        new = [w for w in new if w not in long]
-        self.words.update(zip(new, self._ids(new), strict=True))
-        get = (self.words | dict(zip(long, self._ids(list(long)), strict=True)) if long else self.words).__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        out = []
+        for t in texts:
+            if len(self.young) > self.cache_words:
+                self.old = dict(self.young)
+                self.young = Words(self)
+            plain = t if NOT_LOWERED.search(t) else t.lower()
+            words = plain.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            out.append(b"".join(map(self.young.__getitem__, words)))
+        return out
 
 
 @functools.lru_cache(maxsize=2)
