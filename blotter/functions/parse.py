@@ -109,36 +109,58 @@ def parse_records(records: DataFrame, on_error: str = "reject",
     would be pushed below the projection with every parse expression copied
     into it.
     """
-    keep = [F.col(c) for c in keep_columns]
-    staged = records.select(*keep, F.col("key").cast("string").alias("_key"),
-                            F.col("value").cast("string").alias("_value"),
-                            split_fields(F.col("value")).alias("_f"))
-    fs = F.col("_f")
-    record = F.struct(*_typed_fields(fs, F.col("_key")))
-    typed = staged.select(*[F.col(c) for c in keep_columns], "_key", "_value",
-                          F.inline(F.when(~blank_district(fs), F.array(record)).otherwise(F.array())))
-    bad = (~F.col("_wide") | F.col("id").isNull() | F.col("date").isNull()
-           | F.col("district").isNull())
+    typed, bad = _typed_rows(records, keep_columns)
     out_cols = [*keep_columns, "id", "date", "iucr_code", "arrest", "domestic", "district"]
     if on_error == "fail":
-        # a filter predicate is always evaluated (a checked output column could
-        # be pruned away when a consumer does not read it)
-        fail = F.raise_error(F.concat(F.lit("malformed incident record: "),
-                                      F.coalesce(F.col("_value"), F.lit("<null>"))))
-        checked = typed.where(F.when(bad, fail).otherwise(F.lit(True)))
         none = typed.where(F.lit(False)).select(
             F.col("_key").alias("key"), F.col("_value").alias("value"),
             F.lit(None).cast("string").alias("reason"))
-        return checked.select(*out_cols), none
+        return _checked(typed, bad).select(*out_cols), none
     good = typed.where(~bad).select(*out_cols)
     rejects = typed.where(bad).select(
-        F.col("_key").alias("key"), F.col("_value").alias("value"),
-        F.when(~F.col("_wide"), F.lit("short row"))
-        .when(F.col("id").isNull(), F.lit("bad key"))
-        .when(F.col("date").isNull(), F.lit("bad date"))
-        .otherwise(F.lit("bad district")).alias("reason"))
+        F.col("_key").alias("key"), F.col("_value").alias("value"), _reason().alias("reason"))
     return good, rejects
 
 
+def classified_records(records: DataFrame, on_error: str = "reject", keep_columns: tuple[str, ...] = ()) -> DataFrame:
+    """Incidents and rejects of :func:`parse_records` in one table, for a consumer that
+    reads its source once: ``reason`` is null for an incident; the record's ``key`` and
+    ``value`` are kept for a reject."""
+    typed, bad = _typed_rows(records, keep_columns)
+    if on_error == "fail":
+        typed = _checked(typed, bad)
+    reason = F.when(bad, _reason())
+    return typed.select(*keep_columns, "id", "date", "iucr_code", "arrest", "domestic", "district", reason.alias("reason"),
+                        F.when(bad, F.col("_key")).alias("key"), F.when(bad, F.col("_value")).alias("value"))
+
+
+def _typed_rows(records: DataFrame, keep_columns: tuple[str, ...]) -> tuple[DataFrame, Column]:
+    """Typed fields beside the raw record, and the condition of a malformed one."""
+    keep = [F.col(c) for c in keep_columns]
+    staged = records.select(*keep, F.col("key").cast("string").alias("_key"),
+                            F.col("value").cast("string").alias("_value"),
+                            split_fields(F.col("value")).alias("_f"))
+    fs = F.col("_f")
+    record = F.struct(*_typed_fields(fs, F.col("_key")))
+    typed = staged.select(*[F.col(c) for c in keep_columns], "_key", "_value",
+                          F.inline(F.when(~blank_district(fs), F.array(record)).otherwise(F.array())))
+    return typed, (~F.col("_wide") | F.col("id").isNull() | F.col("date").isNull() | F.col("district").isNull())
+
+
+def _checked(typed: DataFrame, bad: Column) -> DataFrame:
+    # a filter predicate is always evaluated (a checked output column could
+    # be pruned away when a consumer does not read it)
+    fail = F.raise_error(F.concat(F.lit("malformed incident record: "),
+                                  F.coalesce(F.col("_value"), F.lit("<null>"))))
+    return typed.where(F.when(bad, fail).otherwise(F.lit(True)))
+
+
+def _reason() -> Column:
+    return (F.when(~F.col("_wide"), F.lit("short row"))
+            .when(F.col("id").isNull(), F.lit("bad key"))
+            .when(F.col("date").isNull(), F.lit("bad date"))
+            .otherwise(F.lit("bad district")))
+
+
 def with_event_time(incidents: DataFrame, date_col: str = "date", name: str = "ts") -> DataFrame:
     return incidents.withColumn(name, event_time(F.col(date_col)))

@@ -30,19 +30,22 @@ from blotter.session import partitions_for, plan_bytes, scratch_path
 
 
 def running_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   counters: dict[str, str | None], num_partitions: int | None = None) -> DataFrame:
+                   counters: dict[str, str | None], num_partitions: int | None = None,
+                   scratch: str | None = None) -> DataFrame:
     """Add one running counter per entry of ``counters`` ({name: boolean
     column, or None for a plain row count}), restarting per ``keys`` and
     accumulating in ``order`` (make it unique for a deterministic result).
     P is ``num_partitions``, or else the larger of the session's shuffle
-    partitions and what the size of ``df`` asks for."""
+    partitions and what the size of ``df`` asks for.  ``scratch``: folder for the
+    ranged rows, replaced by the next call that names it (so the result of
+    this one must be used up by then); a fresh one by default."""
     spark = df.sparkSession
     keys, order = list(keys), list(order)
     p = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(plan_bytes(df) or 0))
-    path = scratch_path(spark, "running")
+    path = scratch or scratch_path(spark, "running")
     ranged = (df.repartitionByRange(p, *[F.col(c).asc_nulls_first() for c in keys + order])
               .withColumn("_pid", F.spark_partition_id()))
-    ranged.write.parquet(path)
+    ranged.write.mode("overwrite" if scratch else "errorifexists").parquet(path)
     chunks = spark.read.schema(ranged.schema).parquet(path)
     ones = {n: F.lit(1) if src is None else F.coalesce(F.col(src), F.lit(False)).cast("bigint") for n, src in counters.items()}
 

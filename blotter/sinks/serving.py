@@ -1,17 +1,20 @@
-"""K1 / K3 / K4: the serving table.
+"""K1 / K3 / K4: the serving table, a snapshot table of Parquet folders.
 
-Parquet, partitioned by ``district`` (the table's partition key), one row per
-(district, month, primary_description).  An upsert first writes the incoming
-rows, reduced to the last emitted row per key, to a durable folder (the
-micro-batch is executed once, whatever follows), merges them with the old
-rows of the touched districts into a durable staged copy, and replaces those
-district partitions from that copy (dynamic partition overwrite).
+One row per (district, month, primary_description).  An upsert writes the merged
+rows of the districts it touches to a new version folder and then a new pointer,
+one small file that names the version folder of each district.  Readers resolve the
+newest pointer, so between any two steps of an upsert they see the table of
+before or of after it, whole; folders are never changed once a pointer names them.
 
-A replayed micro-batch reuses its staged copy, so replays write the same
-table.  The copy lies below the streaming query's own checkpoint and is
-tagged with the micro-batch and with the table's generation, which changes
-when the table is created or truncated: a new query, or the same query after
-a truncation, can never meet another run's copy.
+    <path>/_pointer/000000007.json        {"districts": [[district, version], ...], ...}
+    <path>/_data/v=000000007/district=4/  rows of one district
+
+The incoming rows are first reduced to the last emitted row per key and written to
+a durable folder, their only execution.  A crash before the new pointer leaves the
+table as it was, so a replay simply merges again.  The pointer also says which
+micro-batch of which writer came last, and an older one is not applied again.
+Pointers and version folders that the newest ``RETAIN`` pointers do not name are removed.
+One writer at a time: of two that write the same pointer number the second fails.
 
 Because ``month`` carries no year, a later year's month replaces the earlier
 year's row, as in the reference; ``keep_year=True`` adds ``year`` to the key.
@@ -19,16 +22,22 @@ year's row, as in the reference; ``keep_year=True`` adds ``year`` to the key.
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotter.files import get_text, names, put_text, remove
 from blotter.schema import COUNTERS, SERVING, SERVING_KEY
 from blotter.session import scratch_path
 
+#: Newest pointers whose folders stay, for readers that resolved one a while ago.
+RETAIN = 4
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 def serving_schema(keep_year: bool = False) -> T.StructType:
     if not keep_year:
@@ -41,66 +50,72 @@ def serving_key(keep_year: bool = False) -> list[str]:
     return SERVING_KEY[:2] + ["year"] + SERVING_KEY[2:] if keep_year else list(SERVING_KEY)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """True when the table folder exists.  Only a missing path counts as
-    absent: any other error propagates (never recreate a table over data)."""
-    try:
-        spark.read.schema(SERVING).parquet(path)
-        return True
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return False
-        raise
-
+@dataclass
+class Snapshot:
+    """What a pointer says: number, version folder of each district, last micro-batch of each writer."""
+    number: int
+    districts: dict[int | None, int] = field(default_factory=dict)
+    writers: dict[str, int] = field(default_factory=dict)
+    generation: str = ""
 
-def create_serving_table(spark: SparkSession, path: str, keep_year: bool = False) -> str:
-    """K3: create the (empty) table if absent."""
-    if not _exists(spark, path):
-        truncate_serving_table(spark, path, keep_year)
-    return path
-
-
-def truncate_serving_table(spark: SparkSession, path: str, keep_year: bool = False) -> str:
-    """K4: replace the table by an empty one of a new generation (staged copies
-    of earlier generations are never reused)."""
-    (spark.createDataFrame([], serving_schema(keep_year)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy("district").parquet(path))
-    _new_generation(spark, path)
-    return path
+    def text(self) -> str:
+        listed = sorted(self.districts.items(), key=lambda d: (d[0] is not None, d[0] or 0))
+        return json.dumps({"districts": listed, "writers": self.writers, "generation": self.generation})
 
 
-def _new_generation(spark: SparkSession, path: str) -> None:
-    # below an underscore folder, which table reads skip and partition overwrites keep
-    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_generation")
+def _pointer(path: str, number: int) -> str:
+    return f"{path}/_pointer/{number:09d}.json"
 
 
-def table_generation(spark: SparkSession, path: str) -> str:
-    """The table's generation id (given now to a table that has none)."""
-    try:
-        return spark.read.text(f"{path}/_generation").first()["value"]
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    _new_generation(spark, path)
-    return table_generation(spark, path)
+def snapshot(spark: SparkSession, path: str) -> Snapshot | None:
+    """The newest snapshot; None where there is no table."""
+    found = [n for n in names(spark, f"{path}/_pointer") if n.endswith(".json")]
+    if not found:
+        return None
+    number = int(found[-1].removesuffix(".json"))
+    held = json.loads(get_text(spark, _pointer(path, number)))
+    return Snapshot(number, dict(map(tuple, held["districts"])), held["writers"], held["generation"])
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, at: Snapshot | None = None,
+                  only: list | None = None) -> DataFrame:
+    """Rows of a snapshot (the newest by default), or of some districts of it."""
+    at = at or snapshot(spark, path)
+    if at is None:
+        raise ValueError(f"there is no serving table at {path}")
+    folders = [f"{path}/_data/v={version:09d}/district={NULL_FOLDER if d is None else d}"
+               for d, version in at.districts.items() if only is None or d in only]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{path}/_data").parquet(*folders).select(*schema.names)
+
+
+def _publish(spark: SparkSession, path: str, new: Snapshot) -> None:
+    put_text(spark, _pointer(path, new.number), new.text())
+    numbers = [int(n.removesuffix(".json")) for n in names(spark, f"{path}/_pointer") if n.endswith(".json")]
+    kept = sorted(numbers)[-RETAIN:]
+    named = {new.number}
+    for n in kept:
+        named.update(v for _, v in json.loads(get_text(spark, _pointer(path, n)))["districts"])
+    for n in set(numbers) - set(kept):
+        remove(spark, _pointer(path, n))
+    for folder in names(spark, f"{path}/_data"):
+        if int(folder.removeprefix("v=")) not in named:
+            remove(spark, f"{path}/_data/{folder}")
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    """A written copy is complete once its commit marker exists.  (Where a
-    cluster disables ``_SUCCESS`` markers this is always False: a replay then
-    recomputes the merge instead of reusing the copy - never a partial one.)"""
-    try:
-        spark.read.text(f"{path}/_SUCCESS")
-        return True
-    except AnalysisException:
-        return False
+def create_serving_table(spark: SparkSession, path: str, keep_year: bool = False) -> str:
+    """K3: create the (empty) table if absent."""
+    if snapshot(spark, path) is None:
+        _publish(spark, path, Snapshot(0, generation=uuid.uuid4().hex))
+    return path
 
 
-def _staged_tag(spark: SparkSession, staged: str) -> tuple | None:
-    if not _complete(spark, staged):
-        return None
-    row = spark.read.parquet(staged).select("_epoch", "_generation").first()
-    return None if row is None else (row["_epoch"], row["_generation"])
+def truncate_serving_table(spark: SparkSession, path: str, keep_year: bool = False) -> str:
+    """K4: an empty snapshot of a new generation, which no writer has written to."""
+    held = snapshot(spark, path)
+    _publish(spark, path, Snapshot(0 if held is None else held.number + 1, generation=uuid.uuid4().hex))
+    return path
 
 
 def upsert_serving(rows: DataFrame, path: str, order_col: str, keep_year: bool = False,
@@ -108,48 +123,36 @@ def upsert_serving(rows: DataFrame, path: str, order_col: str, keep_year: bool =
     """K1: upsert ``rows`` (serving columns + ``order_col`` = emission order)
     into the table at ``path``; last emission per key wins.
 
-    Three steps: (1) the reduced rows are written durably, the only execution
-    of ``rows``; (2) the merged rows of the touched districts are written as
-    a durable staged copy; (3) the table's district partitions are replaced
-    from that copy.  A replay of the same micro-batch (``epoch_id``) after a
-    crash reuses a complete staged copy of the same table generation, so step
-    3 never re-reads a half-replaced table.
-
-    ``staging``: folder of the copies, below the checkpoint of the query that
-    writes; two slots by epoch parity, as only the last micro-batch can be
-    replayed.  Without one (batch upserts) a fresh scratch folder is used."""
+    ``staging``: folder of the writer's reduced rows, below the checkpoint of the query
+    that writes; with ``epoch_id`` it also names the writer, and a micro-batch
+    that the table already holds is not applied again.  Without one (batch
+    upserts) a fresh scratch folder is used."""
     spark = rows.sparkSession
-    key = serving_key(keep_year)
-    schema = serving_schema(keep_year)
+    key, schema = serving_key(keep_year), serving_schema(keep_year)
     create_serving_table(spark, path, keep_year)
-    generation = table_generation(spark, path)
-    if epoch_id is None or staging is None:
-        staging, slot = scratch_path(spark, "serving-staging"), "run"
-    else:
-        slot = f"slot={epoch_id % 2}"
-    reduced, staged = f"{staging}/{slot}-rows", f"{staging}/{slot}-merged"
-    if epoch_id is None or _staged_tag(spark, staged) != (epoch_id, generation):
-        (rows.groupBy(*key).agg(F.max_by(F.struct(*COUNTERS), F.col(order_col)).alias("_v"))
-         .select(*key, *[F.col("_v." + c).alias(c) for c in COUNTERS]).write.mode("overwrite").parquet(reduced))
-        new = spark.read.schema(schema).parquet(reduced)
-        if new.isEmpty():
-            return
-        old = spark.read.schema(schema).parquet(path)
-        touched = new.select("district").distinct()
-        kept = (old.join(touched, "district", "left_semi")
-                .join(new.select(*key), [old[k].eqNullSafe(new[k]) for k in key], "left_anti"))
-        merged = kept.unionByName(new).select(*[f.name for f in schema.fields])
-        (merged.withColumn("_epoch", F.lit(epoch_id).cast("long")).withColumn("_generation", F.lit(generation))
-         .write.mode("overwrite").parquet(staged))
-    (spark.read.schema(schema).parquet(staged)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("district").parquet(path))
+    held = snapshot(spark, path)
+    writer = staging if epoch_id is not None else None
+    if writer is not None and held.writers.get(writer, -1) >= epoch_id:
+        return
+    reduced = f"{staging or scratch_path(spark, 'serving-staging')}/reduced"
+    (rows.groupBy(*key).agg(F.max_by(F.struct(*COUNTERS), F.col(order_col)).alias("_v"))
+     .select(*key, *[F.col("_v." + c).alias(c) for c in COUNTERS]).write.mode("overwrite").parquet(reduced))
+    new = spark.read.schema(schema).parquet(reduced)
+    touched = [r["district"] for r in new.select("district").distinct().collect()]   # a row per partition of the table
+    if not touched:
+        return
+    old = read_snapshot(spark, path, schema, held, touched)
+    merged = (old.join(new.select(*key), [old[k].eqNullSafe(new[k]) for k in key], "left_anti")
+              .unionByName(new).select(*schema.names).hint("rebalance", F.col("district")))
+    number = held.number + 1
+    merged.write.mode("overwrite").partitionBy("district").parquet(f"{path}/_data/v={number:09d}")
+    writers = held.writers if writer is None else held.writers | {writer: epoch_id}
+    _publish(spark, path, Snapshot(number, held.districts | dict.fromkeys(touched, number), writers, held.generation))
 
 
 def serving_batch_writer(path: str, order_col: str, keep_year: bool = False, staging: str | None = None):
     """``foreachBatch`` function for streaming upserts.  ``staging`` belongs below
-    the query's ``checkpointLocation``; without it a replay recomputes the
-    merge (right unless the crash left a district half replaced)."""
+    the query's ``checkpointLocation``."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         upsert_serving(batch, path, order_col, keep_year, epoch_id, staging)
     return write

@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.schema import SERVING
-
 
 def read_serving(spark: SparkSession, path: str, where: Column | str | None = None,
                  keep_year: bool = False) -> DataFrame:
-    """The serving table, optionally filtered.  ``district`` is the
-    partition column, so a district predicate prunes whole folders."""
-    from blotter.sinks.serving import serving_schema
-    schema = serving_schema(keep_year) if keep_year else SERVING
-    df = spark.read.schema(schema).parquet(path).select(*schema.names)
+    """The newest snapshot of the serving table, optionally filtered.  ``district`` is
+    the partition column, so a district predicate prunes whole folders."""
+    from blotter.sinks.serving import read_snapshot, serving_schema
+    df = read_snapshot(spark, path, serving_schema(keep_year))
     return df.where(where) if where is not None else df
 
 

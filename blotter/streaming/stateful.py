@@ -1,112 +1,136 @@
-"""T2 / A3 on streams (mode A): one output row per incoming incident.
-
-Runs in ``foreachBatch``.  Each micro-batch is written once to the state
-folder; its open-month rows get running counters with the distributed prefix
-sum of :func:`~blotter.operators.running.running_counts` (arrival order over
-the whole micro-batch, a hot key spans many tasks), to which the counters that
-its keys had before are added by a join.
-
-State is data, not partitions: a table of open (category, district, month)
-keys with their four counters, written per micro-batch below the query's
-checkpoint together with the watermark (largest event time of all earlier
-micro-batches minus the delay).  A replayed micro-batch starts from the state
-of the one before it, so replays give the same rows, and nothing depends on
-partition counts, so a restart may use any cluster size.
-
-Rows of a closed month (month end at or before the watermark) are dropped
-(L1); keys of closed months leave the state.
+"""Months on streams without stateful operators: one output row per incoming
+incident (T2 / A3, mode A), or one per complete month (T1, mode C).
+
+Both run in ``foreachBatch`` over a :class:`~blotter.streaming.statelog.StateLog` of open
+(category, district, month) keys with their four counters, so a key's state lives as
+long as its month is open, a micro-batch writes only the keys that it touches,
+and a query may be resumed with any number of partitions.
+
+Mode A: the open-month rows of a micro-batch get running counters with the
+distributed prefix sum of :func:`~blotter.operators.running.running_counts` (arrival order
+over the whole micro-batch, a hot key spans many tasks), to which the
+counters that its keys had before are added by a join.  Mode C: the keys whose
+month end the watermark passed are emitted after the micro-batch that moved it.
+
+Rows of a closed month (month end at or before the watermark that the micro-batch
+started with) are dropped and counted (L1).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.operators.running import running_counts
 from blotter.schema import COUNTERS
+from blotter.streaming.statelog import COMPACT_EVERY, Ledger, StateLog, last_mark
 
-KEY_COLS = ["primary_description", "district", "month_start_ms"]
+KEY_COLS = ["primary_description", "district", "month_start_ms", "month_end_ms"]
 FLAGS = {"count": None, "count_arrest": "arrest", "count_domestic": "domestic",
          "count_monitored_by_fbi": "monitored_by_fbi"}
 STATE = T.StructType([T.StructField("primary_description", T.StringType()), T.StructField("district", T.IntegerType()),
                       T.StructField("month_start_ms", T.LongType()), T.StructField("month_end_ms", T.LongType())]
                      + [T.StructField(c, T.LongType()) for c in COUNTERS])
-#: Epochs kept: the one being written, the last committed one and the one before it.
-SLOTS = 3
 
 
-def _prepared(batch: DataFrame, ts_col: str, arrival_col: str | None) -> DataFrame:
-    month = F.date_trunc("month", F.col(ts_col))
-    event = F.unix_millis(F.col(ts_col))
-    arrival = F.col(arrival_col).cast("bigint") if arrival_col else event
+def month_columns(ts: Column) -> list[Column]:
+    """event_ms, month_start_ms and month_end_ms of an event time."""
+    month = F.date_trunc("month", ts)
+    return [F.unix_millis(ts).alias("event_ms"), F.unix_millis(month).alias("month_start_ms"),
+            F.unix_millis(month + F.expr("INTERVAL 1 MONTH")).alias("month_end_ms")]
+
+
+def prepared(batch: DataFrame, ts_col: str, arrival_col: str | None, partition_col: str | None = None) -> DataFrame:
+    """The columns that months need; ``arrival`` orders the rows of a micro-batch."""
+    more = [F.col(partition_col)] if partition_col else []
     return batch.select(
-        "id", "primary_description", "district", "arrest", "domestic", "monitored_by_fbi",
-        F.unix_millis(month).alias("month_start_ms"),
-        F.unix_millis(month + F.expr("INTERVAL 1 MONTH")).alias("month_end_ms"),
-        event.alias("event_ms"), arrival.alias("arrival_ms"))
+        "id", "primary_description", "district", "arrest", "domestic", "monitored_by_fbi", *month_columns(F.col(ts_col)),
+        (F.col(arrival_col) if arrival_col else F.unix_millis(F.col(ts_col))).alias("arrival"), *more)
+
+
+def closed(end_ms: str, watermark_ms: int | None) -> Column:
+    return F.lit(False) if watermark_ms is None else F.col(end_ms) <= F.lit(watermark_ms)
+
+
+def month_log(path: str, compact_every: int = COMPACT_EVERY) -> StateLog:
+    return StateLog(path, STATE, KEY_COLS, compact_every)
+
+
+def month_increments(live: DataFrame) -> DataFrame:
+    ones = {c: F.lit(1) if src is None else F.coalesce(F.col(src), F.lit(False)).cast("bigint") for c, src in FLAGS.items()}
+    return live.groupBy(*KEY_COLS).agg(*[F.sum(one).cast("bigint").alias(c) for c, one in ones.items()])
 
 
-class PerRowImage:
-    """``foreachBatch`` function of mode A.
+def running_rows(live: DataFrame, held: DataFrame, scratch: str) -> DataFrame:
+    """A3: each row with its month's counters up to and including it; ``held`` are
+    those of earlier micro-batches."""
+    run = running_counts(live, KEY_COLS, ["arrival", "id"], FLAGS, scratch=scratch)
+    base = held.select(*[F.col(c).alias("_" + c) for c in STATE.names])
+    same = [F.col(c).eqNullSafe(F.col("_" + c)) for c in KEY_COLS]
+    return run.join(base, same, "left").select(
+        "id", "district", F.month(F.timestamp_millis("month_start_ms")).alias("month"), "primary_description",
+        F.timestamp_millis("month_start_ms").alias("month_start"), "arrival",
+        *[(F.col(c) + F.coalesce(F.col("_" + c), F.lit(0))).alias(c) for c in COUNTERS])
+
+
+def month_rows(state: DataFrame) -> DataFrame:
+    """State keys as rows of the monthly image."""
+    start = F.timestamp_millis("month_start_ms")
+    return state.select("district", F.month(start).alias("month"), "primary_description", *COUNTERS,
+                        start.alias("month_start"), F.timestamp_millis("month_end_ms").alias("month_end"))
+
+
+def passed(end_ms: str, before: int | None, after: int | None) -> Column:
+    """Ends that a move of the watermark passed."""
+    return closed(end_ms, after) & ~closed(end_ms, before)
+
+
+class MonthImage:
+    """``foreachBatch`` function of the monthly image, mode A (``every_row``) or C.
 
     ``state``: folder below the query's ``checkpointLocation``; ``sink``:
     called with (rows, epoch) for every micro-batch, must be idempotent per
-    epoch; ``delay_seconds``: the watermark delay."""
-
-    def __init__(self, state: str, sink: Callable[[DataFrame, int], None], delay_seconds: int,
-                 ts_col: str = "ts", arrival_col: str | None = None):
-        self.state, self.sink, self.delay_ms = state, sink, delay_seconds * 1000
-        self.ts_col, self.arrival_col = ts_col, arrival_col
-
-    def _slot(self, epoch: int) -> str:
-        return f"{self.state}/slot={epoch % SLOTS}"
-
-    def _before(self, spark: SparkSession, epoch: int) -> tuple[DataFrame, int | None]:
-        """Keys and watermark that the micro-batch before ``epoch`` left."""
-        if epoch == 0:
-            return spark.createDataFrame([], STATE), None
-        try:
-            mark = spark.read.parquet(f"{self._slot(epoch - 1)}/mark").first()
-        except AnalysisException as e:
-            raise RuntimeError(f"no state of micro-batch {epoch - 1} below {self.state}") from e
-        if mark["epoch"] != epoch - 1:
-            raise RuntimeError(f"state of micro-batch {epoch - 1} below {self.state} is gone")
-        return spark.read.schema(STATE).parquet(f"{self._slot(epoch - 1)}/keys"), mark["watermark_ms"]
+    epoch; ``delay_seconds``: the watermark delay; ``partition_col``, ``partitions``: see
+    :class:`~blotter.streaming.statelog.Ledger`."""
+
+    def __init__(self, state: str, sink: Callable[[DataFrame, int], None], delay_seconds: int, every_row: bool = False,
+                 ts_col: str = "ts", arrival_col: str | None = None, partition_col: str | None = None, partitions: int = 1,
+                 compact_every: int = COMPACT_EVERY):
+        self.state, self.sink, self.every_row = state, sink, every_row
+        self.ts_col, self.arrival_col, self.partition_col = ts_col, arrival_col, partition_col
+        self.ledger = Ledger(state, delay_seconds, partition_col, partitions)
+        self.months = month_log(f"{state}/months", compact_every)
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        held, watermark = self._before(spark, epoch)
-        slot = self._slot(epoch)
-        prepared = _prepared(batch, self.ts_col, self.arrival_col)
-        prepared.write.mode("overwrite").parquet(f"{slot}/input")
-        rows = spark.read.schema(prepared.schema).parquet(f"{slot}/input")
-        live = rows if watermark is None else rows.where(F.col("month_end_ms") > watermark)
-        run = running_counts(live, KEY_COLS, ["arrival_ms", "id"], FLAGS)
-        base = held.select(*[F.col(c).alias("_" + c) for c in STATE.names])
-        same = [F.col(c).eqNullSafe(F.col("_" + c)) for c in KEY_COLS]
-        out = run.join(base, same, "left").select(
-            "id", "district", F.month(F.timestamp_millis("month_start_ms")).alias("month"), "primary_description",
-            F.timestamp_millis("month_start_ms").alias("month_start"), "arrival_ms",
-            *[(F.col(c) + F.coalesce(F.col("_" + c), F.lit(0))).alias(c) for c in COUNTERS])
-        self.sink(out, epoch)
-        self._advance(spark, rows, live, held, watermark, epoch)
-
-    def _advance(self, spark, rows, live, held, watermark, epoch) -> None:
-        seen = rows.agg(F.max("event_ms").alias("m")).first()["m"]
-        marks = [m for m in (watermark, None if seen is None else seen - self.delay_ms) if m is not None]
-        mark = max(marks) if marks else None
-        delta = live.select(*KEY_COLS, "month_end_ms", *[
-            (F.lit(1) if src is None else F.coalesce(F.col(src), F.lit(False))).cast("bigint").alias(c) for c, src in FLAGS.items()])
-        keys = held.unionByName(delta).groupBy(*KEY_COLS, "month_end_ms").agg(*[F.sum(c).alias(c) for c in COUNTERS])
-        if mark is not None:
-            keys = keys.where(F.col("month_end_ms") > mark)
-        slot = self._slot(epoch)
-        keys.select(*STATE.names).write.mode("overwrite").parquet(f"{slot}/keys")
-        spark.createDataFrame([(epoch, mark)], "epoch long, watermark_ms long").coalesce(1).write.mode("overwrite").parquet(f"{slot}/mark")
+        mark = self.ledger.before(spark, epoch)
+        late = closed("month_end_ms", mark.watermark_ms)
+        rows, seen = self.ledger.stage(prepared(batch, self.ts_col, self.arrival_col, self.partition_col), epoch,
+                                       observed={"largest": F.max("event_ms"), "late": F.count_if(late)})
+        live = rows.where(~late)
+        held = self.months.held(spark, epoch, ~late)
+        if self.every_row:
+            self.sink(running_rows(live, held, f"{self.state}/range"), epoch)
+        self.months.append(month_increments(live), epoch)
+        watermark = self.ledger.watermark(rows, seen["largest"], mark, epoch)
+        if not self.every_row:
+            self.sink(month_rows(self.months.after(spark, epoch).where(passed("month_end_ms", mark.watermark_ms, watermark))), epoch)
+        self.ledger.commit(spark, epoch, replace(mark, watermark_ms=watermark, late_rows=mark.late_rows + seen["late"]))
+
+    def late_rows(self, spark: SparkSession) -> int:
+        """Rows dropped so far because their month had closed (L1), over all runs of the query."""
+        return last_mark(spark, self.state).late_rows
+
+
+class PerRowImage(MonthImage):
+    """:class:`MonthImage` in mode A."""
+
+    def __init__(self, state: str, sink: Callable[[DataFrame, int], None], delay_seconds: int, **options):
+        super().__init__(state, sink, delay_seconds, every_row=True, **options)
 
 
 def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:

@@ -40,7 +40,7 @@ def test_keep_year_adds_year_to_key(spark, tmp_dir):
                          (1, 1, "HOMICIDE", 9, 9, 9, 9, dt.datetime(2023, 2, 1))])
     rows = rows.withColumn("year", F.year(F.col("month_end") - F.expr("INTERVAL 1 DAY")))
     upsert_serving(rows, path, "month_end", keep_year=True)
-    got = sorted((r.year, r["count"]) for r in spark.read.parquet(path).collect())
+    got = sorted((r.year, r["count"]) for r in read_serving(spark, path, keep_year=True).collect())
     assert got == [(2022, 4), (2023, 9)]
 
 
@@ -57,33 +57,86 @@ def test_create_truncate_and_filtered_read(spark, tmp_dir):
     assert read_serving(spark, path).count() == 0
 
 
-def test_replayed_epoch_reuses_its_staged_copy(spark, tmp_dir):
-    """A micro-batch replayed after a crash must not recompute from a table the
-    crashed attempt may have half replaced: the staged copy of that epoch wins."""
-    path = f"{tmp_dir}/serving"
-    upsert_serving(_rows(spark, [(1, 1, "A", 1, 0, 0, 0, dt.datetime(2023, 2, 1)),
-                                 (1, 2, "A", 5, 0, 0, 0, dt.datetime(2023, 3, 1))]), path, "month_end")
-    batch = _rows(spark, [(1, 1, "A", 2, 0, 0, 0, dt.datetime(2023, 2, 1))])
-    upsert_serving(batch, path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=7)
-    # simulate the state a crash mid-swap could leave: district 1's old rows gone,
-    # replaced by a stray row
-    stray = _rows(spark, [(1, 3, "B", 9, 9, 9, 9, dt.datetime(2023, 4, 1))]).drop("month_end")
-    stray.select("month", "primary_description", "count", "count_arrest", "count_domestic",
-                 "count_monitored_by_fbi", "district").write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("district").parquet(path)
-    assert sorted(r.month for r in read_serving(spark, path).collect()) == [3]
-    upsert_serving(batch, path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=7)            # replay of epoch 7
-    got = sorted(tuple(r) for r in read_serving(spark, path).collect())
-    assert got == [(1, 1, "A", 2, 0, 0, 0), (1, 2, "A", 5, 0, 0, 0)]
+def _table(spark, path):
+    return sorted((tuple(r) for r in read_serving(spark, path).collect()), key=repr)
+
+
+def test_null_districts_are_rows_like_others(spark, tmp_dir):
+    """A district without a value keeps its rows when another upsert touches it, or does not."""
+    path, month = f"{tmp_dir}/serving", dt.datetime(2023, 2, 1)
+    upsert_serving(_rows(spark, [(None, 1, "A", 1, 0, 0, 0, month), (4, 1, "A", 1, 0, 0, 0, month)]), path, "month_end")
+    upsert_serving(_rows(spark, [(None, 2, "B", 2, 0, 0, 0, month), (None, 1, None, 5, 0, 0, 0, month)]), path, "month_end")
+    upsert_serving(_rows(spark, [(4, 1, "A", 7, 0, 0, 0, month), (None, 1, None, 6, 0, 0, 0, month)]), path, "month_end")
+    assert _table(spark, path) == sorted([(None, 1, "A", 1, 0, 0, 0), (None, 2, "B", 2, 0, 0, 0), (None, 1, None, 6, 0, 0, 0),
+                                          (4, 1, "A", 7, 0, 0, 0)], key=repr)
+
+
+def test_a_reader_between_any_two_steps_sees_a_whole_table(spark, tmp_dir, monkeypatch):
+    """Read before and after every file operation and every write of an upsert: the old
+    table or the new one, never anything between; a reader that resolved its snapshot
+    before an upsert still reads it afterwards."""
+    from blotter.sinks import serving as S
+    path, month = f"{tmp_dir}/serving", dt.datetime(2023, 2, 1)
+    upsert_serving(_rows(spark, [(d, m, "A", 1, 0, 0, 0, month) for d in (1, 2, None) for m in (1, 2)]), path, "month_end")
+    old, early, seen = _table(spark, path), read_serving(spark, path), []
+
+    def watched(f):
+        def step(*a, **k):
+            seen.append(_table(spark, path))
+            out = f(*a, **k)
+            seen.append(_table(spark, path))
+            return out
+        return step
+    for name in ("put_text", "remove", "_publish"):
+        monkeypatch.setattr(S, name, watched(getattr(S, name)))
+    from pyspark.sql.readwriter import DataFrameWriter
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched(DataFrameWriter.parquet))
+    upsert_serving(_rows(spark, [(d, 1, "A", 9, 0, 0, 0, month) for d in (1, None)]), path, "month_end")
+    monkeypatch.undo()
+    new = _table(spark, path)
+    assert new != old and len(seen) >= 8
+    assert all(t in (old, new) for t in seen) and old in seen and new in seen
+    assert sorted(map(tuple, early.collect()), key=repr) == old
+
+
+def test_a_crash_before_the_pointer_leaves_the_table_and_a_replay_finishes(spark, tmp_dir, monkeypatch):
+    import pytest
+    from blotter.sinks import serving as S
+    path, month = f"{tmp_dir}/serving", dt.datetime(2023, 2, 1)
+    upsert_serving(_rows(spark, [(1, 1, "A", 1, 0, 0, 0, month), (1, 2, "A", 5, 0, 0, 0, month)]), path, "month_end")
+    before = _table(spark, path)
+    batch = _rows(spark, [(1, 1, "A", 2, 0, 0, 0, month)])
+    with monkeypatch.context() as m:
+        m.setattr(S, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            upsert_serving(batch, path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=7)
+    assert _table(spark, path) == before
+    for _ in range(2):                                                      # the replay, and one more
+        upsert_serving(batch, path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=7)
+        assert _table(spark, path) == [(1, 1, "A", 2, 0, 0, 0), (1, 2, "A", 5, 0, 0, 0)]
+
+
+def test_an_older_micro_batch_is_not_applied_again(spark, tmp_dir):
+    path, month = f"{tmp_dir}/serving", dt.datetime(2023, 2, 1)
+    for epoch, n in ((7, 1), (9, 3), (7, 1)):
+        upsert_serving(_rows(spark, [(1, 1, "A", n, 0, 0, 0, month)]), path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=epoch)
+    assert [r["count"] for r in read_serving(spark, path).collect()] == [3]
+    upsert_serving(_rows(spark, []), path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=10)          # empty batch: no-op
+    assert [r["count"] for r in read_serving(spark, path).collect()] == [3]
 
 
-def test_slot_reuse_only_for_the_same_epoch(spark, tmp_dir):
-    path = f"{tmp_dir}/serving"
-    upsert_serving(_rows(spark, [(1, 1, "A", 1, 0, 0, 0, dt.datetime(2023, 2, 1))]), path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=7)
-    upsert_serving(_rows(spark, [(1, 1, "A", 3, 0, 0, 0, dt.datetime(2023, 2, 1))]), path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=9)
-    assert [r["count"] for r in read_serving(spark, path).collect()] == [3]     # 9 shares 7's slot
-    upsert_serving(_rows(spark, [], ), path, "month_end", staging=f"{tmp_dir}/staging", epoch_id=10)          # empty batch: no-op
-    assert [r["count"] for r in read_serving(spark, path).collect()] == [3]
+def test_old_versions_are_removed_and_untouched_districts_are_not_rewritten(spark, tmp_dir):
+    import os
+    from blotter.sinks.serving import RETAIN, snapshot
+    path, month = f"{tmp_dir}/serving", dt.datetime(2023, 2, 1)
+    upsert_serving(_rows(spark, [(d, 1, "A", 1, 0, 0, 0, month) for d in (1, 2)]), path, "month_end")
+    first = snapshot(spark, path).districts[2]
+    for n in range(12):
+        upsert_serving(_rows(spark, [(1, 1, "A", n, 0, 0, 0, month)]), path, "month_end")
+    assert snapshot(spark, path).districts[2] == first                      # district 2's folder is still the first one
+    assert len(os.listdir(f"{path}/_data")) <= RETAIN + 1
+    assert len([n for n in os.listdir(f"{path}/_pointer") if n.endswith(".json")]) == RETAIN
+    assert _table(spark, path) == [(1, 1, "A", 11, 0, 0, 0), (2, 1, "A", 1, 0, 0, 0)]
 
 
 def test_read_serving_with_year(spark, tmp_dir):
@@ -96,8 +149,8 @@ def test_read_serving_with_year(spark, tmp_dir):
     assert got == [(2022, 4), (2023, 9)]
 
 
-def test_staged_copies_of_another_run_are_never_reused(spark, tmp_dir):
-    """Another checkpoint, or the same one after a truncation, meets no old copy."""
+def test_a_truncated_table_knows_no_earlier_run(spark, tmp_dir):
+    """Another checkpoint, or the same one after a truncation, is not taken for a replay."""
     path = f"{tmp_dir}/serving"
     old = _rows(spark, [(1, 1, "A", 1, 0, 0, 0, dt.datetime(2023, 2, 1)), (1, 2, "B", 1, 0, 0, 0, dt.datetime(2023, 3, 1))])
     new = _rows(spark, [(1, 1, "A", 7, 0, 0, 0, dt.datetime(2023, 2, 1))])
