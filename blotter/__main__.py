@@ -15,7 +15,7 @@ import argparse
 import sys
 
 from blotter.config import PipelineConfig
-from blotter.plans.job import Outputs, run_to_end, start_job
+from blotter.plans.job import Outputs, run_with_restarts, start_job
 from blotter.sinks.alerts import kafka_sink_options
 from blotter.sources.records import directory_lines, kafka_source_options, publish_lines, replay_in_path_order
 
@@ -30,6 +30,9 @@ def job_parser() -> argparse.ArgumentParser:
     p.add_argument("--files-per-trigger", type=int, default=1, help="0: all that is there")
     p.add_argument("--max-offsets-per-trigger", type=int)
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--restarts", type=int, default=3, help="restarts after a failure, on the same checkpoint")
+    p.add_argument("--restart-delay", type=float, default=10.0, help="seconds before a restart")
+    p.add_argument("--source-partitions", type=int, help="partitions of the topic: no window closes before all have been seen")
     p.add_argument("--batch", action="store_true", help="process the files at rest in one batch job")
     return p
 
@@ -49,6 +52,8 @@ def main(argv: list[str]) -> int:
     else:
         source = {"kind": "kafka", **kafka_source_options(a.input_topic, a.bootstrap_servers, a.group_id,
                                                           max_offsets_per_trigger=a.max_offsets_per_trigger)}
+        if a.source_partitions:
+            cfg = cfg.with_(source_partitions=a.source_partitions)
     if not cfg.lookup_path:
         p.error("--code-table is required")
     alert_kafka = None
@@ -65,8 +70,9 @@ def main(argv: list[str]) -> int:
         ensure_utc(spark)
         run_batch_job(spark, cfg, a.input_dir, a.serving_path, a.alert_path, alert_kafka, a.rejects_path)
         return 0
-    run_to_end(start_job(spark, cfg, Outputs(a.serving_path, a.alert_path, alert_kafka, a.rejects_path),
-                         {"availableNow": True} if a.available_now else {"processingTime": a.trigger}))
+    out = Outputs(a.serving_path, a.alert_path, alert_kafka, a.rejects_path)
+    trigger = {"availableNow": True} if a.available_now else {"processingTime": a.trigger}
+    run_with_restarts(lambda: start_job(spark, cfg, out, trigger), a.restarts, a.restart_delay)
     return 0
 
 

@@ -28,7 +28,8 @@ class PipelineConfig:
     sinks: dict = field(default_factory=dict)
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 64 * 1024 * 1024
-    salt_buckets: int = 0  # > 1 salts the lookup join beyond the broadcast bound (a hot code in a stream)
+    salt_buckets: int = 0  # > 1 salts the lookup join beyond the broadcast bound for all codes; 0: hot codes are found and salted
+    source_partitions: int = 1  # partitions that must have been seen before there is a watermark (topic sources)
 
     @property
     def emit_every_row(self) -> bool:

@@ -1,36 +1,32 @@
 """The streaming job (Q1/Q2 + Q3 over Q4), configured by ``PipelineConfig``.
 
-One source, two outputs: the monthly image upserted into the serving table
-and the alert lines.  They run as two streaming queries with their own
-checkpoints below ``<checkpoint>/serving`` and ``<checkpoint>/alerts``
-(independent recovery; each query reads and enriches the source itself).
-Rejected records go to an optional third query (side output folder).  The
-code table is snapshotted once per start, so every micro-batch joins the same
-rows however large it is; a failing query stops the others.
+One streaming query: its source is read, parsed and enriched once per micro-batch,
+and ``foreachBatch`` feeds the monthly image (upserted into the serving table), the
+alert lines and the rejected records (:class:`~blotter.streaming.fanout.JobBatch`).  State,
+watermark and marks lie below ``<checkpoint>/job``.  The code table is snapshotted
+once per start, so every micro-batch joins the same rows however large it is.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from blotter.config import PipelineConfig
-from blotter.functions.parse import parse_records, with_event_time
-from blotter.operators.anomaly import alert_messages, alerts, anomaly_results
-from blotter.operators.enrich import enrich
-from blotter.session import checkpoint_root, configure_streaming_state, ensure_utc
-from blotter.sinks.alerts import alert_stream_writer
-from blotter.sinks.serving import serving_batch_writer
+from blotter.functions.parse import classified_records
+from blotter.session import checkpoint_root, ensure_utc
+from blotter.sinks.alerts import write_alert_log
+from blotter.sinks.serving import create_serving_table, serving_batch_writer
 from blotter.sources.codes import load_code_table
 from blotter.sources.records import incident_records
-from blotter.streaming.runner import state_partitions
-from blotter.streaming.stateful import PerRowImage
-from blotter.streaming.windows import month_image_stream, sliding_counts_stream, with_watermark
+from blotter.streaming.fanout import JobBatch, Join
+from blotter.streaming.statelog import Ledger, last_mark
 
 
 @dataclass
@@ -41,10 +37,9 @@ class Outputs:
     rejects_path: str | None = None
 
 
-def enriched_stream(spark: SparkSession, cfg: PipelineConfig, checkpoint: str) -> tuple[DataFrame, DataFrame]:
-    """Q4 on a stream: records -> typed -> watermark -> enriched (+ rejects)."""
+def record_stream(spark: SparkSession, cfg: PipelineConfig, checkpoint: str) -> tuple[DataFrame, Join]:
+    """Typed records of the source, and the join that enriches a micro-batch of them."""
     ensure_utc(spark)
-    configure_streaming_state(spark)
     codes = load_code_table(spark, cfg.lookup_path, cfg.lookup_parse)
     snapshot = f"{checkpoint}/code-table/{uuid.uuid4().hex[:12]}"
     codes.df.write.parquet(snapshot)     # loaded once, at every size
@@ -54,34 +49,36 @@ def enriched_stream(spark: SparkSession, cfg: PipelineConfig, checkpoint: str) -
         source.setdefault("staged", f"{checkpoint}/replay")
     records = incident_records(spark, source, streaming=True)
     keep = ("arrival",) if "arrival" in records.columns else ()
-    incidents, rejects = parse_records(records, cfg.on_error, keep_columns=keep)
+    rows = classified_records(records, cfg.on_error, keep_columns=keep)
     if keep:
-        incidents = incidents.withColumn("arrival", F.col("arrival.offset"))
-    events = with_watermark(with_event_time(incidents), "ts", cfg.watermark)
-    return enrich(events, codes, max_rows=cfg.broadcast_max_rows, max_bytes=cfg.broadcast_max_bytes,
-                  salt_buckets=cfg.salt_buckets), rejects
+        rows = rows.withColumn("source_partition", F.col("arrival.partition"))
+    return rows, Join(codes, cfg.broadcast_max_rows, cfg.broadcast_max_bytes, cfg.salt_buckets)
 
 
-def serving_query(enriched: DataFrame, cfg: PipelineConfig, serving_path: str, checkpoint: str) -> DataStreamWriter:
-    """Writer of the serving table; ``_order`` is the emission order per key."""
-    upsert = serving_batch_writer(serving_path, "_order", cfg.keep_year, staging=f"{checkpoint}/upsert")
+def job_batch(spark: SparkSession, cfg: PipelineConfig, out: Outputs, checkpoint: str, join: Join, columns: list[str]) -> JobBatch:
+    """The outputs of the job over one micro-batch."""
+    create_serving_table(spark, out.serving_path, cfg.keep_year)
+    upsert = serving_batch_writer(out.serving_path, "_order", cfg.keep_year, staging=f"{checkpoint}/job/upsert")
+    run = Ledger(f"{checkpoint}/job", 0).run_id(spark)
 
-    def with_order(rows: DataFrame, order: Column) -> DataFrame:
-        rows = rows.withColumn("_order", order)
-        return rows.withColumn("year", F.year("month_start")) if cfg.keep_year else rows
+    def serving(rows: DataFrame, epoch: int) -> None:
+        upsert(rows.withColumn("year", F.year("month_start")) if cfg.keep_year else rows, epoch)
 
-    if cfg.emit_every_row:     # mode A: one row per incident
-        each = PerRowImage(f"{checkpoint}/per-row",
-                           lambda rows, epoch: upsert(with_order(rows, F.struct("month_start", "count")), epoch),
-                           cfg.watermark_seconds, arrival_col="arrival" if "arrival" in enriched.columns else None)
-        return enriched.writeStream.foreachBatch(each)
-    rows = with_order(month_image_stream(enriched), F.col("month_end"))   # mode C: one row per complete month
-    return rows.writeStream.outputMode("append").foreachBatch(upsert)
+    def alert_lines(rows: DataFrame, epoch: int) -> None:
+        if out.alert_kafka and not out.alert_path:
+            write_alert_log(rows, kafka_options=out.alert_kafka)      # at least once, as the reference's sink
+        else:
+            write_alert_log(rows, f"{out.alert_path}/run={run}/batch={epoch}", mode="overwrite")
 
+    def rejects(rows: DataFrame, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out.rejects_path}/run={run}/batch={epoch}")
 
-def alert_lines(enriched: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    res = anomaly_results(sliding_counts_stream(enriched, cfg.anomaly_period_days, cfg.anomaly_slide_days))
-    return alert_messages(alerts(res, cfg.anomaly_threshold))
+    by_partition = "source_partition" in columns
+    return JobBatch(
+        f"{checkpoint}/job", join, cfg.watermark_seconds, serving, alert_lines if out.alert_path or out.alert_kafka else None,
+        rejects if out.rejects_path else None, cfg.emit_every_row, cfg.anomaly_period_days, cfg.anomaly_slide_days,
+        cfg.anomaly_threshold, "arrival" if "arrival" in columns else None, "source_partition" if by_partition else None,
+        cfg.source_partitions)
 
 
 def start_job(spark: SparkSession, cfg: PipelineConfig, out: Outputs,
@@ -89,25 +86,21 @@ def start_job(spark: SparkSession, cfg: PipelineConfig, out: Outputs,
     """Start the job; ``trigger`` e.g. {"processingTime": "30 seconds"} (the
     reference checkpoints every 30 s) or {"availableNow": True}."""
     trigger = trigger or {"processingTime": "30 seconds"}
-    chk = (cfg.checkpoint_dir or f"{checkpoint_root(spark)}/blotter-job").rstrip("/")
-    enriched, rejects = enriched_stream(spark, cfg, chk)
-    writers = [serving_query(enriched, cfg, out.serving_path, f"{chk}/serving")
-               .option("checkpointLocation", f"{chk}/serving")]
-    if out.alert_path or out.alert_kafka:
-        writers.append(alert_stream_writer(alert_lines(enriched, cfg), f"{chk}/alerts",
-                                           path=out.alert_path, kafka_options=out.alert_kafka))
-    if out.rejects_path:
-        writers.append(rejects.writeStream.format("parquet").option("path", out.rejects_path)
-                       .option("checkpointLocation", f"{chk}/rejects"))
-    queries: list[StreamingQuery] = []
-    try:
-        with state_partitions(spark):   # a query keeps the setting it was started with
-            for w in writers:
-                queries.append(w.trigger(**trigger).start())
-    except Exception:
-        stop_all(queries)
-        raise
-    return queries
+    chk = job_checkpoint(spark, cfg)
+    records, join = record_stream(spark, cfg, chk)
+    batch = job_batch(spark, cfg, out, chk, join, records.columns)
+    return [records.writeStream.foreachBatch(batch).option("checkpointLocation", f"{chk}/job/query").trigger(**trigger).start()]
+
+
+def job_checkpoint(spark: SparkSession, cfg: PipelineConfig) -> str:
+    return (cfg.checkpoint_dir or f"{checkpoint_root(spark)}/blotter-job").rstrip("/")
+
+
+def job_late_rows(spark: SparkSession, cfg: PipelineConfig) -> tuple[int, int]:
+    """L1: rows dropped because their month had closed, and (row, sliding window) pairs
+    dropped because the window had, over all runs of the job on its checkpoint."""
+    mark = last_mark(spark, f"{job_checkpoint(spark, cfg)}/job")
+    return mark.late_rows, mark.late_windows
 
 
 def stop_all(queries: list[StreamingQuery]) -> None:
@@ -131,3 +124,18 @@ def run_to_end(queries: list[StreamingQuery], poll_seconds: float = 0.5) -> None
                 raise failed[0]
             return
         running[0].awaitTermination(poll_seconds) if len(running) == 1 else time.sleep(poll_seconds)
+
+
+def run_with_restarts(start: Callable[[], list[StreamingQuery]], restarts: int = 3, delay_seconds: float = 10.0,
+                      sleep: Callable[[float], None] = time.sleep) -> int:
+    """Run what ``start`` starts to its end; after a failure wait and start again, on the same
+    checkpoint, up to ``restarts`` times (the reference's fixed-delay strategy).  Returns the restarts used."""
+    for used in range(restarts + 1):
+        try:
+            run_to_end(start())
+            return used
+        except Exception:
+            if used == restarts:
+                raise
+            sleep(delay_seconds)
+    return restarts

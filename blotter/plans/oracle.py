@@ -129,8 +129,45 @@ HAVING date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) + INTERVAL 7 DAY
        <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"""
 
 
+LATE_ORDERS = ORDERS_IMAGE_CLOSED.replace(
+    "FROM orders)",
+    "FROM orders WHERE NOT (o_orderdate >= TIMESTAMP '1999-06-01' AND o_orderdate < TIMESTAMP '1999-07-01'))", 1)
+
+# arrivals with late rows: stage 3 holds June 1999 and the first week of June 2001
+LATE = """staged AS (
+  SELECT *, CASE WHEN ts >= TIMESTAMP '1999-06-01' AND ts < TIMESTAMP '1999-07-01' THEN 3
+                 WHEN ts < TIMESTAMP '2000-01-01' THEN 1
+                 WHEN ts >= TIMESTAMP '2001-06-01' AND ts < TIMESTAMP '2001-06-08' THEN 3
+                 WHEN ts < TIMESTAMP '2001-06-10' THEN 2 ELSE 3 END AS stage
+  FROM enr),
+marked AS (
+  SELECT *, CASE stage WHEN 2 THEN (SELECT max(ts) - INTERVAL 1 DAY FROM staged WHERE stage = 1)
+                       WHEN 3 THEN (SELECT max(ts) - INTERVAL 1 DAY FROM staged WHERE stage < 3) END AS mark
+  FROM staged),
+pairs AS (
+  SELECT *, date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) AS start,
+         date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) + INTERVAL 30 DAY AS "end"
+  FROM (SELECT *, unnest(range(0, 30)) AS k FROM marked))"""
+
+LATE_WINDOWS = """windows AS (
+  SELECT start, "end", district, count(*) AS count, count(*) FILTER (WHERE monitored_by_fbi) AS count_monitored_by_fbi
+  FROM pairs WHERE mark IS NULL OR "end" > mark GROUP BY 1, 2, district)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "stream_state_log": ORDERS_RUNNING,
+        "stream_late_rows_resized": LATE_ORDERS,
+        "stream_lagging_partition": ORDERS_IMAGE_CLOSED.replace(
+            "(SELECT max(o_orderdate) - INTERVAL 1 DAY FROM orders)",
+            "(SELECT min(m) - INTERVAL 1 DAY FROM (SELECT max(o_orderdate) AS m FROM orders GROUP BY o_custkey % 2))"),
+        "stream_late_windows": f"{BASE},\n{LATE},\n{LATE_WINDOWS},\n{RESULTS},\n{ALERTS}\n{MESSAGES}".replace("> 60.0", "> 50.0"),
+        "stream_late_counts": f"""{BASE},\n{LATE}
+SELECT (SELECT count(*) FROM marked WHERE date_trunc('month', ts) + INTERVAL 1 MONTH <= mark) AS late_rows,
+       (SELECT count(*) FROM pairs WHERE "end" <= mark) AS late_windows""",
+        "stream_hot_code": (f"{BASE},\n{IMAGE},\n{CLOSED},\n{SERVING}\nSELECT * FROM serving"
+                            .replace("CAST(l_partkey AS VARCHAR) AS iucr_code",
+                                     "CASE WHEN (l_orderkey * 10 + l_linenumber) % 30 < 10 THEN '1' ELSE CAST(l_partkey AS VARCHAR) END AS iucr_code")),
         "parse_csv_records": PARSED,
         "parse_rejects": """WITH damaged AS (
   SELECT l_orderkey * 10 + l_linenumber AS id, l_linenumber IN (3, 5) AS no_district, *
@@ -207,7 +244,5 @@ SELECT district, month, primary_description,
        arg_max(count_monitored_by_fbi, month_start) AS count_monitored_by_fbi
 FROM image GROUP BY district, month, primary_description""",
         "job_stream_serving": f"{BASE},\n{IMAGE},\n{CLOSED},\n{SERVING}\nSELECT * FROM serving",
-        "stream_late_rows": ORDERS_IMAGE_CLOSED.replace(
-            "FROM orders)",
-            "FROM orders WHERE NOT (o_orderdate >= TIMESTAMP '1999-06-01' AND o_orderdate < TIMESTAMP '1999-07-01'))", 1),
+        "stream_late_rows": LATE_ORDERS,
     }

@@ -17,7 +17,7 @@ o_totalprice > 200000.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.parse import DATE_PATTERN
@@ -108,8 +108,9 @@ def orders_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_as_incidents(table(spark, sf_dir, "orders"))
 
 
-def orders_as_incidents(o: DataFrame) -> DataFrame:
+def orders_as_incidents(o: DataFrame, *more: Column) -> DataFrame:
     return o.select(
+        *more,
         F.col("o_orderkey").alias("id"),
         F.col("o_orderdate").cast("timestamp").alias("date"),
         F.col("o_orderstatus").alias("primary_description"),
