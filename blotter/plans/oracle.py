@@ -190,8 +190,7 @@ FROM damaged""",
         "replay_path_order": f"""{BASE},\n{IMAGE},\n{CLOSED}
 SELECT district, month, primary_description, count, count_arrest, count_domestic, count_monitored_by_fbi,
        month_start FROM closed""",
-        "serving_rerun_fresh_checkpoint": (f"{BASE},\n{IMAGE},\n{CLOSED},\n{SERVING}\nSELECT * FROM serving"
-                                           .replace("FROM lineitem)", "FROM lineitem WHERE l_orderkey % 2 = 0)", 1)),
+        "serving_rerun_fresh_checkpoint": f"{BASE},\n{IMAGE},\n{CLOSED},\n{SERVING}\nSELECT * FROM serving",
         "job_stream_alerts": f"{BASE},\n{WINDOWS},\n{RESULTS},\n{ALERTS}\n{MESSAGES}",
         "job_mode_a_serving": f"""{BASE},\n{IMAGE}
 SELECT district, month, primary_description,

@@ -6,10 +6,13 @@ DataFrame over the committed output.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.config import PipelineConfig
+from blotter.files import data_files, set_times
 from blotter.functions.parse import parse_records, with_event_time
 from blotter.operators.anomaly import alert_messages, alerts, anomaly_results
 from blotter.operators.enrich import enrich
@@ -141,14 +144,14 @@ def q_stream_serving_image_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_serving_rerun_fresh_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 + K4: a job fills the table, the table is truncated, and another job
-    with a fresh checkpoint and other input (the even orders) fills it anew:
-    nothing of the first run may come back."""
+    """K1 + K4: a job fills the table from the odd orders, the table is truncated, and another
+    job with a fresh checkpoint fills it anew from all orders: nothing of the first run may
+    come back."""
     ensure_utc(spark)
     codes = part_codes(spark, sf_dir)
     li = table(spark, sf_dir, "lineitem")
     staging, table_path = scratch_path(spark, "rerun-input"), scratch_path(spark, "rerun-serving")
-    for run, rows in enumerate((li.where(F.col("l_orderkey") % 2 == 1), li.where(F.col("l_orderkey") % 2 == 0))):
+    for run, rows in enumerate((li.where(F.col("l_orderkey") % 2 == 1), li)):
         rows.write.parquet(f"{staging}/{run}")
         stream = spark.readStream.schema(li.schema).parquet(f"{staging}/{run}")
         img = month_image_stream(enrich(with_watermark(with_event_time(lineitem_as_incidents(stream)), "ts", CFG.watermark), codes))
@@ -192,14 +195,16 @@ def q_job_mode_a_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_replay_path_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order files written newest first are replayed in path order, one per
-    micro-batch, so the month windows of all years close in turn."""
+    """Line files whose path order is the order of their dates, but whose modification times
+    run backwards, are replayed in path order, one per micro-batch, so that the month
+    windows close in turn and no row is late."""
     ensure_utc(spark)
     lines = lineitem_csv_records(spark, sf_dir, varied=False)
-    year = F.substring(F.split("value", ",")[1], 1, 4)
     source = scratch_path(spark, "replay-source")
-    for y in sorted((r["y"] for r in lines.select(year.alias("y")).distinct().collect()), reverse=True):
-        write_line_files(lines.where(year == y).coalesce(1), f"{source}/{y}")
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    write_line_files(lines.repartitionByRange(parts, F.split("value", ",")[1]), source)
+    found = data_files(spark, source)
+    set_times(spark, found[::-1], int(time.time() * 1000) - len(found))
     staged = replay_in_path_order(spark, source, scratch_path(spark, "replay-staged"))
     incidents, _ = parse_records(keyed_lines(directory_lines(spark, staged, streaming=True, files_per_trigger=1)))
     img = month_image_stream(enrich(with_watermark(with_event_time(incidents), "ts", CFG.watermark), part_codes(spark, sf_dir)))

@@ -7,11 +7,14 @@ Every source yields the same shape: ``key STRING, value STRING`` (plus an
 from __future__ import annotations
 
 import hashlib
+import json
+import re
+import time
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.files import EMPTY_HOST, data_files, get_text, names, put_text, set_times, uri_of
 from blotter.functions.parse import record_key
 from blotter.schema import LINE
 
@@ -35,30 +38,32 @@ def directory_lines(spark: SparkSession, path: str, streaming: bool = False,
 
 
 def replay_in_path_order(spark: SparkSession, path: str, staged: str) -> str:
-    """The files below ``path``, in path order, staged one after the other
-    below ``staged`` (one line file each), so that a file stream over
-    ``staged``, which goes by modification time, meets them in path order.
-    Files staged by an earlier call are not staged again.  The list of files
-    is on the driver, as Spark's own is; their lines are copied by tasks."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-               .select("path").collect())
-    done = _staged_files(spark, staged)
-    for file in sorted(r["path"] for r in listing):
-        if file not in done:
-            lines = directory_lines(spark, file.replace("{", "\\{").replace("*", "\\*").replace("[", "\\["))
-            name = hashlib.sha1(file.encode()).hexdigest()[:16]
-            write_line_files(lines.coalesce(1), f"{staged}/files/{name}", mode="overwrite")
-            spark.createDataFrame([(file,)], "value string").coalesce(1).write.mode("append").text(f"{staged}/done")
-    return f"{staged}/files/*"
-
-
-def _staged_files(spark: SparkSession, staged: str) -> set[str]:
-    try:
-        return {r["value"] for r in spark.read.text(f"{staged}/done").collect()}
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return set()
+    """The files below ``path``, in path order, staged below ``staged`` so that a file stream
+    over them, which goes by modification time, meets them in path order.
+
+    One job copies the lines of all files that no earlier call staged: each scan split
+    becomes a part of its own, named by its file and place in it, so a large file is copied by
+    many tasks.  Then the parts get modification times in the order of (file path, place).  A
+    file of one split is one part, so ``files_per_trigger=1`` replays file by file; of
+    a larger one, part by part.  The list of files is on the driver, as Spark's own is."""
+    files = data_files(spark, path)
+    calls = names(spark, f"{staged}/done")
+    done = {f for call in calls for f in json.loads(get_text(spark, f"{staged}/done/{call}"))["files"]}
+    new = [f for f in files if f not in done]
+    if new:
+        target = f"{staged}/files/{len(calls):06d}"
+        literal = [re.sub(r"([{}\[\]*?\\])", r"\\\1", f) for f in new]
+        rows = spark.read.schema(LINE).options(**_WHOLE_LINE).csv(literal).select(
+            F.coalesce(F.col("value"), F.lit("")).alias("value"), F.monotonically_increasing_id().alias("_at"),
+            F.sha1(F.regexp_replace("_metadata.file_path", EMPTY_HOST, "$1:/").cast("binary")).alias("file"),
+            F.lpad(F.col("_metadata.file_block_start").cast("string"), 15, "0").alias("start"))
+        write_line_files(rows.sortWithinPartitions("file", "start", "_at"), target, "overwrite", by=["file", "start"])
+        place = {hashlib.sha1(uri_of(spark, f).encode()).hexdigest(): i for i, f in enumerate(new)}
+        parts = sorted((place[re.search(r"/file=([0-9a-f]{40})/", p).group(1)], p) for p in data_files(spark, target))
+        earliest = max((json.loads(get_text(spark, f"{staged}/done/{call}"))["next_ms"] for call in calls), default=0)
+        following = set_times(spark, [p for _, p in parts], max(earliest, int(time.time() * 1000) - len(parts)))
+        put_text(spark, f"{staged}/done/{len(calls):06d}.json", json.dumps({"files": new, "next_ms": following}))
+    return f"{staged}/files/*/*/*"
 
 
 def keyed_lines(lines: DataFrame) -> DataFrame:
@@ -130,10 +135,12 @@ def incident_records(spark: SparkSession, source: dict, streaming: bool = True)
     raise ValueError(f"unknown source kind {kind!r}")
 
 
-def write_line_files(lines: DataFrame, path: str, mode: str = "append") -> None:
+def write_line_files(lines: DataFrame, path: str, mode: str = "append", by: list[str] | None = None) -> None:
     """File twin of publishing lines: text files, each starting with a header
-    line that the directory source skips (the producer skips line 1)."""
-    (lines.select("value").write.mode(mode)
+    line that the directory source skips (the producer skips line 1); ``by``: columns
+    that name their folders."""
+    by = by or []
+    (lines.select("value", *by).write.mode(mode).partitionBy(*by)
      .option("header", "true").option("sep", "\x01").option("quote", "")
      .option("escapeQuotes", "false").option("quoteAll", "false")
      .csv(path))
