@@ -45,8 +45,9 @@ def parse_date(text: Column) -> Column:
 
     Resolved as the JVM's default resolver does: a day up to 31 that the month
     does not have becomes its last day, and 24:00:00.000 the next midnight.
-    Parsed with an offset letter so the result does not depend on the session
-    zone; the 'Z' suffix test keeps other offsets out, as in the reference."""
+    The 'Z' makes the result independent of the session zone, and its test keeps other
+    offsets out, as in the reference.  A well-formed text is cast, which is cheap; only
+    where that finds no such day or hour are its parts looked at."""
     well_formed = text.rlike(r"^(?!0000)\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])T"
                              r"(([01]\d|2[0-3]):[0-5]\d:[0-5]\d\.\d{3}|24:00:00\.000)Z$")
     first = F.try_to_timestamp(F.concat(F.substring(text, 1, 8), F.lit("01")), F.lit("yyyy-MM-dd")).cast("date")
@@ -55,7 +56,8 @@ def parse_date(text: Column) -> Column:
     time = F.when(late, F.lit("T00:00:00.000Z")).otherwise(F.substring(text, 11, 14))
     moment = F.try_to_timestamp(F.concat(F.substring(text, 1, 8), F.lpad(day.cast("string"), 2, "0"), time),
                                 F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX"))
-    return F.when(well_formed, F.when(late, moment + F.expr("INTERVAL 1 DAY")).otherwise(moment))
+    resolved = F.when(late, moment + F.expr("INTERVAL 1 DAY")).otherwise(moment)
+    return F.when(well_formed, F.coalesce(text.try_cast("timestamp"), resolved))
 
 
 def parse_flag(text: Column) -> Column:

@@ -21,10 +21,11 @@ from blotter.plans.standins import (lineitem_as_incidents, lineitem_csv_records,
                                     part_code_lines, part_codes, table, table_stream)
 from blotter.schema import COUNTERS
 from blotter.session import ensure_utc, scratch_path
-from blotter.sinks.alerts import alert_stream_writer
+from blotter.sinks.alerts import write_alert_log
 from blotter.sinks.serving import serving_batch_writer, truncate_serving_table
 from blotter.sources.read_models import read_alert_log, read_serving
 from blotter.sources.records import directory_lines, keyed_lines, replay_in_path_order, write_line_files
+from blotter.streaming.panes import SlidingImage
 from blotter.streaming.runner import run_available_now, state_partitions
 from blotter.streaming.stateful import PerRowImage, parquet_sink
 from blotter.streaming.windows import month_image_stream, sliding_counts_stream, with_watermark
@@ -94,23 +95,21 @@ def q_stream_running_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_anomaly_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3 end to end: published CSV lines -> directory stream -> parse ->
-    watermark -> broadcast enrichment -> sliding windows -> alerts -> text log."""
+    broadcast enrichment -> sliding windows from panes -> alerts -> text log."""
     ensure_utc(spark)
     staged = scratch_path(spark, "incident-lines")
     write_line_files(lineitem_csv_records(spark, sf_dir, varied=False), staged)
     codes = part_codes(spark, sf_dir)
     incidents, _ = parse_records(keyed_lines(directory_lines(spark, staged, streaming=True,
                                                              files_per_trigger=None)))
-    events = with_watermark(with_event_time(incidents), "ts", CFG.watermark)
-    res = anomaly_results(sliding_counts_stream(enrich(events, codes), CFG.anomaly_period_days,
-                                                CFG.anomaly_slide_days))
-    msgs = alert_messages(alerts(res, CFG.anomaly_threshold))
     log = scratch_path(spark, "alert-log")
-    with state_partitions(spark):
-        q = alert_stream_writer(msgs, log + "-chk", path=log).trigger(availableNow=True).start()
-        q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+
+    def sink(windows: DataFrame, epoch: int) -> None:
+        lines = alert_messages(alerts(anomaly_results(windows), CFG.anomaly_threshold))
+        write_alert_log(lines, f"{log}/batch={epoch}", mode="overwrite")
+
+    run_available_now(enrich(with_event_time(incidents), codes), log + "-chk", foreach_batch=SlidingImage(
+        log + "-chk/windows", sink, CFG.watermark_seconds, CFG.anomaly_period_days, CFG.anomaly_slide_days))
     return read_alert_log(spark, log)
 
 

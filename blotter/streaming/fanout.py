@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from blotter.functions.parse import with_event_time
 from blotter.operators.anomaly import alert_messages, alerts, anomaly_results
 from blotter.operators.enrich import enrich, hot_codes
-from blotter.streaming.panes import SlidingPanes
+from blotter.streaming.panes import PANES, SlidingPanes
 from blotter.streaming.statelog import COMPACT_EVERY, Ledger
 from blotter.streaming.stateful import closed, month_columns, month_increments, month_log, month_rows, passed, running_rows
 
@@ -109,12 +109,10 @@ class JobBatch:
             self.serving(rows.withColumn("_order", F.col("month_end")), epoch)
 
     def _windows(self, good: DataFrame, epoch: int, before: int | None, after: int | None) -> None:
-        spark = good.sparkSession
-        self.panes.log.held(spark, epoch, self.panes.open_panes(before))
-        self.panes.log.append(self.panes.increments(good, before), epoch)
-        if self.panes.passes_an_end(before, after) or epoch == 0:
-            state = self.panes.log.after(spark, epoch)
-            windows = self.panes.closing(state, before, after) if after is not None else self.panes.closing(state.limit(0), None, 0)
+        windows = self.panes.advance(good, epoch, before, after)
+        if windows is None and epoch == 0:
+            windows = self.panes.closing(good.sparkSession.createDataFrame([], PANES), None, 0)     # the log exists from the start
+        if windows is not None:
             self.alert_lines(alert_messages(alerts(anomaly_results(windows), self.threshold)), epoch)
 
 

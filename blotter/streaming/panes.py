@@ -13,12 +13,15 @@ again.  A pane leaves the state when the last window that holds it has closed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.operators.anomaly import DAY, pane_seconds, windows_from_panes
-from blotter.streaming.statelog import COMPACT_EVERY, StateLog
+from blotter.streaming.statelog import COMPACT_EVERY, Ledger, StateLog
 
 PANES = T.StructType([T.StructField("district", T.IntegerType()), T.StructField("_pane", T.LongType()),
                       T.StructField("_n", T.LongType()), T.StructField("_m", T.LongType())])
@@ -64,3 +67,35 @@ class SlidingPanes:
         found = windows_from_panes(state.where(self.open_panes(before_ms)), self.period_days, self.slide_days)
         ends = F.unix_millis("end")
         return found.where((ends <= F.lit(after_ms)) & (F.lit(True) if before_ms is None else ends > F.lit(before_ms)))
+
+    def advance(self, rows: DataFrame, epoch: int, before_ms: int | None, after_ms: int | None) -> DataFrame | None:
+        """Add the staged ``rows`` of a micro-batch; the windows that it closed, or None where the
+        watermark passed no window's end."""
+        spark = rows.sparkSession
+        self.log.held(spark, epoch, self.open_panes(before_ms))
+        self.log.append(self.increments(rows, before_ms), epoch)
+        return self.closing(self.log.after(spark, epoch), before_ms, after_ms) if self.passes_an_end(before_ms, after_ms) else None
+
+
+class SlidingImage:
+    """``foreachBatch`` function of sliding window counts: ``sink`` gets (closed windows, epoch)
+    of the micro-batches that closed some; it must be idempotent per epoch."""
+
+    def __init__(self, state: str, sink: Callable[[DataFrame, int], None], delay_seconds: int, period_days: int = 30,
+                 slide_days: int = 1, ts_col: str = "ts", compact_every: int = COMPACT_EVERY):
+        self.sink, self.ts_col = sink, ts_col
+        self.ledger = Ledger(state, delay_seconds)
+        self.panes = SlidingPanes(f"{state}/panes", period_days, slide_days, compact_every)
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        mark = self.ledger.before(spark, epoch)
+        rows = batch.select(F.unix_millis(self.ts_col).alias("event_ms"), "district", "monitored_by_fbi")
+        staged, seen = self.ledger.stage(rows, epoch, observed={
+            "largest": F.max("event_ms"),
+            "late": F.coalesce(F.sum(self.panes.closed_windows(F.floor(F.col("event_ms") / 1000).cast("bigint"), mark.watermark_ms)), F.lit(0))})
+        watermark = self.ledger.watermark(staged, seen["largest"], mark, epoch)
+        windows = self.panes.advance(staged, epoch, mark.watermark_ms, watermark)
+        if windows is not None:
+            self.sink(windows, epoch)
+        self.ledger.commit(spark, epoch, replace(mark, watermark_ms=watermark, late_windows=mark.late_windows + seen["late"]))
