@@ -53,6 +53,28 @@ def test_vectors_against_brute_force(spark):
         assert (got[1000 + i].n_links, got[1000 + i].component_id) == (0, 1000 + i)
 
 
+@pytest.mark.parametrize("noise", [0.0, 0.002])
+def test_links_between_dense_groups_are_not_lost(spark, noise):
+    """Groups of 60, larger than any list, whose vectors all link with those of the next group
+    (cosine 0.94) and with no other: every list is full of its own group."""
+    rng = np.random.default_rng(8)
+    steps = [rng.standard_normal(64) for _ in range(4)]
+    rows, truth = [], []
+    for pair in range(2):
+        a = steps[2 * pair] / np.linalg.norm(steps[2 * pair])
+        b = steps[2 * pair + 1] - (steps[2 * pair + 1] @ a) * a
+        b = 0.94 * a + np.sqrt(1 - 0.94 ** 2) * b / np.linalg.norm(b)
+        for centre in (a, b):
+            rows += [centre + noise * rng.standard_normal(64) / 8 for _ in range(60)]
+            truth += [pair] * 60
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int").repartition(3)
+    x = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    n = (x @ x.T >= 0.93).sum(axis=1) - 1
+    assert set(n) == {119}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nndescent.near_duplicates(spark, table).collect()}
+    assert got == {i: (119, 120 * truth[i]) for i in range(240)}
+
+
 def test_vectors_empty_table(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert nndescent.near_duplicates(spark, table).count() == 0
