@@ -77,6 +77,18 @@ def text_slices(texts: list[str], limit: int = SLICE_BYTES) -> Iterator[tuple[in
         yield start, len(texts)
 
 
+def sized_slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """[start, end) ranges of texts of these sizes, about ``limit`` characters each; a longer text is one of its own."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if held and held + size > limit:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def to_batch(columns: dict[str, object], schema: T.StructType) -> pa.RecordBatch:
     """A record batch of ``columns`` in the order and types of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from blotter.llm.common import SLICE_BYTES, ship_package, stage, to_batch
+from blotter.llm.common import ship_package, sized_slices, stage, to_batch
 
 WINDOW = 4096
 END_ID = (1).to_bytes(4, "little")
@@ -188,18 +188,6 @@ def slot_ranges(spark: SparkSession, plan: list[tuple], counts: dict[int, int])
             spark.createDataFrame(list(width.items()), "length long, width long"))
 
 
-def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """[start, end) ranges of rows of about ``limit`` characters; a longer text is one of its own."""
-    start = held = 0
-    for i, size in enumerate(sizes):
-        if held and held + size > limit:
-            yield start, i
-            start, held = i, 0
-        held += size
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 def cut_pieces(docs: DataFrame, tokenizer_path: str, window: int, with_ids: bool) -> DataFrame:
     """One row per piece, with its task and its rank among the task's pieces of its length."""
     schema = T.StructType(PIECES.fields + [T.StructField("ids", T.BinaryType())]) if with_ids else PIECES
@@ -209,7 +197,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, window: int, with_ids: bool
         task, encode, seen = TaskContext.get().partitionId(), word_encoder(tokenizer_path).encode, defaultdict(int)
         for b in batches:
             sizes, doc_ids = b.column(2).to_pylist(), b.column(0)
-            for lo, hi in slices(sizes):
+            for lo, hi in sized_slices(sizes):
                 out: dict[str, list] = {f.name: [] for f in schema.fields}
                 texts = b.column(1).slice(lo, hi - lo).to_pylist()
                 for doc_id, ids in zip(doc_ids.slice(lo, hi - lo).to_pylist(), encode(texts), strict=True):

@@ -26,17 +26,20 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from blotter.llm.common import ragged_sums, ship_package, stage, text_slices, with_columns_replaced
+from blotter.llm.common import ragged_sums, ship_package, sized_slices, stage, text_slices, with_columns_replaced
 
 ORDER = 5
 SAMPLE_ROWS = 400
 DISCOUNT = 0.75
-KNOWN_GRAMS = 500_000
+KNOWN_GRAMS = 300_000
+#: Characters whose grams are looked up at once (about 60 bytes of arrays for each).
+PREDICT_SLICE = 1_000_000
 UND = "und"
 EDGE, SPACE = 1, 32
 RESULT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
@@ -229,13 +232,14 @@ def calibrate(model: Model, entropies: np.ndarray, labels: np.ndarray) -> Model:
 
 def sample_labelled(docs: DataFrame, sample_rows: int) -> DataFrame:
     """At most ``sample_rows`` labelled rows (lang, text, held) a language, those of
-    the smallest hashes.  A hash limit first cuts each language to about twice
+    the smallest hashes of the row (its place included, so that rows without an id, or equal
+    ones, are drawn one by one).  A hash limit first cuts each language to about twice
     that number where the rows are read, so only a bounded number of texts is
     moved and ranked.  The counts by language come to the driver, as the model
     with its one entry a language does."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
-        F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")).alias("h"))
+        F.xxhash64(F.monotonically_increasing_id(), "doc_id", "text").alias("h"))
     counts = rows.groupBy("lang").agg(F.count("*").alias("rows")).collect()
     counts = F.broadcast(docs.sparkSession.createDataFrame([(r["lang"], r["rows"]) for r in counts], "lang string, rows long"))
     unit = (F.col("h") / F.lit(2.0 ** 64)) + 0.5
@@ -289,12 +293,14 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
     schema = with_columns_replaced(docs.schema, RESULT)
     kept = schema.names[:-len(RESULT)]
+    text_at = kept.index("text") if "text" in kept and docs.schema["text"].dataType == T.StringType() else len(kept)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
-            for lo, hi in text_slices(texts):
+            sizes = pc.fill_null(pc.utf8_length(b.column(text_at)), 0).to_pylist()
+            for start, end in sized_slices(sizes, PREDICT_SLICE):
+                texts, lo, hi = [t or "" for t in b.column(text_at).slice(start, end - start).to_pylist()], 0, end - start
                 pred, score, entropy, out = [UND] * (hi - lo), np.zeros(hi - lo), np.full(hi - lo, np.nan), np.ones(hi - lo, dtype=bool)
                 if m.languages:
                     e, letters = m.entropies(texts[lo:hi])
@@ -304,11 +310,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     entropy = np.where(letters, e.min(axis=1), np.nan)
                     out = ~letters | (entropy > m.limit)
                     pred = [m.languages[k] if ok else UND for k, ok in zip(best, letters, strict=True)]
-                columns = [b.column(i).slice(lo, hi - lo) for i in range(len(kept))]
+                columns = [b.column(i).slice(start, end - start) for i in range(len(kept))]
                 columns += [pa.array(pred, pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(out)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").cast("string").alias("__text")).mapInArrow(predict, schema)
+    more = [] if text_at < len(kept) else [F.col("text").cast("string").alias("__text")]
+    return docs.select(*[F.col(f"`{c}`") for c in kept], *more).mapInArrow(predict, schema)
 
 
 def held_out(doc_id: Column, modulus: int = 3, remainder: int = 1) -> Column:
