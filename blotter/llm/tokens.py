@@ -1,6 +1,8 @@
 """Byte-level BPE ids of whole texts through a word cache.
 
-The vocabulary is a public tokenizer file of merge ranks; nothing is trained.
+The vocabulary is a public tokenizer file of merge ranks; nothing is trained.  Strings of
+its special tokens, which that file lacks, become their ids, and the text between
+them is tokenised piece by piece, as the public tokenizer does.
 The pre-tokenizer never joins text across a space but for the one that leads a
 word, so a text without runs of white space at a space is the concatenation of
 its words ``" w"``; each distinct word is encoded once per cache.  Other texts
@@ -16,6 +18,8 @@ import numpy as np
 import tiktoken
 
 UNSAFE = re.compile(r" (?=\s|\Z)")
+#: Fixed values of the public vocabulary: special tokens and their ids.
+SPECIAL = {"<|endoftext|>": 50256}
 CACHE_WORDS = 300_000
 
 
@@ -28,12 +32,18 @@ class Encoder:
         self.leads[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
         self.cache_words, self.words = cache_words, {}
 
+        self.special = {t: i.to_bytes(4, "little") for t, i in SPECIAL.items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, SPECIAL)) + ")")
+
     def whole(self, text: str) -> bytes:
         return np.array(self.ids(text), dtype="<u4").tobytes()
 
+    def with_special(self, text: str) -> bytes:
+        return b"".join(self.special[part] if part in self.special else self.whole(part) for part in self.cut.split(text) if part)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        plain = [None if UNSAFE.search(t) else t.split(" ") for t in texts]
+        plain = [None if UNSAFE.search(t) or self.cut.search(t) else t.split(" ") for t in texts]
         seen: set[str] = set()
         for p in plain:
             if p:
@@ -43,7 +53,7 @@ class Encoder:
             self.words, new = {}, list(seen)
         self._learn(new)
         get = self.words.__getitem__
-        return [self.whole(t) if p is None else self.whole(p[0]) + b"".join(map(get, p[1:]))
+        return [self.with_special(t) if p is None else self.whole(p[0]) + b"".join(map(get, p[1:]))
                 for t, p in zip(texts, plain, strict=True)]
 
     def _learn(self, words: list[str]) -> None:

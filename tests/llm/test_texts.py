@@ -322,9 +322,9 @@ def test_packing_round_trip_and_padding(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
     mixed = docs.select("doc_id", "text").unionByName(spark.createDataFrame(
-        [(10_001, "  two  spaces\n\n x \t"), (10_002, None), (10_003, ""), (10_004, "<|endoftext|> don't"), (10_005, LONG)], "doc_id long, text string"))
+        [(10_001, "  two  spaces\n\n x \t"), (10_002, None), (10_003, ""), (10_004, "<|endoftext|> don't"), (10_005, LONG),
+         (10_006, "a <|endoftext|><|endoftext|>  b<|endoftext|"), (10_007, "<|ENDOFTEXT|> x\n<|endoftext|>\n")], "doc_id long, text string"))
     texts = {r.doc_id: r.text or "" for r in mixed.collect()}
     rows = packing.pack(mixed, *tokenizer(), with_ids=True).collect()
     ids = {}
@@ -478,6 +478,18 @@ def test_language_prediction_does_not_see_the_label(spark, docs):
     assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_languages_are_learned_from_rows_without_ids(spark):
+    """Rows that lack or repeat an id, and equal rows, are sampled one by one: no language is lost
+    when its rows all have one id, or all one text."""
+    words = {"en": "the and of that have with this from they would", "fr": "le de et la les des une que pour dans", "xx": "zu zu"}
+    rnd = random.Random(3)
+    rows = [(None if lang == "en" else 7, lang if lang == "xx" else " ".join(rnd.choice(words[lang].split()) for _ in range(12)), lang)
+            for lang in words for _ in range(700)]
+    for sample_rows in (5, 40):
+        table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+        assert langid.train(table, sample_rows).languages == ["en", "fr", "xx"]
+
+
 # ------------------------------------------------------------------ 10 mixing
 
 def test_mix_against_brute_force(spark, docs):
