@@ -6,7 +6,12 @@ documents table, and returns a DataFrame; all but the last return those
 columns.  :func:`run` writes each stage's rows below the shared checkpoint
 folder and reads them back for the next.  No stage can be written in DuckDB's
 SQL as a whole (the language models and the tokenizer are not), so there is no
-oracle; ``tests/llm`` checks the stages against brute force."""
+oracle; ``tests/llm`` checks the operators that the stages call, and the rows that
+each stage keeps.
+
+In every stage: null ids and sources are values like others, rows that repeat an id are rows of
+their own, extra columns stay as they are (also under names that an operator
+uses), an empty table gives an empty one, and texts are taken whole."""
 
 from __future__ import annotations
 
@@ -19,29 +24,33 @@ from blotter.llm.queries import tokenizer
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: drops what the models reject; a missing label is filled in."""
+    """Operator 8: drops what the models reject, so also null and empty texts and those without a
+    letter; a missing label is filled in."""
     found = langid.identify(docs, langid.train(docs)).where("not rejected")
     filled = found.withColumn("lang", F.coalesce("lang", "lang_pred"))
     return filled.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: of fuzzily equal lines the first stays; a document without lines goes."""
+    """Operator 2: of fuzzily equal lines the first stays (ties by row); a document without lines,
+    as a null or empty text, goes."""
     return linededup.deduplicated(spark, docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: one document of each near-duplicate class stays."""
+    """Operator 3: one document of each near-duplicate class stays, that of the smallest id (null
+    last, then by row); texts without a word, null ones too, are one class."""
     return orderminhash.deduplicated(spark, docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: the mix, a row for each time a document is taken."""
+    """Operator 10: the mix, a row for each time a document is taken; a document without words is
+    never taken; a null source is the last source."""
     return mixing.mixed_documents(spark, docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: the pieces of the training sequences."""
+    """Operator 4: the pieces of the training sequences; a null or empty text is its end id alone."""
     return packing.pack(docs, *tokenizer())
 
 
