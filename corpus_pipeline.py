@@ -32,8 +32,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: of fuzzily equal lines the first stays (ties by row); a document without lines,
-    as a null or empty text, goes."""
+    """Operator 2: of fuzzily equal lines the first stays (ties by row); a document that loses all
+    its lines goes; a null or empty text, which has none to lose, stays."""
     return linededup.deduplicated(spark, docs)
 
 
