@@ -1,15 +1,23 @@
 """Operator 2: fuzzy line deduplication.
 
-Lines are normalised to their lower-cased words.  A SimHash of ``BITS`` bits over
-a line's words is cut into ``BLOCKS`` blocks; lines that agree in a block are
-candidates, so two lines whose SimHashes differ in fewer than ``BLOCKS`` bits
-always are (pigeonhole).  A candidate pair is a link when the edit distance of
+Lines are normalised to their lower-cased words.  A SimHash of ``BLOCKS`` x
+``BLOCK_BITS`` bits over a line's words is cut into ``BLOCKS`` blocks; lines
+whose SimHashes differ in fewer than ``BLOCKS`` bits agree in a block
+(pigeonhole), and at the limit of similarity they differ in 11 of 56 on average.
+So short a block is shared by lines without number, hence each is split by an
+anchor: the two-word run of the line that is least under the block's own hash.
+Lines that agree in a block and its anchor are candidates.  Lines of at most
+``SHORT`` words are candidates also where they agree after the deletions that
+their length allows, which finds all pairs of such lines.  Of longer pairs at the
+limit by scattered changes of words nine in ten or more are candidates (tested by
+length).  A candidate pair is a link when the edit distance of
 the word sequences is at most 1 - ``SIMILARITY`` of the longer one.  Of all
 occurrences of a connected group of lines the first (least doc_id, hash of the
 text, line number) stays, the others are removed.
 
 Lines travel as hashes; the words of those that share a block are fetched in a
-second scan; whole texts are shuffled once, to be rebuilt.
+second scan; only texts that may lose a line (a bitmap of 16 MB tells) are
+shuffled, to be rebuilt, the others pass through.
 
 Defined results: null text is empty and stays null; a line without letter or
 digit is never removed for itself; a text that loses all its lines with words
@@ -19,59 +27,113 @@ result; extra columns pass through :func:`deduplicated`."""
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.common import ship_package, stage, text_slices
-from blotter.llm.components import least_words
+from blotter.llm.components import allowed_edits, least_words, maybe_wanted, wanted_filter
 from blotter.llm.orderminhash import link_units
 from blotter.llm.wordunits import Units, mixed
 
-BLOCKS, BLOCK_BITS = 5, 25
-BITS = BLOCKS * BLOCK_BITS
+BLOCKS, BLOCK_BITS = 14, 4  # BLOCKS * BLOCK_BITS <= 64
+SHORT = 9
 SIMILARITY = 0.8
 CHUNK = 1 << 15
 
 
 def simhash_blocks(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """units x BLOCKS: the blocks of each unit's SimHash (every word one vote)."""
-    units = len(offsets) - 1
-    votes = np.zeros((units, 128), dtype=np.int64)
-    filled = np.flatnonzero(np.diff(offsets) > 0)
+    """units x BLOCKS: the blocks of each unit's SimHash (every word one vote); no
+    unit is empty."""
+    ones = np.empty((len(offsets) - 1, 64), dtype=bool)
     # runs of whole units of about CHUNK words, so the bit matrix stays small
     at = 0
-    while at < len(filled):
-        end = int(np.searchsorted(offsets[filled], offsets[filled[at]] + CHUNK, side="right"))
-        end = max(at + 1, min(end, len(filled)))
-        rows = filled[at:end]
-        lo, hi = offsets[rows[0]], offsets[rows[-1] + 1]
-        w = words[lo:hi]
-        bits = np.unpackbits(np.stack([mixed(w), mixed(w ^ np.uint64(0xA0761D6478BD642F))], axis=1).view(np.uint8), axis=1)
-        small = hi - lo < 1 << 16
-        votes[rows] = np.add.reduceat(bits, offsets[rows] - lo, axis=0, dtype=np.uint16 if small else np.int64)
+    while at < len(ones):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, side="right")) - 1)
+        lo, hi = offsets[at], offsets[end]
+        bits = np.unpackbits(mixed(words[lo:hi]).view(np.uint8).reshape(-1, 8), axis=1)
+        votes = np.add.reduceat(bits, offsets[at:end] - lo, axis=0, dtype=np.uint16 if hi - lo < 1 << 15 else np.int64)
+        ones[at:end] = 2 * votes > np.diff(offsets[at:end + 1])[:, None]
         at = end
-    ones = 2 * votes[:, :BITS] > np.diff(offsets)[:, None]
     weights = 1 << np.arange(BLOCK_BITS, dtype=np.int64)
-    return np.stack([(ones[:, k * BLOCK_BITS:(k + 1) * BLOCK_BITS] * weights).sum(axis=1) | (k << 32) for k in range(BLOCKS)], axis=1)
-
-
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (ones[:, :BLOCKS * BLOCK_BITS].reshape(-1, BLOCKS, BLOCK_BITS) * weights).sum(axis=2).astype(np.uint64)
+
+
+def anchored_blocks(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """units x BLOCKS: a hash of each block and its anchor, the unit's least two-word
+    run under a hash of the block's own; no unit is empty."""
+    runs = mixed(words)
+    runs[:-1] = mixed((runs[:-1] ^ words[1:]) + np.uint64(2))
+    runs[offsets[1:] - 1] = mixed(words[offsets[1:] - 1])
+    keys = simhash_blocks(words, offsets)
+    for k, seed in enumerate(mixed(np.arange(1, BLOCKS + 1, dtype=np.uint64)) | np.uint64(1)):
+        least = np.minimum.reduceat(runs * seed, offsets[:-1])
+        keys[:, k] = mixed(mixed(least) + (keys[:, k] | np.uint64(k << BLOCK_BITS)))
+    return keys
+
+
+def deletion_keys(words: np.ndarray, share: float) -> np.ndarray:
+    """units x ways: hashes of the units (rows of ``words``, equal in length) with up
+    to their allowed edits of words deleted."""
+    n = words.shape[1]
+    out = []
+    for deleted in range(allowed_edits(share, n, 0) + 1):
+        for places in itertools.combinations(range(n), n - deleted):
+            h = np.full(len(words), np.uint64(n - deleted))
+            for at in places:
+                h = mixed(h * np.uint64(3) + words[:, at])
+            out.append(h)
+    return np.stack(out, axis=1)
+
+
+def candidate_keys(words: np.ndarray, offsets: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of each unit, as (ends, keys): units that share one are
+    candidates.  Units too short for any link have none."""
+    n = np.diff(offsets)
+    rows: list[np.ndarray] = [np.zeros(0, np.int64)]
+    keys: list[np.ndarray] = [np.zeros(0, np.uint64)]
+
+    def add(units: np.ndarray, found: np.ndarray) -> None:
+        rows.append(np.repeat(units, found.shape[1]))
+        keys.append(found.ravel())
+
+    for length in range(least_words(share), SHORT + 1):
+        some = np.flatnonzero(n == length)
+        if len(some):
+            add(some, deletion_keys(words[offsets[some][:, None] + np.arange(length)], share))
+    # the shortest that can be linked to a unit of more than SHORT words
+    long = np.flatnonzero(n >= max(1, math.ceil((1 - share) * (SHORT + 1) - 1e-6)))
+    if len(long):
+        mine = words[np.repeat(n >= n[long].min(), n)]
+        add(long, anchored_blocks(mine, np.concatenate([[0], np.cumsum(n[long])])))
+    row, key = np.concatenate(rows), np.concatenate(keys)
+    order = np.lexsort((key, row))
+    row, key = row[order], key[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+    return np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=len(n)))]).astype(np.int32), key[new].view(np.int64)
+
+
+def _lines(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column(2).to_pylist()
         for lo, hi in text_slices(texts):
             units = Units(texts[lo:hi], by_line=True)
             at = np.flatnonzero(np.diff(units.offsets) > 0)
-            blocks = simhash_blocks(units.words, units.offsets)[at]
+            sizes = np.diff(units.offsets)[at]
+            ends, keys = candidate_keys(units.words, np.concatenate([[0], np.cumsum(sizes)]), share)
             h1, h2 = units.names()
             doc = pa.array(units.text[at] + lo)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(doc), b.column(1).take(doc), pa.array(units.line[at], pa.int32()),
-                 pa.array(np.diff(units.offsets)[at], pa.int32()), pa.array(h1[at]), pa.array(h2[at]),
-                 pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * BLOCKS, blocks.ravel())],
+                [b.column(0).take(doc), b.column(1).take(doc), pa.array(units.line[at], pa.int32()), pa.array(sizes, pa.int32()),
+                 pa.array(h1[at]), pa.array(h2[at]), pa.ListArray.from_arrays(ends, keys)],
                 ["doc_id", "th", "line", "n_words", "h1", "h2", "keys"])
 
 
@@ -81,11 +143,11 @@ def line_groups(spark: SparkSession, docs: DataFrame, similarity: float = SIMILA
     ship_package(spark)
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = stage(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
-                  .mapInArrow(_lines, "doc_id long, th long, line int, n_words int, h1 long, h2 long, keys array<long>"), "lines")
+                  .mapInArrow(functools.partial(_lines, share=1 - similarity), "doc_id long, th long, line int, n_words int, h1 long, h2 long, keys array<long>"), "lines")
     units = stage(spark, lines.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.max("n_words").alias("n_words"))
         .withColumn("id", F.monotonically_increasing_id()).withColumn("prior", -F.col("copies")).withColumn("size", F.col("n_words")), "distinct-lines")
-    buckets = units.where(F.col("n_words") >= least_words(1 - similarity)).select(F.explode("keys").alias("bucket"), "id")
+    buckets = units.select(F.explode("keys").alias("bucket"), "id")
     groups = link_units(spark, docs, units, buckets, by_line=True, share=1 - similarity)
     linked = units.join(groups, units["id"] == groups["node"]).select("id", "component", "first")
     firsts = linked.groupBy("component").agg(F.min("first").alias("first_of"))
@@ -99,11 +161,18 @@ def rebuilt(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY
     """``docs`` with text and n_chars of the lines that stay, plus __removed (number
     of lines removed) and __left (whether a line with a word is left)."""
     groups = line_groups(spark, docs, similarity)
-    drops = (groups.groupBy("doc_id", "th").agg(
-        F.collect_list(F.when(~F.col("kept"), F.col("line"))).alias("__drop"), F.count_if(F.col("kept")).alias("__kept"))
-        .where(F.size("__drop") > 0).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "__drop", "__kept"))
+    drops = stage(spark, groups.groupBy("doc_id", "th").agg(
+        F.collect_set(F.when(~F.col("kept"), F.col("line"))).alias("__drop"), F.count_if(F.col("kept")).alias("__kept"))
+        .where(F.size("__drop") > 0).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "__drop", "__kept"), "drops")
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    joined = docs.join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__th")), "left")
+    bits = wanted_filter(spark, drops, "__th")
+
+    @F.pandas_udf("boolean")
+    def may_lose(th: pd.Series) -> pd.Series:
+        return pd.Series(maybe_wanted(bits.value, th.to_numpy()))
+
+    told = docs.withColumn("__may", may_lose(F.xxhash64(body)))
+    joined = told.where("__may").join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__th")), "left")
 
     # __lines stands twice below, so it is evaluated once a row and not inside the lambda
     joined = joined.withColumn("__lines", F.split(body, "\n"))
@@ -114,7 +183,12 @@ def rebuilt(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY
         "__left", F.coalesce(F.col("__kept") > 0, F.lit(True)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "__removed", "__left")
+    others = told.where("not __may")
+    if "n_chars" in docs.columns:
+        others = others.withColumn("n_chars", F.char_length("text").cast("long"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*columns, "__removed", "__left").unionByName(
+        others.select(*columns, F.lit(0).alias("__removed"), F.lit(True).alias("__left")))
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
