@@ -3,9 +3,9 @@
 Lines are normalised to their lower-cased words.  A SimHash of ``BLOCKS`` x
 ``BLOCK_BITS`` bits over a line's words is cut into ``BLOCKS`` blocks; lines
 whose SimHashes differ in fewer than ``BLOCKS`` bits agree in a block
-(pigeonhole), and at the limit of similarity they differ in 11 of 56 on average.
+(pigeonhole), and at the limit of similarity they differ in 12 of 60 on average.
 So short a block is shared by lines without number, hence each is split by an
-anchor: the two-word run of the line that is least under the block's own hash.
+anchor: the run of ``RUN`` words of the line that is least under the block's own hash.
 Lines that agree in a block and its anchor are candidates.  Lines of at most
 ``SHORT`` words are candidates also where they agree after the deletions that
 their length allows, which finds all pairs of such lines.  Of longer pairs at the
@@ -43,7 +43,8 @@ from blotter.llm.components import allowed_edits, least_words, maybe_wanted, wan
 from blotter.llm.orderminhash import link_units
 from blotter.llm.wordunits import Units, mixed
 
-BLOCKS, BLOCK_BITS = 14, 4  # BLOCKS * BLOCK_BITS <= 64
+BLOCKS, BLOCK_BITS = 20, 3  # BLOCKS * BLOCK_BITS <= 64
+RUN = 3
 SHORT = 9
 SIMILARITY = 0.8
 CHUNK = 1 << 15
@@ -67,11 +68,13 @@ def simhash_blocks(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def anchored_blocks(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """units x BLOCKS: a hash of each block and its anchor, the unit's least two-word
-    run under a hash of the block's own; no unit is empty."""
+    """units x BLOCKS: a hash of each block and its anchor, the unit's least run of
+    RUN words under a hash of the block's own; no unit is empty."""
+    left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(words))
     runs = mixed(words)
-    runs[:-1] = mixed((runs[:-1] ^ words[1:]) + np.uint64(2))
-    runs[offsets[1:] - 1] = mixed(words[offsets[1:] - 1])
+    for k in range(1, RUN):  # at a unit's end runs are shorter
+        inside = left[:len(words) - k] > k
+        runs[:len(words) - k][inside] = mixed((runs[:len(words) - k] ^ words[k:])[inside] + np.uint64(k))
     keys = simhash_blocks(words, offsets)
     for k, seed in enumerate(mixed(np.arange(1, BLOCKS + 1, dtype=np.uint64)) | np.uint64(1)):
         least = np.minimum.reduceat(runs * seed, offsets[:-1])
