@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -90,11 +90,13 @@ def _measured(pairs: DataFrame, texts: DataFrame, share: float) -> DataFrame:
     return both.select("x", "y", "sx", "sy").mapInArrow(measure, "x long, y long, least int, d int, lx int, ly int")
 
 
-def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, share: float) -> DataFrame:
+def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, share: float,
+                 may_link: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs that share a bucket and
     whose edit distance is at most ``share`` of the longer text.
 
-    members: (bucket, id, prior, size in words), texts: (id, seq).  Small buckets give all
+    members: (bucket, id, prior, size in words, note), texts: (id, seq).  ``may_link`` of the
+    notes of two members, where given, says which pairs of a small bucket are aligned.  Small buckets give all
     their pairs.  A large bucket is compared with a leader, its member of least
     ``prior``: what is near the leader is linked to it and done.  The rest goes
     on to the next round, which has eight times the leaders; it is compared with
@@ -107,6 +109,10 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
     link between components is lost, and no pairs of a whole group are made."""
     ratio = 1 / (1 - share)  # near texts differ in length by at most this factor
     reach = share * ratio * (1 + ratio)  # of a leader's length: beyond, nothing near the leader can be near
+
+    def note(name: str) -> list[Column]:
+        return [F.col("note").alias(name)] if may_link else []
+
     left, number, found, pairs_to_do = members, 0, [], []  # pairs that decide nothing in a round are aligned at the end
     while True:
         sizes = left.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("prior", "id")).alias("first")).where("n > 1")
@@ -114,8 +120,9 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
         counts = sized.agg(F.count("*").alias("all"), F.count_if(F.col("n") > SMALL_BUCKET).alias("hot")).first()
         if counts["all"]:
             few = sized.where(F.col("n") <= SMALL_BUCKET)
-            pairs_to_do.append(few.select("bucket", F.col("id").alias("x"), F.col("size").alias("nx"))
-                               .join(few.select("bucket", F.col("id").alias("y"), F.col("size").alias("ny")), "bucket")
+            pairs_to_do.append(few.select("bucket", F.col("id").alias("x"), F.col("size").alias("nx"), *note("ex"))
+                               .join(few.select("bucket", F.col("id").alias("y"), F.col("size").alias("ny"), *note("ey")), "bucket")
+                               .where(may_link(F.col("ex"), F.col("ey")) if may_link else F.lit(True))
                                .where((F.col("x") < F.col("y")) & (F.abs(F.col("nx") - F.col("ny")) <= max_edits(share, F.col("nx"), F.col("ny"))))
                                .select("x", "y"))
         if not counts["hot"]:
@@ -146,7 +153,7 @@ def bucket_links(spark: SparkSession, members: DataFrame, texts: DataFrame, shar
         rest = rest.join(linked, ["bucket", "y", "r"], "left_anti")
         pairs_to_do.append(rest.join(done, ["bucket", "y"]).where(room).select(F.least("r", "a").alias("x"), F.greatest("r", "a").alias("y")))
         settled = done.select("bucket", F.col("a").alias("id")).unionByName(leaders.select("bucket", F.col("y").alias("id"))).distinct()
-        left = stage(spark, hot.select("bucket", "id", "prior", "size").join(settled, ["bucket", "id"], "left_anti"), "left")
+        left = stage(spark, hot.select(*members.columns).join(settled, ["bucket", "id"], "left_anti"), "left")
         number += 1
     none = members.select(F.col("id").alias("x"), F.col("id").alias("y")).limit(0)
     pairs = functools.reduce(DataFrame.unionByName, pairs_to_do, none).distinct()

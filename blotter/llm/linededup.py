@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.common import ship_package, stage, text_slices
@@ -43,7 +43,8 @@ from blotter.llm.components import allowed_edits, least_words, maybe_wanted, wan
 from blotter.llm.orderminhash import link_units
 from blotter.llm.wordunits import Units, mixed
 
-BLOCKS, BLOCK_BITS = 20, 3  # BLOCKS * BLOCK_BITS <= 64
+BLOCKS, BLOCK_BITS = 20, 3  # BLOCKS * BLOCK_BITS < 64
+MAX_BITS = 24
 RUN = 3
 SHORT = 9
 SIMILARITY = 0.8
@@ -67,6 +68,24 @@ def simhash_blocks(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return (ones[:, :BLOCKS * BLOCK_BITS].reshape(-1, BLOCKS, BLOCK_BITS) * weights).sum(axis=2).astype(np.uint64)
 
 
+def simhashes(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The SimHash of each unit as one number, its blocks side by side; -1, which it
+    never is, for units of at most SHORT words."""
+    n = np.diff(offsets)
+    out = np.full(len(n), -1, dtype=np.int64)
+    long = n > SHORT
+    if long.any():
+        blocks = simhash_blocks(words[np.repeat(long, n)], np.concatenate([[0], np.cumsum(n[long])]))
+        out[long] = (blocks << np.arange(0, BLOCKS * BLOCK_BITS, BLOCK_BITS, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
+    return out
+
+
+def near_simhashes(a: Column, b: Column) -> Column:
+    """Whether two lines may be links: SimHashes of lines at the limit of similarity differ in
+    12 of 60 bits, with a deviation of 3; short lines always may."""
+    return (a == -1) | (b == -1) | (F.bit_count(a.bitwiseXOR(b)) <= MAX_BITS)
+
+
 def anchored_blocks(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """units x BLOCKS: a hash of each block and its anchor, the unit's least run of
     RUN words under a hash of the block's own; no unit is empty."""
@@ -131,13 +150,14 @@ def _lines(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.Recor
             units = Units(texts[lo:hi], by_line=True)
             at = np.flatnonzero(np.diff(units.offsets) > 0)
             sizes = np.diff(units.offsets)[at]
-            ends, keys = candidate_keys(units.words, np.concatenate([[0], np.cumsum(sizes)]), share)
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
+            ends, keys = candidate_keys(units.words, offsets, share)
             h1, h2 = units.names()
             doc = pa.array(units.text[at] + lo)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(doc), b.column(1).take(doc), pa.array(units.line[at], pa.int32()), pa.array(sizes, pa.int32()),
-                 pa.array(h1[at]), pa.array(h2[at]), pa.ListArray.from_arrays(ends, keys)],
-                ["doc_id", "th", "line", "n_words", "h1", "h2", "keys"])
+                 pa.array(h1[at]), pa.array(h2[at]), pa.array(simhashes(units.words, offsets)), pa.ListArray.from_arrays(ends, keys)],
+                ["doc_id", "th", "line", "n_words", "h1", "h2", "note", "keys"])
 
 
 def line_groups(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -146,12 +166,12 @@ def line_groups(spark: SparkSession, docs: DataFrame, similarity: float = SIMILA
     ship_package(spark)
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = stage(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
-                  .mapInArrow(functools.partial(_lines, share=1 - similarity), "doc_id long, th long, line int, n_words int, h1 long, h2 long, keys array<long>"), "lines")
+                  .mapInArrow(functools.partial(_lines, share=1 - similarity), "doc_id long, th long, line int, n_words int, h1 long, h2 long, note long, keys array<long>"), "lines")
     units = stage(spark, lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.max("n_words").alias("n_words"))
+        F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("note").alias("note"), F.max("n_words").alias("n_words"))
         .withColumn("id", F.monotonically_increasing_id()).withColumn("prior", -F.col("copies")).withColumn("size", F.col("n_words")), "distinct-lines")
     buckets = units.select(F.explode("keys").alias("bucket"), "id")
-    groups = link_units(spark, docs, units, buckets, by_line=True, share=1 - similarity)
+    groups = link_units(spark, docs, units, buckets, by_line=True, share=1 - similarity, may_link=near_simhashes)
     linked = units.join(groups, units["id"] == groups["node"]).select("id", "component", "first")
     firsts = linked.groupBy("component").agg(F.min("first").alias("first_of"))
     known = units.join(linked.select("id", "component").join(firsts, "component"), "id", "left").select(
