@@ -10,13 +10,19 @@ The texts are lower-cased (A-Z), led by end marks (byte 0xFF, which UTF-8 never
 holds) as context, and ended by one, which is coded too; so the probabilities
 of all texts sum to one.
 
-How it is spread: one pass counts (DEPTH+1)-byte grams and words; grams are
-grouped by their last two context bytes, and each group computes its subtrees
-in arrays.  The levels above (at most 256 x 255 nodes) come to the driver.
-Every gram then has one log probability.  To score, texts are dealt to blocks
-of about ``BLOCK_BYTES``; each block asks for the values of its own distinct
-grams and words and gets back a table no larger than itself, so no task holds
-the model, however large the corpus makes it.
+How it is spread: a gram is a byte below its context, the latest byte highest,
+so the nodes of every depth are runs of sorted grams.  One pass counts the grams
+and words of the training texts; sorted and packed, they go to buckets (grams by
+their last ``TOP`` context bytes, words by a hash), where each bucket computes
+its subtrees from runs.  The levels above come to the driver: nodes of at most
+TOP - 1 bytes and eight bits, whose number UTF-8 bounds, not the corpus.  To
+score, texts are dealt to blocks of about ``BLOCK_BYTES``; a block asks each
+bucket for the values of its own distinct grams and words, packed in order, and
+gets back values alone in that order.  A bucket reads its model, then answers
+asks as they stream by, in lots no smaller than its model, so no task holds the
+model or all asks, however large the corpus makes them.  Grams that training
+never met take part with no counts: their value is that of the deepest context
+known.  Values travel as 32-bit floats (relative error at most 6e-8).
 
 Defined results: null text is empty, of one token (the end) and one coded byte;
 a null doc_id counts as the empty text in the training rule; repeated rows
@@ -26,41 +32,48 @@ and N is 0; an empty table gives an empty result; extra columns are ignored."""
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.common import ragged_sums, ship_package, stage, text_slices
 
-DEPTH = 6  # a gram of DEPTH + 1 bytes has to fit in a positive long
+DEPTH = 7  # a gram, of DEPTH + 1 bytes, fills an unsigned 64-bit word
 END = b"\xff"
-TOP = 2  # shallowest depth computed in groups
-BLOCK_BYTES = 16_000_000
-NO_GRAM, END_TOKEN = -1, -2
+TOP = 3  # shallowest depth computed in buckets
+BLOCK_BYTES = 32_000_000
+BUCKET_BYTES = 4_000_000  # text for each bucket of grams, and of words
+MOST_BUCKETS = 1 << 15
+LOT = 1_000_000  # grams answered in one go, at least
+END_TOKEN = b""  # no word is empty
 LOG_PI, LN2 = math.log(math.pi), math.log(2.0)
 
 
-def grams_of(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """The gram of every coded byte (context bytes above it, the latest lowest) and
-    the offsets of the texts."""
-    raw = np.frombuffer(b"".join(END * depth + t + END for t in texts), dtype=np.uint8)
+def grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The gram of every coded byte (the byte lowest, its context above, the latest
+    byte highest) and the offsets of the texts."""
+    raw = np.frombuffer(b"".join(END * DEPTH + t + END for t in texts), dtype=np.uint8)
     sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes + depth)[:-1]])
+    starts = np.concatenate([[0], np.cumsum(sizes + DEPTH)[:-1]]).astype(np.int64)
     coded = np.ones(len(raw), dtype=bool)
-    for k in range(depth):
+    for k in range(DEPTH):
         coded[starts + k] = False
-    key = raw.astype(np.int64)
+    key = raw.astype(np.uint64)
     wide = key.copy()
-    for back in range(1, depth + 1):
-        key[back:] |= wide[:-back] << (8 * back)
+    for back in range(1, DEPTH + 1):
+        key[back:] |= wide[:-back] << np.uint64(8 * (DEPTH + 1 - back))
     return key[coded], np.concatenate([[0], np.cumsum(sizes)])
 
 
+# ------------------------------------------------------------------ estimates
+
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """ln Gamma for x >= 0.5: Stirling's series, six steps up."""
     shift = np.ones_like(x)
@@ -71,9 +84,22 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(shift)
 
 
+_SMALL = 1 << 12
+_LOG_GAMMA = {plus: log_gamma(np.arange(_SMALL) + plus) for plus in (0.5, 1.0)}
+
+
+def _log_gamma_of(counts: np.ndarray, plus: float) -> np.ndarray:
+    """ln Gamma(counts + plus); small counts are looked up."""
+    out = _LOG_GAMMA[plus][np.minimum(counts, _SMALL - 1)]
+    large = counts >= _SMALL
+    if large.any():
+        out[large] = log_gamma(counts[large] + plus)
+    return out
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """ln of the Krichevsky-Trofimov probability of that many zeros and ones."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - LOG_PI
+    return _log_gamma_of(zeros, 0.5) + _log_gamma_of(ones, 0.5) - _log_gamma_of(zeros + ones, 1.0) - LOG_PI
 
 
 def kt_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -86,152 +112,343 @@ def weighted(log_e: np.ndarray, log_children: np.ndarray) -> tuple[np.ndarray, n
     return log_w, np.exp(log_e - LN2 - log_w)
 
 
+# ---------------------------------------------------------------------- trees
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal ``keys`` start, and the run of each."""
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = keys[1:] != keys[:-1]
+    return np.flatnonzero(first), np.cumsum(first) - 1
+
+
 class Level:
-    """The nodes of one depth for one bit position: keys (context << 8 | bits so
-    far), counts, ln P_w, the share that stops here, each one's parent."""
-
-    def __init__(self, keys, zeros, ones, log_w, stop):
-        self.keys, self.zeros, self.ones, self.log_w, self.stop = keys, zeros, ones, log_w, stop
-        self.parent: np.ndarray | None = None
-
-
-def subtrees(grams: np.ndarray, counts: np.ndarray, bit: int, depth: int = DEPTH, top: int = TOP) -> tuple[list[Level], np.ndarray, np.ndarray]:
-    """Levels ``depth`` to ``top`` of the trees of one bit position over distinct
-    grams; each gram's node at full depth, and its bit."""
-    byte, context = grams & 255, grams >> 8
-    is_one = ((byte >> (7 - bit)) & 1).astype(bool)
-    keys, leaf = np.unique((context << 8) | (1 << bit) | (byte >> (8 - bit)), return_inverse=True)
-    ones = np.bincount(leaf, np.where(is_one, counts, 0), len(keys))
-    zeros = np.bincount(leaf, np.where(is_one, 0, counts), len(keys))
-    levels = [Level(keys, zeros, ones, log_kt(zeros, ones), np.ones(len(keys)))]
-    for d in range(depth - 1, top - 1, -1):
-        low = levels[-1]
-        above = (((low.keys >> 8) & ((1 << (8 * d)) - 1)) << 8) | (low.keys & 255)
-        keys, low.parent = np.unique(above, return_inverse=True)
-        zeros, ones, children = (np.bincount(low.parent, v, len(keys)) for v in (low.zeros, low.ones, low.log_w))
-        levels.append(Level(keys, zeros, ones, *weighted(log_kt(zeros, ones), children)))
-    return levels, leaf, is_one
+    """The nodes of one depth for one bit position, sorted: keys (bits so far above
+    the context bytes, the latest highest), counts, ln P_w, the share that stops
+    here, and the parent of each node below."""
+
+    def __init__(self, keys, zeros, ones, log_children=None, parent=None):
+        self.keys, self.zeros, self.ones, self.parent = keys, zeros, ones, parent
+        log_e = log_kt(zeros, ones)
+        self.log_w, self.stop = (log_e, np.ones(len(keys))) if log_children is None else weighted(log_e, log_children)
+
+    def above(self) -> Level:
+        """The level of one context byte less."""
+        shorter = self.keys >> np.uint64(8)
+        starts, parent = _runs(shorter)
+        return Level(shorter[starts], *(np.add.reduceat(v, starts) for v in (self.zeros, self.ones, self.log_w)), parent)
+
+
+def subtrees(grams: np.ndarray, counts: np.ndarray, bit: int) -> tuple[list[Level], np.ndarray, np.ndarray, np.ndarray]:
+    """Levels ``DEPTH`` to ``TOP`` of the trees of one bit position over sorted
+    distinct grams; an order of the grams, and in it each one's deepest node and bit."""
+    byte = (grams & np.uint64(255)).astype(np.uint16)
+    path = (1 << bit) | (byte >> (8 - bit))
+    order = np.argsort(path, kind="stable")
+    keys = (path[order].astype(np.uint64) << np.uint64(8 * DEPTH)) | (grams[order] >> np.uint64(8))
+    is_one = ((byte[order] >> (7 - bit)) & 1).astype(bool)
+    starts, leaf = _runs(keys)
+    n = counts[order]
+    zeros, ones = (np.add.reduceat(np.where(which, n, 0), starts) for which in (~is_one, is_one))
+    levels = [Level(keys[starts], zeros, ones)]
+    for _ in range(DEPTH - TOP):
+        levels.append(levels[-1].above())
+    return levels, order, leaf, is_one
 
 
 def top_rows(grams: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
-    """What depth TOP hands up, summed per node of depth TOP - 1."""
+    """What depth TOP hands up, summed per node of depth TOP - 1 of these grams."""
     rows = []
     for bit in range(8):
         level = subtrees(grams, counts, bit)[0][-1]
-        rows.append(pd.DataFrame({"node": (((level.keys >> 8) & 255) << 8) | (level.keys & 255), "zeros": level.zeros,
-                                  "ones": level.ones, "log_w": level.log_w}))
-    return pd.concat(rows).groupby("node", as_index=False).sum()
-
-
-def upper_mix(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """By node of depth 1 (byte << 8 | bits): what depths 0 and 1 give to the
-    probability of a one, and the weight that goes deeper."""
-    given, deeper = np.full(1 << 16, 0.5), np.zeros(1 << 16)
+        shorter = level.keys >> np.uint64(8)
+        starts = _runs(shorter)[0]
+        rows.append(pd.DataFrame({"node": shorter[starts].astype(np.int64)} | {
+            name: np.add.reduceat(v, starts) for name, v in (("zeros", level.zeros), ("ones", level.ones), ("log_w", level.log_w))}))
+    return pd.concat(rows, ignore_index=True)
+
+
+def upper_mix(rows: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For depths 0 to TOP - 1: the nodes, what their depth and those above give to
+    the probability of a one, and the weight that goes deeper."""
+    rows = rows.sort_values("node")
+    levels = [Level(rows["node"].to_numpy().astype(np.uint64), rows["zeros"].to_numpy().astype(np.int64),
+                    rows["ones"].to_numpy().astype(np.int64), rows["log_w"].to_numpy().astype(np.float64))]
     if rows.empty:
-        return given, deeper
-    node, zeros, ones = rows["node"].to_numpy(), rows["zeros"].to_numpy(), rows["ones"].to_numpy()
-    log_w, stop = weighted(log_kt(zeros, ones), rows["log_w"].to_numpy())
-    root = node & 255
-    zeros0, ones0, children = (np.bincount(root, v, 256) for v in (zeros, ones, log_w))
-    stop0 = weighted(log_kt(zeros0, ones0), children)[1]
-    given[node] = stop0[root] * kt_one(zeros0, ones0)[root] + (1 - stop0[root]) * stop * kt_one(zeros, ones)
-    deeper[node] = (1 - stop0[root]) * (1 - stop)
+        return [(levels[0].keys, np.empty(0), np.empty(0))] * TOP
+    for _ in range(TOP - 1):
+        levels.append(levels[-1].above())
+    mixes = []
+    given, deeper = np.zeros(1), np.ones(1)
+    for i in range(TOP - 1, -1, -1):
+        level = levels[i]
+        if i < TOP - 1:
+            given, deeper = given[levels[i + 1].parent], deeper[levels[i + 1].parent]
+        given = given + deeper * level.stop * kt_one(level.zeros, level.ones)
+        deeper = deeper * (1 - level.stop)
+        mixes.append((level.keys, given, deeper))
+    return mixes
+
+
+def _entering(nodes: np.ndarray, upper: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """What all depths above give to nodes of depth TOP, and the weight left; below
+    the deepest known node all estimates are one half."""
+    given, deeper = np.full(len(nodes), 0.5), np.zeros(len(nodes))
+    known = np.ones(len(nodes), dtype=bool)
+    for d, (keys, level_given, level_deeper) in enumerate(upper):
+        if not len(keys):
+            break
+        wanted = nodes >> np.uint64(8 * (TOP - d))
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        met = known & (keys[at] == wanted)
+        lost = known & ~met
+        given[lost] += deeper[lost] * 0.5
+        deeper[lost] = 0.0
+        given[met], deeper[met] = level_given[at[met]], level_deeper[at[met]]
+        known = met
     return given, deeper
 
 
-def gram_log10(grams: np.ndarray, counts: np.ndarray, given: np.ndarray, deeper: np.ndarray) -> np.ndarray:
-    """log10 probability of each gram's byte after its context."""
+def gram_log10(grams: np.ndarray, counts: np.ndarray, *upper) -> np.ndarray:
+    """log10 probability of the byte of each of these sorted distinct grams after its context."""
     out = np.zeros(len(grams))
     for bit in range(8):
-        levels, leaf, is_one = subtrees(grams, counts, bit)
-        top = levels[-1]
-        node = (((top.keys >> 8) & 255) << 8) | (top.keys & 255)
-        p, left = given[node], deeper[node]
+        levels, order, leaf, is_one = subtrees(grams, counts, bit)
+        p, left = _entering(levels[-1].keys, upper)
         for i in range(len(levels) - 1, -1, -1):
             level = levels[i]
             if i < len(levels) - 1:
-                p, left = p[level.parent], left[level.parent]
+                p, left = p[levels[i + 1].parent], left[levels[i + 1].parent]
             p = p + left * level.stop * kt_one(level.zeros, level.ones)
             left = left * (1 - level.stop)
-        out += np.log10(np.where(is_one, p[leaf], 1 - p[leaf]))
+        out[order] += np.log10(np.where(is_one, p[leaf], 1 - p[leaf]))
     return out
 
 
+# -------------------------------------------------------------------- packing
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as planes of bytes, compressed."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes, dtype: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def packed_grams(grams: np.ndarray) -> bytes:
+    return packed(np.diff(grams, prepend=np.uint64(0)))
+
+
+def unpacked_grams(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
+def packed_words(words: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b" ".join(words))
+
+
+def unpacked_words(data: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(data).split(b" ")
+
+
+def gram_parts(grams: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places) of sorted grams; places ascend."""
+    if not len(grams):
+        return
+    top = grams >> np.uint64(8 * (DEPTH + 1 - TOP))
+    bucket = ((((top * np.uint64(2654435761)) & np.uint64(0xFFFFFFFF)) >> np.uint64(8)) % np.uint64(buckets)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    starts = _runs(bucket[order])[0]
+    for lo, hi in zip(starts, [*starts[1:], len(order)], strict=True):
+        yield int(bucket[order[lo]]), order[lo:hi]
+
+
+def word_parts(words, buckets: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(bucket, sorted words); buckets of words come after those of grams."""
+    parts: dict[int, list[bytes]] = {}
+    for w in words:
+        parts.setdefault(zlib.crc32(w) % buckets, []).append(w)
+    for k, found in parts.items():
+        yield buckets + k, sorted(found)
+
+
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams and their summed counts."""
     codes, keys = pd.factorize(np.concatenate([k for k, _ in parts]))
-    return keys, np.bincount(codes, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+    n = np.bincount(codes, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+    order = np.argsort(keys)
+    return keys[order], n[order]
+
 
+# ------------------------------------------------------------------- counting
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, gram, n): occurrences in training texts of all grams and words met."""
+def _batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], list(columns))
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield tuple(c[i].as_py() for c in b.columns)
+
+
+PIECES = "bucket int, keys binary, n binary"
+
+
+def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Occurrences of grams and words in these texts, in packed pieces by bucket."""
     words: Counter = Counter()
     parts: list[tuple[np.ndarray, np.ndarray]] = []
-    trained = 0
-
-    def give(keys, grams, n) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(grams, pa.int64()), pa.array(n, pa.int64())], ["word", "gram", "n"])
 
     def flush() -> Iterator[pa.RecordBatch]:
+        found = []
         if parts:
             keys, n = _merged(parts)
-            yield give([b""] * len(keys), keys, n)
-            parts.clear()
-        if words:
-            yield give(list(words), np.full(len(words), NO_GRAM), list(words.values()))
-            words.clear()
+            found += [(k, packed_grams(keys[at]), packed(n[at])) for k, at in gram_parts(keys, buckets)]
+        for k, some in word_parts(words, buckets):
+            found.append((k, packed_words(some), packed(np.array([words[w] for w in some], dtype=np.int64))))
+        parts.clear()
+        words.clear()
+        if found:
+            k, keys, n = zip(*found, strict=True)
+            yield _batch({"bucket": (k, pa.int32()), "keys": (keys, pa.binary()), "n": (n, pa.binary())})
 
     for b in batches:
-        held, texts = b.column("held_out").to_pylist(), b.column("text").to_pylist()
+        texts = b.column("text").to_pylist()
         for lo, hi in text_slices(texts):
             raw = [t.encode().lower() for t in texts[lo:hi]]
-            learn = ~np.array(held[lo:hi], dtype=bool)
-            grams, offsets = grams_of(raw)
-            codes, keys = pd.factorize(grams)
-            parts.append((keys, np.bincount(codes, np.repeat(learn, np.diff(offsets)), len(keys))))
-            for t, use in zip(raw, learn, strict=True):
-                if use:
-                    words.update(t.split())
-                else:
-                    words.update(dict.fromkeys(t.split(), 0))
-            trained += int(learn.sum())
-            if sum(len(k) for k, _ in parts) > 1_500_000:
+            parts.append(np.unique(grams_of(raw)[0], return_counts=True))
+            for t in raw:
+                words.update(t.split())
+            words[END_TOKEN] += len(raw)
+            if sum(len(k) for k, _ in parts) > 3_000_000:
                 parts[:] = [_merged(parts)]
-            if len(words) > 300_000 or parts and len(parts[0][0]) > 1_000_000:
+            if len(words) > 500_000 or parts and len(parts[0][0]) > 1_500_000:
                 yield from flush()
     yield from flush()
-    yield give([b""], [END_TOKEN], [trained])
 
 
-def _asks(part: pa.Table) -> pa.Table:
-    """The distinct words and grams of one block."""
+MODEL = "bucket int, keys binary, n binary, total long, distinct long, node array<long>, zeros array<long>, ones array<long>, log_w array<double>"
+
+
+def _gather(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """One row for each bucket of sorted pieces: its merged counts, and what its trees hand up."""
+    current, words, parts = None, Counter(), []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        if current is None:
+            return
+        if current < buckets:
+            keys, n = _merged(parts)
+            up = top_rows(keys, n)
+            row = (current, packed_grams(keys), packed(n), None, None, *(up[c].to_numpy() for c in ("node", "zeros", "ones", "log_w")))
+        else:
+            some = sorted(words)
+            row = (current, packed_words(some), packed(np.array([words[w] for w in some], dtype=np.int64)), words.total(), len(some), [], [], [], [])
+        parts.clear()
+        words.clear()
+        longs = pa.list_(pa.int64())
+        types = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), longs, longs, longs, pa.list_(pa.float64()))
+        names = ("bucket", "keys", "n", "total", "distinct", "node", "zeros", "ones", "log_w")
+        yield _batch({name: ([v], t) for name, v, t in zip(names, row, types, strict=True)})
+
+    for bucket, keys, n in _rows(batches):
+        if bucket != current:
+            yield from close()
+            current = bucket
+        if bucket < buckets:
+            parts.append((unpacked_grams(keys), unpacked(n, np.int64)))
+            if len(parts) > 1 and sum(len(k) for k, _ in parts[1:]) > max(LOT, len(parts[0][0])):
+                parts[:] = [_merged(parts)]
+        else:
+            for w, c in zip(unpacked_words(keys), unpacked(n, np.int64).tolist(), strict=True):
+                words[w] += c
+    yield from close()
+
+
+# -------------------------------------------------------------------- scoring
+
+def _distinct(texts: list[str]) -> tuple[np.ndarray, set[bytes]]:
+    """The distinct grams, sorted, and words of one block."""
     words: set[bytes] = set()
     grams: list[np.ndarray] = []
-    texts = part.column("text").to_pylist()
     for lo, hi in text_slices(texts):
         raw = [t.encode().lower() for t in texts[lo:hi]]
         grams.append(pd.unique(grams_of(raw)[0]))
         for t in raw:
             words.update(t.split())
-    keys = pd.unique(np.concatenate(grams))
+        if len(grams) > 8:
+            grams[:] = [pd.unique(np.concatenate(grams))]
+    return np.unique(np.concatenate(grams)), words
+
+
+def _asks(part: pa.Table, buckets: int) -> pa.Table:
+    """One block's distinct grams and words, packed by bucket."""
+    grams, words = _distinct(part.column("text").to_pylist())
+    rows = [(k, packed_grams(grams[at])) for k, at in gram_parts(grams, buckets)]
+    rows += [(k, packed_words(some)) for k, some in word_parts(words, buckets)]
     block = part.column("block")[0].as_py()
-    return pa.table({"block": pa.array([block] * (len(words) + len(keys)), pa.int32()),
-                     "word": pa.array([*words, *[b""] * len(keys)], pa.binary()),
-                     "gram": pa.array(np.concatenate([np.full(len(words), NO_GRAM), keys]), pa.int64())})
+    return pa.table({"bucket": pa.array([k for k, _ in rows], pa.int32()), "block": pa.array([block] * len(rows), pa.int32()),
+                     "keys": pa.array([b for _, b in rows], pa.binary())})
+
+
+def _answer(batches: Iterator[pa.RecordBatch], buckets: int, upper) -> Iterator[pa.RecordBatch]:
+    """Values in the order asked, for rows (bucket, kind, block, keys, n) sorted by
+    bucket and kind: the model (kind 0), then the asks."""
+    current, keys, n, counts = None, None, None, {}
+    waiting: list[tuple[int, np.ndarray]] = []
+
+    def out(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        return _batch({"block": ([b for b, _ in found], pa.int32()), "bucket": ([current] * len(found), pa.int32()),
+                       "answers": ([v for _, v in found], pa.binary())})
+
+    def answered() -> Iterator[pa.RecordBatch]:
+        if waiting:
+            union = np.unique(np.concatenate([keys, *(a for _, a in waiting)]))
+            have = np.zeros(len(union), dtype=np.int64)
+            have[np.searchsorted(union, keys)] = n
+            values = gram_log10(union, have, *upper).astype(np.float32)
+            for block, asked in waiting:
+                yield out([(block, values[np.searchsorted(union, asked)].tobytes())])
+            waiting.clear()
+
+    for bucket, kind, block, data, n_data in _rows(batches):
+        if bucket != current:
+            yield from answered()
+            current, keys, n, counts = bucket, np.empty(0, np.uint64), np.empty(0, np.int64), {}
+        if kind == 0 and bucket < buckets:
+            keys, n = unpacked_grams(data), unpacked(n_data, np.int64)
+        elif kind == 0:
+            counts = dict(zip(unpacked_words(data), unpacked(n_data, np.int64).tolist(), strict=True))
+        elif bucket < buckets:
+            waiting.append((block, unpacked_grams(data)))
+            if sum(len(a) for _, a in waiting) > max(LOT, 2 * len(keys)):
+                yield from answered()
+        else:
+            yield out([(block, packed(np.array([counts.get(w, 0) for w in unpacked_words(data)], dtype=np.int64)))])
+    yield from answered()
 
 
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, sum_log_count double, score double, n_bytes long")
 
 
-def _score(part: pa.Table, answers: pa.Table) -> pa.Table:
+def _score(part: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
     """Scores of one block's texts from the values it asked for."""
-    is_gram = answers.column("gram").to_numpy() != NO_GRAM
-    value = answers.column("value").to_numpy()
-    keys = answers.column("gram").to_numpy()[is_gram]
-    order = np.argsort(keys)
-    keys, log_p = keys[order], value[is_gram][order]
-    words = answers.column("word").filter(pa.array(~is_gram)).to_pylist()
-    get = dict(zip(words, value[~is_gram].tolist(), strict=True)).__getitem__
     texts = part.column("text").to_pylist()
+    if not texts:
+        return pa.table({c: pa.array([], t) for c, t in (("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                                                         ("sum_log_count", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()))})
+    told = dict(zip(answers.column("bucket").to_pylist(), answers.column("answers").to_pylist(), strict=True))
+    keys, asked = _distinct(texts)
+    log_p = np.empty(len(keys))
+    for k, at in gram_parts(keys, buckets):
+        log_p[at] = np.frombuffer(told[k], dtype=np.float32)
+    log_count: dict[bytes, float] = {}
+    for k, some in word_parts(asked, buckets):
+        log_count.update(zip(some, np.log10(unpacked(told[k], np.int64) + 1.0).tolist(), strict=True))
+    get = log_count.__getitem__
     sums, tokens, known, scores, sizes = [], [], [], [], []
     for lo, hi in text_slices(texts):
         raw = [t.encode().lower() for t in texts[lo:hi]]
@@ -257,40 +474,31 @@ def score(spark: SparkSession, docs: DataFrame, block_bytes: int = BLOCK_BYTES)
     """Scores of all ``docs`` (doc_id, text) under the model learned from those not
     held out.  One row per document."""
     ship_package(spark)
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    buckets = min(MOST_BUCKETS, max(1, -(-size // BUCKET_BYTES)))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    counted = thin.mapInArrow(_count, "word binary, gram long, n long")
-    counts = stage(spark, counted.groupBy("word", "gram").agg(F.sum("n").alias("n")), "ctw-counts")
-    total = counts.where((F.col("gram") == NO_GRAM) | (F.col("gram") == END_TOKEN)).agg(
-        F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v"),
-        F.max(F.when(F.col("gram") == END_TOKEN, F.col("n"))).alias("ends")).first()
-    n, v, ends = total["n"] or 0, total["v"] or 0, total["ends"] or 0
-
-    bucket = F.pmod(F.xxhash64(F.shiftright("gram", 8).bitwiseAND((1 << (8 * TOP)) - 1)),
-                    F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))).alias("bucket")
-    grams = counts.where("gram >= 0").select("gram", "n", bucket)
-
-    def tops(part: pa.Table) -> pa.Table:
-        return pa.Table.from_pandas(top_rows(part.column("gram").to_numpy(), part.column("n").to_numpy()), preserve_index=False)
-
-    upper = (grams.groupBy("bucket").applyInArrow(tops, "node long, zeros double, ones double, log_w double")
+    # a row's block is data, so that rows alike in all columns are dealt too and a lost task deals the same
+    thin = stage(spark, thin.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")), "ctw-texts")
+
+    pieces = thin.where(~F.col("held_out")).select("text").mapInArrow(lambda batches: _count(batches, buckets), PIECES)
+    model = stage(spark, pieces.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+                  .mapInArrow(lambda batches: _gather(batches, buckets), MODEL), "ctw-model")
+    words = model.where(F.col("bucket") >= buckets).agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
+    n, v, ends = words["n"] or 0, words["v"] or 0, thin.where(~F.col("held_out")).count()
+    upper = (model.select(F.explode(F.arrays_zip("node", "zeros", "ones", "log_w")).alias("r")).select("r.*")
              .groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_w")]).toPandas())
     shared = spark.sparkContext.broadcast(upper_mix(upper))
 
-    def values_of(part: pa.Table) -> pa.Table:
-        keys = part.column("gram").to_numpy()
-        return pa.table({"gram": keys, "value": gram_log10(keys, part.column("n").to_numpy(), *shared.value)})
-
-    values = (grams.groupBy("bucket").applyInArrow(values_of, "gram long, value double")
-              .select(F.lit(b"").alias("word"), "gram", "value")
-              .unionByName(counts.where(F.col("gram") == NO_GRAM).select("word", "gram", F.log10(F.col("n") + 1.0).alias("value"))))
-
-    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    dealt = thin.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    asks = dealt.groupBy("block").applyInArrow(_asks, "block int, word binary, gram long")
-    answers = asks.join(values, ["word", "gram"]).select("block", "word", "gram", "value")
-    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, SCORED)
+    dealt = thin.repartition(blocks, "block")
+    asks = dealt.groupBy("block").applyInArrow(lambda part: _asks(part, buckets), "bucket int, block int, keys binary")
+    asked = (model.select("bucket", F.lit(0).alias("kind"), F.lit(-1).alias("block"), "keys", "n")
+             .unionByName(asks.select("bucket", F.lit(1).alias("kind"), "block", "keys", F.lit(None).cast("binary").alias("n"))))
+    answers = (asked.repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind")
+               .mapInArrow(lambda batches: _answer(batches, buckets, shared.value), "block int, bucket int, answers binary"))
+    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda part, told: _score(part, told, buckets), SCORED)
     ended = math.log10(ends + 1.0) - math.log10(n + v + 1.0)
     return scored.select(
         "doc_id", "held_out", (F.col("n_tokens") + 1).alias("n_tokens"),
