@@ -11,16 +11,18 @@ holds) as context, and ended by one, which is coded too; so the probabilities
 of all texts sum to one.
 
 How it is spread: a gram is a byte below its context, the latest byte highest,
-so the nodes of every depth are runs of sorted grams.  One pass counts the grams
-and words of the training texts; sorted and packed, they go to buckets (grams by
+so the nodes of every depth are runs of sorted grams.  They go to buckets (grams by
 their last ``TOP`` context bytes, words by a hash), where each bucket computes
 its subtrees from runs.  The levels above come to the driver: nodes of at most
-TOP - 1 bytes and eight bits, whose number UTF-8 bounds, not the corpus.  To
-score, texts are dealt to blocks of about ``BLOCK_BYTES``; a block asks each
-bucket for the values of its own distinct grams and words, packed in order, and
-gets back values alone in that order.  A bucket reads its model, then answers
-asks as they stream by, in lots no smaller than its model, so no task holds the
-model or all asks, however large the corpus makes them.  Grams that training
+TOP - 1 bytes and eight bits, whose number UTF-8 bounds, not the corpus.
+
+Texts are dealt to blocks of about ``BLOCK_BYTES``, and one pass makes of each
+block packed pieces, one a bucket: its distinct grams or words in order and
+their numbers in training texts.  The pieces of a bucket sum to its model; then
+each piece is answered by the values of its grams alone, in its order, so no keys
+travel back.  A bucket reads its model, then answers pieces as they stream by, in
+lots no smaller than its model, so no task holds the model or all pieces, however
+large the corpus makes them.  Grams that training
 never met take part with no counts: their value is that of the deepest context
 known.  Values travel as 32-bit floats (relative error at most 6e-8).
 
@@ -48,7 +50,7 @@ from blotter.llm.common import ragged_sums, ship_package, stage, text_slices
 DEPTH = 7  # a gram, of DEPTH + 1 bytes, fills an unsigned 64-bit word
 END = b"\xff"
 TOP = 3  # shallowest depth computed in buckets
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 16_000_000
 BUCKET_BYTES = 4_000_000  # text for each bucket of grams, and of words
 MOST_BUCKETS = 1 << 15
 LOT = 1_000_000  # grams answered in one go, at least
@@ -61,15 +63,15 @@ def grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     byte highest) and the offsets of the texts."""
     raw = np.frombuffer(b"".join(END * DEPTH + t + END for t in texts), dtype=np.uint8)
     sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes + DEPTH)[:-1]]).astype(np.int64)
-    coded = np.ones(len(raw), dtype=bool)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    if not texts:
+        return np.empty(0, np.uint64), offsets
+    windows = np.ndarray((len(raw) - DEPTH,), "<u8", raw, strides=(1,))  # the coded byte highest
+    coded = np.ones(len(windows), dtype=bool)
     for k in range(DEPTH):
-        coded[starts + k] = False
-    key = raw.astype(np.uint64)
-    wide = key.copy()
-    for back in range(1, DEPTH + 1):
-        key[back:] |= wide[:-back] << np.uint64(8 * (DEPTH + 1 - back))
-    return key[coded], np.concatenate([[0], np.cumsum(sizes)])
+        coded[offsets[1:-1] + DEPTH * np.arange(1, len(texts)) - DEPTH + k] = False
+    windows = windows[coded]
+    return (windows << np.uint64(8)) | (windows >> np.uint64(8 * DEPTH)), offsets
 
 
 # ------------------------------------------------------------------ estimates
@@ -114,10 +116,21 @@ def weighted(log_e: np.ndarray, log_children: np.ndarray) -> tuple[np.ndarray, n
 
 # ---------------------------------------------------------------------- trees
 
-def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of equal ``keys`` start, and the run of each."""
+def _first(keys: np.ndarray) -> np.ndarray:
     first = np.ones(len(keys), dtype=bool)
     first[1:] = keys[1:] != keys[:-1]
+    return first
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct ``keys``."""
+    keys = np.sort(keys)
+    return keys[_first(keys)]
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal ``keys`` start, and the run of each."""
+    first = _first(keys)
     return np.flatnonzero(first), np.cumsum(first) - 1
 
 
@@ -275,11 +288,14 @@ def word_parts(words, buckets: int) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct grams and their summed counts."""
-    codes, keys = pd.factorize(np.concatenate([k for k, _ in parts]))
-    n = np.bincount(codes, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
-    order = np.argsort(keys)
-    return keys[order], n[order]
+    """Sorted distinct grams and their summed counts, from sorted parts."""
+    if len(parts) == 1:
+        return parts[0]
+    keys = np.concatenate([k for k, _ in parts])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = _runs(keys)[0]
+    return keys[starts], np.add.reduceat(np.concatenate([n for _, n in parts])[order], starts)
 
 
 # ------------------------------------------------------------------- counting
@@ -294,47 +310,40 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield tuple(c[i].as_py() for c in b.columns)
 
 
-PIECES = "bucket int, keys binary, n binary"
+PIECES = "bucket int, block int, keys binary, n binary"
 
 
-def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences of grams and words in these texts, in packed pieces by bucket."""
+def _pieces(part: pa.Table, buckets: int) -> pa.Table:
+    """One block's distinct grams and words, packed by bucket, with their numbers in its training texts."""
+    held, texts = part.column("held_out").to_pylist(), part.column("text").to_pylist()
     words: Counter = Counter()
     parts: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        found = []
-        if parts:
-            keys, n = _merged(parts)
-            found += [(k, packed_grams(keys[at]), packed(n[at])) for k, at in gram_parts(keys, buckets)]
-        for k, some in word_parts(words, buckets):
-            found.append((k, packed_words(some), packed(np.array([words[w] for w in some], dtype=np.int64))))
-        parts.clear()
-        words.clear()
-        if found:
-            k, keys, n = zip(*found, strict=True)
-            yield _batch({"bucket": (k, pa.int32()), "keys": (keys, pa.binary()), "n": (n, pa.binary())})
-
-    for b in batches:
-        texts = b.column("text").to_pylist()
-        for lo, hi in text_slices(texts):
-            raw = [t.encode().lower() for t in texts[lo:hi]]
-            parts.append(np.unique(grams_of(raw)[0], return_counts=True))
-            for t in raw:
+    for lo, hi in text_slices(texts):
+        raw = [t.encode().lower() for t in texts[lo:hi]]
+        learn = [t for t, h in zip(raw, held[lo:hi], strict=True) if not h]
+        other = _distinct(grams_of([t for t, h in zip(raw, held[lo:hi], strict=True) if h])[0])
+        parts += [np.unique(grams_of(learn)[0], return_counts=True), (other, np.zeros(len(other), dtype=np.int64))]
+        for t, h in zip(raw, held[lo:hi], strict=True):
+            if h:
+                words.update(dict.fromkeys(t.split(), 0))
+            else:
                 words.update(t.split())
-            words[END_TOKEN] += len(raw)
-            if sum(len(k) for k, _ in parts) > 3_000_000:
-                parts[:] = [_merged(parts)]
-            if len(words) > 500_000 or parts and len(parts[0][0]) > 1_500_000:
-                yield from flush()
-    yield from flush()
+        words[END_TOKEN] += len(learn)
+        if sum(len(k) for k, _ in parts[1:]) > max(LOT, len(parts[0][0])):
+            parts[:] = [_merged(parts)]
+    keys, n = _merged(parts)
+    rows = [(k, packed_grams(keys[at]), packed(n[at])) for k, at in gram_parts(keys, buckets)]
+    rows += [(k, packed_words(some), packed(np.array([words[w] for w in some], dtype=np.int64))) for k, some in word_parts(words, buckets)]
+    k, data, counts = zip(*rows, strict=True)
+    return pa.table({"bucket": pa.array(k, pa.int32()), "block": pa.array([part.column("block")[0].as_py()] * len(k), pa.int32()),
+                     "keys": pa.array(data, pa.binary()), "n": pa.array(counts, pa.binary())})
 
 
 MODEL = "bucket int, keys binary, n binary, total long, distinct long, node array<long>, zeros array<long>, ones array<long>, log_w array<double>"
 
 
 def _gather(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """One row for each bucket of sorted pieces: its merged counts, and what its trees hand up."""
+    """One row for each bucket of sorted pieces: what training met, counted, and what its trees hand up."""
     current, words, parts = None, Counter(), []
 
     def close() -> Iterator[pa.RecordBatch]:
@@ -342,17 +351,19 @@ def _gather(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
             return
         if current < buckets:
             keys, n = _merged(parts)
-            up = top_rows(keys, n)
-            row = (current, packed_grams(keys), packed(n), None, None, *(up[c].to_numpy() for c in ("node", "zeros", "ones", "log_w")))
+            keys, n = keys[n > 0], n[n > 0]
+            up = top_rows(keys, n) if len(keys) else None
+            row = (current, packed_grams(keys), packed(n), None, None, *([] if up is None else up[c].to_numpy() for c in ("node", "zeros", "ones", "log_w")))
         else:
-            some = sorted(words)
+            some = sorted(w for w, c in words.items() if c)
             row = (current, packed_words(some), packed(np.array([words[w] for w in some], dtype=np.int64)), words.total(), len(some), [], [], [], [])
         parts.clear()
         words.clear()
         longs = pa.list_(pa.int64())
         types = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), longs, longs, longs, pa.list_(pa.float64()))
         names = ("bucket", "keys", "n", "total", "distinct", "node", "zeros", "ones", "log_w")
-        yield _batch({name: ([v], t) for name, v, t in zip(names, row, types, strict=True)})
+        if row[4] != 0:
+            yield _batch({name: ([v], t) for name, v, t in zip(names, row, types, strict=True)})
 
     for bucket, keys, n in _rows(batches):
         if bucket != current:
@@ -360,7 +371,7 @@ def _gather(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
             current = bucket
         if bucket < buckets:
             parts.append((unpacked_grams(keys), unpacked(n, np.int64)))
-            if len(parts) > 1 and sum(len(k) for k, _ in parts[1:]) > max(LOT, len(parts[0][0])):
+            if sum(len(k) for k, _ in parts[1:]) > max(LOT, len(parts[0][0])):
                 parts[:] = [_merged(parts)]
         else:
             for w, c in zip(unpacked_words(keys), unpacked(n, np.int64).tolist(), strict=True):
@@ -370,48 +381,25 @@ def _gather(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
 
 # -------------------------------------------------------------------- scoring
 
-def _distinct(texts: list[str]) -> tuple[np.ndarray, set[bytes]]:
-    """The distinct grams, sorted, and words of one block."""
-    words: set[bytes] = set()
-    grams: list[np.ndarray] = []
-    for lo, hi in text_slices(texts):
-        raw = [t.encode().lower() for t in texts[lo:hi]]
-        grams.append(pd.unique(grams_of(raw)[0]))
-        for t in raw:
-            words.update(t.split())
-        if len(grams) > 8:
-            grams[:] = [pd.unique(np.concatenate(grams))]
-    return np.unique(np.concatenate(grams)), words
-
-
-def _asks(part: pa.Table, buckets: int) -> pa.Table:
-    """One block's distinct grams and words, packed by bucket."""
-    grams, words = _distinct(part.column("text").to_pylist())
-    rows = [(k, packed_grams(grams[at])) for k, at in gram_parts(grams, buckets)]
-    rows += [(k, packed_words(some)) for k, some in word_parts(words, buckets)]
-    block = part.column("block")[0].as_py()
-    return pa.table({"bucket": pa.array([k for k, _ in rows], pa.int32()), "block": pa.array([block] * len(rows), pa.int32()),
-                     "keys": pa.array([b for _, b in rows], pa.binary())})
-
-
 def _answer(batches: Iterator[pa.RecordBatch], buckets: int, upper) -> Iterator[pa.RecordBatch]:
-    """Values in the order asked, for rows (bucket, kind, block, keys, n) sorted by
-    bucket and kind: the model (kind 0), then the asks."""
+    """Answers to rows (bucket, kind, block, keys, n) sorted by bucket and kind, the
+    model (kind 0), then the pieces: values of grams in the order of their keys;
+    words come back with their counts."""
     current, keys, n, counts = None, None, None, {}
     waiting: list[tuple[int, np.ndarray]] = []
 
-    def out(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        return _batch({"block": ([b for b, _ in found], pa.int32()), "bucket": ([current] * len(found), pa.int32()),
-                       "answers": ([v for _, v in found], pa.binary())})
+    def out(*found: tuple[int, bytes, bytes | None]) -> pa.RecordBatch:
+        return _batch({"block": ([b for b, _, _ in found], pa.int32()), "bucket": ([current] * len(found), pa.int32()),
+                       "answers": ([v for _, v, _ in found], pa.binary()), "words": ([w for *_, w in found], pa.binary())})
 
     def answered() -> Iterator[pa.RecordBatch]:
         if waiting:
-            union = np.unique(np.concatenate([keys, *(a for _, a in waiting)]))
+            union = _distinct(np.concatenate([keys, *(a for _, a in waiting)]))
             have = np.zeros(len(union), dtype=np.int64)
             have[np.searchsorted(union, keys)] = n
             values = gram_log10(union, have, *upper).astype(np.float32)
             for block, asked in waiting:
-                yield out([(block, values[np.searchsorted(union, asked)].tobytes())])
+                yield out((block, values[np.searchsorted(union, asked)].tobytes(), None))
             waiting.clear()
 
     for bucket, kind, block, data, n_data in _rows(batches):
@@ -427,10 +415,33 @@ def _answer(batches: Iterator[pa.RecordBatch], buckets: int, upper) -> Iterator[
             if sum(len(a) for _, a in waiting) > max(LOT, 2 * len(keys)):
                 yield from answered()
         else:
-            yield out([(block, packed(np.array([counts.get(w, 0) for w in unpacked_words(data)], dtype=np.int64)))])
+            yield out((block, packed(np.array([counts.get(w, 0) for w in unpacked_words(data)], dtype=np.int64)), data))
     yield from answered()
 
 
+def _placed(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams, sorted, and the place of each gram among them.
+
+    Grams are sorted with their positions in one word: a hash above, the position
+    below.  Where two grams share a hash, they are sorted as they are."""
+    bits = np.uint64(max(1, len(grams) - 1).bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    tagged = np.sort(((grams * np.uint64(0x9E3779B97F4A7C15)) & ~low) | np.arange(len(grams), dtype=np.uint64))
+    at = (tagged & low).astype(np.int64)
+    shuffled = grams[at]
+    starts, run = _runs(shuffled)
+    if (np.diff((tagged >> bits)[starts]) == 0).any():
+        met, place = np.unique(grams, return_inverse=True)
+        return met, place.astype(np.int32)
+    found = shuffled[starts]
+    order = np.argsort(found)
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    place = np.empty(len(grams), dtype=np.int32)
+    place[at] = rank[run]
+    return found[order], place
+
+
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, sum_log_count double, score double, n_bytes long")
 
 
@@ -440,24 +451,29 @@ def _score(part: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
     if not texts:
         return pa.table({c: pa.array([], t) for c, t in (("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                                                          ("sum_log_count", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()))})
-    told = dict(zip(answers.column("bucket").to_pylist(), answers.column("answers").to_pylist(), strict=True))
-    keys, asked = _distinct(texts)
+    places, slices = [], []
+    for lo, hi in text_slices(texts):
+        grams, offsets = grams_of([t.encode().lower() for t in texts[lo:hi]])
+        met, place = _placed(grams)
+        places.append((met, place, offsets))
+        slices.append((lo, hi))
+    keys = _distinct(np.concatenate([met for met, *_ in places]))
     log_p = np.empty(len(keys))
+    told, log_count = {}, {}
+    for k, values, some in zip(*(answers.column(c).to_pylist() for c in ("bucket", "answers", "words")), strict=True):
+        if k < buckets:
+            told[k] = values
+        else:
+            log_count.update(zip(unpacked_words(some), np.log10(unpacked(values, np.int64) + 1.0).tolist(), strict=True))
     for k, at in gram_parts(keys, buckets):
-        log_p[at] = np.frombuffer(told[k], dtype=np.float32)
-    log_count: dict[bytes, float] = {}
-    for k, some in word_parts(asked, buckets):
-        log_count.update(zip(some, np.log10(unpacked(told[k], np.int64) + 1.0).tolist(), strict=True))
+        log_p[at] = np.frombuffer(told.pop(k), dtype=np.float32)
     get = log_count.__getitem__
     sums, tokens, known, scores, sizes = [], [], [], [], []
-    for lo, hi in text_slices(texts):
-        raw = [t.encode().lower() for t in texts[lo:hi]]
-        grams, offsets = grams_of(raw)
-        codes, met = pd.factorize(grams)
-        scores.append(ragged_sums(log_p[np.searchsorted(keys, met)][codes], offsets))
+    for (lo, hi), (met, place, offsets) in zip(slices, places, strict=True):
+        scores.append(ragged_sums(log_p[np.searchsorted(keys, met)][place], offsets))
         sizes.append(np.diff(offsets))
-        for t in raw:
-            found = list(map(get, t.split()))
+        for t in texts[lo:hi]:
+            found = list(map(get, t.encode().lower().split()))
             sums.append(sum(found))
             tokens.append(len(found))
             known.append(len(found) - found.count(0.0))
@@ -483,8 +499,9 @@ def score(spark: SparkSession, docs: DataFrame, block_bytes: int = BLOCK_BYTES)
     # a row's block is data, so that rows alike in all columns are dealt too and a lost task deals the same
     thin = stage(spark, thin.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")), "ctw-texts")
 
-    pieces = thin.where(~F.col("held_out")).select("text").mapInArrow(lambda batches: _count(batches, buckets), PIECES)
-    model = stage(spark, pieces.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    dealt = thin.repartition(blocks, "block")
+    pieces = stage(spark, dealt.groupBy("block").applyInArrow(lambda part: _pieces(part, buckets), PIECES), "ctw-pieces")
+    model = stage(spark, pieces.select("bucket", "keys", "n").repartition(tasks, "bucket").sortWithinPartitions("bucket")
                   .mapInArrow(lambda batches: _gather(batches, buckets), MODEL), "ctw-model")
     words = model.where(F.col("bucket") >= buckets).agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
     n, v, ends = words["n"] or 0, words["v"] or 0, thin.where(~F.col("held_out")).count()
@@ -492,12 +509,10 @@ def score(spark: SparkSession, docs: DataFrame, block_bytes: int = BLOCK_BYTES)
              .groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_w")]).toPandas())
     shared = spark.sparkContext.broadcast(upper_mix(upper))
 
-    dealt = thin.repartition(blocks, "block")
-    asks = dealt.groupBy("block").applyInArrow(lambda part: _asks(part, buckets), "bucket int, block int, keys binary")
     asked = (model.select("bucket", F.lit(0).alias("kind"), F.lit(-1).alias("block"), "keys", "n")
-             .unionByName(asks.select("bucket", F.lit(1).alias("kind"), "block", "keys", F.lit(None).cast("binary").alias("n"))))
+             .unionByName(pieces.select("bucket", F.lit(1).alias("kind"), "block", "keys", F.lit(None).cast("binary").alias("n"))))
     answers = (asked.repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind")
-               .mapInArrow(lambda batches: _answer(batches, buckets, shared.value), "block int, bucket int, answers binary"))
+               .mapInArrow(lambda batches: _answer(batches, buckets, shared.value), "block int, bucket int, answers binary, words binary"))
     scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda part, told: _score(part, told, buckets), SCORED)
     ended = math.log10(ends + 1.0) - math.log10(n + v + 1.0)
     return scored.select(
