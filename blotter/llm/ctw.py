@@ -16,9 +16,9 @@ their last ``TOP`` context bytes, words by a hash), where each bucket computes
 its subtrees from runs.  The levels above come to the driver: nodes of at most
 TOP - 1 bytes and eight bits, whose number UTF-8 bounds, not the corpus.
 
-Texts are dealt to blocks of about ``BLOCK_BYTES``, and one pass makes of each
-block packed pieces, one a bucket: its distinct grams or words in order and
-their numbers in training texts.  The pieces of a bucket sum to its model; then
+The scan forms blocks of about ``BLOCK_BYTES`` of text, and makes of each block its
+compressed rows and packed pieces, one a bucket: its distinct grams or words in
+order and their numbers in training texts.  The pieces of a bucket sum to its model; then
 each piece is answered by the values of its grams alone, in its order, so no keys
 travel back.  A bucket reads its model, then answers pieces as they stream by, in
 lots no smaller than its model, so no task holds the model or all pieces, however
@@ -42,6 +42,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -310,20 +311,21 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield tuple(c[i].as_py() for c in b.columns)
 
 
-PIECES = "bucket int, block int, keys binary, n binary"
+PIECES = "bucket int, block long, keys binary, n binary, texts binary"
+TEXTS = -1  # the bucket of a block's texts
+BLOCK = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.binary())])
 
 
-def _pieces(part: pa.Table, buckets: int) -> pa.Table:
-    """One block's distinct grams and words, packed by bucket, with their numbers in its training texts."""
-    held, texts = part.column("held_out").to_pylist(), part.column("text").to_pylist()
+def _block(ids: list, held: list[bool], texts: list[bytes], block: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """One block's distinct grams and words, packed by bucket, with their numbers in
+    its training texts; and its rows."""
     words: Counter = Counter()
     parts: list[tuple[np.ndarray, np.ndarray]] = []
     for lo, hi in text_slices(texts):
-        raw = [t.encode().lower() for t in texts[lo:hi]]
-        learn = [t for t, h in zip(raw, held[lo:hi], strict=True) if not h]
-        other = _distinct(grams_of([t for t, h in zip(raw, held[lo:hi], strict=True) if h])[0])
+        learn = [t for t, h in zip(texts[lo:hi], held[lo:hi], strict=True) if not h]
+        other = _distinct(grams_of([t for t, h in zip(texts[lo:hi], held[lo:hi], strict=True) if h])[0])
         parts += [np.unique(grams_of(learn)[0], return_counts=True), (other, np.zeros(len(other), dtype=np.int64))]
-        for t, h in zip(raw, held[lo:hi], strict=True):
+        for t, h in zip(texts[lo:hi], held[lo:hi], strict=True):
             if h:
                 words.update(dict.fromkeys(t.split(), 0))
             else:
@@ -332,11 +334,31 @@ def _pieces(part: pa.Table, buckets: int) -> pa.Table:
         if sum(len(k) for k, _ in parts[1:]) > max(LOT, len(parts[0][0])):
             parts[:] = [_merged(parts)]
     keys, n = _merged(parts)
-    rows = [(k, packed_grams(keys[at]), packed(n[at])) for k, at in gram_parts(keys, buckets)]
-    rows += [(k, packed_words(some), packed(np.array([words[w] for w in some], dtype=np.int64))) for k, some in word_parts(words, buckets)]
-    k, data, counts = zip(*rows, strict=True)
-    return pa.table({"bucket": pa.array(k, pa.int32()), "block": pa.array([part.column("block")[0].as_py()] * len(k), pa.int32()),
-                     "keys": pa.array(data, pa.binary()), "n": pa.array(counts, pa.binary())})
+    found = [(k, packed_grams(keys[at]), packed(n[at]), None) for k, at in gram_parts(keys, buckets)]
+    found += [(k, packed_words(some), packed(np.array([words[w] for w in some], dtype=np.int64)), None) for k, some in word_parts(words, buckets)]
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, BLOCK, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(pa.table([ids, held, texts], schema=BLOCK))
+    found.append((TEXTS, None, None, sink.getvalue().to_pybytes()))
+    for lo in range(0, len(found), 64):
+        k, data, counts, rows = zip(*found[lo:lo + 64], strict=True)
+        yield _batch({"bucket": (k, pa.int32()), "block": ([block] * len(k), pa.int64()), "keys": (data, pa.binary()),
+                      "n": (counts, pa.binary()), "texts": (rows, pa.binary())})
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, block_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The blocks of one task's rows, in the order read."""
+    block, size, rows = TaskContext.get().partitionId() << 32, 0, ([], [], [])
+    for b in batches:
+        for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "held_out")), (t.encode().lower() for t in b.column("text").to_pylist()), strict=True):
+            if size and size + len(row[2]) > block_bytes:
+                yield from _block(*rows, block, buckets)
+                block, size, rows = block + 1, 0, ([], [], [])
+            for column, value in zip(rows, row, strict=True):
+                column.append(value)
+            size += len(row[2])
+    if rows[0]:
+        yield from _block(*rows, block, buckets)
 
 
 MODEL = "bucket int, keys binary, n binary, total long, distinct long, node array<long>, zeros array<long>, ones array<long>, log_w array<double>"
@@ -389,7 +411,7 @@ def _answer(batches: Iterator[pa.RecordBatch], buckets: int, upper) -> Iterator[
     waiting: list[tuple[int, np.ndarray]] = []
 
     def out(*found: tuple[int, bytes, bytes | None]) -> pa.RecordBatch:
-        return _batch({"block": ([b for b, _, _ in found], pa.int32()), "bucket": ([current] * len(found), pa.int32()),
+        return _batch({"block": ([b for b, _, _ in found], pa.int64()), "bucket": ([current] * len(found), pa.int32()),
                        "answers": ([v for _, v, _ in found], pa.binary()), "words": ([w for *_, w in found], pa.binary())})
 
     def answered() -> Iterator[pa.RecordBatch]:
@@ -399,7 +421,7 @@ def _answer(batches: Iterator[pa.RecordBatch], buckets: int, upper) -> Iterator[
             have[np.searchsorted(union, keys)] = n
             values = gram_log10(union, have, *upper).astype(np.float32)
             for block, asked in waiting:
-                yield out((block, values[np.searchsorted(union, asked)].tobytes(), None))
+                yield out((block, packed(values[np.searchsorted(union, asked)]), None))
             waiting.clear()
 
     for bucket, kind, block, data, n_data in _rows(batches):
@@ -447,13 +469,14 @@ SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, sum_log_c
 
 def _score(part: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
     """Scores of one block's texts from the values it asked for."""
-    texts = part.column("text").to_pylist()
-    if not texts:
+    if not part.num_rows:
         return pa.table({c: pa.array([], t) for c, t in (("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                                                          ("sum_log_count", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()))})
+    part = pa.ipc.open_stream(part.column("texts")[0].as_py()).read_all()
+    texts = part.column("text").to_pylist()
     places, slices = [], []
     for lo, hi in text_slices(texts):
-        grams, offsets = grams_of([t.encode().lower() for t in texts[lo:hi]])
+        grams, offsets = grams_of(texts[lo:hi])
         met, place = _placed(grams)
         places.append((met, place, offsets))
         slices.append((lo, hi))
@@ -466,14 +489,14 @@ def _score(part: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
         else:
             log_count.update(zip(unpacked_words(some), np.log10(unpacked(values, np.int64) + 1.0).tolist(), strict=True))
     for k, at in gram_parts(keys, buckets):
-        log_p[at] = np.frombuffer(told.pop(k), dtype=np.float32)
+        log_p[at] = unpacked(told.pop(k), np.float32)
     get = log_count.__getitem__
     sums, tokens, known, scores, sizes = [], [], [], [], []
     for (lo, hi), (met, place, offsets) in zip(slices, places, strict=True):
         scores.append(ragged_sums(log_p[np.searchsorted(keys, met)][place], offsets))
         sizes.append(np.diff(offsets))
         for t in texts[lo:hi]:
-            found = list(map(get, t.encode().lower().split()))
+            found = list(map(get, t.split()))
             sums.append(sum(found))
             tokens.append(len(found))
             known.append(len(found) - found.count(0.0))
@@ -496,23 +519,22 @@ def score(spark: SparkSession, docs: DataFrame, block_bytes: int = BLOCK_BYTES)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # a row's block is data, so that rows alike in all columns are dealt too and a lost task deals the same
-    thin = stage(spark, thin.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")), "ctw-texts")
-
-    dealt = thin.repartition(blocks, "block")
-    pieces = stage(spark, dealt.groupBy("block").applyInArrow(lambda part: _pieces(part, buckets), PIECES), "ctw-pieces")
-    model = stage(spark, pieces.select("bucket", "keys", "n").repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    # blocks are data: a lost task of a later step reads the same ones again
+    pieces = stage(spark, thin.coalesce(blocks).mapInArrow(lambda batches: _blocks(batches, buckets, block_bytes * 3 // 2), PIECES), "ctw-blocks")
+    grams_and_words = pieces.where(F.col("bucket") != TEXTS)
+    model = stage(spark, grams_and_words.select("bucket", "keys", "n").repartition(tasks, "bucket").sortWithinPartitions("bucket")
                   .mapInArrow(lambda batches: _gather(batches, buckets), MODEL), "ctw-model")
     words = model.where(F.col("bucket") >= buckets).agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
-    n, v, ends = words["n"] or 0, words["v"] or 0, thin.where(~F.col("held_out")).count()
+    n, v, ends = words["n"] or 0, words["v"] or 0, docs.where(~held_out(F.col("doc_id"))).count()
     upper = (model.select(F.explode(F.arrays_zip("node", "zeros", "ones", "log_w")).alias("r")).select("r.*")
              .groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_w")]).toPandas())
     shared = spark.sparkContext.broadcast(upper_mix(upper))
 
-    asked = (model.select("bucket", F.lit(0).alias("kind"), F.lit(-1).alias("block"), "keys", "n")
-             .unionByName(pieces.select("bucket", F.lit(1).alias("kind"), "block", "keys", F.lit(None).cast("binary").alias("n"))))
+    asked = (model.select("bucket", F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("block"), "keys", "n")
+             .unionByName(grams_and_words.select("bucket", F.lit(1).alias("kind"), "block", "keys", F.lit(None).cast("binary").alias("n"))))
     answers = (asked.repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind")
-               .mapInArrow(lambda batches: _answer(batches, buckets, shared.value), "block int, bucket int, answers binary, words binary"))
+               .mapInArrow(lambda batches: _answer(batches, buckets, shared.value), "block long, bucket int, answers binary, words binary"))
+    dealt = pieces.where(F.col("bucket") == TEXTS).select("block", "texts").repartition(blocks, "block")
     scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda part, told: _score(part, told, buckets), SCORED)
     ended = math.log10(ends + 1.0) - math.log10(n + v + 1.0)
     return scored.select(
