@@ -331,9 +331,10 @@ def _block(ids: list, held: list[bool], texts: list[bytes], block: int, buckets:
             else:
                 words.update(t.split())
         words[END_TOKEN] += len(learn)
-        if sum(len(k) for k, _ in parts[1:]) > max(LOT, len(parts[0][0])):
+        if sum(len(k) for k, _ in parts[1:]) > LOT:
             parts[:] = [_merged(parts)]
     keys, n = _merged(parts)
+    parts.clear()
     found = [(k, packed_grams(keys[at]), packed(n[at]), None) for k, at in gram_parts(keys, buckets)]
     found += [(k, packed_words(some), packed(np.array([words[w] for w in some], dtype=np.int64)), None) for k, some in word_parts(words, buckets)]
     sink = pa.BufferOutputStream()
@@ -529,6 +530,7 @@ def score(spark: SparkSession, docs: DataFrame, block_bytes: int = BLOCK_BYTES)
     upper = (model.select(F.explode(F.arrays_zip("node", "zeros", "ones", "log_w")).alias("r")).select("r.*")
              .groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_w")]).toPandas())
     shared = spark.sparkContext.broadcast(upper_mix(upper))
+    spark.sparkContext._jvm.System.gc()  # the exchange that made the model is garbage only now: its files go before the next are written
 
     asked = (model.select("bucket", F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("block"), "keys", "n")
              .unionByName(grams_and_words.select("bucket", F.lit(1).alias("kind"), "block", "keys", F.lit(None).cast("binary").alias("n"))))
