@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +125,32 @@ def test_ctw_learns_from_six_bytes_back():
     assert log_p[6] > math.log10(0.8) and log_p[14] < math.log10(0.2)
 
 
+def test_ctw_packs_and_places_grams():
+    rnd = np.random.default_rng(3)
+    grams = rnd.integers(0, 1 << 63, 500, dtype=np.uint64)[rnd.integers(0, 500, 5000)]
+    met, place = ctw._placed(grams)
+    assert (met == np.unique(grams)).all() and (met[place] == grams).all()
+    assert (ctw.unpacked_grams(ctw.packed_grams(met)) == met).all()
+    parts = dict(ctw.gram_parts(met, 7))
+    assert sorted(np.concatenate(list(parts.values())).tolist()) == list(range(len(met)))
+    keys, n = ctw._merged([np.unique(grams[:3000], return_counts=True), np.unique(grams[3000:], return_counts=True)])
+    assert (keys == met).all() and (n == np.bincount(place)).all()
+
+
+def test_ctw_answers_do_not_depend_on_lots(monkeypatch):
+    """A bucket's pieces answered one by one or in one lot, grams that training never met among them."""
+    train = np.unique(ctw.grams_of([b"the cat sat on the mat " * 9])[0], return_counts=True)
+    asked = [ctw._distinct(ctw.grams_of([t])[0]) for t in (b"the cat", b"a dog sat", b"\xc3\xa9t\xc3\xa9")]
+    upper = ctw.upper_mix(ctw.top_rows(*train).groupby("node", as_index=False).sum())
+    rows = [(0, 0, -1, ctw.packed_grams(train[0]), ctw.packed(train[1]))] + [(0, 1, i, ctw.packed_grams(a), None) for i, a in enumerate(asked)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("bucket", "kind", "block", "keys", "n"), r, strict=True)) for r in rows])
+    got = []
+    for lot in (0, 1_000_000):
+        monkeypatch.setattr(ctw, "LOT", lot)
+        got.append({b["block"]: ctw.unpacked(b["answers"], np.float32).tolist() for out in ctw._answer(iter([batch]), 1, upper) for b in out.to_pylist()})
+    assert got[0] == got[1] and [len(got[0][i]) for i in range(3)] == [len(a) for a in asked]
+
+
 def test_ctw_edge_rows_and_empty_table(spark):
     got = ctw.score(spark, edge_docs(spark)).collect()
     assert len(got) == len(EDGE) and all(r.score < 0 for r in got)
