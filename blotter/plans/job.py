@@ -23,7 +23,7 @@ from blotter.functions.parse import classified_records
 from blotter.session import checkpoint_root, ensure_utc
 from blotter.sinks.alerts import write_alert_log
 from blotter.sinks.serving import create_serving_table, serving_batch_writer
-from blotter.sources.codes import load_code_table
+from blotter.sources.codes import load_code_table, snapshot_code_table
 from blotter.sources.records import incident_records
 from blotter.streaming.fanout import JobBatch, Join
 from blotter.streaming.statelog import Ledger, last_mark
@@ -40,10 +40,8 @@ class Outputs:
 def record_stream(spark: SparkSession, cfg: PipelineConfig, checkpoint: str) -> tuple[DataFrame, Join]:
     """Typed records of the source, and the join that enriches a micro-batch of them."""
     ensure_utc(spark)
-    codes = load_code_table(spark, cfg.lookup_path, cfg.lookup_parse)
-    snapshot = f"{checkpoint}/code-table/{uuid.uuid4().hex[:12]}"
-    codes.df.write.parquet(snapshot)     # loaded once, at every size
-    codes.df = spark.read.schema(codes.df.schema).parquet(snapshot)
+    codes = snapshot_code_table(spark, load_code_table(spark, cfg.lookup_path, cfg.lookup_parse),
+                                f"{checkpoint}/code-table/{uuid.uuid4().hex[:12]}")     # loaded once, at every size
     source = dict(cfg.source)
     if source.get("kind", "directory") == "directory":
         source.setdefault("staged", f"{checkpoint}/replay")

@@ -57,7 +57,11 @@ def lineitem_csv_records(spark: SparkSession, sf_dir: str, varied: bool = True)
     """The incidents as published CSV lines (value).  ``varied`` uses several
     text forms: mixed-case booleans, '.5' districts, a blank ("") district on
     line 7, day 31 of the month on line 2, hour 24 on line 4; otherwise the lines parse back to exactly ``lineitem_incidents``."""
-    li = table(spark, sf_dir, "lineitem")
+    return as_csv_records(table(spark, sf_dir, "lineitem"), varied)
+
+
+def as_csv_records(li: DataFrame, varied: bool = True) -> DataFrame:
+    """:func:`lineitem_csv_records` of the given rows, in their order."""
     d = F.pmod(F.col("l_suppkey"), F.lit(25)).cast("string")
     if not varied:
         line = F.concat_ws(",",

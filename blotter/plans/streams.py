@@ -17,12 +17,13 @@ from blotter.functions.parse import parse_records, with_event_time
 from blotter.operators.anomaly import alert_messages, alerts, anomaly_results
 from blotter.operators.enrich import enrich
 from blotter.plans.queries import plain_timestamps
-from blotter.plans.standins import (lineitem_as_incidents, lineitem_csv_records, orders_as_incidents,
+from blotter.plans.standins import (as_csv_records, lineitem_as_incidents, lineitem_csv_records, orders_as_incidents,
                                     part_code_lines, part_codes, table, table_stream)
 from blotter.schema import COUNTERS
 from blotter.session import ensure_utc, scratch_path
 from blotter.sinks.alerts import write_alert_log
 from blotter.sinks.serving import serving_batch_writer, truncate_serving_table
+from blotter.sources.codes import snapshot_code_table
 from blotter.sources.read_models import read_alert_log, read_serving
 from blotter.sources.records import directory_lines, keyed_lines, replay_in_path_order, write_line_files
 from blotter.streaming.panes import SlidingImage
@@ -193,20 +194,35 @@ def q_job_mode_a_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_serving(spark, _run_job(spark, sf_dir, "A").serving_path)
 
 
+#: Lines of a replayed file, about 128 MB.
+FILE_LINES = 2_000_000
+
+
+def replay_files(lines: int, codes: int) -> int:
+    """Files to replay ``lines`` from, each a micro-batch.  A micro-batch reads and sorts the code
+    table for its join, so a file has at least as many lines as that has rows: all micro-batches
+    together then read no more of it than there are lines."""
+    return max(8, lines // max(FILE_LINES, codes))
+
+
 def q_replay_path_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line files whose path order is the order of their dates, but whose modification times
     run backwards, are replayed in path order, one per micro-batch, so that the month
-    windows close in turn and no row is late."""
+    windows close in turn and no row is late.  A large file is replayed as several parts: lines are
+    in the order of their dates within a file too, and a micro-batch takes as many parts
+    as a file has on average."""
     ensure_utc(spark)
-    lines = lineitem_csv_records(spark, sf_dir, varied=False)
-    source = scratch_path(spark, "replay-source")
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    write_line_files(lines.repartitionByRange(parts, F.split("value", ",")[1]), source)
+    codes = snapshot_code_table(spark, part_codes(spark, sf_dir), scratch_path(spark, "replay-codes"))
+    li = table(spark, sf_dir, "lineitem")
+    source, staged = scratch_path(spark, "replay-source"), scratch_path(spark, "replay-staged")
+    parts = replay_files(li.count(), codes.rows)
+    write_line_files(as_csv_records(li.repartitionByRange(parts, "l_shipdate").sortWithinPartitions("l_shipdate"), varied=False), source)
     found = data_files(spark, source)
     set_times(spark, found[::-1], int(time.time() * 1000) - len(found))
-    staged = replay_in_path_order(spark, source, scratch_path(spark, "replay-staged"))
-    incidents, _ = parse_records(keyed_lines(directory_lines(spark, staged, streaming=True, files_per_trigger=1)))
-    img = month_image_stream(enrich(with_watermark(with_event_time(incidents), "ts", CFG.watermark), part_codes(spark, sf_dir)))
+    replayed = replay_in_path_order(spark, source, staged)
+    at_once = max(1, -(-len(data_files(spark, f"{staged}/files")) // max(1, len(found))))
+    incidents, _ = parse_records(keyed_lines(directory_lines(spark, replayed, streaming=True, files_per_trigger=at_once)))
+    img = month_image_stream(enrich(with_watermark(with_event_time(incidents), "ts", CFG.watermark), codes))
     out = scratch_path(spark, "replay-image")
     with state_partitions(spark):
         run_available_now(img, out + "-chk", out)

@@ -68,6 +68,12 @@ def read_code_table(spark: SparkSession, path: str, mode: str = "positional",
     return code_table_from_lines(_lines(spark, path), mode, check_unique)
 
 
+def snapshot_code_table(spark: SparkSession, codes: CodeTable, path: str) -> CodeTable:
+    """The table written to ``path`` once and read from there, so that no micro-batch parses it again."""
+    codes.df.write.parquet(path)
+    return CodeTable(spark.read.schema(codes.df.schema).parquet(path), codes.rows, codes.bytes)
+
+
 def load_code_table(spark: SparkSession, path: str, mode: str = "positional") -> CodeTable:
     """S4 + S5 with the size measured for the broadcast decision."""
     return verified_code_table(_lines(spark, path), mode)

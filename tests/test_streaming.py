@@ -184,3 +184,28 @@ def test_fail_mode_stops_the_stream(spark, code_file, tmp_dir):
     inc, _ = parse_records(keyed_lines(lines), on_error="fail")
     with pytest.raises(Exception, match="malformed incident record"):
         run_available_now(inc, f"{tmp_dir}/chk", f"{tmp_dir}/out")
+
+
+def test_replay_of_files_in_parts_loses_no_row(spark):
+    """Files larger than a scan split are replayed as several parts: their lines are in the order of
+    their dates, so no part's rows are late for what an earlier part closed."""
+    from blotter.plans import queries as Q
+    from blotter.plans import streams as S
+    d = "/root/testdata/sf0.001"
+    small = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1k"}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        got = sorted(map(str, S.q_replay_path_order(spark, d).collect()))
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+    want = Q.q_month_image_closed(spark, d)
+    assert got == sorted(map(str, want.select(S.IMAGE_COLS).collect()))
+
+
+def test_replayed_files_hold_at_least_a_code_table():
+    from blotter.plans.streams import replay_files
+    assert replay_files(600_000, 20_000) == 8
+    assert replay_files(36_000_000, 1_200_000) == 18
+    assert replay_files(216_000_000, 7_200_000) == replay_files(2_160_000_000, 72_000_000) == 30
