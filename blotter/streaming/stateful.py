@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from blotter.operators.running import running_counts
 from blotter.schema import COUNTERS
+from blotter.session import shuffles_for_rows
 from blotter.streaming.statelog import COMPACT_EVERY, Ledger, StateLog, last_mark
 
 KEY_COLS = ["primary_description", "district", "month_start_ms", "month_end_ms"]
@@ -65,10 +66,10 @@ def month_increments(live: DataFrame) -> DataFrame:
     return live.groupBy(*KEY_COLS).agg(*[F.sum(one).cast("bigint").alias(c) for c, one in ones.items()])
 
 
-def running_rows(live: DataFrame, held: DataFrame, scratch: str) -> DataFrame:
-    """A3: each row with its month's counters up to and including it; ``held`` are
-    those of earlier micro-batches."""
-    run = running_counts(live, KEY_COLS, ["arrival", "id"], FLAGS, scratch=scratch)
+def running_rows(live: DataFrame, held: DataFrame, scratch: str, rows: int | None = None) -> DataFrame:
+    """A3: each of the (at most ``rows``) rows with its month's counters up to and including
+    it; ``held`` are those of earlier micro-batches."""
+    run = running_counts(live, KEY_COLS, ["arrival", "id"], FLAGS, scratch=scratch, rows=rows)
     base = held.select(*[F.col(c).alias("_" + c) for c in STATE.names])
     same = [F.col(c).eqNullSafe(F.col("_" + c)) for c in KEY_COLS]
     return run.join(base, same, "left").select(
@@ -112,13 +113,14 @@ class MonthImage:
         rows, seen = self.ledger.stage(prepared(batch, self.ts_col, self.arrival_col, self.partition_col), epoch,
                                        observed={"largest": F.max("event_ms"), "late": F.count_if(late)})
         live = rows.where(~late)
-        held = self.months.held(spark, epoch, ~late)
-        if self.every_row:
-            self.sink(running_rows(live, held, f"{self.state}/range"), epoch)
-        self.months.append(month_increments(live), epoch)
-        watermark = self.ledger.watermark(rows, seen["largest"], mark, epoch)
-        if not self.every_row:
-            self.sink(month_rows(self.months.after(spark, epoch).where(passed("month_end_ms", mark.watermark_ms, watermark))), epoch)
+        with shuffles_for_rows(spark, seen["rows"]):
+            held = self.months.held(spark, epoch, ~late)
+            if self.every_row:
+                self.sink(running_rows(live, held, f"{self.state}/range", seen["rows"]), epoch)
+            self.months.append(month_increments(live), epoch)
+            watermark = self.ledger.watermark(rows, seen["largest"], mark, epoch)
+            if not self.every_row:
+                self.sink(month_rows(self.months.after(spark, epoch).where(passed("month_end_ms", mark.watermark_ms, watermark))), epoch)
         self.ledger.commit(spark, epoch, replace(mark, watermark_ms=watermark, late_rows=mark.late_rows + seen["late"]))
 
     def late_rows(self, spark: SparkSession) -> int:

@@ -93,3 +93,19 @@ def test_partitions_follow_the_size_of_the_input(spark):
     finally:
         R.partitions_for = session.partitions_for
         assert session.PARTITION_BYTES == old
+
+
+def test_chunks_and_their_shuffle_follow_the_rows(spark, tmp_dir):
+    """With one shuffle partition, many rows still make several chunks, and no rule merges their tasks."""
+    df = spark.range(1_100_000).select("id", (F.col("id") % 2 == 0).alias("a"), F.lit("hot").alias("k"))
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "1")
+        got = running_counts(df, ["k"], ["id"], {"n": None, "na": "a"}, scratch=f"{tmp_dir}/chunks")
+        chunks = spark.read.parquet(f"{tmp_dir}/chunks").groupBy("_pid").count().collect()
+        assert len(chunks) >= 3 and max(c["count"] for c in chunks) < 600_000
+        assert got.rdd.getNumPartitions() >= 3
+        assert got.where("n <> id + 1 or na <> floor(id / 2) + 1").count() == 0 and got.count() == 1_100_000
+    finally:
+        spark.conf.set(key, old)
