@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from blotter.functions.parse import with_event_time
 from blotter.operators.anomaly import alert_messages, alerts, anomaly_results
 from blotter.operators.enrich import enrich, hot_codes
+from blotter.session import shuffles_for_rows
 from blotter.streaming.panes import PANES, SlidingPanes
 from blotter.streaming.statelog import COMPACT_EVERY, Ledger
 from blotter.streaming.stateful import closed, month_columns, month_increments, month_log, month_rows, passed, running_rows
@@ -59,14 +60,17 @@ class JobBatch:
         self.months = month_log(f"{path}/months", compact_every)
         self.panes = SlidingPanes(f"{path}/panes", period_days, slide_days, compact_every)
 
-    def _enriched(self, batch: DataFrame, epoch: int) -> DataFrame:
-        """Typed rows joined with the code table.  A join that shuffles runs over staged
-        rows, so that hot codes can be found first and the source is still read once."""
-        events = with_event_time(batch)
+    def _stage(self, batch: DataFrame, epoch: int, observed: dict[str, Column]) -> tuple[DataFrame, dict]:
+        """Typed rows joined with the code table, staged.  A join that shuffles runs over staged
+        rows, so that hot codes can be found and its partitions sized first, and the source is
+        still read once."""
+        spark, events = batch.sparkSession, with_event_time(batch)
         if self.join.broadcasts or self.join.salt_buckets > 1:
-            return self.join(events)
-        rows, _ = self.ledger.stage(events, epoch, "parsed")
-        return self.join(rows, hot_codes(rows, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+            return self.ledger.stage(self._staged_columns(self.join(events)), epoch, observed=observed)
+        rows, parsed = self.ledger.stage(events, epoch, "parsed")
+        with shuffles_for_rows(spark, parsed["rows"]):
+            enriched = self.join(rows, hot_codes(rows, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+            return self.ledger.stage(self._staged_columns(enriched), epoch, observed=observed)
 
     def _staged_columns(self, enriched: DataFrame) -> DataFrame:
         more = [F.col(self.partition_col)] if self.partition_col else []
@@ -85,23 +89,23 @@ class JobBatch:
         spark = batch.sparkSession
         mark = self.ledger.before(spark, epoch)
         late = closed("month_end_ms", mark.watermark_ms)
-        staged, seen = self.ledger.stage(self._staged_columns(self._enriched(batch, epoch)), epoch,
-                                         observed=self._observed(late, mark.watermark_ms))
+        staged, seen = self._stage(batch, epoch, self._observed(late, mark.watermark_ms))
         good = staged.where("reason is null")
         if self.rejects is not None and (seen["rejected"] or epoch == 0):
             self.rejects(staged.where("reason is not null").select("key", "value", "reason"), epoch)
-        watermark = self.ledger.watermark(good, seen["largest"], mark, epoch)
-        self._months(good.where(~late), epoch, mark.watermark_ms, watermark)
-        if self.alert_lines is not None:
-            self._windows(good, epoch, mark.watermark_ms, watermark)
+        with shuffles_for_rows(spark, seen["rows"]):
+            watermark = self.ledger.watermark(good, seen["largest"], mark, epoch)
+            self._months(good.where(~late), seen["rows"], epoch, mark.watermark_ms, watermark)
+            if self.alert_lines is not None:
+                self._windows(good, epoch, mark.watermark_ms, watermark)
         self.ledger.commit(spark, epoch, replace(
             mark, watermark_ms=watermark, late_rows=mark.late_rows + seen["late"], late_windows=mark.late_windows + seen["late_windows"]))
 
-    def _months(self, live: DataFrame, epoch: int, before: int | None, after: int | None) -> None:
+    def _months(self, live: DataFrame, n: int, epoch: int, before: int | None, after: int | None) -> None:
         spark = live.sparkSession
         held = self.months.held(spark, epoch, ~closed("month_end_ms", before))
         if self.every_row:
-            rows = running_rows(live, held, f"{self.path}/range")
+            rows = running_rows(live, held, f"{self.path}/range", n)
             self.serving(rows.withColumn("_order", F.struct("month_start", "count")), epoch)
         self.months.append(month_increments(live), epoch)
         if not self.every_row and _month(after) != _month(before):

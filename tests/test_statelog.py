@@ -250,3 +250,27 @@ def test_streamed_panes_equal_batch_windows(spark, incident_dir, code_file, tmp_
     panes.log.append(panes.increments(staged, None), 0)
     got = panes.closing(panes.log.after(spark, 0), None, 4 * 10**12)
     assert got.exceptAll(sliding_counts(events)).isEmpty() and sliding_counts(events).exceptAll(got).isEmpty()
+
+
+def test_job_in_mode_a_sizes_its_shuffles_by_rows(spark, code_file, tmp_dir):
+    """A session with one shuffle partition (a native query's cap): the job's join, counters and
+    upsert get partitions for the rows of the micro-batch, and the setting comes back."""
+    n, seen = 1_100_000, {}
+    batch = spark.range(n).select(
+        "id", F.lit("2020-01-05 00:00:00").cast("timestamp").alias("date"), (F.col("id") % 1000).cast("string").alias("iucr_code"),
+        F.lit(True).alias("arrest"), F.lit(False).alias("domestic"), (F.col("id") % 5).cast("int").alias("district"),
+        F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value"))
+
+    def serving(df, epoch):
+        seen.update(parts=df.rdd.getNumPartitions(), setting=int(spark.conf.get("spark.sql.shuffle.partitions")),
+                    largest=df.groupBy("district").agg(F.max("count").alias("m")).agg(F.sum("m")).first()[0])
+
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "1")
+        JobBatch(f"{tmp_dir}/job", Join(load_code_table(spark, code_file), 0, 0), 86400, serving, every_row=True)(batch, 0)
+        assert seen["parts"] >= 3 and seen["setting"] >= 3 and seen["largest"] <= n
+        assert spark.conf.get(key) == "1"
+    finally:
+        spark.conf.set(key, old)
