@@ -38,10 +38,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import ship_package, stage, text_slices
-from blotter.llm.components import allowed_edits, least_words, maybe_wanted, wanted_filter
+from blotter.llm.common import ship_package, stage, text_slices, unstage
+from blotter.llm.components import allowed_edits, least_words, max_edits, maybe_wanted, wanted_filter
 from blotter.llm.orderminhash import link_units
-from blotter.llm.wordunits import Units, mixed
+from blotter.llm.wordunits import CODES, Units, mixed
 
 BLOCKS, BLOCK_BITS = 20, 3  # BLOCKS * BLOCK_BITS < 64
 MAX_BITS = 24
@@ -80,10 +80,20 @@ def simhashes(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def near_simhashes(a: Column, b: Column) -> Column:
-    """Whether two lines may be links: SimHashes of lines at the limit of similarity differ in
-    12 of 60 bits, with a deviation of 3; short lines always may."""
-    return (a == -1) | (b == -1) | (F.bit_count(a.bitwiseXOR(b)) <= MAX_BITS)
+def parities(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """64 bits of each unit: each word, as the character that alignment takes it for, flips one.
+    An edit flips two at most, so units of k edits differ in at most 2 k bits."""
+    flips = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.bitwise_xor.accumulate(np.uint64(1) << (mixed(words % np.uint64(CODES) + np.uint64(1)) & np.uint64(63)), out=flips[1:])
+    return (flips[offsets[1:]] ^ flips[offsets[:-1]]).view(np.int64)
+
+
+def may_be_links(a: Column, b: Column, share: float) -> Column:
+    """Whether two lines may be links, by their notes (simhash, parity, n).  SimHashes of lines at
+    the limit of similarity differ in 12 of 60 bits, with a deviation of 3; short lines always
+    may.  The parity loses no link."""
+    near = (a["simhash"] == -1) | (b["simhash"] == -1) | (F.bit_count(a["simhash"].bitwiseXOR(b["simhash"])) <= MAX_BITS)
+    return near & (F.bit_count(a["parity"].bitwiseXOR(b["parity"])) <= 2 * max_edits(share, a["n"], b["n"]))
 
 
 def anchored_blocks(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -153,10 +163,13 @@ def _lines(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.Recor
             offsets = np.concatenate([[0], np.cumsum(sizes)])
             ends, keys = candidate_keys(units.words, offsets, share)
             h1, h2 = units.names()
+            note = pa.StructArray.from_arrays(
+                [pa.array(simhashes(units.words, offsets)), pa.array(parities(units.words, offsets)), pa.array(sizes, pa.int32())],
+                ["simhash", "parity", "n"])
             doc = pa.array(units.text[at] + lo)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(doc), b.column(1).take(doc), pa.array(units.line[at], pa.int32()), pa.array(sizes, pa.int32()),
-                 pa.array(h1[at]), pa.array(h2[at]), pa.array(simhashes(units.words, offsets)), pa.ListArray.from_arrays(ends, keys)],
+                 pa.array(h1[at]), pa.array(h2[at]), note, pa.ListArray.from_arrays(ends, keys)],
                 ["doc_id", "th", "line", "n_words", "h1", "h2", "note", "keys"])
 
 
@@ -165,13 +178,16 @@ def line_groups(spark: SparkSession, docs: DataFrame, similarity: float = SIMILA
     (an id), kept."""
     ship_package(spark)
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = stage(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
-                  .mapInArrow(functools.partial(_lines, share=1 - similarity), "doc_id long, th long, line int, n_words int, h1 long, h2 long, note long, keys array<long>"), "lines")
-    units = stage(spark, lines.groupBy("h1", "h2").agg(
+    full = stage(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
+                  .mapInArrow(functools.partial(_lines, share=1 - similarity), "doc_id long, th long, line int, n_words int, h1 long, h2 long, note struct<simhash: long, parity: long, n: int>, keys array<long>"), "lines")
+    keyed = stage(spark, full.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("note").alias("note"), F.max("n_words").alias("n_words"))
         .withColumn("id", F.monotonically_increasing_id()).withColumn("prior", -F.col("copies")).withColumn("size", F.col("n_words")), "distinct-lines")
-    buckets = units.select(F.explode("keys").alias("bucket"), "id")
-    groups = link_units(spark, docs, units, buckets, by_line=True, share=1 - similarity, may_link=near_simhashes)
+    # the keys are most of it: without them what the end needs is small
+    lines, units = stage(spark, full.select("doc_id", "th", "line", "h1", "h2"), "line-names"), stage(spark, keyed.drop("keys"), "units")
+    unstage(spark, full)
+    buckets = keyed.select(F.explode("keys").alias("bucket"), "id")
+    groups = link_units(spark, docs, units, buckets, by_line=True, share=1 - similarity, may_link=functools.partial(may_be_links, share=1 - similarity), spent=(keyed,))
     linked = units.join(groups, units["id"] == groups["node"]).select("id", "component", "first")
     firsts = linked.groupBy("component").agg(F.min("first").alias("first_of"))
     known = units.join(linked.select("id", "component").join(firsts, "component"), "id", "left").select(
