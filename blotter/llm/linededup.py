@@ -1,16 +1,16 @@
 """Operator 2: fuzzy line deduplication.
 
-Lines are normalised to their lower-cased words.  A SimHash of ``BLOCKS`` x
-``BLOCK_BITS`` bits over a line's words is cut into ``BLOCKS`` blocks; lines
-whose SimHashes differ in fewer than ``BLOCKS`` bits agree in a block
-(pigeonhole), and at the limit of similarity they differ in 12 of 60 on average.
-So short a block is shared by lines without number, hence each is split by an
-anchor: the run of ``RUN`` words of the line that is least under the block's own hash.
-Lines that agree in a block and its anchor are candidates.  Lines of at most
-``SHORT`` words are candidates also where they agree after the deletions that
-their length allows, which finds all pairs of such lines.  Of longer pairs at the
-limit by scattered changes of words nine in ten or more are candidates (tested by
-length).  A candidate pair is a link when the edit distance of
+Lines are normalised to their lower-cased words.  The runs of ``RUN`` words of a line
+are ordered by how rare they are in the table: a first scan counts runs in 2**SLOT_BITS
+slots, whatever the size of the table.  An edit changes at most ``RUN`` runs, so of two
+lines within the allowed edits each has one of the other's runs among its rarest few
+(:func:`prefix_runs`): lines that share one of these are candidates, and no pair is
+lost, however the order falls out.  A run that the table holds once is no key.  Lines of
+at most ``SHORT`` words are candidates also where they agree after the deletions that
+their length allows.  Of the candidates those are compared whose SimHashes of
+``BLOCKS`` x ``BLOCK_BITS`` bits over words differ in at most ``MAX_BITS`` (at the limit of
+similarity 12 of 60 bits differ on average) and whose parities leave room.
+A candidate pair is a link when the edit distance of
 the word sequences is at most 1 - ``SIMILARITY`` of the longer one.  Of all
 occurrences of a connected group of lines the first (least doc_id, hash of the
 text, line number) stays, the others are removed.
@@ -40,12 +40,15 @@ from pyspark.sql import functions as F
 
 from blotter.llm.common import ship_package, stage, text_slices, unstage
 from blotter.llm.components import allowed_edits, least_words, max_edits, maybe_wanted, wanted_filter
+from blotter.llm.ctw import packed, unpacked
 from blotter.llm.orderminhash import link_units
 from blotter.llm.wordunits import CODES, Units, mixed
 
 BLOCKS, BLOCK_BITS = 20, 3  # BLOCKS * BLOCK_BITS < 64
 MAX_BITS = 24
-RUN = 3
+RUN = 2
+SLOT_BITS, CHUNK_BITS = 24, 16
+ALONE = 1  # the code of a run that the table holds once
 SHORT = 9
 SIMILARITY = 0.8
 CHUNK = 1 << 15
@@ -96,19 +99,86 @@ def may_be_links(a: Column, b: Column, share: float) -> Column:
     return near & (F.bit_count(a["parity"].bitwiseXOR(b["parity"])) <= 2 * max_edits(share, a["n"], b["n"]))
 
 
-def anchored_blocks(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """units x BLOCKS: a hash of each block and its anchor, the unit's least run of
-    RUN words under a hash of the block's own; no unit is empty."""
-    left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(words))
+def word_runs(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of RUN words of all units, and the unit of each."""
+    unit = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    left = offsets[1:][unit] - np.arange(len(words))
     runs = mixed(words)
-    for k in range(1, RUN):  # at a unit's end runs are shorter
-        inside = left[:len(words) - k] > k
-        runs[:len(words) - k][inside] = mixed((runs[:len(words) - k] ^ words[k:])[inside] + np.uint64(k))
-    keys = simhash_blocks(words, offsets)
-    for k, seed in enumerate(mixed(np.arange(1, BLOCKS + 1, dtype=np.uint64)) | np.uint64(1)):
-        least = np.minimum.reduceat(runs * seed, offsets[:-1])
-        keys[:, k] = mixed(mixed(least) + (keys[:, k] | np.uint64(k << BLOCK_BITS)))
-    return keys
+    for k in range(1, RUN):
+        runs[:len(words) - k] = mixed((runs[:len(words) - k] ^ words[k:]) + np.uint64(k))
+    return runs[left >= RUN], unit[left >= RUN]
+
+
+def least_run_words(share: float) -> int:
+    """The shortest units that can be linked to one of more than SHORT words."""
+    return max(RUN, math.ceil((1 - share) * (SHORT + 1) - 1e-6))
+
+
+@functools.cache
+def prefix_runs(n: int, share: float) -> int:
+    """How many runs of a unit of ``n`` words may be missing from a unit that it is linked
+    to, and one: k edits of a unit of m words, the longer one, leave all but RUN * k of its runs."""
+    return 1 + max(n - m + RUN * allowed_edits(share, m, n) for m in range(n, math.floor(n / (1 - share) + 1e-6) + 1))
+
+
+def rare_runs(words: np.ndarray, offsets: np.ndarray, share: float, codes: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(unit, key) of each unit's rarest runs, as many as a partner may lack and one; ``codes``
+    tells how often the slots of runs are met, ties go by hash.  Runs met once are left out."""
+    n = np.diff(offsets)
+    runs, unit = word_runs(words, offsets)
+    lengths, which = np.unique(n, return_inverse=True)
+    most = np.array([prefix_runs(int(m), share) for m in lengths], dtype=np.int64)[which]
+    code = np.zeros(len(runs), np.uint64) if codes is None else codes[runs >> np.uint64(64 - SLOT_BITS)].astype(np.uint64)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    # unit, code and 40 bits of the hash in one word, so the runs of 2**16 units are sorted as they are
+    ends = np.searchsorted(unit, np.arange(0, len(n) + 1, 1 << 16)).tolist() + [len(runs)]
+    for k, (lo, hi) in enumerate(itertools.pairwise(ends)):
+        mine = np.sort(((unit[lo:hi] - (k << 16)).astype(np.uint64) << np.uint64(48)) | (code[lo:hi] << np.uint64(40)) | (runs[lo:hi] & np.uint64((1 << 40) - 1)))
+        row = (mine >> np.uint64(48)).astype(np.int64)
+        kept = np.arange(len(row)) - np.searchsorted(row, row) < most[row + (k << 16)]
+        if codes is not None:
+            kept &= (mine >> np.uint64(40)) & np.uint64(255) != ALONE
+        found.append((row[kept] + (k << 16), mixed(mine[kept] & np.uint64((1 << 48) - 1))))
+    return np.concatenate([r for r, _ in found]), np.concatenate([key for _, key in found])
+
+
+def _counted(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
+    """How often each slot's runs are met in one task's lines, by chunks of slots."""
+    counts = np.zeros(1 << SLOT_BITS, dtype=np.uint16)
+    for b in batches:
+        texts = b.column(0).to_pylist()
+        for lo, hi in text_slices(texts):
+            units = Units(texts[lo:hi], by_line=True)
+            n = np.diff(units.offsets)
+            some = n >= least_run_words(share)
+            runs = word_runs(units.words[np.repeat(some, n)], np.concatenate([[0], np.cumsum(n[some])]))[0]
+            slots, met = np.unique(runs >> np.uint64(64 - SLOT_BITS), return_counts=True)
+            counts[slots] = np.minimum(counts[slots] + met, 0xFFFF)
+    for k, part in enumerate(counts.reshape(-1, 1 << CHUNK_BITS)):
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed(part)], pa.binary())], ["chunk", "n"])
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each chunk of sorted rows: its counts over all tasks, as codes that
+    grow with them; ALONE stands for one and for nothing else."""
+    rows = ((k, n) for b in batches for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+    for k, parts in itertools.groupby(rows, key=lambda r: r[0]):
+        total = np.zeros(1 << CHUNK_BITS, dtype=np.int64)
+        for _, n in parts:
+            total += unpacked(n, np.uint16)
+        codes = np.where(total > 0, np.minimum(ALONE + np.floor(15 * np.log2(np.maximum(total, 1))), 255), 0).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([codes.tobytes()], pa.binary())], ["chunk", "n"])
+
+
+def run_codes(spark: SparkSession, docs: DataFrame, share: float):
+    """A broadcast array: for each slot of runs a code of how often it is met in ``docs``."""
+    counted = (docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+               .mapInArrow(functools.partial(_counted, share=share), "chunk int, n binary"))
+    codes = np.zeros((1 << SLOT_BITS - CHUNK_BITS, 1 << CHUNK_BITS), dtype=np.uint8)
+    for r in counted.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_coded, "chunk int, n binary").collect():
+        codes[r["chunk"]] = np.frombuffer(r["n"], dtype=np.uint8)
+    return spark.sparkContext.broadcast(codes.ravel())
 
 
 def deletion_keys(words: np.ndarray, share: float) -> np.ndarray:
@@ -125,9 +195,10 @@ def deletion_keys(words: np.ndarray, share: float) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
-def candidate_keys(words: np.ndarray, offsets: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+def candidate_keys(words: np.ndarray, offsets: np.ndarray, share: float, codes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys of each unit, as (ends, keys): units that share one are
-    candidates.  Units too short for any link have none."""
+    candidates.  Units too short for any link have none, nor have longer ones whose
+    rarest runs are met nowhere else by ``codes``."""
     n = np.diff(offsets)
     rows: list[np.ndarray] = [np.zeros(0, np.int64)]
     keys: list[np.ndarray] = [np.zeros(0, np.uint64)]
@@ -140,11 +211,12 @@ def candidate_keys(words: np.ndarray, offsets: np.ndarray, share: float) -> tupl
         some = np.flatnonzero(n == length)
         if len(some):
             add(some, deletion_keys(words[offsets[some][:, None] + np.arange(length)], share))
-    # the shortest that can be linked to a unit of more than SHORT words
-    long = np.flatnonzero(n >= max(1, math.ceil((1 - share) * (SHORT + 1) - 1e-6)))
+    long = np.flatnonzero(n >= least_run_words(share))
     if len(long):
-        mine = words[np.repeat(n >= n[long].min(), n)]
-        add(long, anchored_blocks(mine, np.concatenate([[0], np.cumsum(n[long])])))
+        mine = words[np.repeat(n >= least_run_words(share), n)]
+        unit, found = rare_runs(mine, np.concatenate([[0], np.cumsum(n[long])]), share, codes)
+        rows.append(long[unit])
+        keys.append(found)
     row, key = np.concatenate(rows), np.concatenate(keys)
     order = np.lexsort((key, row))
     row, key = row[order], key[order]
@@ -153,7 +225,7 @@ def candidate_keys(words: np.ndarray, offsets: np.ndarray, share: float) -> tupl
     return np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=len(n)))]).astype(np.int32), key[new].view(np.int64)
 
 
-def _lines(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
+def _lines(batches: Iterator[pa.RecordBatch], share: float, codes) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column(2).to_pylist()
         for lo, hi in text_slices(texts):
@@ -161,7 +233,7 @@ def _lines(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.Recor
             at = np.flatnonzero(np.diff(units.offsets) > 0)
             sizes = np.diff(units.offsets)[at]
             offsets = np.concatenate([[0], np.cumsum(sizes)])
-            ends, keys = candidate_keys(units.words, offsets, share)
+            ends, keys = candidate_keys(units.words, offsets, share, codes.value)
             h1, h2 = units.names()
             note = pa.StructArray.from_arrays(
                 [pa.array(simhashes(units.words, offsets)), pa.array(parities(units.words, offsets)), pa.array(sizes, pa.int32())],
@@ -178,8 +250,9 @@ def line_groups(spark: SparkSession, docs: DataFrame, similarity: float = SIMILA
     (an id), kept."""
     ship_package(spark)
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    codes = run_codes(spark, docs, 1 - similarity)
     full = stage(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
-                  .mapInArrow(functools.partial(_lines, share=1 - similarity), "doc_id long, th long, line int, n_words int, h1 long, h2 long, note struct<simhash: long, parity: long, n: int>, keys array<long>"), "lines")
+                  .mapInArrow(functools.partial(_lines, share=1 - similarity, codes=codes), "doc_id long, th long, line int, n_words int, h1 long, h2 long, note struct<simhash: long, parity: long, n: int>, keys array<long>"), "lines")
     keyed = stage(spark, full.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("note").alias("note"), F.max("n_words").alias("n_words"))
         .withColumn("id", F.monotonically_increasing_id()).withColumn("prior", -F.col("copies")).withColumn("size", F.col("n_words")), "distinct-lines")

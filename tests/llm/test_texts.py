@@ -647,3 +647,42 @@ def test_parities_of_lines_bound_their_edits():
         passed += n >= 10 and bits(p[0], p[2]) <= 2 * k
     assert links == 2000 and passed < 150
     assert len(parities(np.zeros(0, np.uint64), np.zeros(1, np.int64))) == 0
+
+
+def test_lines_of_common_runs_are_no_candidates():
+    """Lines that share only runs of words which many lines have do not meet, and those
+    within the limit do, whatever the counts say."""
+    from blotter.llm.linededup import ALONE, SIMILARITY, SLOT_BITS, candidate_keys, word_runs
+    rnd, share = random.Random(31), 1 - SIMILARITY
+    common = [f"c{i}" for i in range(6)]
+
+    def hashed(lines):
+        w = np.array([zlib.crc32(c.encode()) for line in lines for c in line], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return w, np.cumsum([0, *map(len, lines)])
+
+    # half of each line is common words, half its own
+    lines = [[c for _ in range(n // 8) for c in (*rnd.sample(common, 4), *(f"w{rnd.randrange(10 ** 9)}" for _ in range(4)))]
+             for n in [rnd.choice([16, 24, 40, 80]) for _ in range(300)]]
+    near = [edited(rnd, line, int(share * len(line) + 1e-6)) for line in lines[:100]]
+    words, offsets = hashed(lines + near)
+    runs = word_runs(words, offsets)[0]
+    slots, met = np.unique(runs >> np.uint64(64 - SLOT_BITS), return_counts=True)
+    codes = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
+    codes[slots] = np.minimum(ALONE + np.floor(15 * np.log2(met)), 255)
+    ends, keys = candidate_keys(words, offsets, share, codes)
+    found = [set(keys[s:e].tolist()) for s, e in zip(ends[:-1], ends[1:], strict=True)]
+    for k in range(100):
+        if banded_distance(*Units([" ".join(lines[k]) + "\n" + " ".join(near[k])], by_line=True).strings(np.arange(2)), int(share * max(len(lines[k]), len(near[k])) + 1e-6)) >= 0:
+            assert found[k] & found[300 + k]
+    assert sum(bool(found[i] & found[j]) for i in range(100, 300) for j in range(i)) < 0.01 * 200 * 200
+
+
+def test_codes_of_runs_count_all_lines(spark):
+    from blotter.llm.linededup import ALONE, SLOT_BITS, run_codes, word_runs
+    line = " ".join(f"w{i}" for i in range(12))
+    docs = edge_docs(spark, [(i, line + "\nx y", None, None) for i in range(4)] + [(9, " ".join(f"v{i}" for i in range(9)), None, None), (10, None, None, None)])
+    codes = run_codes(spark, docs.repartition(3), 0.2).value
+    units = Units([line, " ".join(f"v{i}" for i in range(9))], by_line=False)
+    runs, unit = word_runs(units.words, units.offsets)
+    assert (codes[runs >> np.uint64(64 - SLOT_BITS)] == np.where(unit == 0, ALONE + 30, ALONE)).all()
+    assert np.count_nonzero(codes) == len(runs) == 19
