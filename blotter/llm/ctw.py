@@ -33,6 +33,7 @@ and N is 0; an empty table gives an empty result; extra columns are ignored."""
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections import Counter
@@ -271,12 +272,15 @@ def gram_parts(grams: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarra
     """(bucket, places) of sorted grams; places ascend."""
     if not len(grams):
         return
-    top = grams >> np.uint64(8 * (DEPTH + 1 - TOP))
-    bucket = ((((top * np.uint64(2654435761)) & np.uint64(0xFFFFFFFF)) >> np.uint64(8)) % np.uint64(buckets)).astype(np.uint16)
+    bucket = np.empty(len(grams), dtype=np.uint16)
+    for lo in range(0, len(grams), LOT):  # lots, so what is made on the way stays small
+        top = grams[lo:lo + LOT] >> np.uint64(8 * (DEPTH + 1 - TOP))
+        bucket[lo:lo + LOT] = (((top * np.uint64(2654435761)) & np.uint64(0xFFFFFFFF)) >> np.uint64(8)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
-    starts = _runs(bucket[order])[0]
-    for lo, hi in zip(starts, [*starts[1:], len(order)], strict=True):
-        yield int(bucket[order[lo]]), order[lo:hi]
+    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+    for k, (lo, hi) in enumerate(itertools.pairwise([0, *ends.tolist()])):
+        if hi > lo:
+            yield k, order[lo:hi]
 
 
 def word_parts(words, buckets: int) -> Iterator[tuple[int, list[bytes]]]:
@@ -475,26 +479,31 @@ def _score(part: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
                                                          ("sum_log_count", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()))})
     part = pa.ipc.open_stream(part.column("texts")[0].as_py()).read_all()
     texts = part.column("text").to_pylist()
-    places, slices = [], []
+    # the slices' grams are placed one slice at a time, below: only the distinct ones of all are held
+    keys, waiting = np.empty(0, np.uint64), []
     for lo, hi in text_slices(texts):
-        grams, offsets = grams_of(texts[lo:hi])
-        met, place = _placed(grams)
-        places.append((met, place, offsets))
-        slices.append((lo, hi))
-    keys = _distinct(np.concatenate([met for met, *_ in places]))
-    log_p = np.empty(len(keys))
+        waiting.append(_distinct(grams_of(texts[lo:hi])[0]))
+        if sum(map(len, waiting)) > max(LOT, len(keys)):
+            keys = _distinct(np.concatenate([keys, *waiting]))
+            waiting.clear()
+    keys = _distinct(np.concatenate([keys, *waiting]))
+    waiting.clear()
+    log_p = np.empty(len(keys), dtype=np.float32)
     told, log_count = {}, {}
-    for k, values, some in zip(*(answers.column(c).to_pylist() for c in ("bucket", "answers", "words")), strict=True):
+    values, some = answers.column("answers"), answers.column("words")
+    for i, k in enumerate(answers.column("bucket").to_pylist()):
         if k < buckets:
-            told[k] = values
+            told[k] = i
         else:
-            log_count.update(zip(unpacked_words(some), np.log10(unpacked(values, np.int64) + 1.0).tolist(), strict=True))
+            log_count.update(zip(unpacked_words(some[i].as_py()), np.log10(unpacked(values[i].as_py(), np.int64) + 1.0).tolist(), strict=True))
     for k, at in gram_parts(keys, buckets):
-        log_p[at] = unpacked(told.pop(k), np.float32)
+        log_p[at] = unpacked(values[told[k]].as_py(), np.float32)
     get = log_count.__getitem__
     sums, tokens, known, scores, sizes = [], [], [], [], []
-    for (lo, hi), (met, place, offsets) in zip(slices, places, strict=True):
-        scores.append(ragged_sums(log_p[np.searchsorted(keys, met)][place], offsets))
+    for lo, hi in text_slices(texts):
+        grams, offsets = grams_of(texts[lo:hi])
+        met, place = _placed(grams)
+        scores.append(ragged_sums(log_p[np.searchsorted(keys, met)].astype(np.float64)[place], offsets))
         sizes.append(np.diff(offsets))
         for t in texts[lo:hi]:
             found = list(map(get, t.split()))

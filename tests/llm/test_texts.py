@@ -686,3 +686,31 @@ def test_codes_of_runs_count_all_lines(spark):
     runs, unit = word_runs(units.words, units.offsets)
     assert (codes[runs >> np.uint64(64 - SLOT_BITS)] == np.where(unit == 0, ALONE + 30, ALONE)).all()
     assert np.count_nonzero(codes) == len(runs) == 19
+
+
+def test_scoring_a_block_holds_little_beside_its_grams():
+    """The places of grams are held for one slice of a block at a time, and scores are the
+    same as those of the values looked up gram by gram."""
+    import tracemalloc
+    import pyarrow as pa
+    rnd, buckets = random.Random(41), 4
+    texts = [rnd.randbytes(40_000).hex().encode() for _ in range(100)]  # one word each, of grams of their own
+    rows = [r for b in ctw._block(list(range(100)), [k % 7 == 2 for k in range(100)], texts, 0, buckets) for r in b.to_pylist()]
+    part = pa.table({"texts": pa.array([r["texts"] for r in rows if r["bucket"] == ctw.TEXTS], pa.binary())})
+
+    def value(grams):
+        return -(grams % np.uint64(1009)).astype(np.float32) / np.float32(512)
+
+    told = [(r["bucket"], ctw.packed(value(ctw.unpacked_grams(r["keys"]))) if r["bucket"] < buckets else r["n"], None if r["bucket"] < buckets else r["keys"])
+            for r in rows if r["bucket"] != ctw.TEXTS]
+    answers = pa.table({n: pa.array(c, t) for n, c, t in zip(("bucket", "answers", "words"), zip(*told, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)})
+    del rows, told
+    tracemalloc.start()
+    try:
+        out = ctw._score(part, answers, buckets)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    grams, offsets = ctw.grams_of(texts)
+    assert np.allclose(out.column("score").to_numpy(), np.add.reduceat(value(grams).astype(np.float64), offsets[:-1]))
+    assert peak < 56 * len(grams), peak / len(grams)
