@@ -1,6 +1,7 @@
 """Operators on documents against brute force, round trips and held-out accuracy."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -714,3 +715,107 @@ def test_scoring_a_block_holds_little_beside_its_grams():
     grams, offsets = ctw.grams_of(texts)
     assert np.allclose(out.column("score").to_numpy(), np.add.reduceat(value(grams).astype(np.float64), offsets[:-1]))
     assert peak < 56 * len(grams), peak / len(grams)
+
+
+def hashed_lines(lines):
+    w = np.array([zlib.crc32(c.encode()) for line in lines for c in line], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return w, np.cumsum([0, *map(len, lines)])
+
+
+def test_lines_of_few_words_meet_by_runs_of_three():
+    """Lines of one small vocabulary share runs of two words by chance, and were candidates by them,
+    the more the more lines there are; those within the limit meet, at places that leave room."""
+    rnd, share = random.Random(41), 1 - linededup.SIMILARITY
+    lines = [[f"w{rnd.randrange(60)}" for _ in range(rnd.choice([12, 20, 40, 300]))] for _ in range(200)]
+    lines += [["a", "b", "c", "d"] * 10, ["a", "b", "c", "d"] * 75]
+    near = [edited(rnd, line, int(share * len(line) + 1e-6)) for line in lines]
+    row, key, place = linededup.placed_keys(*hashed_lines(lines + near), share)
+    n = [len(line) for line in lines + near]
+    keys = [dict(zip(key[row == i].tolist(), place[row == i].tolist(), strict=True)) for i in range(len(n))]
+
+    def meet(i, j):
+        return any(linededup.has_room(*map(np.array, (n[i], keys[i][k], n[j], keys[j][k])), share) for k in keys[i].keys() & keys[j].keys())
+
+    for i, (line, other) in enumerate(zip(lines, near, strict=True)):
+        a, b = Units([" ".join(line) + "\n" + " ".join(other)], by_line=True).strings(np.arange(2))
+        assert banded_distance(a, b, int(share * max(len(a), len(b)) + 1e-6)) < 0 or meet(i, len(lines) + i)
+    assert sum(meet(i, j) for i in range(200) for j in range(i)) < 0.05 * 200 * 199 / 2
+
+
+def test_keys_of_lines_travel_packed_and_meet():
+    """A key of a line takes a few bytes, and the buckets give the pairs that lengths and places leave;
+    a large one gives its entries, and pairs with two of them."""
+    rnd, share = random.Random(43), 1 - linededup.SIMILARITY
+    n = np.array([rnd.choice([20, 21, 40]) for _ in range(4000)])
+    keys = np.array([[rnd.randrange(1 << 62) if rnd.random() < .99 else rnd.randrange(300) * 0x9E3779B97F4A7C15 % (1 << 64) for _ in range(12)] for _ in n], dtype=np.uint64)
+    keys[:30, 0] = 12345
+    tags, place = np.array([rnd.randrange(1 << 32) for _ in n], dtype=np.uint32), np.array([[rnd.choice([1, 5, 9, linededup.FAR]) for _ in range(12)] for _ in n], dtype=np.uint8)
+    held = [(keys[lo:hi].ravel(), np.repeat(tags[lo:hi], 12), np.repeat(n[lo:hi].astype(np.uint32), 12), place[lo:hi].ravel()) for lo, hi in ((0, 2500), (2500, 4000))]
+    cells = [linededup._cells([h], 3) for h in (*held, held[0])]  # the first lines from two tasks
+    assert sum(c.nbytes for c in cells[:2]) < 10 * keys.size
+    both = pa.Table.from_batches(cells).sort_by("part").combine_chunks().to_batches()
+    got = pa.Table.from_batches(linededup._met(iter(both), share)).to_pylist()
+    met = {}
+    for i, mine in enumerate(keys):
+        for k, p in zip(mine.tolist(), place[i].tolist(), strict=True):
+            met.setdefault(k, set()).add((int(tags[i]), int(n[i]), p))
+    pairs, entries = set(), 0
+    for members in met.values():
+        few = sorted(members)
+        hot = len(few) > linededup.SMALL_BUCKET
+        entries += len(few) * hot
+        for a in few:
+            for b in [few[0], few[-1]] if hot else few:
+                if a[0] != b[0] and linededup.has_room(*map(np.array, (a[1], a[2], b[1], b[2])), share):
+                    pairs.add((min(a[0], b[0]), max(a[0], b[0])))
+    assert {(r["x"], r["y"]) for r in got if r["bucket"] is None} == pairs and len(pairs) > 100
+    assert sum(r["bucket"] is not None for r in got) == entries >= 30
+
+
+def test_large_groups_of_lines_against_brute_force(spark):
+    """Near copies of one line by the hundred, at all distances from it, and others that share a run
+    with them: the buckets are large, and links between what the first pairs leave apart are found."""
+    rnd = random.Random(47)
+    base = [f"b{i}" for i in range(30)]
+    lines = []
+    for k in range(160):
+        w = list(base)
+        for at in rnd.sample(range(30), rnd.choice([2, 4, 5, 6, 7, 8, 9])):
+            w[at] = f"v{rnd.randrange(6)}x{at}" if k % 2 else f"u{rnd.randrange(10 ** 6)}"
+        lines.append(" ".join(w[:rnd.choice([27, 30, 30])]))
+    lines += [" ".join([f"o{rnd.randrange(10 ** 6)}" for _ in range(20)] + base[:8]) for _ in range(30)]
+    docs = edge_docs(spark, [(i, "\n".join(lines[i:i + 5]), None, None) for i in range(0, len(lines), 5)])
+    theirs = {}
+    for r in linededup.line_groups(spark, docs).collect():
+        theirs.setdefault(r.group, set()).add(r.doc_id + r.line)
+    seqs = Units(["\n".join(lines)], by_line=True).strings(np.arange(len(lines)))
+    group = list(range(len(seqs)))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(seqs)), 2):
+        if banded_distance(seqs[i], seqs[j], int(.2 * max(len(seqs[i]), len(seqs[j])) + 1e-6)) >= 0:
+            a, b = find(i), find(j)
+            group[max(a, b)] = min(a, b)
+    mine = {}
+    for i in range(len(seqs)):
+        mine.setdefault(find(i), set()).add(i)
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
+    assert max(map(len, mine.values())) > 60 and len(mine) > 40
+
+
+def test_parity_planes_of_lines_bound_their_edits():
+    """Units of k edits differ in at most 2 k bits of all planes, less the difference of lengths."""
+    rnd = np.random.default_rng(5)
+    for _ in range(500):
+        n = int(rnd.integers(5, 300))
+        a = list(rnd.integers(0, 1 << 62, n))
+        k, b = n // 5, list(a)
+        for _ in range(k):
+            at, kind = int(rnd.integers(0, len(b))), rnd.integers(0, 3)
+            b[at:at + 1] = [[], [int(rnd.integers(0, 1 << 62))], [b[at], int(rnd.integers(0, 1 << 62))]][kind] if len(b) > 1 else [b[at]]
+        planes = linededup.parity_planes(np.array([*a, *b], dtype=np.uint64), np.cumsum([0, len(a), len(b)]))
+        assert sum(((int(x) ^ int(y)) & (1 << 64) - 1).bit_count() for x, y in planes) + abs(len(a) - len(b)) <= 2 * k
