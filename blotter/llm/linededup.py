@@ -55,6 +55,7 @@ CHUNK = 1 << 15
 PLANES = 8
 PLANE_NAMES = [f"p{k}" for k in range(PLANES)]
 FAR = 255  # the place of all keys from there on, and of those that a line has several times
+ROWS = 500  # texts held as strings at once
 SLICE = 500_000  # characters whose arrays are held at once
 LOT = 1 << 19
 PART_LINES = 50_000
@@ -164,12 +165,21 @@ def rare_runs(words: np.ndarray, offsets: np.ndarray, share: float, codes: np.nd
     return unit[at], keys[at], place[at]
 
 
+def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that few texts are Python strings at once; what Arrow holds of the
+    batches is given back at their end, since workers wait for later stages."""
+    for b in batches:
+        for lo in range(0, b.num_rows, ROWS):
+            yield b.slice(lo, ROWS)
+    pa.default_memory_pool().release_unused()
+
+
 def _named(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
     """The names of all lines with a word, and how often each slot's runs are met in one task's lines,
     by chunks of slots."""
     schema = pa.schema([("chunk", pa.int32()), ("n", pa.binary()), ("doc_id", pa.int64()), ("th", pa.int64()), ("line", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())])
     counts = np.zeros(1 << SLOT_BITS, dtype=np.uint16)
-    for b in batches:
+    for b in _thin(batches):
         texts = b.column(2).to_pylist()
         for lo, hi in text_slices(texts, SLICE):
             units = Units(texts[lo:hi], by_line=True)
@@ -300,7 +310,7 @@ def tag_of(h1: np.ndarray) -> np.ndarray:
 def _keyed(batches: Iterator[pa.RecordBatch], share: float, codes, parts: int) -> Iterator[pa.RecordBatch]:
     """The cells of the lines of one task, equal lines once in LOT keys."""
     held, size, seen = [], 0, np.zeros(0, np.int64)
-    for b in batches:
+    for b in _thin(batches):
         texts = b.column(0).to_pylist()
         for lo, hi in text_slices(texts, SLICE):
             units = Units(texts[lo:hi], by_line=True)
@@ -385,7 +395,7 @@ def _rows(**columns: pa.Array) -> pa.RecordBatch:
 def _fetched(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
     """Name, tag, length, parity planes and words of the lines whose tag the bitmap may hold."""
     names = ["h1", "h2", "tag", "n", *PLANE_NAMES, "seq"]
-    for b in batches:
+    for b in _thin(batches):
         texts = b.column(0).to_pylist()
         for lo, hi in text_slices(texts, SLICE):
             units = Units(texts[lo:hi], by_line=True)
