@@ -28,6 +28,7 @@ result; extra columns pass through :func:`deduplicated`."""
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import itertools
 import math
@@ -166,12 +167,14 @@ def rare_runs(words: np.ndarray, offsets: np.ndarray, share: float, codes: np.nd
 
 
 def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of few rows, so that few texts are Python strings at once; what Arrow holds of the
-    batches is given back at their end, since workers wait for later stages."""
+    """Batches of few rows, so that few texts are Python strings at once; what Arrow and the C
+    library hold of freed memory is given back at their end, since workers wait for later stages."""
     for b in batches:
         for lo in range(0, b.num_rows, ROWS):
             yield b.slice(lo, ROWS)
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def _named(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
